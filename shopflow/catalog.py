@@ -34,25 +34,39 @@ def register(name: str, sql: str | None = None):
 # ---------------------------------------------------------------------------
 # oracle building blocks: the FIXTURES.md mapping in DuckDB SQL
 # ---------------------------------------------------------------------------
-STARTUP = """
+def cte(*parts: str) -> str:
+    return "WITH " + ",\n".join(p.strip() for p in parts) + "\n"
+
+
+C_STARTUP = """
 startup AS (
   SELECT event_id, CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
          'startup' AS type, epoch_us(ts) // 1000 AS ts,
          strftime(ts, '%Y-%m-%d') AS log_date, strftime(ts, '%H') AS log_hour
   FROM events)"""
 
-DEDUP = STARTUP + """,
+C_DEDUP = """
 dedup AS (
   SELECT event_id, mid, uid, type, ts, log_date, log_hour FROM (
     SELECT *, row_number() OVER (PARTITION BY mid, log_date ORDER BY ts, event_id) AS rn
     FROM startup) WHERE rn = 1)"""
 
-FIRST_SEEN = STARTUP + """,
+C_FIRST_SEEN = """
 first_seen AS (
   SELECT mid, ts, event_id, log_date, log_hour FROM (
     SELECT *, row_number() OVER (PARTITION BY mid ORDER BY ts, event_id) AS rn
     FROM startup) WHERE rn = 1)"""
 
+C_PURCHASES = """
+purchases AS (
+  SELECT CAST(event_id AS VARCHAR) AS id, value AS total_amount,
+         strftime(ts, '%Y-%m-%d') AS create_date, strftime(ts, '%H') AS create_hour
+  FROM events WHERE event_type = 'purchase')"""
+
+STARTUP = "\n" + C_STARTUP.strip()
+DEDUP = STARTUP + ",\n" + C_DEDUP.strip()
+FIRST_SEEN = STARTUP + ",\n" + C_FIRST_SEEN.strip()
+
 
 def _startup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.startup_logs(Tables(spark, sf_dir).events)
@@ -159,3 +173,219 @@ def q_new_devices(spark, sf_dir):
 SELECT log_date, log_hour, count(*) AS new_mid FROM first_seen GROUP BY log_date, log_hour""")
 def q_new_devices_by_hour(spark, sf_dir):
     return dau.new_devices_by_hour(_startup(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Orders and GMV
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from shopflow.plans import gmv, ingest, kpi  # noqa: E402
+
+
+def _orders(spark, sf_dir):
+    return fx.order_info(Tables(spark, sf_dir).orders)
+
+
+def _purchases(spark, sf_dir):
+    return fx.purchase_orders(Tables(spark, sf_dir).events)
+
+
+@register("order_date_hour", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS create_time,
+       strftime(o_orderdate, '%Y-%m-%d') AS create_date,
+       strftime(o_orderdate, '%H') AS create_hour
+FROM orders""")
+def q_order_date_hour(spark, sf_dir):
+    return gmv.clean_orders(_orders(spark, sf_dir)).select(
+        "id", "create_time", "create_date", "create_hour")
+
+
+@register("mask_phone", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id,
+       substr('13' || lpad(CAST(o_custkey AS VARCHAR), 9, '0'), 1, 4) || '********'
+         AS consignee_tel
+FROM orders""")
+def q_mask_phone(spark, sf_dir):
+    return gmv.clean_orders(_orders(spark, sf_dir)).select("id", "consignee_tel")
+
+
+@register("gmv_total", """
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS create_date, round(sum(o_totalprice), 2) AS gmv
+FROM orders GROUP BY 1""")
+def q_gmv_total(spark, sf_dir):
+    return gmv.gmv_total(_orders(spark, sf_dir))
+
+
+@register("gmv_by_hour", cte(C_PURCHASES) + """
+SELECT create_date, create_hour, round(sum(total_amount), 2) AS gmv
+FROM purchases GROUP BY 1, 2""")
+def q_gmv_by_hour(spark, sf_dir):
+    return gmv.gmv_by_hour(_purchases(spark, sf_dir))
+
+
+C_GMV_SERIES = """
+series AS (SELECT create_date AS dt, create_hour AS hour, round(sum(total_amount), 2) AS v
+           FROM purchases GROUP BY 1, 2)"""
+
+
+@register("gmv_today_vs_yesterday", cte(C_PURCHASES, C_GMV_SERIES).rstrip()
+          + TODAY_VS_YESTERDAY_SQL.format(zero="0.0"))
+def q_gmv_today_vs_yesterday(spark, sf_dir):
+    return gmv.gmv_today_vs_yesterday(_purchases(spark, sf_dir))
+
+
+@register("sales_by_province", """
+SELECT CAST(c.c_nationkey AS VARCHAR) AS province_id, n.n_name AS province_name,
+       count(*) AS order_count, round(sum(o.o_totalprice), 2) AS order_amount
+FROM orders o
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY 1, 2""")
+def q_sales_by_province(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return gmv.sales_by_province(t.orders, t.customer, t.nation)
+
+
+# ---------------------------------------------------------------------------
+# KPI cards and hour series
+# ---------------------------------------------------------------------------
+@register("realtime_total", cte(C_STARTUP, C_DEDUP, C_FIRST_SEEN, C_PURCHASES, """
+d AS (SELECT log_date AS dt, count(*) AS v FROM dedup GROUP BY 1)""", """
+n AS (SELECT log_date AS dt, count(*) AS v FROM first_seen GROUP BY 1)""", """
+g AS (SELECT create_date AS dt, round(sum(total_amount), 2) AS v FROM purchases GROUP BY 1)""", """
+days AS (SELECT dt FROM d UNION SELECT dt FROM n UNION SELECT dt FROM g)""") + """
+SELECT days.dt, 'dau' AS id, '新增日活' AS name, CAST(coalesce(d.v, 0) AS DOUBLE) AS value
+FROM days LEFT JOIN d ON d.dt = days.dt
+UNION ALL
+SELECT days.dt, 'new_mid', '新增设备', CAST(coalesce(n.v, 0) AS DOUBLE)
+FROM days LEFT JOIN n ON n.dt = days.dt
+UNION ALL
+SELECT days.dt, 'order_amount', '新增交易额', CAST(g.v AS DOUBLE)
+FROM days LEFT JOIN g ON g.dt = days.dt""")
+def q_realtime_total(spark, sf_dir):
+    return kpi.realtime_total(_startup(spark, sf_dir), _purchases(spark, sf_dir))
+
+
+def _series_sql(card_id: str, series_cte: str, zero: str) -> str:
+    return ("SELECT '" + card_id + "' AS id, dt, hour, CAST(today AS DOUBLE) AS today, "
+            "CAST(yesterday AS DOUBLE) AS yesterday FROM (" + "WITH " + series_cte.strip()
+            + TODAY_VS_YESTERDAY_SQL.format(zero=zero) + ")")
+
+
+@register("realtime_hours", cte(C_STARTUP, C_DEDUP, C_FIRST_SEEN, C_PURCHASES) + "\n"
+          + _series_sql("dau", "series AS (SELECT log_date AS dt, log_hour AS hour, count(*) AS v "
+                               "FROM dedup GROUP BY 1, 2)", "0")
+          + "\nUNION ALL\n"
+          + _series_sql("new_mid", "series AS (SELECT log_date AS dt, log_hour AS hour, count(*) AS v "
+                                   "FROM first_seen GROUP BY 1, 2)", "0")
+          + "\nUNION ALL\n"
+          + _series_sql("order_amount", C_GMV_SERIES, "0.0"))
+def q_realtime_hours(spark, sf_dir):
+    startup, purchases = _startup(spark, sf_dir), _purchases(spark, sf_dir)
+    out = None
+    for card in kpi.CARD_IDS:
+        s = kpi.realtime_hours(card, startup, purchases)
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# Ingest: raw logs and change feed
+# ---------------------------------------------------------------------------
+STAMP_MS = 1704067200000   # fixed server stamp for the stamping query
+
+
+def _evid_sql(col: str = "event_type") -> str:
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fx.EVID_OF_EVENT_TYPE.items())
+    return f"CASE {col} {cases} END"
+
+
+C_RAW_FIELDS = f"""
+raw AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS uid,
+         CAST(user_id % {fx.N_EVENT_DEVICES} AS VARCHAR) AS emid,
+         {_evid_sql()} AS evid,
+         CAST(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS VARCHAR) AS itemid
+  FROM events)"""
+
+
+@register("ingest_stamp", cte(C_RAW_FIELDS) + f"""
+SELECT event_id, 'startup' AS kind,
+       '{{"type":"startup","mid":"' || uid || '","uid":"' || uid || '","ts":"{STAMP_MS}"}}' AS value
+FROM raw
+UNION ALL
+SELECT event_id, 'event' AS kind,
+       '{{"type":"event","mid":"' || emid || '","uid":"' || uid || '","evid":"' || evid || '"'
+       || CASE WHEN itemid IS NULL THEN '' ELSE ',"itemid":"' || itemid || '"' END
+       || ',"ts":"{STAMP_MS}"}}' AS value
+FROM raw""")
+def q_ingest_stamp(spark, sf_dir):
+    raw = fx.raw_log_json(Tables(spark, sf_dir).events)
+    return ingest.stamp_logs(raw, F.lit(STAMP_MS))
+
+
+@register("ingest_route", """
+SELECT event_id, 'startup' AS kind, 'GMALL_STARTUP' AS topic FROM events
+UNION ALL
+SELECT event_id, 'event' AS kind, 'GMALL_EVENT' AS topic FROM events""")
+def q_ingest_route(spark, sf_dir):
+    raw = fx.raw_log_json(Tables(spark, sf_dir).events)
+    return ingest.route_logs(raw).select("event_id", "kind", "topic")
+
+
+def _op_sql(key: str) -> str:
+    return (f"CASE WHEN {key} % {fx.CDC_DELETE_MODULUS} = 0 THEN 'DELETE' "
+            f"WHEN {key} % {fx.CDC_UPDATE_MODULUS} = 0 THEN 'UPDATE' ELSE 'INSERT' END")
+
+
+def _json_obj_sql(pairs: list[tuple[str, str]]) -> str:
+    parts = [f"'\"{name}\":\"' || {expr} || '\"'" for name, expr in pairs]
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
+
+C_CHANGES = f"""
+changes AS (
+  SELECT 'order_info' AS "table", {_op_sql('o_orderkey')} AS op, o_orderkey AS key,
+         {_json_obj_sql([('id', 'CAST(o_orderkey AS VARCHAR)'),
+                         ('user_id', 'CAST(o_custkey AS VARCHAR)'),
+                         ('order_status', 'o_orderstatus'),
+                         ('total_amount', 'CAST(o_totalprice AS VARCHAR)'),
+                         ('create_time', "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')")])} AS value
+  FROM orders WHERE o_orderkey % {fx.CDC_NON_ROWDATA_MODULUS} <> 0
+  UNION ALL
+  SELECT 'order_detail', {_op_sql('l_orderkey')}, l_orderkey,
+         {_json_obj_sql([('id', "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"),
+                         ('order_id', 'CAST(l_orderkey AS VARCHAR)'),
+                         ('sku_id', 'CAST(l_partkey AS VARCHAR)'),
+                         ('order_price', 'CAST(l_extendedprice AS VARCHAR)'),
+                         ('sku_num', 'CAST(l_quantity AS VARCHAR)')])}
+  FROM lineitem WHERE l_orderkey % {fx.CDC_NON_ROWDATA_MODULUS} <> 0
+  UNION ALL
+  SELECT 'user_info', {_op_sql('c_custkey')}, c_custkey,
+         {_json_obj_sql([('id', 'CAST(c_custkey AS VARCHAR)'),
+                         ('login_name', 'c_name'),
+                         ('user_level', 'c_mktsegment')])}
+  FROM customer WHERE c_custkey % {fx.CDC_NON_ROWDATA_MODULUS} <> 0)"""
+
+
+def _changes(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return fx.change_entries(t.orders, t.lineitem, t.customer)
+
+
+@register("cdc_flatten", cte(C_CHANGES) + 'SELECT "table", op, key, value FROM changes')
+def q_cdc_flatten(spark, sf_dir):
+    return ingest.flatten_changes(_changes(spark, sf_dir))
+
+
+@register("cdc_route", cte(C_CHANGES) + """
+SELECT topic, "table", op, key, value FROM (
+  SELECT *, CASE
+    WHEN "table" = 'order_info' AND op = 'INSERT' THEN 'TOPIC_ORDER_INFO'
+    WHEN "table" = 'order_detail' AND op = 'INSERT' THEN 'TOPIC_ORDER_DETAIL'
+    WHEN "table" = 'user_info' AND op IN ('INSERT', 'UPDATE') THEN 'TOPIC_USER_INFO'
+  END AS topic FROM changes) WHERE topic IS NOT NULL""")
+def q_cdc_route(spark, sf_dir):
+    return ingest.route_changes(ingest.flatten_changes(_changes(spark, sf_dir)))

@@ -86,7 +86,7 @@ def raw_log_json(events: DataFrame) -> DataFrame:
             _s(F.col("user_id") % N_EVENT_DEVICES).alias("mid"),
             _s("user_id").alias("uid"),
             map_values(F.col("event_type"), EVID_OF_EVENT_TYPE).alias("evid"),
-            F.get_json_object("props", "$.k").cast("long").alias("itemid"),
+            F.get_json_object("props", "$.k").try_cast("long").alias("itemid"),
             ms.alias("ts"))).alias("value"))
     return startup.unionByName(event)
 
