@@ -389,3 +389,303 @@ SELECT topic, "table", op, key, value FROM (
   END AS topic FROM changes) WHERE topic IS NOT NULL""")
 def q_cdc_route(spark, sf_dir):
     return ingest.route_changes(ingest.flatten_changes(_changes(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# Sale detail: joins, users, enrichment
+# ---------------------------------------------------------------------------
+from shopflow.plans import alert, sale, search  # noqa: E402
+from shopflow.functions.json import decode, good_rows, TOPIC_EVENT  # noqa: E402
+from shopflow import schemas  # noqa: E402
+
+AS_OF = "2024-01-01"          # age reference date of the enrichment queries
+INTERVAL_BOUND_S = 30 * 86400  # late-half bound of the batch interval join
+KEYWORD = "red widget"
+PAGE_NO, PAGE_SIZE = 2, 20
+
+C_O = """
+o AS (SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderstatus AS order_status,
+             strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS create_time,
+             CAST(o_custkey AS VARCHAR) AS user_id, strftime(o_orderdate, '%Y-%m-%d') AS dt,
+             strftime(o_orderdate, '%Y-%m') AS batch, o_orderdate AS order_time
+      FROM orders)"""
+C_D = """
+d AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS order_detail_id,
+             CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS sku_id,
+             l_extendedprice AS sku_price, strftime(l_shipdate, '%Y-%m') AS batch,
+             l_shipdate AS line_time, l_partkey
+      FROM lineitem)"""
+C_USER_VERSIONS = f"""
+uv AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS login_name, c_mktsegment AS user_level,
+         strftime(DATE '{fx.BIRTHDAY_BASE}' + CAST((c_custkey * {fx.BIRTHDAY_MULT}) % {fx.BIRTHDAY_SPAN} AS INTEGER),
+                  '%Y-%m-%d') AS birthday,
+         CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, 1 AS version, c_custkey
+  FROM customer WHERE c_custkey % {fx.MISSING_USER_MODULUS} <> 0)"""
+C_USERS = C_USER_VERSIONS + f""",
+uv2 AS (SELECT * FROM uv UNION ALL
+        SELECT id, login_name, '{fx.UPDATED_USER_LEVEL}', birthday, gender, 2, c_custkey FROM uv
+        WHERE c_custkey % {fx.UPDATED_USER_MODULUS} = 1),
+users AS (SELECT id, login_name, user_level, birthday, gender FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC) AS rn FROM uv2) WHERE rn = 1)"""
+C_WIDE = """
+wide AS (SELECT d.order_detail_id, d.order_id, d.sku_id, d.sku_price, p.p_name AS sku_name,
+                o.order_status, o.create_time, o.user_id, o.dt
+         FROM d JOIN o ON o.order_id = d.order_id
+         LEFT JOIN part p ON p.p_partkey = d.l_partkey)"""
+C_ENRICHED = f"""
+enriched AS (
+  SELECT w.*, u.gender AS user_gender,
+         coalesce(CAST(datediff('day', CAST(u.birthday AS DATE), DATE '{AS_OF}') // 365 AS INTEGER), 0)
+           AS user_age,
+         u.user_level
+  FROM wide w LEFT JOIN users u ON u.id = w.user_id)"""
+SALE_SQL = [C_O, C_D, C_USERS, C_WIDE, C_ENRICHED]
+C_HITS = f"""
+hits AS (SELECT * FROM enriched
+         WHERE list_has_all(regexp_split_to_array(lower(sku_name), '[^\\p{{L}}\\p{{Nd}}]+'),
+                            {[t for t in KEYWORD.lower().split()]}))"""
+ORDER_COLS_SQL = "order_status, create_time, user_id, dt"
+LINE_COLS_SQL = "order_detail_id, sku_id, sku_price"
+
+
+def _sale_inputs(spark, sf_dir, with_time=False):
+    t = Tables(spark, sf_dir)
+    orders = fx.order_info(t.orders, with_time=with_time)
+    lines = fx.order_lines(t.lineitem, with_time=with_time)
+    return orders, lines
+
+
+def _batched(spark, sf_dir):
+    orders, lines = _sale_inputs(spark, sf_dir, with_time=True)
+    return (orders.withColumn("batch", F.date_format("order_time", "yyyy-MM")),
+            lines.withColumn("batch", F.date_format("line_time", "yyyy-MM")))
+
+
+@register("order_line_full_outer", cte(C_O, C_D) + f"""
+SELECT coalesce(o.order_id, d.order_id) AS order_id, coalesce(o.batch, d.batch) AS batch,
+       {LINE_COLS_SQL}, {ORDER_COLS_SQL}
+FROM o FULL OUTER JOIN d ON o.order_id = d.order_id AND o.batch = d.batch""")
+def q_order_line_full_outer(spark, sf_dir):
+    return sale.order_line_full_outer(*_batched(spark, sf_dir))
+
+
+@register("order_line_left", cte(C_O, C_D) + f"""
+SELECT o.order_id, o.batch, {LINE_COLS_SQL}, {ORDER_COLS_SQL}
+FROM o LEFT JOIN d ON o.order_id = d.order_id AND o.batch = d.batch""")
+def q_order_line_left(spark, sf_dir):
+    return sale.order_line_left(*_batched(spark, sf_dir))
+
+
+@register("order_line_right", cte(C_O, C_D) + f"""
+SELECT d.order_id, d.batch, {LINE_COLS_SQL}, {ORDER_COLS_SQL}
+FROM d LEFT JOIN o ON o.order_id = d.order_id AND o.batch = d.batch""")
+def q_order_line_right(spark, sf_dir):
+    return sale.order_line_right(*_batched(spark, sf_dir))
+
+
+def _wide(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return sale.sale_detail_wide(fx.order_info(t.orders),
+                                 fx.order_lines_named(t.lineitem, t.part))
+
+
+def _users(spark, sf_dir):
+    return sale.user_dim_latest(fx.user_versions(Tables(spark, sf_dir).customer))
+
+
+def _enriched(spark, sf_dir):
+    return sale.enrich(_wide(spark, sf_dir), _users(spark, sf_dir), AS_OF)
+
+
+@register("sale_detail_wide", cte(C_O, C_D, C_WIDE) + "SELECT * FROM wide")
+def q_sale_detail_wide(spark, sf_dir):
+    return _wide(spark, sf_dir)
+
+
+def _json_field(name: str, expr: str, quoted: bool = True) -> str:
+    q = "\"" if quoted else ""
+    return (f"CASE WHEN {expr} IS NULL THEN NULL ELSE '\"{name}\":{q}' || CAST({expr} AS VARCHAR) "
+            f"|| '{q}' END")
+
+
+@register("sale_detail_json", cte(*SALE_SQL) + "SELECT order_detail_id, '{' || concat_ws(',', "
+          + ", ".join(_json_field(c, c, c not in ("user_age", "sku_price"))
+                      for c in sale.SALE_DETAIL_COLS) + ") || '}' AS doc FROM enriched")
+def q_sale_detail_json(spark, sf_dir):
+    return sale.sale_detail_json(_enriched(spark, sf_dir))
+
+
+@register("sale_detail_interval", cte(C_O, C_D) + f"""
+SELECT o.order_id, {ORDER_COLS_SQL}, {LINE_COLS_SQL}
+FROM o JOIN d ON o.order_id = d.order_id
+ AND d.line_time BETWEEN o.order_time - INTERVAL {INTERVAL_BOUND_S} SECOND
+                     AND o.order_time + INTERVAL {INTERVAL_BOUND_S} SECOND""")
+def q_sale_detail_interval(spark, sf_dir):
+    orders, lines = _sale_inputs(spark, sf_dir, with_time=True)
+    return (sale.sale_detail_interval(orders, lines, "order_time", "line_time", INTERVAL_BOUND_S)
+            .drop("order_time", "line_time"))
+
+
+@register("user_dim_latest", cte(C_USERS) + "SELECT * FROM users")
+def q_user_dim_latest(spark, sf_dir):
+    return _users(spark, sf_dir)
+
+
+@register("user_age", cte(C_USERS) + f"""
+SELECT id, birthday,
+       CAST(datediff('day', CAST(birthday AS DATE), DATE '{AS_OF}') // 365 AS INTEGER) AS user_age
+FROM users""")
+def q_user_age(spark, sf_dir):
+    return sale.user_age(_users(spark, sf_dir), AS_OF).select("id", "birthday", "user_age")
+
+
+@register("sale_detail_enriched", cte(*SALE_SQL) + "SELECT * FROM enriched")
+def q_sale_detail_enriched(spark, sf_dir):
+    return _enriched(spark, sf_dir)
+
+
+# ---------------------------------------------------------------------------
+# Search
+# ---------------------------------------------------------------------------
+def _hits(spark, sf_dir):
+    return search.search(_enriched(spark, sf_dir), KEYWORD)
+
+
+@register("sale_search_total", cte(*SALE_SQL, C_HITS) + """
+SELECT dt, count(*) AS total FROM hits GROUP BY dt""")
+def q_sale_search_total(spark, sf_dir):
+    return search.search_total(_hits(spark, sf_dir))
+
+
+@register("sale_search_page", cte(*SALE_SQL, C_HITS) + f"""
+SELECT * FROM hits ORDER BY dt, order_detail_id
+LIMIT {PAGE_SIZE} OFFSET {(PAGE_NO - 1) * PAGE_SIZE}""")
+def q_sale_search_page(spark, sf_dir):
+    return search.search_page(_hits(spark, sf_dir), PAGE_NO, PAGE_SIZE)
+
+
+C_TOTALS = "totals AS (SELECT dt, count(*) AS total FROM hits GROUP BY dt)"
+
+
+def _top_sql(term: str, n: int) -> str:
+    return f"""
+top_{term} AS (SELECT * FROM (
+  SELECT dt, {term}, count(*) AS doc_count,
+         row_number() OVER (PARTITION BY dt ORDER BY count(*) DESC, {term}) AS rk
+  FROM hits WHERE {term} IS NOT NULL GROUP BY dt, {term}) WHERE rk <= {n})"""
+
+
+def _share_sql(n: str, total: str) -> str:
+    return f"coalesce(round(CAST({n} AS DOUBLE) * 1000.0 / NULLIF(CAST({total} AS DOUBLE), 0)) / 10.0, 0.0)"
+
+
+@register("gender_share", cte(*SALE_SQL, C_HITS, C_TOTALS, _top_sql("user_gender", 2)) + f"""
+SELECT t.dt, t.user_gender, t.doc_count, {_share_sql('t.doc_count', 's.total')} AS share
+FROM top_user_gender t JOIN totals s ON s.dt = t.dt""")
+def q_gender_share(spark, sf_dir):
+    return search.gender_share(_hits(spark, sf_dir))
+
+
+@register("age_terms", cte(*SALE_SQL, C_HITS, _top_sql("user_age", 100)) + """
+SELECT dt, user_age, doc_count FROM top_user_age""")
+def q_age_terms(spark, sf_dir):
+    return search.age_terms(_hits(spark, sf_dir))
+
+
+@register("age_band_share", cte(*SALE_SQL, C_HITS, C_TOTALS, _top_sql("user_age", 100), f"""
+bands AS (SELECT s.dt,
+  {_share_sql("coalesce(sum(CASE WHEN t.user_age < 20 THEN t.doc_count ELSE 0 END), 0)", "s.total")} AS a,
+  {_share_sql("coalesce(sum(CASE WHEN t.user_age >= 20 AND t.user_age < 30 THEN t.doc_count ELSE 0 END), 0)", "s.total")} AS b
+  FROM totals s LEFT JOIN top_user_age t ON t.dt = s.dt GROUP BY s.dt, s.total)""") + """
+SELECT dt, '20岁以下' AS name, a AS value FROM bands
+UNION ALL SELECT dt, '20岁到30岁', b FROM bands
+UNION ALL SELECT dt, '30岁及30岁以上', round(100.0 - a - b, 1) FROM bands""")
+def q_age_band_share(spark, sf_dir):
+    return search.age_band_share(_hits(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Event logs: decode, alerts, upsert
+# ---------------------------------------------------------------------------
+ALERT_SIZE, ALERT_SLIDE = "4 hours", "1 hour"   # fixture scale (sparse events)
+ALERT_SIZE_MS, ALERT_SLIDE_MS = 4 * 3600000, 3600000
+
+C_EV = f"""
+ev AS (SELECT event_id, CAST(user_id % {fx.N_EVENT_DEVICES} AS VARCHAR) AS mid,
+              CAST(user_id AS VARCHAR) AS uid, {_evid_sql()} AS evid,
+              json_extract_string(props, '$.k') AS itemid, epoch_us(ts) // 1000 AS ts
+       FROM events)"""
+C_EVW = f"""
+evw AS (SELECT *, (ts // {ALERT_SLIDE_MS} - k) * {ALERT_SLIDE_MS} AS ws,
+               (ts // {ALERT_SLIDE_MS} - k) * {ALERT_SLIDE_MS} + {ALERT_SIZE_MS} AS we
+        FROM (SELECT ev.*, unnest(range({ALERT_SIZE_MS // ALERT_SLIDE_MS})) AS k FROM ev))"""
+TS_FMT = "'%Y-%m-%d %H:%M:%S'"
+C_ALERTS = """
+grp AS (SELECT ws, we, mid, count(DISTINCT CASE WHEN evid = 'coupon' THEN uid END) AS n,
+               max(CASE WHEN evid = 'clickItem' THEN 1 ELSE 0 END) AS clicked
+        FROM evw GROUP BY ws, we, mid),
+alerts AS (
+  SELECT e.mid, e.ws, e.we,
+         array_to_string(list_sort(list_distinct(list(e.uid) FILTER (WHERE e.evid = 'coupon'))), ',') AS uids,
+         array_to_string(list_sort(list_distinct(list(e.itemid) FILTER (WHERE e.evid = 'coupon'))), ',') AS itemIds,
+         array_to_string(list(e.evid ORDER BY e.ts, e.event_id), ',') AS events,
+         e.we AS ts
+  FROM evw e JOIN grp g ON g.ws = e.ws AND g.mid = e.mid
+  WHERE g.n >= 3 AND g.clicked = 0
+  GROUP BY e.mid, e.ws, e.we)"""
+
+
+def _ms_str(col: str) -> str:
+    return f"strftime(make_timestamp({col} * 1000), {TS_FMT})"
+
+
+def _ev(spark, sf_dir):
+    return fx.event_logs(Tables(spark, sf_dir).events)
+
+
+def _arr(c):
+    return F.array_join(F.col(c), ",").alias(c)
+
+
+def _tsfmt(c):
+    return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss").alias(c)
+
+
+@register("json_decode", cte(C_EV) + "SELECT event_id, mid, uid, 'event' AS type, evid, itemid, ts FROM ev")
+def q_json_decode(spark, sf_dir):
+    from shopflow.plans.ingest import route_logs
+    raw = route_logs(fx.raw_log_json(Tables(spark, sf_dir).events))
+    events = raw.filter(F.col("topic") == TOPIC_EVENT)
+    decoded = good_rows(decode(events, schemas.EVENT_LOG, keep=("event_id",)))
+    return decoded.select("event_id", "mid", "uid", "type", "evid", "itemid", "ts")
+
+
+@register("coupon_alert", cte(C_EV, C_EVW, C_ALERTS) + f"""
+SELECT mid, {_ms_str('ws')} AS window_start, {_ms_str('we')} AS window_end,
+       uids, itemIds, events, ts FROM alerts""")
+def q_coupon_alert(spark, sf_dir):
+    a = alert.coupon_alerts(_ev(spark, sf_dir), ALERT_SIZE, ALERT_SLIDE)
+    return a.select("mid", _tsfmt("window_start"), _tsfmt("window_end"),
+                    _arr("uids"), _arr("itemIds"), _arr("events"), "ts")
+
+
+@register("coupon_alert_docs", cte(C_EV, C_EVW, C_ALERTS) + f"""
+SELECT '{alert.ALERT_INDEX_PREFIX}-' || strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS index_name,
+       mid || '-' || CAST(ts // 60000 AS VARCHAR) AS doc_id, mid, uids, itemIds, events, ts
+FROM alerts""")
+def q_coupon_alert_docs(spark, sf_dir):
+    d = alert.alert_docs(alert.coupon_alerts(_ev(spark, sf_dir), ALERT_SIZE, ALERT_SLIDE))
+    return d.select("index_name", "doc_id", "mid", _arr("uids"), _arr("itemIds"),
+                    _arr("events"), "ts")
+
+
+@register("events_until_click", cte(C_EV, C_EVW) + f""",
+fc AS (SELECT ws, mid, min((ts, event_id)) AS fc FROM evw WHERE evid = 'clickItem' GROUP BY ws, mid)
+SELECT e.mid, {_ms_str('e.ws')} AS window_start, {_ms_str('e.we')} AS window_end,
+       e.event_id, e.evid, e.ts
+FROM evw e LEFT JOIN fc ON fc.ws = e.ws AND fc.mid = e.mid
+WHERE fc.fc IS NULL OR (e.ts, e.event_id) <= fc.fc""")
+def q_events_until_click(spark, sf_dir):
+    r = alert.events_until_click(_ev(spark, sf_dir), ALERT_SIZE, ALERT_SLIDE)
+    return r.select("mid", _tsfmt("window_start"), _tsfmt("window_end"), "event_id", "evid", "ts")

@@ -93,8 +93,11 @@ def raw_log_json(events: DataFrame) -> DataFrame:
 
 # --- orders, lines, users ----------------------------------------------------
 
-def order_info(orders: DataFrame) -> DataFrame:
+def order_info(orders: DataFrame, with_time: bool = False) -> DataFrame:
+    """Order records; ``with_time`` adds ``order_time`` (TIMESTAMP) for
+    event-time joins and batching."""
     create_time = F.date_format(F.col("o_orderdate"), "yyyy-MM-dd HH:mm:ss")
+    extra = [F.col("o_orderdate").cast("timestamp").alias("order_time")] if with_time else []
     return orders.select(
         _s("o_orderkey").alias("id"),
         _s("o_custkey").alias("user_id"),
@@ -103,6 +106,7 @@ def order_info(orders: DataFrame) -> DataFrame:
         create_time.alias("create_time"),
         F.concat(F.lit(PHONE_PREFIX),
                  F.lpad(_s("o_custkey"), 9, "0")).alias("consignee_tel"),
+        *extra,
     )
 
 
@@ -113,8 +117,10 @@ def order_info_with_province(orders: DataFrame, customer: DataFrame) -> DataFram
             .drop("c_custkey"))
 
 
-def order_lines(lineitem: DataFrame) -> DataFrame:
-    """Order lines without the sku name (it needs the part table)."""
+def order_lines(lineitem: DataFrame, with_time: bool = False) -> DataFrame:
+    """Order lines without the sku name (it needs the part table);
+    ``with_time`` adds the line's arrival ``line_time`` (ship date)."""
+    extra = [F.col("l_shipdate").cast("timestamp").alias("line_time")] if with_time else []
     return lineitem.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey",
                     "l_suppkey").alias("id"),
@@ -122,10 +128,13 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
         _s("l_partkey").alias("sku_id"),
         _s("l_extendedprice").alias("order_price"),
         _s("l_quantity").alias("sku_num"),
+        *extra,
     )
 
 
 def order_lines_named(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Order lines with ``sku_name``. The line side streams through the join
+    (AQE may split a hot sku's partition); ``part`` is one row per key."""
     parts = part.select(_s("p_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"))
     return order_lines(lineitem).join(parts, "sku_id", "left")
 
