@@ -26,6 +26,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # a retried micro-batch replaces only its own output partition
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # partition values (days "2024-01-01", hours "05") stay strings on read
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
@@ -36,17 +38,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_PRIVATE_ROOT: str | None = None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (it must
     be on shared storage). Only when the session names none -- local tests --
-    is a private temporary folder created and registered.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    is a private temporary folder used."""
+    global _PRIVATE_ROOT
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="shopflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if _PRIVATE_ROOT is None:
+            _PRIVATE_ROOT = tempfile.mkdtemp(prefix="shopflow-ckpt-")
+        root = _PRIVATE_ROOT
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
     return root

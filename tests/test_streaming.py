@@ -1,0 +1,313 @@
+"""Streaming cases (FIXTURES.md part C) and stream = batch equivalence.
+
+File streams stand in for topics: each input file is one micro-batch
+(``maxFilesPerTrigger=1``, ``availableNow``)."""
+
+import datetime as dt
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from shopflow import fixtures as fx
+from shopflow.catalog import QUERIES
+from shopflow.plans import alert as alert_plan
+from shopflow.plans import dau as dau_plan
+from shopflow.sources import streams
+from shopflow.sources.tables import Tables
+from shopflow.streaming import jobs, sinks
+from tests.conftest import SF001, SF01
+
+NOW = {"availableNow": True}
+
+
+def ms(s: str) -> int:
+    t = dt.datetime.strptime(s, "%Y-%m-%d %H:%M:%S").replace(tzinfo=dt.timezone.utc)
+    return int(t.timestamp() * 1000)
+
+
+def write_batches(folder, batches, start=0):
+    """One file per micro-batch; the file source orders files by modification
+    time, so each file gets a distinct, increasing mtime."""
+    os.makedirs(folder, exist_ok=True)
+    base = 1_700_000_000
+    for i, lines in enumerate(batches, start=start):
+        path = os.path.join(folder, f"batch-{i:04d}.json")
+        with open(path, "w") as f:
+            for line in lines:
+                f.write((line if isinstance(line, str) else json.dumps(line)) + "\n")
+        os.utime(path, (base + i, base + i))
+
+
+def startup(mid, ts, uid="u"):
+    return {"type": "startup", "mid": mid, "uid": uid, "ts": ts}
+
+
+def run_dau(spark, workdir, batches, name):
+    src = os.path.join(workdir, "in")
+    write_batches(src, batches)
+    out = os.path.join(workdir, "dau")
+    raw = streams.text_files(spark, src, per_trigger=1)
+    q = jobs.start(jobs.startup_rows(raw), name, jobs.dau_batch_sink(out), trigger=NOW,
+                   checkpoint=os.path.join(workdir, "ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def test_dau_cross_batch_and_in_batch(spark, workdir):
+    d1, d2 = "2024-01-01", "2024-01-02"
+    batches = [
+        [startup("m1", ms(f"{d1} 10:00:30")), startup("m1", ms(f"{d1} 10:00:10")),
+         startup("m1", ms(f"{d1} 10:00:20"))],                       # in-batch: ts 10 wins
+        [startup("m1", ms(f"{d1} 11:00:00")), startup("m2", ms(f"{d1} 12:00:00"))],
+        [startup("m1", ms(f"{d2} 09:00:00"))],                        # next day counts again
+    ]
+    rows = run_dau(spark, workdir, batches, "dau_cross").collect()
+    got = sorted((r.log_date, r.mid, r.ts) for r in rows)
+    assert got == [(d1, "m1", ms(f"{d1} 10:00:10")), (d1, "m2", ms(f"{d1} 12:00:00")),
+                   (d2, "m1", ms(f"{d2} 09:00:00"))]
+
+
+def test_dau_midnight_uses_record_date(spark, workdir):
+    batches = [[startup("m", ms("2024-01-02 00:00:05"))],
+               [startup("m", ms("2024-01-01 23:59:59"))]]   # late row of the day before
+    rows = run_dau(spark, workdir, batches, "dau_midnight").collect()
+    assert sorted(r.log_date for r in rows) == ["2024-01-01", "2024-01-02"]
+
+
+def test_bad_json_goes_to_dead_letters(spark, workdir):
+    src = os.path.join(workdir, "in")
+    write_batches(src, [[startup("m", ms("2024-01-01 00:00:00")), '{"mid": "x", "ts":'],
+                        [startup("n", ms("2024-01-01 00:00:01"))]])
+    dead = os.path.join(workdir, "dead")
+    raw = streams.text_files(spark, src, per_trigger=1)
+    from shopflow.functions.json import dead_letters, decode
+    from shopflow import schemas
+    q = jobs.start(dead_letters(decode(raw, schemas.STARTUP_LOG)), "dead",
+                   sinks.table_sink(dead), trigger=NOW, checkpoint=os.path.join(workdir, "c1"))
+    q.awaitTermination()
+    assert [r[0] for r in spark.read.parquet(dead).collect()] == ['{"mid": "x", "ts":']
+    # the job continues: good rows of both batches are processed
+    rows = run_dau(spark, os.path.join(workdir, "b"), [[startup("m", 1), '{"bad'], [startup("n", 2)]],
+                   "dau_bad").collect()
+    assert sorted(r.mid for r in rows) == ["m", "n"]
+
+
+def test_restart_gives_same_table(spark, workdir):
+    """Stop after 2 of 4 batches, resume from the checkpoint: no duplicates."""
+    lines = [[startup(f"m{j}", ms(f"2024-01-0{i + 1} 0{j}:00:00")) for j in range(3)]
+             + [startup("m0", ms(f"2024-01-0{i + 1} 08:00:00"))] for i in range(4)]
+    src, out, ck = (os.path.join(workdir, p) for p in ("in", "out", "ck"))
+    write_batches(src, lines[:2])
+    raw = streams.text_files(spark, src, per_trigger=1)
+    jobs.start(jobs.startup_rows(raw), "r1", jobs.dau_batch_sink(out), trigger=NOW,
+               checkpoint=ck).awaitTermination()
+    assert spark.read.parquet(out).count() == 6
+    # remaining files arrive; the same query restarts from its checkpoint
+    write_batches(src, lines[2:], start=2)
+    raw = streams.text_files(spark, src, per_trigger=1)
+    jobs.start(jobs.startup_rows(raw), "r2", jobs.dau_batch_sink(out), trigger=NOW,
+               checkpoint=ck).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == 12
+    assert got.select("mid", "log_date").distinct().count() == 12
+
+
+def test_retried_batch_replaces_itself(spark, workdir):
+    out = os.path.join(workdir, "t")
+    df = spark.createDataFrame([("a", "2024-01-01")], "k string, dt string")
+    sinks.write_batch(df, 0, out, ["dt"])
+    sinks.write_batch(df, 1, out, ["dt"])
+    sinks.write_batch(df, 1, out, ["dt"])          # retry of batch 1
+    assert spark.read.parquet(out).count() == 2
+    latest = sinks.latest_view(spark.read.parquet(out), ["k"]).collect()
+    assert [(r.k, r.batch_id) for r in latest] == [("a", 1)]
+
+
+def _sd_event_logs(spark, sf=SF001):
+    """Event logs in event-time order, split into 4 files."""
+    ev = fx.event_logs(Tables(spark, sf).events).orderBy("ts", "event_id").collect()
+    q = (len(ev) + 3) // 4
+    return ev, [[{"type": "event", "mid": r.mid, "uid": r.uid, "evid": r.evid,
+                  "itemid": r.itemid, "ts": r.ts} for r in ev[i:i + q]] for i in range(0, len(ev), q)]
+
+
+def test_dau_state_stream_equals_batch(spark, workdir):
+    st = fx.startup_logs(Tables(spark, SF001).events).orderBy("ts").collect()
+    q = (len(st) + 3) // 4
+    batches = [[startup(r.mid, r.ts, r.uid) for r in st[i:i + q]] for i in range(0, len(st), q)]
+    # a far-future row closes the last day (append mode emits closed days)
+    batches.append([startup("sentinel", ms("2024-03-01 00:00:00"))])
+    src = os.path.join(workdir, "in")
+    write_batches(src, batches)
+    raw = streams.text_files(spark, src, per_trigger=1)
+    out = os.path.join(workdir, "o")
+    qy = jobs.start(jobs.dau_state_stream(jobs.startup_rows(raw)), "dau_state",
+                    sinks.table_sink(out), trigger=NOW, checkpoint=os.path.join(workdir, "ck"))
+    qy.awaitTermination()
+    got = sorted((r.mid, r.log_date) for r in spark.read.parquet(out).collect())
+    batch = QUERIES["dau_dedup"](spark, SF001)
+    assert got == sorted((r.mid, r.log_date) for r in batch.collect())
+    assert len(got) == 397
+
+
+def test_alert_stream_equals_batch(spark, workdir):
+    # sf0.001 has no alerting window; sf0.01 has 187
+    _, batches = _sd_event_logs(spark, SF01)
+    src = os.path.join(workdir, "in")
+    # a final far-future event moves the watermark past the last window
+    batches.append([{"type": "event", "mid": "x", "uid": "x", "evid": "addCart",
+                     "itemid": "0", "ts": ms("2024-03-01 00:00:00")}])
+    write_batches(src, batches)
+    raw = streams.text_files(spark, src, per_trigger=1)
+    out = os.path.join(workdir, "alerts")
+    s = jobs.alert_stream(jobs.event_rows(raw), "4 hours", "1 hour", lateness="1 hour")
+    qy = jobs.start(s, "alerts", jobs.alert_sink(out), trigger=NOW,
+                    checkpoint=os.path.join(workdir, "ck"))
+    qy.awaitTermination()
+    docs = sinks.latest_view(spark.read.parquet(out), ["doc_id"])
+    got = sorted((r.doc_id, tuple(r.uids), tuple(r.events)) for r in docs.collect())
+    batch = alert_plan.alert_docs(alert_plan.coupon_alerts(
+        fx.event_logs(Tables(spark, SF01).events), "4 hours", "1 hour"))
+    want = sorted((r.doc_id, tuple(r.uids), tuple(r.events)) for r in batch.collect())
+    assert len(want) == 187 and got == want
+
+
+def test_alert_cases(spark):
+    base = ms("2024-01-01 10:00:00")
+
+    def ev(mid, uid, evid, sec):
+        return (1, mid, uid, "event", evid, "7", base + sec * 1000)
+    schema = "event_id long, mid string, uid string, type string, evid string, itemid string, ts long"
+    hit = [ev("d", "a", "coupon", 0), ev("d", "b", "coupon", 60), ev("d", "c", "coupon", 240)]
+    blocked = hit + [ev("d", "z", "clickItem", 100)]
+    repeat = [ev("d", "a", "coupon", 0), ev("d", "b", "coupon", 60), ev("d", "a", "coupon", 120)]
+    for rows, expect in ((hit, True), (blocked, False), (repeat, False)):
+        rows = [(i,) + r[1:] for i, r in enumerate(rows)]
+        df = spark.createDataFrame(rows, schema)
+        got = alert_plan.coupon_alerts(df, "5 minutes", "1 minute").collect()
+        assert bool(got) == expect
+        if expect:
+            assert all(list(r.uids) == ["a", "b", "c"] for r in got)
+            docs = alert_plan.alert_docs(alert_plan.coupon_alerts(df, "5 minutes", "1 minute"))
+            ids = [r.doc_id for r in docs.collect()]
+            assert len(ids) == len(set(ids))   # one document per device and minute
+
+
+def _join_stream(spark, workdir, orders, lines, bound=100):
+    o_dir, l_dir = os.path.join(workdir, "o"), os.path.join(workdir, "l")
+    o_schema = "id string, user_id string, order_status string, create_time string, order_time timestamp"
+    l_schema = "id string, order_id string, sku_id string, sku_name string, order_price string, line_time timestamp"
+    for i, rows in enumerate(orders):
+        spark.createDataFrame(rows, o_schema).coalesce(1).write.parquet(f"{o_dir}/b{i}")
+    for i, rows in enumerate(lines):
+        spark.createDataFrame(rows, l_schema).coalesce(1).write.parquet(f"{l_dir}/b{i}")
+    from pyspark.sql import types as T  # noqa: F401
+    o = streams.parquet_files(spark, f"{o_dir}/*", spark.createDataFrame([], o_schema).schema, 1)
+    ln = streams.parquet_files(spark, f"{l_dir}/*", spark.createDataFrame([], l_schema).schema, 1)
+    out = os.path.join(workdir, "joined")
+    q = jobs.start(jobs.sale_detail_stream(o, ln, bound).drop("order_time", "line_time"),
+                   "join", sinks.table_sink(out), trigger=NOW,
+                   checkpoint=os.path.join(workdir, "ck"))
+    q.awaitTermination()
+    return spark.read.parquet(out) if sinks.path_exists(spark, out) else None, q
+
+
+def test_interval_join_ttl_boundaries(spark, workdir):
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    orders = [[(f"o{g}", "u", "1", "2024-01-01 10:00:00", t0) for g in (99, 100, 101)]]
+    lines = [[(f"l{g}", f"o{g}", "s", "n", "1.5", t0 + dt.timedelta(seconds=g))
+              for g in (99, 100, 101)]]
+    got, _ = _join_stream(spark, workdir, orders, lines)
+    assert sorted(r.order_detail_id for r in got.collect()) == ["l100", "l99"]
+
+
+def test_interval_join_both_same_batch_and_late_half(spark, workdir):
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    orders = [[("o1", "u", "1", "2024-01-01 10:00:00", t0)], []]
+    lines = [[("l1", "o1", "s", "n", "2.0", t0), ("l2", "o1", "s", "n", "3.0", t0)],
+             [("l3", "o1", "s", "n", "4.0", t0 + dt.timedelta(seconds=50))]]
+    got, _ = _join_stream(spark, workdir, orders, lines)
+    assert sorted(r.order_detail_id for r in got.collect()) == ["l1", "l2", "l3"]
+
+
+def test_interval_stream_equals_batch(spark, workdir):
+    t = Tables(spark, SF001)
+    o = fx.order_info(t.orders, with_time=True)
+    ln = fx.order_lines_named(t.lineitem, t.part).join(
+        fx.order_lines(t.lineitem, with_time=True).select("id", "line_time"), "id")
+    bound = 30 * 86400
+    from shopflow.plans import sale
+    want = sorted(r.order_detail_id for r in
+                  sale.sale_detail_interval(o, ln, "order_time", "line_time", bound).collect())
+    oc = o.select("id", "user_id", "order_status", "create_time", "order_time").orderBy("order_time").collect()
+    lc = ln.select("id", "order_id", "sku_id", "sku_name", "order_price", "line_time").orderBy("line_time").collect()
+    k = 4
+    ob = [[tuple(r) for r in oc[i::k]] for i in range(k)]
+    # time-ordered split: batch i holds the i-th quarter of each side
+    ob = [[tuple(r) for r in oc[i * len(oc) // k:(i + 1) * len(oc) // k]] for i in range(k)]
+    lb = [[tuple(r) for r in lc[i * len(lc) // k:(i + 1) * len(lc) // k]] for i in range(k)]
+    got, q = _join_stream(spark, workdir, ob, lb, bound)
+    assert sorted(r.order_detail_id for r in got.collect()) == want
+
+
+def test_dimension_refresh_and_missing_user(spark, workdir):
+    users, out = os.path.join(workdir, "users"), os.path.join(workdir, "sale")
+    u1 = spark.createDataFrame([("u1", "n", "GOLD", "2000-01-01", "F", 1)],
+                               "id string, login_name string, user_level string, birthday string, gender string, version int")
+    sinks.write_batch(u1, 0, users)
+    sink = jobs.sale_detail_sink(users, out, "2024-01-01")
+    row = "order_detail_id string, order_id string, sku_id string, sku_price double, sku_name string, " \
+          "order_status string, create_time string, user_id string, dt string"
+    b0 = spark.createDataFrame([("l1", "o1", "s", 1.0, "n", "1", "t", "u1", "2024-01-01"),
+                                ("l2", "o2", "s", 1.0, "n", "1", "t", "u9", "2024-01-01")], row)
+    sink(b0, 0)
+    u2 = u1.withColumn("user_level", F.lit("VIP")).withColumn("version", F.lit(2))
+    sinks.write_batch(u2, 1, users)            # user updated between batches
+    b1 = spark.createDataFrame([("l3", "o3", "s", 1.0, "n", "1", "t", "u1", "2024-01-01")], row)
+    sink(b1, 1)
+    got = {r.order_detail_id: r for r in spark.read.parquet(out).collect()}
+    assert got["l1"].user_level == "GOLD" and got["l3"].user_level == "VIP"
+    assert got["l1"].user_age == 24
+    assert got["l2"].user_age == 0 and got["l2"].user_gender is None
+
+
+def test_ingest_archive_and_route(spark, workdir):
+    src = os.path.join(workdir, "in")
+    write_batches(src, [[{"type": "startup", "mid": "a", "ts": 1},
+                         {"type": "event", "mid": "a", "evid": "coupon", "itemid": 3}]])
+    arch, routed = os.path.join(workdir, "arch"), os.path.join(workdir, "routed")
+    raw = streams.text_files(spark, src)
+    jobs.start(raw, "ingest", jobs.ingest_sink(arch, routed, stamp=F.lit(ms("2024-01-05 00:00:00"))),
+               trigger=NOW, checkpoint=os.path.join(workdir, "ck")).awaitTermination()
+    a = spark.read.text(arch).collect()
+    assert len(a) == 2 and all(r.dt == "2024-01-05" for r in a)
+    r = {x.topic: json.loads(x.value) for x in spark.read.json(routed).collect()}
+    assert r["GMALL_STARTUP"]["ts"] == str(ms("2024-01-05 00:00:00"))
+    assert r["GMALL_EVENT"]["itemid"] == "3"
+
+
+def test_late_rows_counted(spark, workdir):
+    # Spark drops a row that is behind the watermark of the *previous* batch
+    # (eviction uses the current one): m3 moves the watermark to 2024-01-07,
+    # so m2 of 2024-01-01 in the batch after is dropped and counted.
+    batches = [[startup("m1", ms("2024-01-05 00:00:00"))],
+               [startup("m3", ms("2024-01-08 00:00:00"))],   # closes 2024-01-05
+               [startup("m2", ms("2024-01-01 00:00:00"))]]   # days behind: dropped
+    src = os.path.join(workdir, "in")
+    write_batches(src, batches)
+    raw = streams.text_files(spark, src, per_trigger=1)
+    out = os.path.join(workdir, "o")
+    q = jobs.start(jobs.dau_state_stream(jobs.startup_rows(raw)), "late",
+                   sinks.table_sink(out), trigger=NOW, checkpoint=os.path.join(workdir, "ck"))
+    q.awaitTermination()
+    assert [r.mid for r in spark.read.parquet(out).collect()] == ["m1"]
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
+                  for p in q.recentProgress for op in p.get("stateOperators", []))
+    assert dropped == 1
+
+
+def test_dau_plan_functions_on_stream_rows(spark):
+    # the batch functions accept the decoded stream schema
+    df = spark.createDataFrame([(1, "m", "u", "startup", 5)], "event_id long, mid string, uid string, type string, ts long")
+    assert dau_plan.dau_dedup(df).count() == 1
