@@ -163,6 +163,15 @@ def q_dedup_counts(spark, sf_dir):
     return dau.dedup_counts(_startup(spark, sf_dir))
 
 
+@register("keyed_upsert_latest", "WITH" + STARTUP + f"""
+SELECT index_name, doc_id, event_id, uid, ts, log_hour FROM (
+  SELECT '{dau.DAU_INDEX_PREFIX}-' || log_date AS index_name, mid AS doc_id, event_id, uid, ts, log_hour,
+         row_number() OVER (PARTITION BY log_date, mid ORDER BY ts DESC, event_id DESC) AS rn
+  FROM startup) WHERE rn = 1""")
+def q_keyed_upsert_latest(spark, sf_dir):
+    return dau.dau_docs_latest(_startup(spark, sf_dir))
+
+
 @register("new_devices", "WITH" + FIRST_SEEN + """
 SELECT log_date, count(*) AS new_mid FROM first_seen GROUP BY log_date""")
 def q_new_devices(spark, sf_dir):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.functions.time import log_date, log_hour, with_log_date_hour
-from shopflow.operators.dedup import first_per_key
+from shopflow.operators.dedup import first_per_key, latest_per_key
 from shopflow.operators.joins import anti_join, today_vs_yesterday
 
 DEVICE_DAY = ["mid", "log_date"]
@@ -69,6 +69,19 @@ def dau_cross_batch(batch: DataFrame, seen: DataFrame) -> DataFrame:
     return first_per_key(fresh, DEVICE_DAY, TS_ORDER)
 
 
+DAU_INDEX_PREFIX = "gmall2020_dau"   # fixed value: day index of DAU documents
+
+
+def dau_docs_latest(startup: DataFrame) -> DataFrame:
+    """SNK2/PRJ8/WIN2: start-up logs upserted as documents into the day's
+    index ``<prefix>-<log_date>`` with document id = device; a re-delivered
+    document overwrites, so the latest (``ts``, then id) version is kept."""
+    docs = with_dates(startup).select(
+        F.concat_ws("-", F.lit(DAU_INDEX_PREFIX), F.col("log_date")).alias("index_name"),
+        F.col("mid").alias("doc_id"), "event_id", "uid", "ts", "log_hour")
+    return latest_per_key(docs, ["index_name", "doc_id"], TS_ORDER)
+
+
 def dau_today_vs_yesterday(dedup: DataFrame) -> DataFrame:
     """JN8/PRJ16: hourly DAU of each day next to the day before, 24 rows/day."""
     return today_vs_yesterday(dau_by_hour(dedup), "log_date", "log_hour", "dau",

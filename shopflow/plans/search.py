@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shopflow.functions.numeric import (BAND_20_TO_30, BAND_30_PLUS, BAND_UNDER_20,
                                         remainder_pct, share_pct)
 from shopflow.functions.text import matches_all_terms
-from shopflow.operators.topk import page, top_terms
+from shopflow.operators.topk import bucket_counts, page, top_buckets
 
 GENDER_BUCKETS = 2    # fixed value: terms size of the gender aggregation
 AGE_BUCKETS = 100     # fixed value: terms size of the age aggregation
@@ -38,31 +38,40 @@ def search_page(hits: DataFrame, page_no: int, size: int) -> DataFrame:
     return page(hits, [F.col("dt"), F.col("order_detail_id")], page_no, size)
 
 
+def _totals(counts: DataFrame) -> DataFrame:
+    """Hits per day from bucket counts (NULL bucket included), so totals and
+    top buckets come from one aggregation of the hits (the shuffle of the
+    bucket counts is reused, the hits are evaluated once)."""
+    return counts.groupBy("dt").agg(F.sum("doc_count").alias("total"))
+
+
 def gender_share(hits: DataFrame) -> DataFrame:
     """AGG9/AGG16: the two biggest gender buckets per day and their share of
     the day's hits. Output ``dt, user_gender, doc_count, share``."""
-    totals = search_total(hits)
-    top = top_terms(hits, "user_gender", GENDER_BUCKETS, ["dt"])
-    return (top.join(totals, "dt")
+    counts = bucket_counts(hits, "user_gender", ["dt"])
+    top = top_buckets(counts, "user_gender", GENDER_BUCKETS, ["dt"])
+    return (top.join(_totals(counts), "dt")
             .select("dt", "user_gender", "doc_count",
                     share_pct(F.col("doc_count"), F.col("total")).alias("share")))
 
 
 def age_terms(hits: DataFrame) -> DataFrame:
     """AGG10: the 100 biggest age buckets per day."""
-    return top_terms(hits, "user_age", AGE_BUCKETS, ["dt"]).drop("rank")
+    counts = bucket_counts(hits, "user_age", ["dt"])
+    return top_buckets(counts, "user_age", AGE_BUCKETS, ["dt"]).drop("rank")
 
 
 def age_band_share(hits: DataFrame) -> DataFrame:
     """AGG11/PRJ17/PRJ18: share of hits under 20, 20-29 and the remainder
     (30 and over, plus ages outside the top-100 buckets), per day.
     Output ``dt, name, value`` (three rows per day)."""
-    buckets = age_terms(hits)
+    counts = bucket_counts(hits, "user_age", ["dt"])
+    buckets = top_buckets(counts, "user_age", AGE_BUCKETS, ["dt"])
     per_day = buckets.groupBy("dt").agg(
         F.sum(F.when(F.col("user_age") < 20, F.col("doc_count")).otherwise(0)).alias("n20"),
         F.sum(F.when((F.col("user_age") >= 20) & (F.col("user_age") < 30),
                      F.col("doc_count")).otherwise(0)).alias("n30"))
-    shares = (search_total(hits).join(per_day, "dt", "left")
+    shares = (_totals(counts).join(per_day, "dt", "left")
               .select("dt",
                       share_pct(F.coalesce("n20", F.lit(0)), F.col("total")).alias("a"),
                       share_pct(F.coalesce("n30", F.lit(0)), F.col("total")).alias("b")))
