@@ -31,6 +31,34 @@ RUNTIME_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_cores: int = 4,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Submit-time settings sized to the input (never applied by the library;
+    pass them to ``spark-submit --conf``).
+
+    The initial shuffle partition count gives ~``target_partition_bytes`` of
+    shuffle input per task, so partitions fit executor memory and spill
+    rarely; AQE then coalesces small partitions to the advisory size and
+    splits skewed join partitions (threshold = 4 advisory sizes)."""
+    parts = max(200, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        # a broadcast side must be small in *measured* bytes
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.executor.cores": str(executor_cores),
+        # shuffle files outlive a lost executor
+        "spark.shuffle.service.enabled": "true",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
