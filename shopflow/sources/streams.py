@@ -47,3 +47,11 @@ def parquet_files(spark: SparkSession, path: str, schema: T.StructType,
     if per_trigger:
         r = r.option("maxFilesPerTrigger", per_trigger)
     return r.load(path)
+
+
+def kafka_sink(df: DataFrame, servers: str, checkpoint: str):
+    """SNK6: publish ``topic, value`` rows; the ``topic`` column routes each
+    row. Needs the spark-sql-kafka package on the cluster's classpath."""
+    return (df.select("topic", "value").writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", servers)
+            .option("checkpointLocation", checkpoint).start())

@@ -72,6 +72,12 @@ def event_rows(raw: DataFrame) -> DataFrame:
             .withColumn("event_time", to_event_time(F.col("ts"))))
 
 
+def observed(df: DataFrame, name: str) -> DataFrame:
+    """AGG13: per-batch row count reported in the query progress
+    (``observedMetrics[name]``), computed in the same pass -- no extra job."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"))
+
+
 # --- DAU ---------------------------------------------------------------------
 
 def dau_batch_sink(out_path: str) -> Callable[[DataFrame, int], None]:

@@ -311,3 +311,30 @@ def test_dau_plan_functions_on_stream_rows(spark):
     # the batch functions accept the decoded stream schema
     df = spark.createDataFrame([(1, "m", "u", "startup", 5)], "event_id long, mid string, uid string, type string, ts long")
     assert dau_plan.dau_dedup(df).count() == 1
+
+
+def test_observed_batch_counts(spark, workdir):
+    src = os.path.join(workdir, "in")
+    write_batches(src, [[startup("a", 1), startup("a", 2), startup("b", 3)], [startup("c", 4)]])
+    raw = streams.text_files(spark, src, per_trigger=1)
+    rows = jobs.observed(jobs.startup_rows(raw), "rows_in")
+    q = jobs.start(rows, "observed", None, trigger=NOW, checkpoint=os.path.join(workdir, "ck"))
+    q.awaitTermination()
+    counts = [p["observedMetrics"]["rows_in"]["rows"] for p in q.recentProgress
+              if p.get("observedMetrics", {}).get("rows_in")]
+    assert counts[:2] == [3, 1]
+
+
+def test_cdc_stream_equals_batch(spark, workdir):
+    t = Tables(spark, SF001)
+    entries = fx.change_entries(t.orders, t.lineitem, t.customer)
+    path = os.path.join(workdir, "entries")
+    entries.repartition(4).write.parquet(path)
+    stream = streams.parquet_files(spark, path, spark.read.parquet(path).schema, per_trigger=1)
+    q = jobs.start(jobs.cdc_stream(stream), "cdc", None, trigger=NOW,
+                   checkpoint=os.path.join(workdir, "ck"))
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.sql("SELECT topic, table, op, key, value FROM cdc").collect())
+    want = sorted(tuple(r) for r in QUERIES["cdc_route"](spark, SF001)
+                  .select("topic", "table", "op", "key", "value").collect())
+    assert got == want and len(want) > 0
