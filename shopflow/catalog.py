@@ -361,7 +361,8 @@ changes AS (
                          ('user_id', 'CAST(o_custkey AS VARCHAR)'),
                          ('order_status', 'o_orderstatus'),
                          ('total_amount', 'CAST(o_totalprice AS VARCHAR)'),
-                         ('create_time', "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')")])} AS value
+                         ('create_time', "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')"),
+                         ('consignee_tel', "'13' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')")])} AS value
   FROM orders WHERE o_orderkey % {fx.CDC_NON_ROWDATA_MODULUS} <> 0
   UNION ALL
   SELECT 'order_detail', {_op_sql('l_orderkey')}, l_orderkey,

@@ -194,6 +194,7 @@ def change_entries(orders: DataFrame, lineitem: DataFrame,
         "order_status": F.col("o_orderstatus"),
         "total_amount": F.col("o_totalprice"),
         "create_time": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+        "consignee_tel": F.concat(F.lit(PHONE_PREFIX), F.lpad(_s("o_custkey"), 9, "0")),
     })
     d = _change_entries(lineitem, "order_detail", "l_orderkey", {
         "id": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
