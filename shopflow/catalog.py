@@ -138,8 +138,8 @@ def q_dau_cross_batch_anti(spark, sf_dir):
 
 
 HOUR_SPINE_SQL = """
-spine AS (SELECT d.dt, lpad(CAST(h.h AS VARCHAR), 2, '0') AS hour
-          FROM (SELECT DISTINCT dt FROM series) d, (SELECT unnest(range(24)) AS h) h)"""
+spine AS (SELECT dt, lpad(CAST(h AS VARCHAR), 2, '0') AS hour
+          FROM (SELECT dt, unnest(range(24)) AS h FROM (SELECT DISTINCT dt FROM series)))"""
 
 TODAY_VS_YESTERDAY_SQL = """,""" + HOUR_SPINE_SQL + """
 SELECT sp.dt, sp.hour, coalesce(t.v, {zero}) AS today, coalesce(y.v, {zero}) AS yesterday

@@ -110,7 +110,8 @@ def sale_detail_app(order_raw: DataFrame, detail_raw: DataFrame, users_path: str
 def ingest_app(raw: DataFrame, archive_path: str, routed_path: str, name: str = "ingest",
                trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """Raw client logs -> stamped daily archive + per-topic routing."""
-    return jobs.start(raw.select("value"), name, jobs.ingest_sink(archive_path, routed_path),
+    cols = ["value"] + [c for c in ("arrival",) if c in raw.columns]
+    return jobs.start(raw.select(*cols), name, jobs.ingest_sink(archive_path, routed_path),
                       trigger=trigger, checkpoint=checkpoint)
 
 

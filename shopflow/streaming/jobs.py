@@ -195,11 +195,21 @@ def sale_detail_sink(users_path: str, out_path: str, as_of: str) -> Callable[[Da
 def ingest_sink(archive_path: str, routed_path: str,
                 stamp: Column | None = None) -> Callable[[DataFrame, int], None]:
     """PRJ10 + SNK7 + FLT7/SNK6: stamp every raw line with server time, archive
-    it by day (text), and write it to its topic folder (JSON). ``stamp``
-    defaults to the batch's current time."""
+    it by day (text), and write it to its topic folder (JSON).
+
+    The stamp defaults to the message's broker ``arrival`` time, which a
+    replayed batch reproduces exactly (same offsets, same timestamps), so a
+    retry rewrites the same ``dt``/``batch_id`` partitions. Only sources
+    without an arrival time fall back to the batch's current time."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        ms = stamp if stamp is not None else F.unix_millis(F.current_timestamp())
-        stamped = ingest_plan.stamp_logs(batch.select("value"), ms)
+        if stamp is not None:
+            ms = stamp
+        elif "arrival" in batch.columns:
+            ms = F.unix_millis(F.col("arrival"))
+        else:
+            ms = F.unix_millis(F.current_timestamp())
+        base = batch.select("value", *[c for c in ("arrival",) if c in batch.columns])
+        stamped = ingest_plan.stamp_logs(base, ms).drop("arrival")
         stamped = stamped.withColumn(
             "dt", F.date_format(F.timestamp_millis(
                 F.get_json_object("value", "$.ts").cast("long")), "yyyy-MM-dd")).persist()

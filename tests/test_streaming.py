@@ -338,3 +338,17 @@ def test_cdc_stream_equals_batch(spark, workdir):
     want = sorted(tuple(r) for r in QUERIES["cdc_route"](spark, SF001)
                   .select("topic", "table", "op", "key", "value").collect())
     assert got == want and len(want) > 0
+
+
+def test_ingest_stamp_uses_arrival_time(spark, workdir):
+    """A replayed batch gets the same stamp (broker arrival time)."""
+    arch, routed = os.path.join(workdir, "a"), os.path.join(workdir, "r")
+    t = dt.datetime(2024, 2, 3, 4, 5, 6)
+    batch = spark.createDataFrame([('{"type":"startup","mid":"a","ts":1}', t)],
+                                  "value string, arrival timestamp")
+    sink = jobs.ingest_sink(arch, routed)
+    sink(batch, 0)
+    sink(batch, 0)            # retry of the same batch
+    rows = spark.read.text(arch).collect()
+    assert len(rows) == 1 and rows[0].dt == "2024-02-03"
+    assert json.loads(rows[0].value)["ts"] == str(ms("2024-02-03 04:05:06"))
