@@ -699,3 +699,27 @@ WHERE fc.fc IS NULL OR (e.ts, e.event_id) <= fc.fc""")
 def q_events_until_click(spark, sf_dir):
     r = alert.events_until_click(_ev(spark, sf_dir), ALERT_SIZE, ALERT_SLIDE)
     return r.select("mid", _tsfmt("window_start"), _tsfmt("window_end"), "event_id", "evid", "ts")
+
+
+@register("search_stats", cte(*SALE_SQL, C_HITS, C_TOTALS, _top_sql("user_gender", 2),
+                              _top_sql("user_age", 100), f"""
+bands AS (SELECT s.dt,
+  {_share_sql("coalesce(sum(CASE WHEN t.user_age < 20 THEN t.doc_count ELSE 0 END), 0)", "s.total")} AS a,
+  {_share_sql("coalesce(sum(CASE WHEN t.user_age >= 20 AND t.user_age < 30 THEN t.doc_count ELSE 0 END), 0)", "s.total")} AS b
+  FROM totals s LEFT JOIN top_user_age t ON t.dt = s.dt GROUP BY s.dt, s.total)""", f"""
+opts AS (
+  SELECT dt, 0 AS idx, 'age' AS title, 0 AS ord, '20岁以下' AS name, a AS value FROM bands
+  UNION ALL SELECT dt, 0, 'age', 1, '20岁到30岁', b FROM bands
+  UNION ALL SELECT dt, 0, 'age', 2, '30岁及30岁以上', round(100.0 - a - b, 1) FROM bands
+  UNION ALL
+  SELECT t.dt, 1, 'gender', -t.doc_count,
+         CASE t.user_gender WHEN 'M' THEN '男' WHEN 'F' THEN '女' ELSE t.user_gender END,
+         {_share_sql('t.doc_count', 's.total')}
+  FROM top_user_gender t JOIN totals s ON s.dt = t.dt)""") + """
+SELECT dt, idx, title,
+       '[' || string_agg('{"name":"' || name || '","value":' || CAST(value AS VARCHAR) || '}', ','
+                         ORDER BY ord, name) || ']' AS options
+FROM opts GROUP BY dt, idx, title""")
+def q_search_stats(spark, sf_dir):
+    st = search.search_stats(_hits(spark, sf_dir))
+    return st.select("dt", "idx", "title", F.to_json("options").alias("options"))

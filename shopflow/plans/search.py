@@ -17,6 +17,9 @@ from shopflow.functions.text import matches_all_terms
 from shopflow.operators.topk import bucket_counts, page, top_buckets
 
 GENDER_BUCKETS = 2    # fixed value: terms size of the gender aggregation
+# fixed values: display names of the gender codes on the search page
+GENDER_NAMES = {"M": "男", "F": "女"}
+STAT_AGE, STAT_GENDER = "age", "gender"   # stat titles (page reads stat[0], stat[1])
 AGE_BUCKETS = 100     # fixed value: terms size of the age aggregation
 
 
@@ -81,3 +84,27 @@ def age_band_share(hits: DataFrame) -> DataFrame:
         F.struct(F.lit(BAND_30_PLUS).alias("name"),
                  remainder_pct(F.col("a"), F.col("b")).alias("value")))
     return shares.select("dt", F.explode(options).alias("o")).select("dt", "o.name", "o.value")
+
+
+def search_stats(hits: DataFrame) -> DataFrame:
+    """Search-page payload: per day two ``Stat`` rows -- ``stat[0]`` age bands,
+    ``stat[1]`` gender shares -- each with ``options`` = [(name, value)].
+    Built from the two share queries (at most 3 options per stat and day),
+    so the collect per (day, stat) is bounded."""
+    age = age_band_share(hits).select(
+        "dt", F.lit(0).alias("idx"), F.lit(STAT_AGE).alias("title"),
+        F.when(F.col("name") == BAND_UNDER_20, 0).when(F.col("name") == BAND_20_TO_30, 1)
+        .otherwise(2).alias("ord"), "name", "value")
+    names = None
+    for code, label in GENDER_NAMES.items():
+        names = (F.when(F.col("user_gender") == code, F.lit(label)) if names is None
+                 else names.when(F.col("user_gender") == code, F.lit(label)))
+    gender = gender_share(hits).select(
+        "dt", F.lit(1).alias("idx"), F.lit(STAT_GENDER).alias("title"),
+        # biggest bucket first, as the terms aggregation returns them
+        (-F.col("doc_count")).alias("ord"),
+        names.otherwise(F.col("user_gender")).alias("name"), F.col("share").alias("value"))
+    opts = F.array_sort(F.collect_list(F.struct("ord", "name", "value")))
+    return (age.unionByName(gender).groupBy("dt", "idx", "title")
+            .agg(F.transform(opts, lambda o: F.struct(o["name"].alias("name"),
+                                                      o["value"].alias("value"))).alias("options")))
