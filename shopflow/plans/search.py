@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shopflow.functions.numeric import (BAND_20_TO_30, BAND_30_PLUS, BAND_UNDER_20,
                                         remainder_pct, share_pct)
 from shopflow.functions.text import matches_all_terms
-from shopflow.operators.topk import bucket_counts, page, top_buckets
+from shopflow.operators.topk import page, top_buckets
 
 GENDER_BUCKETS = 2    # fixed value: terms size of the gender aggregation
 # fixed values: display names of the gender codes on the search page
@@ -41,40 +41,50 @@ def search_page(hits: DataFrame, page_no: int, size: int) -> DataFrame:
     return page(hits, [F.col("dt"), F.col("order_detail_id")], page_no, size)
 
 
-def _totals(counts: DataFrame) -> DataFrame:
-    """Hits per day from bucket counts (NULL bucket included), so totals and
-    top buckets come from one aggregation of the hits (the shuffle of the
-    bucket counts is reused, the hits are evaluated once)."""
-    return counts.groupBy("dt").agg(F.sum("doc_count").alias("total"))
+def facets(hits: DataFrame, terms: tuple[str, ...] = ("user_age", "user_gender")) -> DataFrame:
+    """Hit counts per ``(dt, *terms)``. A share query groups by its own term
+    only; ``search_stats`` groups once by age and gender and derives both
+    stats from that, so the hits (scan + joins + keyword filter) are
+    evaluated once per request."""
+    return hits.groupBy("dt", *terms).agg(F.count(F.lit(1)).alias("doc_count"))
 
 
-def gender_share(hits: DataFrame) -> DataFrame:
+def _counts(f: DataFrame, term: str) -> DataFrame:
+    return f.groupBy("dt", term).agg(F.sum("doc_count").alias("doc_count"))
+
+
+def _totals(f: DataFrame) -> DataFrame:
+    """Hits per day (NULL buckets included)."""
+    return f.groupBy("dt").agg(F.sum("doc_count").alias("total"))
+
+
+def gender_share(hits: DataFrame, f: DataFrame | None = None) -> DataFrame:
     """AGG9/AGG16: the two biggest gender buckets per day and their share of
     the day's hits. Output ``dt, user_gender, doc_count, share``."""
-    counts = bucket_counts(hits, "user_gender", ["dt"])
-    top = top_buckets(counts, "user_gender", GENDER_BUCKETS, ["dt"])
-    return (top.join(_totals(counts), "dt")
+    f = facets(hits, ("user_gender",)) if f is None else f
+    top = top_buckets(_counts(f, "user_gender"), "user_gender", GENDER_BUCKETS, ["dt"])
+    return (top.join(_totals(f), "dt")
             .select("dt", "user_gender", "doc_count",
                     share_pct(F.col("doc_count"), F.col("total")).alias("share")))
 
 
-def age_terms(hits: DataFrame) -> DataFrame:
+def age_terms(hits: DataFrame, f: DataFrame | None = None) -> DataFrame:
     """AGG10: the 100 biggest age buckets per day."""
-    counts = bucket_counts(hits, "user_age", ["dt"])
-    return top_buckets(counts, "user_age", AGE_BUCKETS, ["dt"]).drop("rank")
+    f = facets(hits, ("user_age",)) if f is None else f
+    return top_buckets(_counts(f, "user_age"), "user_age", AGE_BUCKETS, ["dt"]).drop("rank")
 
 
-def age_band_share(hits: DataFrame) -> DataFrame:
+def age_band_share(hits: DataFrame, f: DataFrame | None = None) -> DataFrame:
     """AGG11/PRJ17/PRJ18: share of hits under 20, 20-29 and the remainder
     (30 and over, plus ages outside the top-100 buckets), per day.
     Output ``dt, name, value`` (three rows per day)."""
-    counts = bucket_counts(hits, "user_age", ["dt"])
-    buckets = top_buckets(counts, "user_age", AGE_BUCKETS, ["dt"])
+    f = facets(hits, ("user_age",)) if f is None else f
+    buckets = top_buckets(_counts(f, "user_age"), "user_age", AGE_BUCKETS, ["dt"])
     per_day = buckets.groupBy("dt").agg(
         F.sum(F.when(F.col("user_age") < 20, F.col("doc_count")).otherwise(0)).alias("n20"),
         F.sum(F.when((F.col("user_age") >= 20) & (F.col("user_age") < 30),
                      F.col("doc_count")).otherwise(0)).alias("n30"))
-    shares = (_totals(counts).join(per_day, "dt", "left")
+    shares = (_totals(f).join(per_day, "dt", "left")
               .select("dt",
                       share_pct(F.coalesce("n20", F.lit(0)), F.col("total")).alias("a"),
                       share_pct(F.coalesce("n30", F.lit(0)), F.col("total")).alias("b")))
@@ -91,7 +101,8 @@ def search_stats(hits: DataFrame) -> DataFrame:
     ``stat[1]`` gender shares -- each with ``options`` = [(name, value)].
     Built from the two share queries (at most 3 options per stat and day),
     so the collect per (day, stat) is bounded."""
-    age = age_band_share(hits).select(
+    f = facets(hits)
+    age = age_band_share(hits, f).select(
         "dt", F.lit(0).alias("idx"), F.lit(STAT_AGE).alias("title"),
         F.when(F.col("name") == BAND_UNDER_20, 0).when(F.col("name") == BAND_20_TO_30, 1)
         .otherwise(2).alias("ord"), "name", "value")
@@ -99,7 +110,7 @@ def search_stats(hits: DataFrame) -> DataFrame:
     for code, label in GENDER_NAMES.items():
         names = (F.when(F.col("user_gender") == code, F.lit(label)) if names is None
                  else names.when(F.col("user_gender") == code, F.lit(label)))
-    gender = gender_share(hits).select(
+    gender = gender_share(hits, f).select(
         "dt", F.lit(1).alias("idx"), F.lit(STAT_GENDER).alias("title"),
         # biggest bucket first, as the terms aggregation returns them
         (-F.col("doc_count")).alias("ord"),
