@@ -47,7 +47,9 @@ def main() -> None:
           "small table from its file size; on large inputs the same joins plan as "
           "shuffle joins and AQE re-decides from measured sizes. `Expand` is the "
           "sliding-window / distinct-count expansion; no plan has a cartesian or "
-          "nested-loop join.\n")
+          "nested-loop join. A subtree listed twice (e.g. the search hits feeding "
+          "both totals and buckets) is one shared exchange at run time "
+          "(`ReusedExchange`).\n")
     print("| query | shuffles | broadcasts | joins | aggregates | other | scans (table:cols) |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
     for name in sorted(QUERIES):
