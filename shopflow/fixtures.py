@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.functions.time import epoch_ms, to_event_time
+from shopflow.functions.time import epoch_ms
 
 # --- fixed values of the fixture mapping -----------------------------------
 # driver event_type -> app event id (evid)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.functions.time import hour_label, previous_day
+from shopflow.functions.time import hour_label
 
 HOURS_PER_DAY = 24
 
@@ -101,4 +101,4 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 __all__ = ["bounded", "anti_join", "semi_join", "full_outer_unique", "hour_spine",
-           "today_vs_yesterday", "interval_join", "previous_day"]
+           "today_vs_yesterday", "interval_join"]

@@ -78,6 +78,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     global _PRIVATE_ROOT
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage; "
+                               "a machine-local folder does not survive a lost executor")
         if _PRIVATE_ROOT is None:
             _PRIVATE_ROOT = tempfile.mkdtemp(prefix="shopflow-ckpt-")
         root = _PRIVATE_ROOT

@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.functions.json import decode, good_rows
-from shopflow.functions.time import to_event_time
 from shopflow.plans import gmv as gmv_plan
 from shopflow.streaming import jobs, sinks
 
@@ -124,5 +123,4 @@ def cdc_app(entries: DataFrame, out_path: str, name: str = "cdc",
 
 
 __all__ = ["decode_orders", "decode_details", "decode_users", "dau_app", "gmv_app",
-           "user_app", "alert_app", "sale_detail_app", "ingest_app", "cdc_app",
-           "to_event_time"]
+           "user_app", "alert_app", "sale_detail_app", "ingest_app", "cdc_app"]

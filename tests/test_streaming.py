@@ -202,7 +202,6 @@ def _join_stream(spark, workdir, orders, lines, bound=100):
         spark.createDataFrame(rows, o_schema).coalesce(1).write.parquet(f"{o_dir}/b{i}")
     for i, rows in enumerate(lines):
         spark.createDataFrame(rows, l_schema).coalesce(1).write.parquet(f"{l_dir}/b{i}")
-    from pyspark.sql import types as T  # noqa: F401
     o = streams.parquet_files(spark, f"{o_dir}/*", spark.createDataFrame([], o_schema).schema, 1)
     ln = streams.parquet_files(spark, f"{l_dir}/*", spark.createDataFrame([], l_schema).schema, 1)
     out = os.path.join(workdir, "joined")
@@ -352,3 +351,24 @@ def test_ingest_stamp_uses_arrival_time(spark, workdir):
     rows = spark.read.text(arch).collect()
     assert len(rows) == 1 and rows[0].dt == "2024-02-03"
     assert json.loads(rows[0].value)["ts"] == str(ms("2024-02-03 04:05:06"))
+
+
+def test_alert_update_mode_fires_before_window_closes(spark, workdir):
+    """Update mode emits an alert as soon as it fires (reference behaviour);
+    append mode waits until the watermark closes the window."""
+    base = ms("2024-01-01 10:00:00")
+    ev = [{"type": "event", "mid": "d", "uid": u, "evid": "coupon", "itemid": "7",
+           "ts": base + i * 60000} for i, u in enumerate(["a", "b", "c"])]
+    src = os.path.join(workdir, "in")
+    write_batches(src, [ev])
+    counts = {}
+    for mode in ("update", "append"):
+        out = os.path.join(workdir, mode)
+        raw = streams.text_files(spark, src, per_trigger=1)
+        from shopflow.streaming import apps
+        apps.alert_app(raw, out, "5 minutes", "1 minute", "1 minute", mode=mode,
+                       name=f"al_{mode}", trigger=NOW,
+                       checkpoint=os.path.join(workdir, f"ck_{mode}")).awaitTermination()
+        counts[mode] = (sinks.latest_view(spark.read.parquet(out), ["doc_id"]).count()
+                        if sinks.path_exists(spark, out) and os.listdir(out) else 0)
+    assert counts["update"] >= 1 and counts["append"] == 0
