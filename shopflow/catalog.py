@@ -207,8 +207,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id,
        strftime(o_orderdate, '%H') AS create_hour
 FROM orders""")
 def q_order_date_hour(spark, sf_dir):
-    return gmv.clean_orders(_orders(spark, sf_dir)).select(
-        "id", "create_time", "create_date", "create_hour")
+    return fx.as_record_ids(gmv.clean_orders(_orders(spark, sf_dir)).select(
+        "id", "create_time", "create_date", "create_hour"))
 
 
 @register("mask_phone", """
@@ -217,7 +217,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id,
          AS consignee_tel
 FROM orders""")
 def q_mask_phone(spark, sf_dir):
-    return gmv.clean_orders(_orders(spark, sf_dir)).select("id", "consignee_tel")
+    return fx.as_record_ids(gmv.clean_orders(_orders(spark, sf_dir)).select("id", "consignee_tel"))
 
 
 @register("gmv_total", """
@@ -477,21 +477,21 @@ SELECT coalesce(o.order_id, d.order_id) AS order_id, coalesce(o.batch, d.batch)
        {LINE_COLS_SQL}, {ORDER_COLS_SQL}
 FROM o FULL OUTER JOIN d ON o.order_id = d.order_id AND o.batch = d.batch""")
 def q_order_line_full_outer(spark, sf_dir):
-    return sale.order_line_full_outer(*_batched(spark, sf_dir))
+    return fx.as_record_ids(sale.order_line_full_outer(*_batched(spark, sf_dir)))
 
 
 @register("order_line_left", cte(C_O, C_D) + f"""
 SELECT o.order_id, o.batch, {LINE_COLS_SQL}, {ORDER_COLS_SQL}
 FROM o LEFT JOIN d ON o.order_id = d.order_id AND o.batch = d.batch""")
 def q_order_line_left(spark, sf_dir):
-    return sale.order_line_left(*_batched(spark, sf_dir))
+    return fx.as_record_ids(sale.order_line_left(*_batched(spark, sf_dir)))
 
 
 @register("order_line_right", cte(C_O, C_D) + f"""
 SELECT d.order_id, d.batch, {LINE_COLS_SQL}, {ORDER_COLS_SQL}
 FROM d LEFT JOIN o ON o.order_id = d.order_id AND o.batch = d.batch""")
 def q_order_line_right(spark, sf_dir):
-    return sale.order_line_right(*_batched(spark, sf_dir))
+    return fx.as_record_ids(sale.order_line_right(*_batched(spark, sf_dir)))
 
 
 def _wide(spark, sf_dir):
@@ -510,7 +510,7 @@ def _enriched(spark, sf_dir):
 
 @register("sale_detail_wide", cte(C_O, C_D, C_WIDE) + "SELECT * FROM wide")
 def q_sale_detail_wide(spark, sf_dir):
-    return _wide(spark, sf_dir)
+    return fx.as_record_ids(_wide(spark, sf_dir))
 
 
 def _json_field(name: str, expr: str, quoted: bool = True) -> str:
@@ -523,7 +523,7 @@ def _json_field(name: str, expr: str, quoted: bool = True) -> str:
           + ", ".join(_json_field(c, c, c not in ("user_age", "sku_price"))
                       for c in sale.SALE_DETAIL_COLS) + ") || '}' AS doc FROM enriched")
 def q_sale_detail_json(spark, sf_dir):
-    return sale.sale_detail_json(_enriched(spark, sf_dir))
+    return sale.sale_detail_json(fx.as_record_ids(_enriched(spark, sf_dir)))
 
 
 @register("sale_detail_interval", cte(C_O, C_D) + f"""
@@ -533,13 +533,14 @@ FROM o JOIN d ON o.order_id = d.order_id
                      AND o.order_time + INTERVAL {INTERVAL_BOUND_S} SECOND""")
 def q_sale_detail_interval(spark, sf_dir):
     orders, lines = _sale_inputs(spark, sf_dir, with_time=True)
-    return (sale.sale_detail_interval(orders, lines, "order_time", "line_time", INTERVAL_BOUND_S)
-            .drop("order_time", "line_time"))
+    return fx.as_record_ids(
+        sale.sale_detail_interval(orders, lines, "order_time", "line_time", INTERVAL_BOUND_S)
+        .drop("order_time", "line_time"))
 
 
 @register("user_dim_latest", cte(C_USERS) + "SELECT * FROM users")
 def q_user_dim_latest(spark, sf_dir):
-    return _users(spark, sf_dir)
+    return fx.as_record_ids(_users(spark, sf_dir))
 
 
 @register("user_age", cte(C_USERS) + f"""
@@ -547,12 +548,13 @@ SELECT id, birthday,
        CAST(datediff('day', CAST(birthday AS DATE), DATE '{AS_OF}') // 365 AS INTEGER) AS user_age
 FROM users""")
 def q_user_age(spark, sf_dir):
-    return sale.user_age(_users(spark, sf_dir), AS_OF).select("id", "birthday", "user_age")
+    return fx.as_record_ids(
+        sale.user_age(_users(spark, sf_dir), AS_OF).select("id", "birthday", "user_age"))
 
 
 @register("sale_detail_enriched", cte(*SALE_SQL) + "SELECT * FROM enriched")
 def q_sale_detail_enriched(spark, sf_dir):
-    return _enriched(spark, sf_dir)
+    return fx.as_record_ids(_enriched(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -572,7 +574,7 @@ def q_sale_search_total(spark, sf_dir):
 SELECT * FROM hits ORDER BY dt, order_detail_id
 LIMIT {PAGE_SIZE} OFFSET {(PAGE_NO - 1) * PAGE_SIZE}""")
 def q_sale_search_page(spark, sf_dir):
-    return search.search_page(_hits(spark, sf_dir), PAGE_NO, PAGE_SIZE)
+    return fx.as_record_ids(search.search_page(_hits(spark, sf_dir), PAGE_NO, PAGE_SIZE))
 
 
 C_TOTALS = "totals AS (SELECT dt, count(*) AS total FROM hits GROUP BY dt)"

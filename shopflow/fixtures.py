@@ -3,6 +3,11 @@
 Every mapping is a projection (plus, for order lines and provinces, a join), so
 it runs as part of the query plan: Catalyst prunes the scan to the columns the
 caller ends up using and pushes filters below the projection.
+
+Keys keep their native BIGINT type here (joins hash and sort 8-byte keys);
+records decoded from topics carry the same keys as strings. The plans are
+type-agnostic, and ``as_record_ids`` renders the ids as the record's strings
+at the output.
 """
 
 from __future__ import annotations
@@ -44,6 +49,16 @@ def map_values(col: Column, mapping: dict, default=None) -> Column:
     return expr.otherwise(F.lit(default))
 
 
+RECORD_ID_COLS = ("id", "order_id", "user_id", "sku_id")
+
+
+def as_record_ids(df: DataFrame) -> DataFrame:
+    """Render key columns as the record's string ids (final projection)."""
+    return df.select(*[F.col(c).cast("string").alias(c)
+                       if c in RECORD_ID_COLS and dict(df.dtypes)[c] != "string" else F.col(c)
+                       for c in df.columns])
+
+
 # --- app logs ----------------------------------------------------------------
 
 def startup_logs(events: DataFrame) -> DataFrame:
@@ -99,8 +114,8 @@ def order_info(orders: DataFrame, with_time: bool = False) -> DataFrame:
     create_time = F.date_format(F.col("o_orderdate"), "yyyy-MM-dd HH:mm:ss")
     extra = [F.col("o_orderdate").cast("timestamp").alias("order_time")] if with_time else []
     return orders.select(
-        _s("o_orderkey").alias("id"),
-        _s("o_custkey").alias("user_id"),
+        F.col("o_orderkey").alias("id"),
+        F.col("o_custkey").alias("user_id"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_totalprice").alias("total_amount"),
         create_time.alias("create_time"),
@@ -113,7 +128,7 @@ def order_info(orders: DataFrame, with_time: bool = False) -> DataFrame:
 def order_info_with_province(orders: DataFrame, customer: DataFrame) -> DataFrame:
     cust = customer.select(F.col("c_custkey"), _s("c_nationkey").alias("province_id"))
     return (order_info(orders)
-            .join(cust, F.col("user_id") == _s("c_custkey"), "left")
+            .join(cust, F.col("user_id") == F.col("c_custkey"), "left")
             .drop("c_custkey"))
 
 
@@ -124,10 +139,10 @@ def order_lines(lineitem: DataFrame, with_time: bool = False) -> DataFrame:
     return lineitem.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey",
                     "l_suppkey").alias("id"),
-        _s("l_orderkey").alias("order_id"),
-        _s("l_partkey").alias("sku_id"),
-        _s("l_extendedprice").alias("order_price"),
-        _s("l_quantity").alias("sku_num"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("sku_id"),
+        F.col("l_extendedprice").alias("order_price"),
+        F.col("l_quantity").alias("sku_num"),
         *extra,
     )
 
@@ -135,7 +150,7 @@ def order_lines(lineitem: DataFrame, with_time: bool = False) -> DataFrame:
 def order_lines_named(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Order lines with ``sku_name``. The line side streams through the join
     (AQE may split a hot sku's partition); ``part`` is one row per key."""
-    parts = part.select(_s("p_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"))
+    parts = part.select(F.col("p_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"))
     return order_lines(lineitem).join(parts, "sku_id", "left")
 
 
@@ -144,7 +159,7 @@ def user_versions(customer: DataFrame) -> DataFrame:
     customer, version 2 (level upgraded) for some."""
     key = F.col("c_custkey")
     base = customer.filter(key % MISSING_USER_MODULUS != 0).select(
-        _s("c_custkey").alias("id"),
+        F.col("c_custkey").alias("id"),
         F.col("c_name").alias("login_name"),
         F.col("c_mktsegment").alias("user_level"),
         F.date_format(F.date_add(F.lit(BIRTHDAY_BASE).cast("date"),
@@ -163,7 +178,7 @@ def user_versions(customer: DataFrame) -> DataFrame:
 def purchase_orders(events: DataFrame) -> DataFrame:
     """Hourly revenue source: purchase events as orders (amount = value)."""
     return events.filter(F.col("event_type") == "purchase").select(
-        _s("event_id").alias("id"),
+        F.col("event_id").alias("id"),
         F.col("value").alias("total_amount"),
         F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").alias("create_time"),
     )
