@@ -32,11 +32,17 @@ def write_batch(df: DataFrame, batch_id: int, path: str,
 
 def table_sink(path: str, partition_cols: Sequence[str] = (),
                transform: Callable[[DataFrame, int], DataFrame] | None = None,
-               fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: optional per-batch transform, then write."""
+               fmt: str = "parquet", upper: bool = False) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: optional per-batch transform, then write.
+    ``upper=True`` stores the declared field names upper-cased (the SQL
+    table convention of SNK1)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch, batch_id) if transform else batch
-        write_batch(out, batch_id, path, partition_cols, fmt)
+        parts = list(partition_cols)
+        if upper:
+            out = out.toDF(*[c.upper() for c in out.columns])
+            parts = [c.upper() for c in parts]
+        write_batch(out, batch_id, path, parts, fmt)
     return run
 
 

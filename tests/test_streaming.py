@@ -372,3 +372,22 @@ def test_alert_update_mode_fires_before_window_closes(spark, workdir):
         counts[mode] = (sinks.latest_view(spark.read.parquet(out), ["doc_id"]).count()
                         if sinks.path_exists(spark, out) and os.listdir(out) else 0)
     assert counts["update"] >= 1 and counts["append"] == 0
+
+
+def test_resent_order_gives_one_document_per_line(spark, workdir):
+    """Order, line, then the same order again: the join emits the line twice,
+    the keyed upsert keeps one document per line id."""
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    orders = [[("o1", "u", "1", "2024-01-01 10:00:00", t0)], [],
+              [("o1", "u", "2", "2024-01-01 10:00:00", t0 + dt.timedelta(seconds=30))]]
+    lines = [[], [("l1", "o1", "s", "n", "2.0", t0 + dt.timedelta(seconds=10))], []]
+    got, _ = _join_stream(spark, workdir, orders, lines)
+    docs = sinks.latest_view(got, ["order_detail_id"]).collect()
+    assert [d.order_detail_id for d in docs] == ["l1"]
+
+
+def test_table_sink_upper_case_columns(spark, workdir):
+    out = os.path.join(workdir, "t")
+    df = spark.createDataFrame([("m", "2024-01-01")], "mid string, log_date string")
+    sinks.table_sink(out, ["log_date"], upper=True)(df, 0)
+    assert sorted(spark.read.parquet(out).columns) == ["LOG_DATE", "MID", "batch_id"]
