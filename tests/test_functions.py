@@ -203,3 +203,14 @@ def test_dau_cross_batch_split_invariance(spark, cuts, ts_ordered):
     assert set(got) == set(whole)
     if ts_ordered:
         assert got == whole
+
+
+def test_realtime_hours_unknown_id_is_empty(spark):
+    from shopflow import fixtures as fx
+    from shopflow.plans import kpi
+    from shopflow.sources.tables import Tables
+    from tests.conftest import SF001
+    t = Tables(spark, SF001)
+    known = kpi.realtime_hours("dau", fx.startup_logs(t.events), fx.purchase_orders(t.events))
+    unknown = kpi.realtime_hours("nope", fx.startup_logs(t.events), fx.purchase_orders(t.events))
+    assert unknown.count() == 0 and unknown.schema == known.schema
