@@ -12,9 +12,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopflow import fixtures as fx
-from shopflow.plans import dau
+from shopflow import schemas
+from shopflow.functions.json import TOPIC_EVENT, decode, good_rows
+from shopflow.plans import alert, dau, gmv, ingest, kpi, sale, search
 from shopflow.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,7 +133,6 @@ SELECT event_id, mid, uid, type, ts, log_date, log_hour FROM (
   SELECT *, row_number() OVER (PARTITION BY mid, log_date ORDER BY ts, event_id) AS rn FROM fresh)
 WHERE rn = 1""")
 def q_dau_cross_batch_anti(spark, sf_dir):
-    from pyspark.sql import functions as F
     s = dau.with_dates(_startup(spark, sf_dir))
     seen = s.filter(F.col("log_hour") < BATCH_SPLIT_HOUR).select("mid", "log_date")
     batch = s.filter(F.col("log_hour") >= BATCH_SPLIT_HOUR).drop("log_date", "log_hour")
@@ -187,9 +189,7 @@ def q_new_devices_by_hour(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Orders and GMV
 # ---------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from shopflow.plans import gmv, ingest, kpi  # noqa: E402
 
 
 def _orders(spark, sf_dir):
@@ -404,9 +404,6 @@ def q_cdc_route(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Sale detail: joins, users, enrichment
 # ---------------------------------------------------------------------------
-from shopflow.plans import alert, sale, search  # noqa: E402
-from shopflow.functions.json import decode, good_rows, TOPIC_EVENT  # noqa: E402
-from shopflow import schemas  # noqa: E402
 
 AS_OF = "2024-01-01"          # age reference date of the enrichment queries
 INTERVAL_BOUND_S = 30 * 86400  # late-half bound of the batch interval join
@@ -666,8 +663,7 @@ def _tsfmt(c):
 
 @register("json_decode", cte(C_EV) + "SELECT event_id, mid, uid, 'event' AS type, evid, itemid, ts FROM ev")
 def q_json_decode(spark, sf_dir):
-    from shopflow.plans.ingest import route_logs
-    raw = route_logs(fx.raw_log_json(Tables(spark, sf_dir).events))
+    raw = ingest.route_logs(fx.raw_log_json(Tables(spark, sf_dir).events))
     events = raw.filter(F.col("topic") == TOPIC_EVENT)
     decoded = good_rows(decode(events, schemas.EVENT_LOG, keep=("event_id",)))
     return decoded.select("event_id", "mid", "uid", "type", "evid", "itemid", "ts")

@@ -21,7 +21,7 @@ def decode(df: DataFrame, schema: T.StructType, col: str = "value",
            keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse a JSON text column into ``schema`` columns.
 
-    Malformed lines do not fail the job: the parsed struct is NULL and the raw
+    Malformed lines do not fail the job: their fields are NULL and the raw
     text is kept in ``_corrupt_record`` so a caller can send it to a
     dead-letter output (``dead_letters``)."""
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
