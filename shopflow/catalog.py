@@ -277,13 +277,20 @@ def q_realtime_total(spark, sf_dir):
     return kpi.realtime_total(_startup(spark, sf_dir), _purchases(spark, sf_dir))
 
 
+# spine of the KPI hour series: every day with a start-up or an order
+TODAY_VS_YESTERDAY_ALLDAYS_SQL = TODAY_VS_YESTERDAY_SQL.replace(
+    "FROM (SELECT DISTINCT dt FROM series)", "FROM alldays")
+C_ALLDAYS = """
+alldays AS (SELECT log_date AS dt FROM startup UNION SELECT create_date FROM purchases)"""
+
+
 def _series_sql(card_id: str, series_cte: str, zero: str) -> str:
     return ("SELECT '" + card_id + "' AS id, dt, hour, CAST(today AS DOUBLE) AS today, "
             "CAST(yesterday AS DOUBLE) AS yesterday FROM (" + "WITH " + series_cte.strip()
-            + TODAY_VS_YESTERDAY_SQL.format(zero=zero) + ")")
+            + TODAY_VS_YESTERDAY_ALLDAYS_SQL.format(zero=zero) + ")")
 
 
-@register("realtime_hours", cte(C_STARTUP, C_DEDUP, C_FIRST_SEEN, C_PURCHASES) + "\n"
+@register("realtime_hours", cte(C_STARTUP, C_DEDUP, C_FIRST_SEEN, C_PURCHASES, C_ALLDAYS) + "\n"
           + _series_sql("dau", "series AS (SELECT log_date AS dt, log_hour AS hour, count(*) AS v "
                                "FROM dedup GROUP BY 1, 2)", "0")
           + "\nUNION ALL\n"

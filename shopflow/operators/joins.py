@@ -61,13 +61,14 @@ def hour_spine(days: DataFrame, day_col: str = "dt") -> DataFrame:
 
 
 def today_vs_yesterday(series: DataFrame, day_col: str, hour_col: str,
-                       value_col: str, zero: Column | None = None) -> DataFrame:
-    """For every day of ``series`` (one row per day and hour), the 24-hour
-    series of that day next to the day before; missing hours are 0.
+                       value_col: str, zero: Column | None = None,
+                       days: DataFrame | None = None) -> DataFrame:
+    """For every day of ``days`` (default: the days of ``series``), the
+    24-hour series of that day next to the day before; missing hours are 0.
 
     Output: ``dt, hour, today, yesterday``. ``series`` is an aggregate (at most
-    24 rows per day), so both joins are small and co-partitioned on
-    ``(dt, hour)``."""
+    24 rows per day) and ``days`` a set of days, so both joins are small and
+    co-partitioned on ``(dt, hour)``."""
     zero = F.lit(0) if zero is None else zero
     s = series.select(F.col(day_col).alias("dt"), F.col(hour_col).alias("hour"),
                       F.col(value_col).alias("v"))
@@ -76,7 +77,8 @@ def today_vs_yesterday(series: DataFrame, day_col: str, hour_col: str,
         # the day *after* a row's day sees that row as "yesterday"
         F.date_format(F.date_add(F.col("dt").cast("date"), 1), "yyyy-MM-dd").alias("dt"),
         "hour", F.col("v").alias("yesterday"))
-    spine = hour_spine(s, "dt")
+    spine = hour_spine(s if days is None else days.select(F.col(days.columns[0]).alias("dt")),
+                       "dt")
     return (spine.join(today, ["dt", "hour"], "left")
             .join(yest, ["dt", "hour"], "left")
             .select("dt", "hour",

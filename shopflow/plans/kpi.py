@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopflow.functions.time import with_create_date_hour
 from shopflow.operators.joins import today_vs_yesterday
 from shopflow.plans import dau as dau_plan
 from shopflow.plans import gmv as gmv_plan
@@ -44,21 +45,34 @@ def realtime_total(startup: DataFrame, orders: DataFrame) -> DataFrame:
             .select("dt", "c.id", "c.name", "c.value"))
 
 
-def realtime_hours(card_id: str, startup: DataFrame, orders: DataFrame) -> DataFrame:
+def activity_days(startup: DataFrame, orders: DataFrame) -> DataFrame:
+    """Days with any start-up or order (the days the dashboard can ask for)."""
+    d = dau_plan.with_dates(startup.select("ts")).select(F.col("log_date").alias("dt"))
+    o = with_create_date_hour(orders.select("create_time")).select(
+        F.col("create_date").alias("dt"))
+    return d.unionByName(o).distinct()
+
+
+def realtime_hours(card_id: str, startup: DataFrame, orders: DataFrame,
+                   days: DataFrame | None = None) -> DataFrame:
     """SET3 + JN8: hour series (today vs yesterday, 24 zero-filled hours per
-    day) of the selected card; an unknown id gives an empty result of the
-    same schema. Output: ``id, dt, hour, today, yesterday`` (doubles)."""
+    day of ``days``, default every activity day) of the selected card; an
+    unknown id gives an empty result of the same schema.
+    Output: ``id, dt, hour, today, yesterday`` (doubles)."""
+    days = activity_days(startup, orders) if days is None else days
     if card_id == CARD_DAU[0]:
         s = dau_plan.dau_by_hour(dau_plan.dau_dedup(startup))
-        series = today_vs_yesterday(s, "log_date", "log_hour", "dau")
+        series = today_vs_yesterday(s, "log_date", "log_hour", "dau", days=days)
     elif card_id == CARD_NEW_MID[0]:
         s = dau_plan.new_devices_by_hour(startup)
-        series = today_vs_yesterday(s, "log_date", "log_hour", "new_mid")
+        series = today_vs_yesterday(s, "log_date", "log_hour", "new_mid", days=days)
     elif card_id == CARD_ORDER_AMOUNT[0]:
-        series = gmv_plan.gmv_today_vs_yesterday(orders)
+        s = gmv_plan.gmv_by_hour(orders)
+        series = today_vs_yesterday(s, "create_date", "create_hour", "gmv",
+                                    zero=F.lit(0.0), days=days)
     else:
         s = dau_plan.dau_by_hour(dau_plan.dau_dedup(startup)).limit(0)
-        series = today_vs_yesterday(s, "log_date", "log_hour", "dau")
+        series = today_vs_yesterday(s, "log_date", "log_hour", "dau", days=days.limit(0))
     return series.select(F.lit(card_id).alias("id"), "dt", "hour",
                          F.col("today").cast("double").alias("today"),
                          F.col("yesterday").cast("double").alias("yesterday"))
