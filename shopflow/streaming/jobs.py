@@ -28,6 +28,8 @@ from shopflow.session import checkpoint_root
 from shopflow.streaming import sinks
 
 DAU_LATENESS = "1 day"
+USER_TABLE = ("id string, login_name string, user_level string, birthday string, "
+              "gender string, version long")
 
 
 def checkpoint_for(spark: SparkSession, name: str) -> str:
@@ -90,17 +92,15 @@ def dau_batch_sink(out_path: str) -> Callable[[DataFrame, int], None]:
         spark = batch.sparkSession
         rows = batch.select("event_id", "mid", "uid", "type", "ts").persist()   # STR8
         try:
-            if sinks.path_exists(spark, out_path):
-                # Only the day partitions this batch touches are read. The
-                # day list is bounded by the calendar (a 5 s batch spans one
-                # or two days; a backfill at most its date range), so it is
-                # safe to bring to the driver as a partition filter.
-                days = [r[0] for r in dau_plan.with_dates(rows).select("log_date")
-                        .distinct().collect()]
-                seen = (sinks.read_table(spark, out_path, before_batch=batch_id)
-                        .filter(F.col("log_date").isin(days)))
-            else:
-                seen = spark.createDataFrame([], "mid string, log_date string")
+            # Only the day partitions this batch touches are read. The day
+            # list is bounded by the calendar (a 5 s batch spans one or two
+            # days; a backfill at most its date range), so it is safe to bring
+            # to the driver as a partition filter.
+            days = [r[0] for r in dau_plan.with_dates(rows).select("log_date")
+                    .distinct().collect()]
+            seen = (sinks.read_table(spark, out_path, before_batch=batch_id,
+                                     empty_schema="mid string, log_date string")
+                    .filter(F.col("log_date").isin(days)))
             fresh = dau_plan.dau_cross_batch(rows, seen.select("mid", "log_date"))
             sinks.write_batch(fresh, batch_id, out_path, ["log_date"])
         finally:
@@ -181,7 +181,8 @@ def sale_detail_sink(users_path: str, out_path: str, as_of: str) -> Callable[[Da
         try:
             # versions of this batch's users only (semi join), then latest
             ids = wide.select(F.col("user_id").alias("id")).distinct()
-            versions = sinks.read_table(spark, users_path).join(ids, "id", "left_semi")
+            versions = sinks.read_table(spark, users_path, empty_schema=USER_TABLE).join(
+                ids, "id", "left_semi")
             users = sale_plan.user_dim_latest(
                 sinks.latest_view(versions, ["id"], ["version"]).drop(sinks.BATCH_COL))
             sinks.write_batch(sale_plan.enrich(wide, users, as_of), batch_id, out_path, ["dt"])

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,10 +47,22 @@ def table_sink(path: str, partition_cols: Sequence[str] = (),
     return run
 
 
-def read_table(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, before_batch: int | None = None,
+               empty_schema: str | None = None) -> DataFrame:
     """All rows written so far (optionally only by batches before one id, so
-    a retried batch never sees its own earlier attempt)."""
-    df = spark.read.parquet(path).withColumn(BATCH_COL, F.col(BATCH_COL).cast("long"))
+    a retried batch never sees its own earlier attempt).
+
+    A table whose batches were all empty (or that does not exist yet) has no
+    data files; with ``empty_schema`` it reads as an empty DataFrame of that
+    schema instead of failing the micro-batch."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as e:
+        if empty_schema is None or not (
+                "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e)):
+            raise
+        df = spark.createDataFrame([], f"{empty_schema}, {BATCH_COL} long")
+    df = df.withColumn(BATCH_COL, F.col(BATCH_COL).cast("long"))
     if before_batch is not None:
         df = df.filter(F.col(BATCH_COL) < before_batch)
     return df

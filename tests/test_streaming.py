@@ -391,3 +391,13 @@ def test_table_sink_upper_case_columns(spark, workdir):
     df = spark.createDataFrame([("m", "2024-01-01")], "mid string, log_date string")
     sinks.table_sink(out, ["log_date"], upper=True)(df, 0)
     assert sorted(spark.read.parquet(out).columns) == ["LOG_DATE", "MID", "batch_id"]
+
+
+def test_empty_first_batch_does_not_break_the_sink(spark, workdir):
+    """A first micro-batch with no good rows leaves a table without data
+    files; the next batch must still run."""
+    rows = run_dau(spark, workdir, [['{"bad'], [startup("m", ms("2024-01-01 00:00:00"))]],
+                   "dau_empty_first").collect()
+    assert [r.mid for r in rows] == ["m"]
+    users = os.path.join(workdir, "users_none")
+    assert sinks.read_table(spark, users, empty_schema="id string").count() == 0
