@@ -638,18 +638,12 @@ evw AS (SELECT *, (ts // {ALERT_SLIDE_MS} - k) * {ALERT_SLIDE_MS} AS ws,
         FROM (SELECT ev.*, unnest(range({ALERT_SIZE_MS // ALERT_SLIDE_MS})) AS k FROM ev))"""
 TS_FMT = "'%Y-%m-%d %H:%M:%S'"
 C_ALERTS = """
-grp AS (SELECT ws, we, mid, count(DISTINCT CASE WHEN evid = 'coupon' THEN uid END) AS n,
-               max(CASE WHEN evid = 'clickItem' THEN 1 ELSE 0 END) AS clicked
+grp AS (SELECT ws, we, mid, count(DISTINCT CASE WHEN evid = 'coupon' THEN uid END) AS n_accounts,
+               count(*) AS n_events, max(CASE WHEN evid = 'clickItem' THEN 1 ELSE 0 END) AS clicked
         FROM evw GROUP BY ws, we, mid),
-alerts AS (
-  SELECT e.mid, e.ws, e.we,
-         array_to_string(list_sort(list_distinct(list(e.uid) FILTER (WHERE e.evid = 'coupon'))), ',') AS uids,
-         array_to_string(list_sort(list_distinct(list(e.itemid) FILTER (WHERE e.evid = 'coupon'))), ',') AS itemIds,
-         array_to_string(list(e.evid ORDER BY e.ts, e.event_id), ',') AS events,
-         e.we AS ts
-  FROM evw e JOIN grp g ON g.ws = e.ws AND g.mid = e.mid
-  WHERE g.n >= 3 AND g.clicked = 0
-  GROUP BY e.mid, e.ws, e.we)"""
+alerts AS (SELECT mid, ws, we, n_accounts, n_events, we AS ts FROM grp
+           WHERE n_accounts >= 3 AND clicked = 0),
+members AS (SELECT e.* FROM evw e JOIN alerts a ON a.ws = e.ws AND a.we = e.we AND a.mid = e.mid)"""
 
 
 def _ms_str(col: str) -> str:
@@ -660,10 +654,6 @@ def _ev(spark, sf_dir):
     return fx.event_logs(Tables(spark, sf_dir).events)
 
 
-def _arr(c):
-    return F.array_join(F.col(c), ",").alias(c)
-
-
 def _tsfmt(c):
     return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss").alias(c)
 
@@ -678,21 +668,48 @@ def q_json_decode(spark, sf_dir):
 
 @register("coupon_alert", cte(C_EV, C_EVW, C_ALERTS) + f"""
 SELECT mid, {_ms_str('ws')} AS window_start, {_ms_str('we')} AS window_end,
-       uids, itemIds, events, ts FROM alerts""")
+       n_accounts, n_events, ts FROM alerts""")
 def q_coupon_alert(spark, sf_dir):
     a = alert.coupon_alerts(_ev(spark, sf_dir), ALERT_SIZE, ALERT_SLIDE)
     return a.select("mid", _tsfmt("window_start"), _tsfmt("window_end"),
-                    _arr("uids"), _arr("itemIds"), _arr("events"), "ts")
+                    "n_accounts", "n_events", "ts")
 
 
 @register("coupon_alert_docs", cte(C_EV, C_EVW, C_ALERTS) + f"""
 SELECT '{alert.ALERT_INDEX_PREFIX}-' || strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS index_name,
-       mid || '-' || CAST(ts // 60000 AS VARCHAR) AS doc_id, mid, uids, itemIds, events, ts
+       mid || '-' || CAST(ts // 60000 AS VARCHAR) AS doc_id, mid, n_accounts, n_events, ts
 FROM alerts""")
 def q_coupon_alert_docs(spark, sf_dir):
-    d = alert.alert_docs(alert.coupon_alerts(_ev(spark, sf_dir), ALERT_SIZE, ALERT_SLIDE))
-    return d.select("index_name", "doc_id", "mid", _arr("uids"), _arr("itemIds"),
-                    _arr("events"), "ts")
+    return alert.alert_docs(alert.coupon_alerts(_ev(spark, sf_dir), ALERT_SIZE, ALERT_SLIDE))
+
+
+def _alert_members(spark, sf_dir, fn):
+    ev = _ev(spark, sf_dir)
+    alerts = alert.coupon_alerts(ev, ALERT_SIZE, ALERT_SLIDE)
+    out = fn(ev, alerts, ALERT_SIZE, ALERT_SLIDE)
+    return out.select(*[_tsfmt(c) if c in ("window_start", "window_end") else c
+                        for c in out.columns])
+
+
+@register("coupon_alert_accounts", cte(C_EV, C_EVW, C_ALERTS) + f"""
+SELECT DISTINCT {_ms_str('ws')} AS window_start, {_ms_str('we')} AS window_end, mid, uid
+FROM members WHERE evid = 'coupon'""")
+def q_coupon_alert_accounts(spark, sf_dir):
+    return _alert_members(spark, sf_dir, alert.alert_accounts)
+
+
+@register("coupon_alert_items", cte(C_EV, C_EVW, C_ALERTS) + f"""
+SELECT DISTINCT {_ms_str('ws')} AS window_start, {_ms_str('we')} AS window_end, mid, itemid
+FROM members WHERE evid = 'coupon' AND itemid IS NOT NULL""")
+def q_coupon_alert_items(spark, sf_dir):
+    return _alert_members(spark, sf_dir, alert.alert_items)
+
+
+@register("coupon_alert_events", cte(C_EV, C_EVW, C_ALERTS) + f"""
+SELECT {_ms_str('ws')} AS window_start, {_ms_str('we')} AS window_end, mid, event_id, evid, ts
+FROM members""")
+def q_coupon_alert_events(spark, sf_dir):
+    return _alert_members(spark, sf_dir, alert.alert_events)
 
 
 @register("events_until_click", cte(C_EV, C_EVW) + f""",

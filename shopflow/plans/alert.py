@@ -5,13 +5,14 @@ distinct accounts and no item click. The alert document carries the sorted
 account and item sets, the device's events of the window in time order, and
 its id ``<mid>-<minute of window end>`` (one document per device and minute).
 
-Batch form (``coupon_alerts``) runs in two steps so no per-group list is
-built for groups that do not alert: (1) a distinct count and a click flag per
-``(window, device)`` -- both combine map-side, so a device holding a third of
-all events is reduced per task before the shuffle; (2) only the alerting
-groups (semi join) collect their sets and event list. The streaming form
-(``streaming.jobs``) uses the single-aggregation equivalent because streaming
-aggregations allow no distinct counts.
+Batch form: ``coupon_alerts`` computes a distinct-account count, an event
+count and a click flag per ``(window, device)`` -- all combine map-side, so a
+device holding a third of all events is reduced per task before the shuffle.
+The alert's members (accounts, items, ordered events) are separate row
+outputs restricted to the alerting groups by a semi join; no group is ever
+collected into one value. The streaming form (``streaming.jobs``) is one
+incremental aggregation holding the sets in state (a stream allows no
+distinct count), the document shape of the reference.
 """
 
 from __future__ import annotations
@@ -41,8 +42,65 @@ def _coupon(c: str):
     return F.when(F.col("evid") == COUPON, F.col(c))
 
 
+def _alerting_groups(w: DataFrame, min_accounts: int) -> DataFrame:
+    """Per (window, device): distinct coupon accounts, event count and click
+    flag -- all partial aggregates -- kept when the alert rule holds."""
+    stats = w.groupBy(*GROUP).agg(
+        F.count_distinct(_coupon("uid")).alias("n_accounts"),
+        F.count(F.lit(1)).alias("n_events"),
+        F.max((F.col("evid") == CLICK).cast("int")).alias("clicked"))
+    return (stats.filter((F.col("n_accounts") >= min_accounts)
+                         & (F.coalesce(F.col("clicked"), F.lit(0)) == 0))
+            .drop("clicked"))
+
+
+def coupon_alerts(events: DataFrame, size: str = "5 minutes",
+                  slide: str | None = "1 minute",
+                  min_accounts: int = MIN_ACCOUNTS) -> DataFrame:
+    """AGG7/FLT2-4: one row per alerting (window, device):
+    ``window_start, window_end, mid, n_accounts, n_events, ts`` (``ts`` =
+    window end in epoch ms, the deterministic alert time).
+
+    The alert's account set, item set and ordered event list are returned as
+    rows by ``alert_accounts``/``alert_items``/``alert_events`` -- never
+    collected into one value, so a device holding a third of all events
+    stays spread over tasks."""
+    return (_alerting_groups(windowed(events, size, slide), min_accounts)
+            .withColumn("ts", F.unix_millis(F.col("window_end"))))
+
+
+def _members(events: DataFrame, alerts: DataFrame, size: str, slide: str | None) -> DataFrame:
+    """Events of the alerting groups only (semi join on the group key)."""
+    return windowed(events, size, slide).join(alerts.select(*GROUP), GROUP, "left_semi")
+
+
+def alert_accounts(events: DataFrame, alerts: DataFrame, size: str,
+                   slide: str | None = None) -> DataFrame:
+    """Distinct coupon accounts of each alert: ``*group, uid`` rows."""
+    m = _members(events, alerts, size, slide).filter(F.col("evid") == COUPON)
+    return m.select(*GROUP, "uid").distinct()
+
+
+def alert_items(events: DataFrame, alerts: DataFrame, size: str,
+                slide: str | None = None) -> DataFrame:
+    """Distinct coupon items of each alert: ``*group, itemid`` rows."""
+    m = _members(events, alerts, size, slide).filter(
+        (F.col("evid") == COUPON) & F.col("itemid").isNotNull())
+    return m.select(*GROUP, "itemid").distinct()
+
+
+def alert_events(events: DataFrame, alerts: DataFrame, size: str,
+                 slide: str | None = None) -> DataFrame:
+    """The events of each alert in time order (``ts``, ``event_id``):
+    ``*group, event_id, evid, ts`` rows (all events: alerting groups have
+    no click)."""
+    return _members(events, alerts, size, slide).select(*GROUP, "event_id", "evid", "ts")
+
+
 def alert_aggregates():
-    """AGG7 aggregates of one (window, device) group, as output columns."""
+    """Streaming form of AGG7 (one incremental aggregation; a stream allows
+    no distinct count and no second pass): the sets and the ordered event
+    list as arrays, the document shape of the reference."""
     ordered = F.array_sort(F.collect_list(F.struct("ts", "event_id", "evid")))
     return [
         F.array_sort(F.collect_set(_coupon("uid"))).alias("uids"),
@@ -51,31 +109,16 @@ def alert_aggregates():
     ]
 
 
-def coupon_alerts(events: DataFrame, size: str = "5 minutes",
-                  slide: str | None = "1 minute",
-                  min_accounts: int = MIN_ACCOUNTS) -> DataFrame:
-    """AGG7/FLT2-4: alerts per (window, device). Output
-    ``window_start, window_end, mid, uids, itemIds, events, ts`` where ``ts``
-    is the window end in epoch ms (deterministic alert time)."""
-    w = windowed(events, size, slide)
-    stats = w.groupBy(*GROUP).agg(
-        F.count_distinct(_coupon("uid")).alias("n_accounts"),
-        F.max((F.col("evid") == CLICK).cast("int")).alias("clicked"))
-    alerting = stats.filter((F.col("n_accounts") >= min_accounts)
-                            & (F.coalesce(F.col("clicked"), F.lit(0)) == 0))
-    detail = w.join(alerting.select(*GROUP), GROUP, "left_semi")
-    return (detail.groupBy(*GROUP).agg(*alert_aggregates())
-            .withColumn("ts", F.unix_millis(F.col("window_end"))))
-
-
 def alert_docs(alerts: DataFrame) -> DataFrame:
-    """PRJ7/PRJ8/STR3: document id ``mid-minute`` and daily index name."""
+    """PRJ7/PRJ8/STR3: document id ``mid-minute`` and daily index name; all
+    other columns of ``alerts`` are kept."""
     minute = F.floor(F.col("ts") / 60000).cast("long")
     index = F.concat_ws("-", F.lit(ALERT_INDEX_PREFIX),
                         F.date_format(F.timestamp_millis(F.col("ts")), "yyyy-MM-dd"))
+    rest = [c for c in alerts.columns if c not in ("window_start", "window_end")]
     return alerts.select(index.alias("index_name"),
                          F.concat_ws("-", F.col("mid"), minute.cast("string")).alias("doc_id"),
-                         "mid", "uids", "itemIds", "events", "ts")
+                         *rest)
 
 
 def events_until_click(events: DataFrame, size: str, slide: str | None = None) -> DataFrame:

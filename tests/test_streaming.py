@@ -151,6 +151,22 @@ def test_dau_state_stream_equals_batch(spark, workdir):
     assert len(got) == 397
 
 
+def _batch_alert_docs(spark, ev, size, slide):
+    """Batch alerts assembled into (doc_id, uids, events) from the row
+    outputs (test-side assembly of a small fixture)."""
+    alerts = alert_plan.coupon_alerts(ev, size, slide)
+    docs = {(r.mid, r.window_start): r.doc_id for r in
+            alert_plan.alert_docs(alerts.withColumn("ws", F.col("window_start")))
+            .select("mid", F.col("ws").alias("window_start"), "doc_id").collect()}
+    uids, events = {}, {}
+    for r in alert_plan.alert_accounts(ev, alerts, size, slide).collect():
+        uids.setdefault((r.mid, r.window_start), []).append(r.uid)
+    for r in alert_plan.alert_events(ev, alerts, size, slide).collect():
+        events.setdefault((r.mid, r.window_start), []).append((r.ts, r.event_id, r.evid))
+    return sorted((doc, tuple(sorted(uids[k])), tuple(e for _, _, e in sorted(events[k])))
+                  for k, doc in docs.items())
+
+
 def test_alert_stream_equals_batch(spark, workdir):
     # sf0.001 has no alerting window; sf0.01 has 187
     _, batches = _sd_event_logs(spark, SF01)
@@ -167,9 +183,7 @@ def test_alert_stream_equals_batch(spark, workdir):
     qy.awaitTermination()
     docs = sinks.latest_view(spark.read.parquet(out), ["doc_id"])
     got = sorted((r.doc_id, tuple(r.uids), tuple(r.events)) for r in docs.collect())
-    batch = alert_plan.alert_docs(alert_plan.coupon_alerts(
-        fx.event_logs(Tables(spark, SF01).events), "4 hours", "1 hour"))
-    want = sorted((r.doc_id, tuple(r.uids), tuple(r.events)) for r in batch.collect())
+    want = _batch_alert_docs(spark, fx.event_logs(Tables(spark, SF01).events), "4 hours", "1 hour")
     assert len(want) == 187 and got == want
 
 
@@ -185,11 +199,17 @@ def test_alert_cases(spark):
     for rows, expect in ((hit, True), (blocked, False), (repeat, False)):
         rows = [(i,) + r[1:] for i, r in enumerate(rows)]
         df = spark.createDataFrame(rows, schema)
-        got = alert_plan.coupon_alerts(df, "5 minutes", "1 minute").collect()
+        alerts = alert_plan.coupon_alerts(df, "5 minutes", "1 minute")
+        got = alerts.collect()
         assert bool(got) == expect
         if expect:
-            assert all(list(r.uids) == ["a", "b", "c"] for r in got)
-            docs = alert_plan.alert_docs(alert_plan.coupon_alerts(df, "5 minutes", "1 minute"))
+            assert all(r.n_accounts == 3 for r in got)
+            accounts = alert_plan.alert_accounts(df, alerts, "5 minutes", "1 minute")
+            per_alert = {}
+            for r in accounts.collect():
+                per_alert.setdefault((r.mid, r.window_start), set()).add(r.uid)
+            assert all(v == {"a", "b", "c"} for v in per_alert.values())
+            docs = alert_plan.alert_docs(alerts)
             ids = [r.doc_id for r in docs.collect()]
             assert len(ids) == len(set(ids))   # one document per device and minute
 
