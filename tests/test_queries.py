@@ -66,3 +66,17 @@ def test_day_filter_prunes_stored_partitions(spark, workdir):
     full = {r.log_date: r.dau for r in QUERIES["dau_total"](spark, SF01).collect()}
     assert [tuple(r) for r in one_day.collect()] == [("2024-01-07", full["2024-01-07"])]
     assert stored.filter(F.col("log_date") == "2024-01-07").inputFiles()
+
+
+@pytest.mark.parametrize("name", ["log_date_hour", "dau_today_vs_yesterday", "coupon_alert",
+                                  "sale_detail_interval", "realtime_hours"])
+def test_time_zone_independent(spark, name):
+    """Oracles use zone-free timestamps; the engine renders every time in UTC
+    whatever zone the caller's sessions start with."""
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        df = QUERIES[name](spark, SF01)
+        ok, msg = compare(df, ORACLE_SQL[name], duck(SF01, "America/New_York"))
+        assert ok, msg
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
