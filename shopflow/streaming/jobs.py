@@ -116,12 +116,12 @@ def dau_state_stream(startup: DataFrame, lateness: str = DAU_LATENESS) -> DataFr
     arrival order; the window's state is evicted once the watermark passes
     its end, and rows behind the watermark (of the previous micro-batch, as
     Spark filters late input) are dropped and counted
-    (``numRowsDroppedByWatermark``). Write it with a keyed upsert on
-    ``(mid, log_date)`` (earliest ``ts`` wins) so a row that slips into an
-    already emitted day in the one-batch gap cannot count twice. In append
-    mode a device-day is emitted once its day is closed; in update mode each
-    improvement is emitted and a keyed upsert on ``(mid, log_date)`` keeps
-    the latest (= earliest-ts) row."""
+    (``numRowsDroppedByWatermark``). In append mode a device-day is emitted
+    once its day is closed; in update mode each improvement is emitted.
+    Readers of the written table take the earliest row per device-day
+    (``operators.dedup.first_per_key(t, ["mid", "log_date"], ["ts",
+    "event_id"])``), which is right in both modes and absorbs a late row that
+    slips into an already emitted day in the one-batch gap."""
     picked = (startup.withWatermark("event_time", lateness)
               .groupBy(F.window("event_time", "1 day").alias("day"), "mid")
               .agg(F.min(F.struct("ts", "event_id", "uid", "type", "log_hour")).alias("p")))
