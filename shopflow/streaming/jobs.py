@@ -92,15 +92,14 @@ def dau_batch_sink(out_path: str) -> Callable[[DataFrame, int], None]:
         spark = batch.sparkSession
         rows = batch.select("event_id", "mid", "uid", "type", "ts").persist()   # STR8
         try:
-            # Only the day partitions this batch touches are read. The day
-            # list is bounded by the calendar (a 5 s batch spans one or two
-            # days; a backfill at most its date range), so it is safe to bring
-            # to the driver as a partition filter.
+            # Only the day partitions this batch touches are listed and read.
+            # The day list is bounded by the calendar (a 5 s batch spans one
+            # or two days; a backfill at most its date range), so it is safe
+            # to bring to the driver as a partition filter.
             days = [r[0] for r in dau_plan.with_dates(rows).select("log_date")
                     .distinct().collect()]
-            seen = (sinks.read_table(spark, out_path, before_batch=batch_id,
-                                     empty_schema="mid string, log_date string")
-                    .filter(F.col("log_date").isin(days)))
+            seen = sinks.read_days(spark, out_path, "log_date", days, before_batch=batch_id,
+                                   empty_schema="mid string, log_date string")
             fresh = dau_plan.dau_cross_batch(rows, seen.select("mid", "log_date"))
             sinks.write_batch(fresh, batch_id, out_path, ["log_date"])
         finally:

@@ -68,6 +68,36 @@ def read_table(spark: SparkSession, path: str, before_batch: int | None = None,
     return df
 
 
+def read_days(spark: SparkSession, path: str, day_col: str, days: Sequence[str],
+              before_batch: int | None = None, empty_schema: str | None = None) -> DataFrame:
+    """Rows of the given day partitions only. Only those day directories are
+    listed (``basePath`` keeps ``day_col`` as a column), so the cost of a
+    read does not grow with the number of days and batches in the table."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dirs = []
+    for d in days:
+        p = f"{path.rstrip('/')}/{day_col}={d}"
+        jp = jvm.org.apache.hadoop.fs.Path(p)
+        if jp.getFileSystem(conf).exists(jp):
+            dirs.append(p)
+    if not dirs:
+        if empty_schema is None:
+            raise ValueError(f"no partitions of {path} for {list(days)}")
+        df = spark.createDataFrame([], f"{empty_schema}, {BATCH_COL} long")
+    else:
+        try:
+            df = spark.read.option("basePath", path).parquet(*dirs)
+        except AnalysisException as e:
+            if empty_schema is None or "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            df = spark.createDataFrame([], f"{empty_schema}, {BATCH_COL} long")
+    df = df.withColumn(BATCH_COL, F.col(BATCH_COL).cast("long"))
+    if before_batch is not None:
+        df = df.filter(F.col(BATCH_COL) < before_batch)
+    return df
+
+
 def latest_view(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """SNK2/WIN2: latest version per key: highest batch id (numeric), then
     ``order``."""
