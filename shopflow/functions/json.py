@@ -18,19 +18,27 @@ TOPIC_USER_INFO = "TOPIC_USER_INFO"
 
 
 def decode(df: DataFrame, schema: T.StructType, col: str = "value",
-           keep: tuple[str, ...] = ()) -> DataFrame:
+           keep: tuple[str, ...] = (), required: tuple[str, ...] = ()) -> DataFrame:
     """Parse a JSON text column into ``schema`` columns.
 
     Malformed lines do not fail the job: their fields are NULL and the raw
     text is kept in ``_corrupt_record`` so a caller can send it to a
-    dead-letter output (``dead_letters``)."""
+    dead-letter output (``dead_letters``). Lines that parse but miss a
+    ``required`` field are quarantined the same way (no silent defaults)."""
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(col), with_corrupt,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    corrupt = parsed[CORRUPT]
+    if required:
+        missing = None
+        for r in required:
+            m = parsed[r].isNull()
+            missing = m if missing is None else (missing | m)
+        corrupt = F.coalesce(corrupt, F.when(missing, F.col(col)))
     return df.select(
         *keep,
         *[parsed[f.name].alias(f.name) for f in schema.fields],
-        parsed[CORRUPT].alias(CORRUPT),
+        corrupt.alias(CORRUPT),
     )
 
 

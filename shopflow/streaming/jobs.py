@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow import schemas
-from shopflow.functions.json import decode, good_rows
+from shopflow.functions.json import dead_letters, decode, good_rows
 from shopflow.functions.time import to_event_time
 from shopflow.operators.joins import interval_join
 from shopflow.plans import alert as alert_plan
@@ -28,6 +28,7 @@ from shopflow.session import checkpoint_root
 from shopflow.streaming import sinks
 
 DAU_LATENESS = "1 day"
+REQUIRED = ("mid", "ts")   # a log line without device or time is quarantined
 USER_TABLE = ("id string, login_name string, user_level string, birthday string, "
               "gender string, version long")
 
@@ -60,20 +61,27 @@ def _line_id(value: Column) -> Column:
 
 
 def startup_rows(raw: DataFrame) -> DataFrame:
-    """SRC2 + PRJ1: decoded start-up logs with ``event_time``/``log_date``."""
+    """SRC2 + PRJ1: decoded start-up logs with ``event_time``/``log_date``
+    (lines without ``mid`` or ``ts`` go to the dead letters, see
+    ``dead_letter_rows``)."""
     d = good_rows(decode(raw.withColumn("event_id", _line_id(F.col("value"))),
-                         schemas.STARTUP_LOG, keep=("event_id",)))
+                         schemas.STARTUP_LOG, keep=("event_id",), required=REQUIRED))
     d = d.select("event_id", "mid", "uid", "type", "ts")
     return dau_plan.with_dates(d).withColumn("event_time", to_event_time(F.col("ts")))
 
 
 def event_rows(raw: DataFrame) -> DataFrame:
     d = good_rows(decode(raw.withColumn("event_id", _line_id(F.col("value"))),
-                         schemas.EVENT_LOG, keep=("event_id",)))
+                         schemas.EVENT_LOG, keep=("event_id",), required=REQUIRED))
     return (d.select("event_id", "mid", "uid", "type", "evid", "itemid", "ts")
             .withColumn("event_time", to_event_time(F.col("ts"))))
 
 
+def dead_letter_rows(raw: DataFrame, schema) -> DataFrame:
+    """Raw lines a decoder rejects (malformed, or missing ``mid``/``ts``)."""
+    return dead_letters(decode(raw, schema, required=REQUIRED))
+
+
 def observed(df: DataFrame, name: str) -> DataFrame:
     """AGG13: per-batch row count reported in the query progress
     (``observedMetrics[name]``), computed in the same pass -- no extra job."""

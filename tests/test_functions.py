@@ -214,3 +214,11 @@ def test_realtime_hours_unknown_id_is_empty(spark):
     known = kpi.realtime_hours("dau", fx.startup_logs(t.events), fx.purchase_orders(t.events))
     unknown = kpi.realtime_hours("nope", fx.startup_logs(t.events), fx.purchase_orders(t.events))
     assert unknown.count() == 0 and unknown.schema == known.schema
+
+
+def test_decode_quarantines_missing_required_fields(spark):
+    raw = spark.createDataFrame([('{"mid":"1","ts":5}',), ('{"mid":"2"}',), ('{"ts":7}',)],
+                                "value string")
+    d = fj.decode(raw, schemas.STARTUP_LOG, required=("mid", "ts"))
+    assert [r.mid for r in fj.good_rows(d).collect()] == ["1"]
+    assert sorted(r[0] for r in fj.dead_letters(d).collect()) == ['{"mid":"2"}', '{"ts":7}']
