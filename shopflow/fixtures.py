@@ -125,13 +125,6 @@ def order_info(orders: DataFrame, with_time: bool = False) -> DataFrame:
     )
 
 
-def order_info_with_province(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    cust = customer.select(F.col("c_custkey"), _s("c_nationkey").alias("province_id"))
-    return (order_info(orders)
-            .join(cust, F.col("user_id") == F.col("c_custkey"), "left")
-            .drop("c_custkey"))
-
-
 def order_lines(lineitem: DataFrame, with_time: bool = False) -> DataFrame:
     """Order lines without the sku name (it needs the part table);
     ``with_time`` adds the line's arrival ``line_time`` (ship date)."""

@@ -50,10 +50,6 @@ def dead_letters(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
-def to_json_record(*cols) -> Column:
-    return F.to_json(F.struct(*cols))
-
-
 def columns_to_json(after: Column) -> Column:
     """Array of (name, value) column images -> JSON object text."""
     return F.to_json(F.map_from_entries(after))

@@ -57,9 +57,5 @@ def previous_day(d: Column) -> Column:
     return F.date_format(F.date_sub(parse_date(d), 1), DATE_FMT)
 
 
-def next_day(d: Column) -> Column:
-    return F.date_format(F.date_add(parse_date(d), 1), DATE_FMT)
-
-
 def hour_label(h: Column) -> Column:
     return F.lpad(h.cast("string"), 2, "0")

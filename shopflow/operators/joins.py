@@ -34,10 +34,6 @@ def anti_join(batch: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFra
     return batch.join(seen.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def semi_join(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(keys_df.select(*keys).distinct(), list(keys), "left_semi")
-
-
 def full_outer_unique(one: DataFrame, many: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join where ``one`` has at most one row per key.
 
@@ -102,5 +98,5 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                          *[right[c] for c in right.columns if c not in keys])
 
 
-__all__ = ["bounded", "anti_join", "semi_join", "full_outer_unique", "hour_spine",
+__all__ = ["bounded", "anti_join", "full_outer_unique", "hour_spine",
            "today_vs_yesterday", "interval_join"]
