@@ -57,3 +57,16 @@ def compare(spark_df, sql: str, con) -> tuple[bool, str]:
         if a != b:
             return False, f"first differing row:\n spark ={a}\n oracle={b}"
     return True, f"{len(s)} rows"
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def type_diff(spark_df, sql: str, con) -> dict:
+    """Columns whose Spark type does not map to the oracle's DuckDB type."""
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+          for f in spark_df.schema.fields}
+    rel = con.sql(sql)
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}

@@ -5,7 +5,7 @@ import pytest
 
 from shopflow.catalog import ORACLE_SQL, QUERIES
 from tests.conftest import SF001, SF01
-from tests.oracle import compare, duck
+from tests.oracle import compare, duck, type_diff
 
 import __spark_entry__ as entry_mod
 
@@ -25,6 +25,13 @@ def test_query_matches_oracle(spark, con, name):
     assert ok, msg
 
 
+def test_column_types_match_oracles(spark):
+    con = duck(SF001)
+    bad = {n: type_diff(QUERIES[n](spark, SF001), ORACLE_SQL[n], con)
+           for n in sorted(ORACLE_SQL)}
+    assert {n: d for n, d in bad.items() if d} == {}
+
+
 def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     rows = df.collect()
