@@ -421,3 +421,14 @@ def test_empty_first_batch_does_not_break_the_sink(spark, workdir):
     assert [r.mid for r in rows] == ["m"]
     users = os.path.join(workdir, "users_none")
     assert sinks.read_table(spark, users, empty_schema="id string").count() == 0
+
+
+def test_interval_join_line_first_boundaries(spark, workdir):
+    """The line arrives first (an earlier micro-batch), its order 99/100/101 s
+    later: match, match, none."""
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    lines = [[(f"l{g}", f"o{g}", "s", "n", "1.5", t0 - dt.timedelta(seconds=g))
+              for g in (99, 100, 101)], []]
+    orders = [[], [(f"o{g}", "u", "1", "2024-01-01 10:00:00", t0) for g in (99, 100, 101)]]
+    got, _ = _join_stream(spark, workdir, orders, lines)
+    assert sorted(r.order_detail_id for r in got.collect()) == ["l100", "l99"]
