@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopflow import constants as C
 from shopflow import fixtures as fx
 from shopflow import schemas
 from shopflow.functions.json import TOPIC_EVENT, decode, good_rows
@@ -25,11 +26,32 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+# fixed values used by the oracle SQL, filled into {{NAME}} placeholders so
+# the SQL and the engine share one source (shopflow.constants)
+_SQL_VALUES = {
+    "CARD_DAU_NAME": C.CARD_DAU[1], "CARD_NEW_MID_NAME": C.CARD_NEW_MID[1],
+    "CARD_ORDER_AMOUNT_NAME": C.CARD_ORDER_AMOUNT[1],
+    "TOPIC_STARTUP": C.TOPIC_STARTUP, "TOPIC_EVENT": C.TOPIC_EVENT,
+    "TOPIC_ORDER_INFO": C.TOPIC_ORDER_INFO, "TOPIC_ORDER_DETAIL": C.TOPIC_ORDER_DETAIL,
+    "TOPIC_USER_INFO": C.TOPIC_USER_INFO,
+    "BAND_UNDER_20": C.BAND_UNDER_20, "BAND_20_TO_30": C.BAND_20_TO_30,
+    "BAND_30_PLUS": C.BAND_30_PLUS,
+    "GENDER_M": C.GENDER_NAMES["M"], "GENDER_F": C.GENDER_NAMES["F"],
+}
+
+
+def _fill(sql: str) -> str:
+    for k, v in _SQL_VALUES.items():
+        sql = sql.replace("{{" + k + "}}", v)
+    assert "{{" not in sql, sql
+    return sql
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE_SQL[name] = sql.strip()
+            ORACLE_SQL[name] = _fill(sql.strip())
         return fn
     return deco
 
@@ -265,13 +287,13 @@ d AS (SELECT log_date AS dt, count(*) AS v FROM dedup GROUP BY 1)""", """
 n AS (SELECT log_date AS dt, count(*) AS v FROM first_seen GROUP BY 1)""", """
 g AS (SELECT create_date AS dt, round(sum(total_amount), 2) AS v FROM purchases GROUP BY 1)""", """
 days AS (SELECT dt FROM d UNION SELECT dt FROM n UNION SELECT dt FROM g)""") + """
-SELECT days.dt, 'dau' AS id, '新增日活' AS name, CAST(coalesce(d.v, 0) AS DOUBLE) AS value
+SELECT days.dt, 'dau' AS id, '{{CARD_DAU_NAME}}' AS name, CAST(coalesce(d.v, 0) AS DOUBLE) AS value
 FROM days LEFT JOIN d ON d.dt = days.dt
 UNION ALL
-SELECT days.dt, 'new_mid', '新增设备', CAST(coalesce(n.v, 0) AS DOUBLE)
+SELECT days.dt, 'new_mid', '{{CARD_NEW_MID_NAME}}', CAST(coalesce(n.v, 0) AS DOUBLE)
 FROM days LEFT JOIN n ON n.dt = days.dt
 UNION ALL
-SELECT days.dt, 'order_amount', '新增交易额', CAST(g.v AS DOUBLE)
+SELECT days.dt, 'order_amount', '{{CARD_ORDER_AMOUNT_NAME}}', CAST(g.v AS DOUBLE)
 FROM days LEFT JOIN g ON g.dt = days.dt""")
 def q_realtime_total(spark, sf_dir):
     return kpi.realtime_total(_startup(spark, sf_dir), _purchases(spark, sf_dir))
@@ -343,9 +365,9 @@ def q_ingest_stamp(spark, sf_dir):
 
 
 @register("ingest_route", """
-SELECT event_id, 'startup' AS kind, 'GMALL_STARTUP' AS topic FROM events
+SELECT event_id, 'startup' AS kind, '{{TOPIC_STARTUP}}' AS topic FROM events
 UNION ALL
-SELECT event_id, 'event' AS kind, 'GMALL_EVENT' AS topic FROM events""")
+SELECT event_id, 'event' AS kind, '{{TOPIC_EVENT}}' AS topic FROM events""")
 def q_ingest_route(spark, sf_dir):
     raw = fx.raw_log_json(Tables(spark, sf_dir).events)
     return ingest.route_logs(raw).select("event_id", "kind", "topic")
@@ -400,9 +422,9 @@ def q_cdc_flatten(spark, sf_dir):
 @register("cdc_route", cte(C_CHANGES) + """
 SELECT topic, "table", op, key, value FROM (
   SELECT *, CASE
-    WHEN "table" = 'order_info' AND op = 'INSERT' THEN 'TOPIC_ORDER_INFO'
-    WHEN "table" = 'order_detail' AND op = 'INSERT' THEN 'TOPIC_ORDER_DETAIL'
-    WHEN "table" = 'user_info' AND op IN ('INSERT', 'UPDATE') THEN 'TOPIC_USER_INFO'
+    WHEN "table" = 'order_info' AND op = 'INSERT' THEN '{{TOPIC_ORDER_INFO}}'
+    WHEN "table" = 'order_detail' AND op = 'INSERT' THEN '{{TOPIC_ORDER_DETAIL}}'
+    WHEN "table" = 'user_info' AND op IN ('INSERT', 'UPDATE') THEN '{{TOPIC_USER_INFO}}'
   END AS topic FROM changes) WHERE topic IS NOT NULL""")
 def q_cdc_route(spark, sf_dir):
     return ingest.route_changes(ingest.flatten_changes(_changes(spark, sf_dir)))
@@ -614,9 +636,9 @@ bands AS (SELECT s.dt,
   {_share_sql("coalesce(sum(CASE WHEN t.user_age < 20 THEN t.doc_count ELSE 0 END), 0)", "s.total")} AS a,
   {_share_sql("coalesce(sum(CASE WHEN t.user_age >= 20 AND t.user_age < 30 THEN t.doc_count ELSE 0 END), 0)", "s.total")} AS b
   FROM totals s LEFT JOIN top_user_age t ON t.dt = s.dt GROUP BY s.dt, s.total)""") + """
-SELECT dt, '20岁以下' AS name, a AS value FROM bands
-UNION ALL SELECT dt, '20岁到30岁', b FROM bands
-UNION ALL SELECT dt, '30岁及30岁以上', round(100.0 - a - b, 1) FROM bands""")
+SELECT dt, '{{BAND_UNDER_20}}' AS name, a AS value FROM bands
+UNION ALL SELECT dt, '{{BAND_20_TO_30}}', b FROM bands
+UNION ALL SELECT dt, '{{BAND_30_PLUS}}', round(100.0 - a - b, 1) FROM bands""")
 def q_age_band_share(spark, sf_dir):
     return search.age_band_share(_hits(spark, sf_dir))
 
@@ -730,12 +752,12 @@ bands AS (SELECT s.dt,
   {_share_sql("coalesce(sum(CASE WHEN t.user_age >= 20 AND t.user_age < 30 THEN t.doc_count ELSE 0 END), 0)", "s.total")} AS b
   FROM totals s LEFT JOIN top_user_age t ON t.dt = s.dt GROUP BY s.dt, s.total)""", f"""
 opts AS (
-  SELECT dt, 0 AS idx, 'age' AS title, 0 AS ord, '20岁以下' AS name, a AS value FROM bands
-  UNION ALL SELECT dt, 0, 'age', 1, '20岁到30岁', b FROM bands
-  UNION ALL SELECT dt, 0, 'age', 2, '30岁及30岁以上', round(100.0 - a - b, 1) FROM bands
+  SELECT dt, 0 AS idx, 'age' AS title, 0 AS ord, '{C.BAND_UNDER_20}' AS name, a AS value FROM bands
+  UNION ALL SELECT dt, 0, 'age', 1, '{C.BAND_20_TO_30}', b FROM bands
+  UNION ALL SELECT dt, 0, 'age', 2, '{C.BAND_30_PLUS}', round(100.0 - a - b, 1) FROM bands
   UNION ALL
   SELECT t.dt, 1, 'gender', -t.doc_count,
-         CASE t.user_gender WHEN 'M' THEN '男' WHEN 'F' THEN '女' ELSE t.user_gender END,
+         CASE t.user_gender WHEN 'M' THEN '{C.GENDER_NAMES["M"]}' WHEN 'F' THEN '{C.GENDER_NAMES["F"]}' ELSE t.user_gender END,
          {_share_sql('t.doc_count', 's.total')}
   FROM top_user_gender t JOIN totals s ON s.dt = t.dt)""") + """
 SELECT dt, idx, title,

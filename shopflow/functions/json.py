@@ -6,16 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopflow.constants import (TOPIC_EVENT, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO,
+                                TOPIC_STARTUP, TOPIC_USER_INFO)
+
 CORRUPT = "_corrupt_record"
 STRING_MAP = T.MapType(T.StringType(), T.StringType())
 
-# fixed values: topics of the log router and the change-feed router
-TOPIC_STARTUP = "GMALL_STARTUP"
-TOPIC_EVENT = "GMALL_EVENT"
-TOPIC_ORDER_INFO = "TOPIC_ORDER_INFO"
-TOPIC_ORDER_DETAIL = "TOPIC_ORDER_DETAIL"
-TOPIC_USER_INFO = "TOPIC_USER_INFO"
-
 
 def decode(df: DataFrame, schema: T.StructType, col: str = "value",
            keep: tuple[str, ...] = (), required: tuple[str, ...] = ()) -> DataFrame:

@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shopflow.constants import BAND_20_TO_30, BAND_30_PLUS, BAND_UNDER_20
 from shopflow.functions.time import parse_date
 
 DAYS_PER_YEAR = 365
-# fixed values: age-band labels ("under 20", "20 to 30", "30 and over")
-BAND_UNDER_20 = "20岁以下"
-BAND_20_TO_30 = "20岁到30岁"
-BAND_30_PLUS = "30岁及30岁以上"
 
 
 def age_years(birthday: Column, as_of: Column | str) -> Column:

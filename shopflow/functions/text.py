@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PHONE_KEEP = 4        # fixed value: leading characters of the phone kept
-PHONE_STARS = 8       # fixed value: number of '*' appended
+from shopflow.constants import PHONE_KEEP, PHONE_STARS
+
 TOKEN_SPLIT = r"[^\p{L}\p{Nd}]+"   # word characters are letters and digits
 
 

@@ -20,11 +20,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopflow.constants import ALERT_INDEX_PREFIX, CLICK, COUPON, MIN_ACCOUNTS  # noqa: F401
 from shopflow.functions.time import to_event_time
 
-COUPON, CLICK = "coupon", "clickItem"
-MIN_ACCOUNTS = 3
-ALERT_INDEX_PREFIX = "gmall_coupon_alert"   # fixed value: alert index prefix
 GROUP = ["window_start", "window_end", "mid"]
 
 

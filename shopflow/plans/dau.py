@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopflow.constants import DAU_INDEX_PREFIX
 from shopflow.functions.time import log_date, log_hour, with_log_date_hour
 from shopflow.operators.dedup import first_per_key, latest_per_key
 from shopflow.operators.joins import anti_join, today_vs_yesterday
@@ -69,7 +70,6 @@ def dau_cross_batch(batch: DataFrame, seen: DataFrame) -> DataFrame:
     return first_per_key(fresh, DEVICE_DAY, TS_ORDER)
 
 
-DAU_INDEX_PREFIX = "gmall2020_dau"   # fixed value: day index of DAU documents
 
 
 def dau_docs_latest(startup: DataFrame) -> DataFrame:

@@ -5,16 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopflow.constants import CARD_DAU, CARD_NEW_MID, CARD_ORDER_AMOUNT
 from shopflow.functions.time import with_create_date_hour
 from shopflow.operators.joins import today_vs_yesterday
 from shopflow.plans import dau as dau_plan
 from shopflow.plans import gmv as gmv_plan
 
-# fixed values: card ids and display names ("new daily active", "new devices",
-# "new revenue")
-CARD_DAU = ("dau", "新增日活")
-CARD_NEW_MID = ("new_mid", "新增设备")
-CARD_ORDER_AMOUNT = ("order_amount", "新增交易额")
 CARD_IDS = (CARD_DAU[0], CARD_NEW_MID[0], CARD_ORDER_AMOUNT[0])
 
 

@@ -11,16 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.functions.numeric import (BAND_20_TO_30, BAND_30_PLUS, BAND_UNDER_20,
-                                        remainder_pct, share_pct)
+from shopflow.constants import (AGE_BUCKETS, BAND_20_TO_30, BAND_30_PLUS, BAND_UNDER_20,
+                                GENDER_BUCKETS, GENDER_NAMES)
+from shopflow.functions.numeric import remainder_pct, share_pct
 from shopflow.functions.text import matches_all_terms
 from shopflow.operators.topk import page, top_buckets
 
-GENDER_BUCKETS = 2    # fixed value: terms size of the gender aggregation
-# fixed values: display names of the gender codes on the search page
-GENDER_NAMES = {"M": "男", "F": "女"}
 STAT_AGE, STAT_GENDER = "age", "gender"   # stat titles (page reads stat[0], stat[1])
-AGE_BUCKETS = 100     # fixed value: terms size of the age aggregation
 
 
 def search(sale: DataFrame, keyword: str, date: str | None = None) -> DataFrame:
