@@ -186,12 +186,13 @@ def sale_detail_sink(users_path: str, out_path: str, as_of: str) -> Callable[[Da
         spark = batch.sparkSession
         wide = batch.drop("order_time", "line_time").persist()
         try:
-            # versions of this batch's users only (semi join), then latest
+            # latest user rows (newest compaction + later batches), reduced
+            # to this batch's users
             ids = wide.select(F.col("user_id").alias("id")).distinct()
-            versions = sinks.read_table(spark, users_path, empty_schema=USER_TABLE).join(
-                ids, "id", "left_semi")
-            users = sale_plan.user_dim_latest(
-                sinks.latest_view(versions, ["id"], ["version"]).drop(sinks.BATCH_COL))
+            users = (sinks.read_keyed(spark, users_path, ["id"], ["version"],
+                                      empty_schema=USER_TABLE)
+                     .join(ids, "id", "left_semi")
+                     .drop(sinks.BATCH_COL, "version"))
             sinks.write_batch(sale_plan.enrich(wide, users, as_of), batch_id, out_path, ["dt"])
         finally:
             wide.unpersist()

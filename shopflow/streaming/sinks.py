@@ -112,6 +112,71 @@ def compact(spark: SparkSession, path: str, out_path: str, keys: Sequence[str],
     latest.write.mode("overwrite").partitionBy(*partition_cols).parquet(out_path)
 
 
+def _child_values(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Values of the ``name=<int>`` child folders of ``path`` (one directory
+    listing, no recursion)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        n = st.getPath().getName()
+        if st.isDirectory() and n.startswith(name + "="):
+            try:
+                out.append(int(n.split("=", 1)[1]))
+            except ValueError:
+                pass
+    return sorted(out)
+
+
+def compacted_path(path: str) -> str:
+    return path.rstrip("/") + "__compacted"
+
+
+def compact_keyed(spark: SparkSession, path: str, keys: Sequence[str],
+                  order: Sequence[str] = ()) -> int | None:
+    """Write the latest version per key of everything up to the newest batch
+    into a new folder ``<path>__compacted/upto=<batch>`` (never over a folder
+    that readers may be reading). Returns the batch id covered."""
+    ids = _child_values(spark, path, BATCH_COL)
+    if not ids:
+        return None
+    upto = ids[-1]
+    latest = read_keyed(spark, path, keys, order, upto=upto)
+    latest.write.mode("overwrite").parquet(f"{compacted_path(path)}/upto={upto}")
+    return upto
+
+
+def read_keyed(spark: SparkSession, path: str, keys: Sequence[str],
+               order: Sequence[str] = (), empty_schema: str | None = None,
+               upto: int | None = None) -> DataFrame:
+    """Latest version per key of a keyed (upsert) table: the newest
+    compaction plus only the batch folders written after it, so the read
+    does not list or scan the table's whole history."""
+    done = _child_values(spark, compacted_path(path), "upto")
+    base = done[-1] if done else None
+    ids = [i for i in _child_values(spark, path, BATCH_COL)
+           if (base is None or i > base) and (upto is None or i <= upto)]
+    parts = []
+    if base is not None:
+        parts.append(spark.read.parquet(f"{compacted_path(path)}/upto={base}"))
+    if ids:
+        parts.append(spark.read.option("basePath", path)
+                     .parquet(*[f"{path.rstrip('/')}/{BATCH_COL}={i}" for i in ids]))
+    if not parts:
+        if empty_schema is None:
+            raise ValueError(f"{path} has no data")
+        return spark.createDataFrame([], f"{empty_schema}, {BATCH_COL} long")
+    df = parts[0]
+    for extra in parts[1:]:
+        df = df.unionByName(extra.withColumn(BATCH_COL, F.col(BATCH_COL).cast("long")),
+                            allowMissingColumns=True)
+    return latest_view(df, keys, order)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

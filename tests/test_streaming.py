@@ -432,3 +432,20 @@ def test_interval_join_line_first_boundaries(spark, workdir):
     orders = [[], [(f"o{g}", "u", "1", "2024-01-01 10:00:00", t0) for g in (99, 100, 101)]]
     got, _ = _join_stream(spark, workdir, orders, lines)
     assert sorted(r.order_detail_id for r in got.collect()) == ["l100", "l99"]
+
+
+def test_compacted_keyed_table_reads_latest(spark, workdir):
+    """Latest per key = newest compaction + batches after it, equal to the
+    latest view over the whole history."""
+    path = os.path.join(workdir, "users")
+    schema = "id string, user_level string, version long"
+    for b, rows in enumerate([[("u1", "A", 1), ("u2", "A", 1)], [("u1", "B", 2)],
+                              [("u3", "A", 1)]]):
+        sinks.write_batch(spark.createDataFrame(rows, schema), b, path)
+    assert sinks.compact_keyed(spark, path, ["id"], ["version"]) == 2
+    for b, rows in enumerate([[("u2", "C", 2)], [("u1", "D", 3)]], start=3):
+        sinks.write_batch(spark.createDataFrame(rows, schema), b, path)
+    got = {r.id: r.user_level for r in sinks.read_keyed(spark, path, ["id"], ["version"]).collect()}
+    full = {r.id: r.user_level for r in
+            sinks.latest_view(sinks.read_table(spark, path), ["id"], ["version"]).collect()}
+    assert got == full == {"u1": "D", "u2": "C", "u3": "A"}
