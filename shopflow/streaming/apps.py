@@ -124,3 +124,62 @@ def cdc_app(entries: DataFrame, out_path: str, name: str = "cdc",
 
 __all__ = ["decode_orders", "decode_details", "decode_users", "dau_app", "gmv_app",
            "user_app", "alert_app", "sale_detail_app", "ingest_app", "cdc_app"]
+
+
+# --- command line (spark-submit entry point) ---------------------------------
+
+def _source(spark, args, topic_arg: str = "topic", path_arg: str = "input"):
+    from shopflow.sources import streams
+    topic, path = getattr(args, topic_arg, None), getattr(args, path_arg, None)
+    if topic:
+        return streams.kafka_topic(spark, args.kafka_servers, topic,
+                                   per_trigger=args.max_per_trigger)
+    return streams.text_files(spark, path, per_trigger=args.max_files)
+
+
+def main(argv: list[str] | None = None) -> list[StreamingQuery]:
+    """``spark-submit -m shopflow.streaming.apps <app> ...`` -- one app per
+    call, source = Kafka topic (``--kafka-servers --topic``) or a folder of
+    JSON-lines files (``--input``); checkpoints under spark.checkpoint.dir."""
+    import argparse
+
+    from pyspark.sql import SparkSession
+
+    ap = argparse.ArgumentParser(prog="shopflow.streaming.apps")
+    ap.add_argument("app", choices=["dau", "gmv", "users", "alert", "sale_detail", "ingest"])
+    ap.add_argument("--kafka-servers")
+    ap.add_argument("--topic")
+    ap.add_argument("--input")
+    ap.add_argument("--detail-topic")
+    ap.add_argument("--detail-input")
+    ap.add_argument("--users")
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--routed")
+    ap.add_argument("--as-of")
+    ap.add_argument("--max-per-trigger", type=int)
+    ap.add_argument("--max-files", type=int)
+    ap.add_argument("--available-now", action="store_true")
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.appName(f"shopflow-{args.app}").getOrCreate()
+    trigger = {"availableNow": True} if args.available_now else None
+    raw = _source(spark, args)
+    if args.app == "dau":
+        q = dau_app(raw, args.out, trigger=trigger)
+    elif args.app == "gmv":
+        q = gmv_app(raw, args.out, trigger=trigger)
+    elif args.app == "users":
+        q = user_app(raw, args.out, trigger=trigger)
+    elif args.app == "alert":
+        q = alert_app(raw, args.out, trigger=trigger)
+    elif args.app == "ingest":
+        q = ingest_app(raw, args.out, args.routed, trigger=trigger)
+    else:
+        detail = _source(spark, args, "detail_topic", "detail_input")
+        q = sale_detail_app(raw, detail, args.users, args.out, args.as_of, trigger=trigger)
+    if args.available_now:
+        q.awaitTermination()
+    return [q]
+
+
+if __name__ == "__main__":
+    main()[0].awaitTermination()

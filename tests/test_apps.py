@@ -58,3 +58,13 @@ def test_change_feed_to_gmv_users_and_sale_detail(spark, workdir):
     assert all(r.user_age is not None for r in rows)
     assert {r.user_level for r in rows} <= {"AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD",
                                             "MACHINERY", None}
+
+
+def test_command_line_dau_app(spark, workdir):
+    src = os.path.join(workdir, "in")
+    write_batches(src, [[{"type": "startup", "mid": "a", "uid": "1", "ts": 1704067200000}],
+                        [{"type": "startup", "mid": "a", "uid": "1", "ts": 1704067300000}]])
+    out = os.path.join(workdir, "dau")
+    apps.main(["dau", "--input", src, "--out", out, "--max-files", "1", "--available-now"])
+    rows = spark.read.parquet(out).collect()
+    assert [(r.mid, r.log_date) for r in rows] == [("a", "2024-01-01")]
