@@ -138,9 +138,10 @@ def _source(spark, args, topic_arg: str = "topic", path_arg: str = "input"):
 
 
 def main(argv: list[str] | None = None) -> list[StreamingQuery]:
-    """``spark-submit -m shopflow.streaming.apps <app> ...`` -- one app per
-    call, source = Kafka topic (``--kafka-servers --topic``) or a folder of
-    JSON-lines files (``--input``); checkpoints under spark.checkpoint.dir."""
+    """``spark-submit --py-files shopflow.zip shopflow/streaming/apps.py <app>
+    ...`` -- one app per call, source = Kafka topic (``--kafka-servers
+    --topic``) or a folder of JSON-lines files (``--input``); checkpoints
+    under spark.checkpoint.dir."""
     import argparse
 
     from pyspark.sql import SparkSession
