@@ -222,3 +222,31 @@ def test_decode_quarantines_missing_required_fields(spark):
     d = fj.decode(raw, schemas.STARTUP_LOG, required=("mid", "ts"))
     assert [r.mid for r in fj.good_rows(d).collect()] == ["1"]
     assert sorted(r[0] for r in fj.dead_letters(d).collect()) == ['{"mid":"2"}', '{"ts":7}']
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 400)), min_size=1, max_size=12),
+       st.lists(st.tuples(st.integers(0, 4), st.integers(0, 400)), min_size=1, max_size=12),
+       st.integers(0, 150))
+def test_interval_join_matches_brute_force(spark, orders, lines, bound):
+    from shopflow.operators.joins import interval_join
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    o = spark.createDataFrame([(k, i, t0 + dt.timedelta(seconds=s)) for i, (k, s) in enumerate(orders)],
+                              "k int, oid int, ot timestamp")
+    d = spark.createDataFrame([(k, i, t0 + dt.timedelta(seconds=s)) for i, (k, s) in enumerate(lines)],
+                              "k int, lid int, lt timestamp")
+    got = sorted((r.oid, r.lid) for r in interval_join(o, d, ["k"], "ot", "lt", bound).collect())
+    want = sorted((i, j) for i, (ko, so) in enumerate(orders) for j, (kl, sl) in enumerate(lines)
+                  if ko == kl and abs(sl - so) <= bound)
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.sets(st.integers(0, 6), max_size=5), st.lists(st.integers(0, 6), max_size=12))
+def test_full_outer_unique_matches_native(spark, one_keys, many_keys):
+    one_ = spark.createDataFrame([(k, f"o{k}") for k in sorted(one_keys)], "k int, o string")
+    many = spark.createDataFrame([(k, f"l{i}") for i, k in enumerate(many_keys)], "k int, l string")
+    mine = sorted((r.k, r.o, r.l) for r in full_outer_unique(one_, many, ["k"]).collect())
+    native = sorted((r.k, r.o, r.l) for r in one_.join(many, "k", "full_outer").collect())
+    assert mine == native
