@@ -125,3 +125,34 @@ def sale_detail(spark: SparkSession, sale_path: str, date: str, page_no: int, si
         detail=search.search_page(hits, page_no, size),
         stat=search.search_stats(hits).drop("dt").orderBy("idx"),
     )
+
+
+def realtime_total_json(spark: SparkSession, dau_path: str, orders_path: str,
+                        date: str) -> DataFrame:
+    """The ``realtime-total`` response body: a JSON list of the three cards
+    (one row, one ``body`` column; 3 entries collected)."""
+    cards = realtime_total(spark, dau_path, orders_path, date).withColumn(
+        "ord", F.when(F.col("id") == kpi.CARD_DAU[0], 0)
+        .when(F.col("id") == kpi.CARD_NEW_MID[0], 1).otherwise(2))
+    entries = F.array_sort(F.collect_list(F.struct("ord", "id", "name", "value")))
+    return cards.agg(F.to_json(F.transform(entries, lambda e: F.struct(
+        e["id"].alias("id"), e["name"].alias("name"), e["value"].alias("value"))))
+        .alias("body"))
+
+
+def realtime_hours_json(spark: SparkSession, card_id: str, dau_path: str, orders_path: str,
+                        date: str) -> DataFrame:
+    """The ``realtime-hours`` response body ``{"yesterday": {HH: v},
+    "today": {HH: v}}`` with only the hours that have data (the page fills
+    the rest); an unknown id gives ``{}``. At most 24 entries per day are
+    collected."""
+    if card_id not in kpi.CARD_IDS:
+        return spark.range(1).select(F.lit("{}").alias("body"))
+    s = realtime_hours(spark, card_id, dau_path, orders_path, date)
+
+    def hour_map(col: str):
+        entries = F.array_sort(F.collect_list(
+            F.when(F.col(col) != 0, F.struct(F.col("hour"), F.col(col)))))
+        return F.map_from_entries(F.filter(entries, lambda e: e.isNotNull()))
+    return s.agg(F.to_json(F.struct(hour_map("yesterday").alias("yesterday"),
+                                    hour_map("today").alias("today"))).alias("body"))

@@ -61,3 +61,16 @@ def test_sale_detail_request(spark, stored):
     assert got == want
     plan = res.total._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan
+
+
+def test_json_bodies(spark, stored):
+    import json
+    body = json.loads(serve.realtime_total_json(spark, stored["dau"], stored["orders"], DAY).first().body)
+    assert [c["id"] for c in body] == ["dau", "new_mid", "order_amount"]
+    cards = {r.id: r.value for r in serve.realtime_total(spark, stored["dau"], stored["orders"], DAY).collect()}
+    assert {c["id"]: c.get("value") for c in body} == cards
+    hours = json.loads(serve.realtime_hours_json(spark, "dau", stored["dau"], stored["orders"], DAY).first().body)
+    rows = serve.realtime_hours(spark, "dau", stored["dau"], stored["orders"], DAY).collect()
+    assert hours["today"] == {r.hour: r.today for r in rows if r.today}
+    assert hours["yesterday"] == {r.hour: r.yesterday for r in rows if r.yesterday}
+    assert serve.realtime_hours_json(spark, "x", stored["dau"], stored["orders"], DAY).first().body == "{}"
