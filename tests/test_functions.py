@@ -250,3 +250,41 @@ def test_full_outer_unique_matches_native(spark, one_keys, many_keys):
     mine = sorted((r.k, r.o, r.l) for r in full_outer_unique(one_, many, ["k"]).collect())
     native = sorted((r.k, r.o, r.l) for r in one_.join(many, "k", "full_outer").collect())
     assert mine == native
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.dictionaries(st.tuples(st.sampled_from(["2024-01-01", "2024-01-02", "2024-01-04"]),
+                                 st.integers(0, 23)), st.integers(1, 50), max_size=15))
+def test_today_vs_yesterday_matches_brute_force(spark, series):
+    import datetime as dt
+    rows = [(d, f"{h:02d}", v) for (d, h), v in series.items()]
+    df = spark.createDataFrame(rows or [("2024-01-01", "00", 0)], "d string, h string, v long")
+    if not rows:
+        df = df.limit(0)
+    got = {(r.dt, r.hour): (r.today, r.yesterday) for r in today_vs_yesterday(df, "d", "h", "v").collect()}
+    days = {d for d, _, _ in rows}
+    want = {}
+    for d in days:
+        prev = (dt.date.fromisoformat(d) - dt.timedelta(days=1)).isoformat()
+        for h in range(24):
+            hh = f"{h:02d}"
+            want[(d, hh)] = (series.get((d, h), 0), series.get((prev, h), 0))
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 6)), max_size=40), st.integers(1, 4))
+def test_top_terms_matches_brute_force(spark, rows, n):
+    df = spark.createDataFrame(rows or [("a", 0)], "g string, t int")
+    if not rows:
+        df = df.limit(0)
+    got = sorted((r.g, r.t, r.doc_count) for r in top_terms(df, "t", n, ["g"]).collect())
+    want = []
+    for g in {g for g, _ in rows}:
+        counts = {}
+        for gg, t in rows:
+            if gg == g:
+                counts[t] = counts.get(t, 0) + 1
+        ranked = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:n]
+        want += [(g, t, c) for t, c in ranked]
+    assert got == sorted(want)
