@@ -74,3 +74,16 @@ def test_json_bodies(spark, stored):
     assert hours["today"] == {r.hour: r.today for r in rows if r.today}
     assert hours["yesterday"] == {r.hour: r.yesterday for r in rows if r.yesterday}
     assert serve.realtime_hours_json(spark, "x", stored["dau"], stored["orders"], DAY).first().body == "{}"
+
+
+def test_redelivered_order_counted_once(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    schema = "id string, total_amount double, create_time string, create_date string, create_hour string"
+    o = [("1", 10.0, "2024-01-07 05:00:00", "2024-01-07", "05"),
+         ("2", 5.5, "2024-01-07 06:00:00", "2024-01-07", "06")]
+    sinks.write_batch(spark.createDataFrame(o, schema), 0, path, ["create_date"])
+    sinks.write_batch(spark.createDataFrame(o[:1], schema), 1, path, ["create_date"])  # re-sent
+    assert serve.gmv_total(spark, path, "2024-01-07").first().gmv == 15.5
+    hours = {r.hour: r.today for r in serve.realtime_hours(spark, "order_amount", path, path, "2024-01-07").collect()}
+    assert hours["05"] == 10.0 and hours["06"] == 5.5
+    assert serve.gmv_total(spark, path, "2024-01-08").first().gmv is None
