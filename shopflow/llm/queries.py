@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import exact_dedup, sharding, url_filter
+from shopflow.llm import bpe_codec, exact_dedup, sharding, token_counts, url_filter
 from shopflow.llm.common import table
 
+#: the tokenizer file of op3 and op9, and the longest sequence op9 allows
+TOKENIZER = "byte_bpe_50k.json"
+MOST_TOKENS = 1024
 #: production shard names of op1
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
@@ -20,6 +24,15 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(sized, "doc_id", SHARDS).select("doc_id", "slot", "shard", "n_bytes")
 
 
+def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = bpe_codec.encode(table(spark, sf_dir, "documents", "doc_id", "text"), path)
+    return bpe_codec.decode(encoded, path).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.query(spark, sf_dir)
 
@@ -28,10 +41,18 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER))
+    return counted.withColumn("over_limit", F.col("n_tokens") > MOST_TOKENS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op3_bpe_codec": op3_bpe_codec,
     "op6_url_filter": op6_url_filter,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_token_counts": op9_token_counts,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_url_filter": url_filter.ORACLE,
