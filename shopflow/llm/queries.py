@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import bpe_codec, exact_dedup, sharding, token_counts, url_filter
-from shopflow.llm.common import table
+from shopflow.llm import bpe_codec, exact_dedup, language_id, sharding, token_counts, toxicity, url_filter
+from shopflow.llm.common import in_training, table
 
 #: the tokenizer file of op3 and op9, and the longest sequence op9 allows
 TOKENIZER = "byte_bpe_50k.json"
@@ -33,6 +33,15 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.language_model(docs)
+    classifier = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), model)
+    scored = toxicity.score(docs, model, classifier)
+    return scored.select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.query(spark, sf_dir)
 
@@ -41,6 +50,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.train(docs))
+    return found.select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), "lang_pred", "score")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     counted = token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER))
@@ -50,8 +65,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_bpe_codec": op3_bpe_codec,
+    "op4_toxicity": op4_toxicity,
     "op6_url_filter": op6_url_filter,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
 }
 ORACLE_SQL: dict[str, str] = {
