@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import bpe_codec, exact_dedup, language_id, sharding, token_counts, toxicity, url_filter
+from shopflow.llm import (
+    bpe_codec,
+    decontamination,
+    exact_dedup,
+    language_id,
+    sharding,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from shopflow.llm.common import in_training, table
 
 #: the tokenizer file of op3 and op9, and the longest sequence op9 allows
@@ -42,6 +51,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontamination.leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.query(spark, sf_dir)
 
@@ -66,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_toxicity": op4_toxicity,
+    "op5_decontamination": op5_decontamination,
     "op6_url_filter": op6_url_filter,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
