@@ -13,6 +13,7 @@ from shopflow.llm import (
     decontamination,
     exact_dedup,
     language_id,
+    near_dedup,
     sharding,
     token_counts,
     toxicity,
@@ -76,6 +77,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > MOST_TOKENS)
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classify(table(spark, sf_dir, "documents", "doc_id", "text"), size=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_bpe_codec": op3_bpe_codec,
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
+    "op10_near_dedup": op10_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_url_filter": url_filter.ORACLE,

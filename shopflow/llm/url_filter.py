@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopflow.llm import bloom
+from shopflow.llm.bloom import Bloom
 from shopflow.llm.common import cut, python_ready
 
 #: fixed values: (verdict, host, path) of the rules
@@ -67,66 +68,17 @@ def rule_of(rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-@dataclass
-class Level:
-    bits: int
-    hashes: int
-    words: np.ndarray
-
-    def passes(self, keys: np.ndarray, level: int) -> np.ndarray:
-        out = np.ones(len(keys), bool)
-        for j in range(self.hashes):
-            at = positions(keys, level, j, self.bits)
-            out &= (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-        return out
-
-
-def positions(keys: np.ndarray, level: int, j: int, bits: int) -> np.ndarray:
-    """Bit number of each 64-bit key for one hash of one level."""
-    x = keys.astype(np.uint64) + np.uint64(((level * 64 + j + 1) * 0x9E3779B97F4A7C15) % 2 ** 64)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return (x ^ (x >> np.uint64(31))) % np.uint64(bits)
-
-
-def sized(n: int, wrong: float) -> tuple[int, int]:
-    """Bits and hashes of a filter of n keys with that false positive rate."""
-    bits = max(64, math.ceil(n * -math.log(wrong) / math.log(2) ** 2))
-    return bits, max(1, round(bits / max(n, 1) * math.log(2)))
-
-
-def build_level(keys: DataFrame, level: int, bits: int, hashes: int) -> Level:
-    """Each task sets bits for its keys; the words are combined by a partial
-    bit_or, so at most bits / 64 numbers reach the driver."""
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.unique(np.concatenate([positions(batch.column(0).to_numpy(), level, j, bits)
-                                           for j in range(hashes)]))
-            word, bit = (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
-            starts = np.flatnonzero(np.diff(word, prepend=-1))
-            mask = np.bitwise_or.reduceat(bit, starts) if len(starts) else bit
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(word[starts]), pa.array(mask.astype(np.int64))], ["word", "mask"])
-
-    got = (keys.select("key").mapInArrow(words, "word long, mask long")
-           .groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas())
-    out = np.zeros(bits // 64 + 1, np.uint64)
-    out[got["word"].to_numpy()] = got["mask"].to_numpy().astype(np.uint64)
-    return Level(bits, hashes, out)
-
-
-def tested(keys: DataFrame, level: Level, number: int) -> DataFrame:
+def tested(keys: DataFrame, level: Bloom) -> DataFrame:
     """The keys that the level accepts."""
     shared = keys.sparkSession.sparkContext.broadcast(level)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = shared.value.passes(batch.column(0).to_numpy(), number)
-            yield batch.filter(pa.array(ok))
+            yield batch.filter(pa.array(shared.value.passes(batch.column(0).to_numpy())))
     return keys.select("key").mapInArrow(run, "key long")
 
 
-def build(universe: DataFrame, max_bytes: int = MAX_BYTES) -> list[Level] | None:
+def build(universe: DataFrame, max_bytes: int = MAX_BYTES) -> list[Bloom] | None:
     """Levels for a table (key long, listed boolean) of distinct keys; None
     where the filters would be larger than ``max_bytes``."""
     python_ready(universe.sparkSession)
@@ -135,34 +87,34 @@ def build(universe: DataFrame, max_bytes: int = MAX_BYTES) -> list[Level] | None
     if not inside:
         return []
     wrong = min(0.5, max(inside, 1) / (math.sqrt(2) * max(outside, 1)))
-    bits, hashes = sized(inside, wrong)
+    bits, hashes = bloom.sized(inside, wrong)
     if 3 * bits / 8 > max_bytes:  # later levels hold less than twice the first one's bits
         return None
-    levels: list[Level] = []
+    levels: list[Bloom] = []
     has, rest = universe.filter("listed").select("key"), universe.filter("not listed").select("key")
     while True:
-        levels.append(build_level(has, len(levels), bits, hashes))
-        passed = cut(tested(rest, levels[-1], len(levels) - 1))
+        levels.append(bloom.build(has, bits, hashes, len(levels)))
+        passed = cut(tested(rest, levels[-1]))
         count = passed.count()
         if not count:
             return levels
         has, rest = passed, has
-        bits, hashes = sized(count, 0.5)
+        bits, hashes = bloom.sized(count, 0.5)
 
 
-def member(keys: np.ndarray, levels: list[Level]) -> np.ndarray:
+def member(keys: np.ndarray, levels: list[Bloom]) -> np.ndarray:
     """Whether each key of the universe is listed."""
     listed = np.zeros(len(keys), bool)
     open_ = np.arange(len(keys))
     for number, level in enumerate(levels):
-        ok = level.passes(keys[open_], number)
+        ok = level.passes(keys[open_])
         listed[open_[~ok]] = number % 2 == 1
         open_ = open_[ok]
     listed[open_] = len(levels) % 2 == 1
     return listed
 
 
-def listed_pages(pages: DataFrame, levels: list[Level]) -> DataFrame:
+def listed_pages(pages: DataFrame, levels: list[Bloom]) -> DataFrame:
     """``pages`` (with a column key) with the column listed, without a join."""
     shared = pages.sparkSession.sparkContext.broadcast(levels)
     fields = T.StructType([*pages.schema.fields, T.StructField("listed", T.BooleanType())])
