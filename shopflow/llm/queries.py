@@ -15,6 +15,7 @@ from shopflow.llm import (
     language_id,
     near_dedup,
     sharding,
+    substring_dedup,
     token_counts,
     toxicity,
     url_filter,
@@ -34,6 +35,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(sized, "doc_id", SHARDS).select("doc_id", "slot", "shard", "n_bytes")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stripped = substring_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return stripped.select("doc_id", "n_words", "n_removed",
+                           F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     encoded = bpe_codec.encode(table(spark, sf_dir, "documents", "doc_id", "text"), path)
@@ -83,6 +90,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
