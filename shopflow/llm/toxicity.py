@@ -25,13 +25,13 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.llm.common import cut, in_training, python_ready
@@ -310,11 +310,10 @@ def regression(found: list[list[int]], toxic: np.ndarray, rate: float, places: d
     return Classifier(places, state[:-1], float(state[-1]))
 
 
-def score(docs: DataFrame, model: np.ndarray, classifier: Classifier, carry: bool = False) -> DataFrame:
-    """doc_id and score of every row; with ``carry`` all columns of ``docs``
-    and the column toxicity_score."""
-    python_ready(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((model, classifier))
+def scorer(spark: SparkSession, model: np.ndarray, classifier: Classifier) -> Callable[[str], Column]:
+    """Column function: the score of a text column."""
+    python_ready(spark)
+    shared = spark.sparkContext.broadcast((model, classifier))
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -322,7 +321,16 @@ def score(docs: DataFrame, model: np.ndarray, classifier: Classifier, carry: boo
         reader = Reader(own_model, own.features)
         for texts in batches:
             yield pd.Series([own.score(reader.features(t)) for t in texts], dtype=float)
+    return scored
+
+
+def score(docs: DataFrame, model: np.ndarray, classifier: Classifier) -> DataFrame:
+    """doc_id and score of every row."""
+    return docs.select("doc_id", scorer(docs.sparkSession, model, classifier)("text").alias("score"))
+
 
-    if carry:
-        return docs.withColumn("toxicity_score", scored("text"))
-    return docs.select("doc_id", scored("text").alias("score"))
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all columns, that score below the threshold."""
+    model = language_model(docs)
+    scored = scorer(docs.sparkSession, model, fit(docs, labels, model))
+    return docs.filter(scored("text") < threshold)
