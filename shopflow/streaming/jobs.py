@@ -37,20 +37,21 @@ def checkpoint_for(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "streams", name)
 
 
-def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None] | None = None,
+def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None],
           mode: str = "append", trigger: dict | None = None,
           checkpoint: str | None = None) -> StreamingQuery:
     """Start a query with a checkpoint (offsets + state survive restarts and
-    lost executors). ``trigger`` defaults to the 5 s micro-batch interval."""
-    w = df.writeStream.outputMode(mode).queryName(name)
-    w = w.option("checkpointLocation",
-                 checkpoint or checkpoint_for(df.sparkSession, name))
-    w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
-    if sink is not None:
-        w = w.foreachBatch(sink)
-    else:
-        w = w.format("memory")
-    return w.start()
+    lost executors). ``trigger`` defaults to the 5 s micro-batch interval. The
+    sink gets batch ids that are unique across checkpoints."""
+    location = checkpoint or checkpoint_for(df.sparkSession, name)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        sink(batch, sinks.run_batch(batch.sparkSession, location, batch_id))
+
+    return (df.writeStream.outputMode(mode).queryName(name)
+            .option("checkpointLocation", location)
+            .trigger(**(trigger or {"processingTime": "5 seconds"}))
+            .foreachBatch(run).start())
 
 
 # --- decoding ----------------------------------------------------------------

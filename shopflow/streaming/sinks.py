@@ -2,7 +2,9 @@
 
 A micro-batch writes its rows under ``batch_id=<n>`` with dynamic partition
 overwrite, so a batch that is retried after a failure (same id, same input
-offsets) replaces its own output instead of appending a duplicate. Keyed
+offsets) replaces its own output instead of appending a duplicate. The id
+includes the run (``run_batch``), so a new checkpoint never overwrites what an
+earlier one stored. Keyed
 (upsert) outputs keep every version and expose the latest one per key through
 ``latest_view``; ``compact`` rewrites that view as a new table.
 """
@@ -18,6 +20,24 @@ from pyspark.sql import functions as F
 from shopflow.operators.dedup import latest_per_key
 
 BATCH_COL = "batch_id"
+#: batch ids a checkpoint can use: 15 years of one batch every 5 seconds
+RUN_BATCHES = 100_000_000
+
+
+def run_batch(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """Batch id that no other checkpoint uses: the tenth of a second at which
+    the checkpoint was created (its ``metadata`` file is written once and
+    stays across restarts) in front of the query's own batch id.
+
+    A restart or retry under the same checkpoint gets the same id and replaces
+    its own output; a query under a new checkpoint starts at batch 0 again but
+    gets larger ids than every earlier run, so it replaces nothing and sorts
+    after what is stored."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/metadata")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    created = fs.getFileStatus(path).getModificationTime() // 100
+    return created * RUN_BATCHES + batch_id
 
 
 def write_batch(df: DataFrame, batch_id: int, path: str,
