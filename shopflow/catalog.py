@@ -351,13 +351,13 @@ raw AS (
 
 @register("ingest_stamp", cte(C_RAW_FIELDS) + f"""
 SELECT event_id, 'startup' AS kind,
-       '{{"type":"startup","mid":"' || uid || '","uid":"' || uid || '","ts":"{STAMP_MS}"}}' AS value
+       '{{"type":"startup","mid":"' || uid || '","uid":"' || uid || '","ts":{STAMP_MS}}}' AS value
 FROM raw
 UNION ALL
 SELECT event_id, 'event' AS kind,
        '{{"type":"event","mid":"' || emid || '","uid":"' || uid || '","evid":"' || evid || '"'
-       || CASE WHEN itemid IS NULL THEN '' ELSE ',"itemid":"' || itemid || '"' END
-       || ',"ts":"{STAMP_MS}"}}' AS value
+       || CASE WHEN itemid IS NULL THEN '' ELSE ',"itemid":' || itemid END
+       || ',"ts":{STAMP_MS}}}' AS value
 FROM raw""")
 def q_ingest_stamp(spark, sf_dir):
     raw = fx.raw_log_json(Tables(spark, sf_dir).events)
@@ -416,7 +416,7 @@ def _changes(spark, sf_dir):
 
 @register("cdc_flatten", cte(C_CHANGES) + 'SELECT "table", op, key, value FROM changes')
 def q_cdc_flatten(spark, sf_dir):
-    return ingest.flatten_changes(_changes(spark, sf_dir))
+    return ingest.flatten_changes(_changes(spark, sf_dir), fx.CDC_DATABASE)
 
 
 @register("cdc_route", cte(C_CHANGES) + """
@@ -427,7 +427,7 @@ SELECT topic, "table", op, key, value FROM (
     WHEN "table" = 'user_info' AND op IN ('INSERT', 'UPDATE') THEN '{{TOPIC_USER_INFO}}'
   END AS topic FROM changes) WHERE topic IS NOT NULL""")
 def q_cdc_route(spark, sf_dir):
-    return ingest.route_changes(ingest.flatten_changes(_changes(spark, sf_dir)))
+    return ingest.route_changes(ingest.flatten_changes(_changes(spark, sf_dir), fx.CDC_DATABASE))
 
 
 # ---------------------------------------------------------------------------

@@ -35,6 +35,7 @@ BIRTHDAY_MULT, BIRTHDAY_SPAN = 7919, 22000
 PHONE_PREFIX = "13"           # phone = '13' || lpad(custkey, 9, '0')
 # change-feed synthesis: op by key, and some entries are not row data
 CDC_UPDATE_MODULUS, CDC_DELETE_MODULUS, CDC_NON_ROWDATA_MODULUS = 5, 7, 11
+CDC_DATABASE = "shop"
 
 
 def _s(c) -> Column:
@@ -189,7 +190,8 @@ def _change_entries(df: DataFrame, table: str, key: str, cols: dict) -> DataFram
     after = F.array(*[F.struct(F.lit(name).alias("name"), _s(expr).alias("value"))
                       for name, expr in cols.items()])
     return df.select(
-        entry_type.alias("entry_type"), F.lit(table).alias("table"),
+        entry_type.alias("entry_type"), F.lit(CDC_DATABASE).alias("database"),
+        F.lit(table).alias("table"),
         op.alias("op"), k.cast("long").alias("key"),
         F.array(F.struct(after.alias("after"))).alias("rows"))
 

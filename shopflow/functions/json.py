@@ -10,7 +10,7 @@ from shopflow.constants import (TOPIC_EVENT, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INF
                                 TOPIC_STARTUP, TOPIC_USER_INFO)
 
 CORRUPT = "_corrupt_record"
-STRING_MAP = T.MapType(T.StringType(), T.StringType())
+OBJECT = "map<string,variant>"
 
 
 def decode(df: DataFrame, schema: T.StructType, col: str = "value",
@@ -53,11 +53,13 @@ def columns_to_json(after: Column) -> Column:
 
 def stamp_ts(raw_json: Column, stamp_ms: Column) -> Column:
     """Overwrite (or add) the ``ts`` field of a JSON object with a server
-    stamp. Values are re-emitted as JSON strings; readers decode them with
-    string/long schemas, which accept both."""
-    m = F.from_json(raw_json, STRING_MAP)
+    stamp; other values, nested ones too, keep their JSON types. NULL for text
+    that is no JSON object: the caller keeps the original (dead letters). Of a
+    repeated key the last value counts (``spark.sql.mapKeyDedupPolicy``)."""
+    m = F.from_json(raw_json, OBJECT)
     kept = F.map_filter(m, lambda k, v: k != "ts")
-    return F.to_json(F.map_concat(kept, F.create_map(F.lit("ts"), stamp_ms.cast("string"))))
+    stamp = F.parse_json(stamp_ms.cast("string"))
+    return F.to_json(F.map_concat(kept, F.create_map(F.lit("ts"), stamp)))
 
 
 def log_topic(raw_json: Column) -> Column:

@@ -13,7 +13,7 @@ from an anti join against de-duplicated keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.functions.numeric import age_years
@@ -83,12 +83,12 @@ def user_dim_latest(users: DataFrame, order: tuple[str, ...] = ("version",)) ->
     return latest_per_key(users, ["id"], list(order)).drop(*order)
 
 
-def user_age(users: DataFrame, as_of: str) -> DataFrame:
+def user_age(users: DataFrame, as_of: str | Column) -> DataFrame:
     """PRJ15/PRJ23: whole years of age as of a date."""
     return users.withColumn("user_age", age_years(F.col("birthday"), as_of))
 
 
-def enrich(wide: DataFrame, users_latest: DataFrame, as_of: str) -> DataFrame:
+def enrich(wide: DataFrame, users_latest: DataFrame, as_of: str | Column) -> DataFrame:
     """JN7/PRJ14: left join the user dimension; a missing user keeps gender and
     level NULL and age 0 (the record default)."""
     u = user_age(users_latest, as_of).select(

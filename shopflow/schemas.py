@@ -67,7 +67,7 @@ COUPON_ALERT = _struct(
 # of the rows it touched.
 CHANGE_COLUMN = _struct(("name", S), ("value", S))
 CHANGE_ENTRY = _struct(
-    ("entry_type", S), ("table", S), ("op", S), ("ts", L),
+    ("entry_type", S), ("database", S), ("table", S), ("op", S), ("ts", L),
     ("rows", T.ArrayType(_struct(("after", T.ArrayType(CHANGE_COLUMN))))),
 )
 

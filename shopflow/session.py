@@ -26,6 +26,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # a retried micro-batch replaces only its own output partition
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a repeated key of a JSON object counts with its last value
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # partition values (days "2024-01-01", hours "05") stay strings on read
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

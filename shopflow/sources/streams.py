@@ -32,9 +32,10 @@ def kafka_topic(spark: SparkSession, servers: str, topic: str,
 
 def text_files(spark: SparkSession, path: str, per_trigger: int | None = None) -> DataFrame:
     """One JSON document per line, as a ``value`` string column (the same
-    shape as a Kafka value); used for tests and file-drop ingestion."""
+    shape as a Kafka value): file-drop ingestion, and the file form of a topic
+    that another app writes (``<routed>/topic=<name>``, all batches below)."""
     configure(spark)
-    r = spark.readStream.format("text")
+    r = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if per_trigger:
         r = r.option("maxFilesPerTrigger", per_trigger)
     return r.load(path)
@@ -49,9 +50,9 @@ def parquet_files(spark: SparkSession, path: str, schema: T.StructType,
     return r.load(path)
 
 
-def kafka_sink(df: DataFrame, servers: str, checkpoint: str):
-    """SNK6: publish ``topic, value`` rows; the ``topic`` column routes each
-    row. Needs the spark-sql-kafka package on the cluster's classpath."""
-    return (df.select("topic", "value").writeStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("checkpointLocation", checkpoint).start())
+def publish(batch: DataFrame, servers: str) -> None:
+    """SNK6: publish a micro-batch's ``topic, value`` rows; the ``topic``
+    column routes each row. Needs the spark-sql-kafka package on the cluster's
+    classpath."""
+    (batch.select("topic", "value").write.format("kafka")
+     .option("kafka.bootstrap.servers", servers).save())

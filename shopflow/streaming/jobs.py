@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow import schemas
-from shopflow.functions.json import dead_letters, decode, good_rows
+from shopflow.functions.json import CORRUPT, dead_letters, decode, good_rows
 from shopflow.functions.time import to_event_time
 from shopflow.operators.joins import interval_join
 from shopflow.plans import alert as alert_plan
@@ -25,10 +25,13 @@ from shopflow.plans import dau as dau_plan
 from shopflow.plans import ingest as ingest_plan
 from shopflow.plans import sale as sale_plan
 from shopflow.session import checkpoint_root
+from shopflow.sources.streams import publish
 from shopflow.streaming import sinks
 
 DAU_LATENESS = "1 day"
 REQUIRED = ("mid", "ts")   # a log line without device or time is quarantined
+#: the start-up record as stored (the day and hour are derived from ts)
+STARTUP_FIELDS = ("mid", "uid", "appid", "area", "os", "ch", "type", "vs", "ts")
 USER_TABLE = ("id string, login_name string, user_level string, birthday string, "
               "gender string, version long")
 
@@ -64,10 +67,10 @@ def _line_id(value: Column) -> Column:
 def startup_rows(raw: DataFrame) -> DataFrame:
     """SRC2 + PRJ1: decoded start-up logs with ``event_time``/``log_date``
     (lines without ``mid`` or ``ts`` go to the dead letters, see
-    ``dead_letter_rows``)."""
+    ``dead_letter_rows``), with all fields of the record."""
     d = good_rows(decode(raw.withColumn("event_id", _line_id(F.col("value"))),
                          schemas.STARTUP_LOG, keep=("event_id",), required=REQUIRED))
-    d = d.select("event_id", "mid", "uid", "type", "ts")
+    d = d.select("event_id", *STARTUP_FIELDS)
     return dau_plan.with_dates(d).withColumn("event_time", to_event_time(F.col("ts")))
 
 
@@ -78,9 +81,10 @@ def event_rows(raw: DataFrame) -> DataFrame:
             .withColumn("event_time", to_event_time(F.col("ts"))))
 
 
-def dead_letter_rows(raw: DataFrame, schema) -> DataFrame:
-    """Raw lines a decoder rejects (malformed, or missing ``mid``/``ts``)."""
-    return dead_letters(decode(raw, schema, required=REQUIRED))
+def dead_letter_rows(raw: DataFrame, schema, required: tuple[str, ...] = REQUIRED) -> DataFrame:
+    """Raw lines a decoder rejects (malformed, or without a required field),
+    as ``value``."""
+    return dead_letters(decode(raw, schema, required=required)).withColumnRenamed(CORRUPT, "value")
 
 
 def observed(df: DataFrame, name: str) -> DataFrame:
@@ -99,7 +103,7 @@ def dau_batch_sink(out_path: str) -> Callable[[DataFrame, int], None]:
     start-up rows (``startup_rows``)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select("event_id", "mid", "uid", "type", "ts").persist()   # STR8
+        rows = batch.select("event_id", *STARTUP_FIELDS).persist()   # STR8
         try:
             # Only the day partitions this batch touches are listed and read.
             # The day list is bounded by the calendar (a 5 s batch spans one
@@ -130,11 +134,12 @@ def dau_state_stream(startup: DataFrame, lateness: str = DAU_LATENESS) -> DataFr
     (``operators.dedup.first_per_key(t, ["mid", "log_date"], ["ts",
     "event_id"])``), which is right in both modes and absorbs a late row that
     slips into an already emitted day in the one-batch gap."""
+    rest = [c for c in STARTUP_FIELDS if c not in ("mid", "ts")]
     picked = (startup.withWatermark("event_time", lateness)
               .groupBy(F.window("event_time", "1 day").alias("day"), "mid")
-              .agg(F.min(F.struct("ts", "event_id", "uid", "type", "log_hour")).alias("p")))
+              .agg(F.min(F.struct("ts", "event_id", *rest, "log_hour")).alias("p")))
     return picked.select(
-        "p.event_id", "mid", "p.uid", "p.type", "p.ts",
+        "p.event_id", "mid", *[f"p.{c}" for c in rest], "p.ts",
         F.date_format(F.col("day.start"), "yyyy-MM-dd").alias("log_date"), "p.log_hour")
 
 
@@ -179,22 +184,23 @@ def sale_detail_stream(orders: DataFrame, lines: DataFrame, bound_seconds: int =
     return interval_join(o, d, ["order_id"], "order_time", "line_time", bound_seconds)
 
 
-def sale_detail_sink(users_path: str, out_path: str, as_of: str) -> Callable[[DataFrame, int], None]:
+def sale_detail_sink(users_path: str, out_path: str,
+                     as_of: str | None = None) -> Callable[[DataFrame, int], None]:
     """JN7: per micro-batch, left join the *current* latest user rows (re-read
     each batch so new users are seen), then upsert by line id into the
-    day-partitioned table."""
+    day-partitioned table. Ages are as of the batch's date unless ``as_of`` is
+    given."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         wide = batch.drop("order_time", "line_time").persist()
         try:
-            # latest user rows (newest compaction + later batches), reduced
-            # to this batch's users
+            # versions of this batch's users only (newest compaction + later batches)
             ids = wide.select(F.col("user_id").alias("id")).distinct()
             users = (sinks.read_keyed(spark, users_path, ["id"], ["version"],
-                                      empty_schema=USER_TABLE)
-                     .join(ids, "id", "left_semi")
+                                      empty_schema=USER_TABLE, only=ids)
                      .drop(sinks.BATCH_COL, "version"))
-            sinks.write_batch(sale_plan.enrich(wide, users, as_of), batch_id, out_path, ["dt"])
+            day = F.current_date() if as_of is None else as_of
+            sinks.write_batch(sale_plan.enrich(wide, users, day), batch_id, out_path, ["dt"])
         finally:
             wide.unpersist()
     return run
@@ -202,10 +208,27 @@ def sale_detail_sink(users_path: str, out_path: str, as_of: str) -> Callable[[Da
 
 # --- ingest --------------------------------------------------------------------
 
-def ingest_sink(archive_path: str, routed_path: str,
-                stamp: Column | None = None) -> Callable[[DataFrame, int], None]:
+def dead_path(out_path: str) -> str:
+    return out_path.rstrip("/") + "__dead"
+
+
+def topic_sink(routed_path: str, kafka_servers: str | None = None) -> Callable[[DataFrame, int], None]:
+    """SNK6: write ``topic, value`` rows to their topics -- the message itself
+    as a text line below ``<routed>/topic=<name>``, which ``text_files`` reads
+    like the topic, or Kafka if servers are given."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if kafka_servers:
+            publish(batch, kafka_servers)
+        else:
+            sinks.write_batch(batch.select("topic", "value"), batch_id, routed_path, ["topic"], fmt="text")
+    return run
+
+
+def ingest_sink(archive_path: str, routed_path: str, stamp: Column | None = None,
+                kafka_servers: str | None = None) -> Callable[[DataFrame, int], None]:
     """PRJ10 + SNK7 + FLT7/SNK6: stamp every raw line with server time, archive
-    it by day (text), and write it to its topic folder (JSON).
+    it by day (text), and write it to its topic. A line that is no JSON object
+    is kept as it came, below ``<archive>__dead``.
 
     The stamp defaults to the message's broker ``arrival`` time, which a
     replayed batch reproduces exactly (same offsets, same timestamps), so a
@@ -218,21 +241,20 @@ def ingest_sink(archive_path: str, routed_path: str,
             ms = F.unix_millis(F.col("arrival"))
         else:
             ms = F.unix_millis(F.current_timestamp())
-        base = batch.select("value", *[c for c in ("arrival",) if c in batch.columns])
-        stamped = ingest_plan.stamp_logs(base, ms).drop("arrival")
-        stamped = stamped.withColumn(
-            "dt", F.date_format(F.timestamp_millis(
-                F.get_json_object("value", "$.ts").cast("long")), "yyyy-MM-dd")).persist()
+        base = batch.withColumn("raw", F.col("value"))
+        day = F.date_format(F.timestamp_millis(ms.cast("long")), "yyyy-MM-dd")
+        stamped = ingest_plan.stamp_logs(base, ms).withColumn("dt", day).select("value", "raw", "dt").persist()
         try:
-            sinks.write_batch(stamped.select("value", "dt"), batch_id, archive_path,
-                              ["dt"], fmt="text")
-            routed = ingest_plan.route_logs(stamped).select("topic", "value")
-            sinks.write_batch(routed, batch_id, routed_path, ["topic"], fmt="json")
+            good, bad = stamped.filter(F.col("value").isNotNull()), stamped.filter(F.col("value").isNull())
+            sinks.write_batch(good.select("value", "dt"), batch_id, archive_path, ["dt"], fmt="text")
+            sinks.write_batch(bad.select(F.coalesce("raw", F.lit("")).alias("value"), "dt"), batch_id,
+                              dead_path(archive_path), ["dt"], fmt="text")
+            topic_sink(routed_path, kafka_servers)(ingest_plan.route_logs(good), batch_id)
         finally:
             stamped.unpersist()
     return run
 
 
-def cdc_stream(entries: DataFrame) -> DataFrame:
+def cdc_stream(entries: DataFrame, database: str | None = None) -> DataFrame:
     """SRC3/FLT5/FLT6/PRJ9 on a stream of change entries -> routed rows."""
-    return ingest_plan.route_changes(ingest_plan.flatten_changes(entries))
+    return ingest_plan.route_changes(ingest_plan.flatten_changes(entries, database))

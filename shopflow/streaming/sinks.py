@@ -172,10 +172,11 @@ def compact_keyed(spark: SparkSession, path: str, keys: Sequence[str],
 
 def read_keyed(spark: SparkSession, path: str, keys: Sequence[str],
                order: Sequence[str] = (), empty_schema: str | None = None,
-               upto: int | None = None) -> DataFrame:
+               upto: int | None = None, only: DataFrame | None = None) -> DataFrame:
     """Latest version per key of a keyed (upsert) table: the newest
     compaction plus only the batch folders written after it, so the read
-    does not list or scan the table's whole history."""
+    does not list or scan the table's whole history. With ``only`` (a table of
+    keys) other keys are left out before their versions are compared."""
     done = _child_values(spark, compacted_path(path), "upto")
     base = done[-1] if done else None
     ids = [i for i in _child_values(spark, path, BATCH_COL)
@@ -194,6 +195,8 @@ def read_keyed(spark: SparkSession, path: str, keys: Sequence[str],
     for extra in parts[1:]:
         df = df.unionByName(extra.withColumn(BATCH_COL, F.col(BATCH_COL).cast("long")),
                             allowMissingColumns=True)
+    if only is not None:
+        df = df.join(only, list(keys), "left_semi")
     return latest_view(df, keys, order)
 
 

@@ -106,8 +106,8 @@ def test_stamp_and_route(spark):
                                  ('{"type":"event","evid":"coupon"}',), ('{}',)], "value string")
     out = raw.select(fj.stamp_ts(F.col("value"), F.lit(99)).alias("v"),
                      fj.log_topic(F.col("value")).alias("t")).collect()
-    assert json.loads(out[0].v) == {"type": "startup", "mid": "m", "ts": "99"}
-    assert json.loads(out[1].v)["ts"] == "99"
+    assert json.loads(out[0].v) == {"type": "startup", "mid": "m", "ts": 99}
+    assert json.loads(out[1].v)["ts"] == 99
     assert [r.t for r in out] == [fj.TOPIC_STARTUP, fj.TOPIC_EVENT, fj.TOPIC_EVENT]
 
 
