@@ -122,13 +122,13 @@ def q_dau_any_per_mid(spark, sf_dir):
 @register("dau_total", "WITH" + DEDUP + """
 SELECT log_date, count(*) AS dau FROM dedup GROUP BY log_date""")
 def q_dau_total(spark, sf_dir):
-    return dau.dau_total(dau.dau_dedup(_startup(spark, sf_dir)))
+    return dau.dau_total(dau.device_days(_startup(spark, sf_dir)))
 
 
 @register("dau_by_hour", "WITH" + DEDUP + """
 SELECT log_date, log_hour, count(*) AS dau FROM dedup GROUP BY log_date, log_hour""")
 def q_dau_by_hour(spark, sf_dir):
-    return dau.dau_by_hour(dau.dau_dedup(_startup(spark, sf_dir)))
+    return dau.dau_by_hour(dau.device_days(_startup(spark, sf_dir)))
 
 
 @register("dau_hour_map", "WITH" + DEDUP + """,
@@ -138,7 +138,7 @@ SELECT log_date,
          AS hour_map
 FROM by_hour GROUP BY log_date""")
 def q_dau_hour_map(spark, sf_dir):
-    return dau.dau_hour_map(dau.dau_dedup(_startup(spark, sf_dir)))
+    return dau.dau_hour_map(dau.device_days(_startup(spark, sf_dir)))
 
 
 # The "seen" set is what earlier micro-batches stored: start-ups before noon;
@@ -177,7 +177,7 @@ LEFT JOIN series y ON y.dt = strftime(CAST(sp.dt AS DATE) - INTERVAL 1 DAY, '%Y-
 series AS (SELECT log_date AS dt, log_hour AS hour, count(*) AS v FROM dedup GROUP BY 1, 2)"""
           + TODAY_VS_YESTERDAY_SQL.format(zero="CAST(0 AS BIGINT)"))
 def q_dau_today_vs_yesterday(spark, sf_dir):
-    return dau.dau_today_vs_yesterday(dau.dau_dedup(_startup(spark, sf_dir)))
+    return dau.dau_today_vs_yesterday(dau.device_days(_startup(spark, sf_dir)))
 
 
 @register("dedup_counts", "WITH" + STARTUP + """
@@ -321,12 +321,7 @@ def _series_sql(card_id: str, series_cte: str, zero: str) -> str:
           + "\nUNION ALL\n"
           + _series_sql("order_amount", C_GMV_SERIES, "0.0"))
 def q_realtime_hours(spark, sf_dir):
-    startup, purchases = _startup(spark, sf_dir), _purchases(spark, sf_dir)
-    out = None
-    for card in kpi.CARD_IDS:
-        s = kpi.realtime_hours(card, startup, purchases)
-        out = s if out is None else out.unionByName(s)
-    return out
+    return kpi.realtime_hours(_startup(spark, sf_dir), _purchases(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------

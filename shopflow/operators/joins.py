@@ -58,28 +58,37 @@ def hour_spine(days: DataFrame, day_col: str = "dt") -> DataFrame:
 
 def today_vs_yesterday(series: DataFrame, day_col: str, hour_col: str,
                        value_col: str, zero: Column | None = None,
-                       days: DataFrame | None = None) -> DataFrame:
+                       days: DataFrame | None = None, fill: bool = True) -> DataFrame:
     """For every day of ``days`` (default: the days of ``series``), the
-    24-hour series of that day next to the day before; missing hours are 0.
+    24-hour series of that day next to the day before; missing hours are 0
+    (NULL without ``fill``).
 
     Output: ``dt, hour, today, yesterday``. ``series`` is an aggregate (at most
-    24 rows per day) and ``days`` a set of days, so both joins are small and
-    co-partitioned on ``(dt, hour)``."""
+    24 rows per day). It is read once: every row stands for its own day, for
+    "yesterday" of the next one, and for the 24 hours to report, and one
+    aggregate per ``(dt, hour)`` brings these together."""
     zero = F.lit(0) if zero is None else zero
-    s = series.select(F.col(day_col).alias("dt"), F.col(hour_col).alias("hour"),
-                      F.col(value_col).alias("v"))
-    today = s.withColumnRenamed("v", "today")
-    yest = s.select(
-        # the day *after* a row's day sees that row as "yesterday"
-        F.date_format(F.date_add(F.col("dt").cast("date"), 1), "yyyy-MM-dd").alias("dt"),
-        "hour", F.col("v").alias("yesterday"))
-    spine = hour_spine(s if days is None else days.select(F.col(days.columns[0]).alias("dt")),
-                       "dt")
-    return (spine.join(today, ["dt", "hour"], "left")
-            .join(yest, ["dt", "hour"], "left")
-            .select("dt", "hour",
-                    F.coalesce("today", zero).alias("today"),
-                    F.coalesce("yesterday", zero).alias("yesterday")))
+    value, none = F.col(value_col), F.lit(None).cast(series.schema[value_col].dataType)
+    day, hour = F.col(day_col).alias("dt"), F.col(hour_col).alias("hour")
+    next_day = F.date_format(F.date_add(F.col(day_col).cast("date"), 1), "yyyy-MM-dd").alias("dt")
+    rows = [F.array(F.struct(day, hour, value.alias("today"), none.alias("yesterday"), F.lit(False).alias("asked")),
+                    F.struct(next_day, hour, none.alias("today"), value.alias("yesterday"),
+                             F.lit(False).alias("asked")))]
+    if days is None:
+        rows.append(F.transform(F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1)), lambda h: F.struct(
+            day, hour_label(h).alias("hour"), none.alias("today"), none.alias("yesterday"),
+            F.lit(True).alias("asked"))))
+    long = series.select(F.explode(F.concat(*rows)).alias("r")).select("r.*")
+    if days is not None:
+        asked = hour_spine(days.select(F.col(days.columns[0]).alias("dt")))
+        long = long.unionByName(asked.withColumn("asked", F.lit(True)), allowMissingColumns=True)
+    got = (long.groupBy("dt", "hour")
+           .agg(F.max("today").alias("today"), F.max("yesterday").alias("yesterday"),
+                F.max("asked").alias("asked")).filter("asked"))
+    if not fill:
+        return got.select("dt", "hour", "today", "yesterday")
+    return got.select("dt", "hour", F.coalesce("today", zero).alias("today"),
+                      F.coalesce("yesterday", zero).alias("yesterday"))
 
 
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str],

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shopflow.constants import CARD_DAU, CARD_NEW_MID, CARD_ORDER_AMOUNT
-from shopflow.functions.time import with_create_date_hour
 from shopflow.operators.joins import today_vs_yesterday
 from shopflow.plans import dau as dau_plan
 from shopflow.plans import gmv as gmv_plan
@@ -14,61 +14,62 @@ from shopflow.plans import gmv as gmv_plan
 CARD_IDS = (CARD_DAU[0], CARD_NEW_MID[0], CARD_ORDER_AMOUNT[0])
 
 
+VALUES = {CARD_DAU[0]: "dau", CARD_NEW_MID[0]: "new_mid", CARD_ORDER_AMOUNT[0]: "gmv"}
+
+
+def activity(startup: DataFrame, orders: DataFrame) -> DataFrame:
+    """Per day and hour with a start-up or an order: ``dau`` and ``new_mid``
+    (devices whose first start-up of the day, and ever, falls there) and
+    ``gmv``. Each input is read once; the window over a device's days is as
+    large as the number of days it was active."""
+    days = dau_plan.device_days(startup)
+    is_new = F.col("ts") == F.min("ts").over(Window.partitionBy("mid"))
+    devices = (days.withColumn("is_new", is_new.cast("long"))
+               .groupBy(F.col("log_date").alias("dt"), F.col("log_hour").alias("hour"))
+               .agg(F.count(F.lit(1)).alias("dau"), F.sum("is_new").alias("new_mid")))
+    revenue = gmv_plan.gmv_by_hour(orders).select(
+        F.col("create_date").alias("dt"), F.col("create_hour").alias("hour"), "gmv")
+    return (devices.unionByName(revenue, allowMissingColumns=True).groupBy("dt", "hour")
+            .agg(*[F.max(c).alias(c) for c in VALUES.values()]))
+
+
 def realtime_total(startup: DataFrame, orders: DataFrame) -> DataFrame:
     """SET1: for every day with activity, three cards ``(id, name, value)``.
 
     DAU and new devices are counts (0 on a day without rows); order amount is
-    the revenue sum and stays NULL on a day without orders. The three inputs
-    are per-day aggregates, so the joins and the card explode are tiny."""
-    d = (dau_plan.dau_total(dau_plan.dau_dedup(startup))
-         .select(F.col("log_date").alias("dt"), F.col("dau").alias("v_dau")))
-    n = (dau_plan.new_devices(startup)
-         .select(F.col("log_date").alias("dt"), F.col("new_mid").alias("v_new")))
-    g = (gmv_plan.gmv_total(orders)
-         .select(F.col("create_date").alias("dt"), F.col("gmv").alias("v_gmv")))
-    days = d.select("dt").unionByName(n.select("dt")).unionByName(g.select("dt")).distinct()
-    wide = days.join(d, "dt", "left").join(n, "dt", "left").join(g, "dt", "left")
+    the revenue sum and stays NULL on a day without orders."""
+    days = dau_plan.device_days(startup)
+    is_new = F.col("ts") == F.min("ts").over(Window.partitionBy("mid"))
+    devices = (days.withColumn("is_new", is_new.cast("long")).groupBy(F.col("log_date").alias("dt"))
+               .agg(F.count(F.lit(1)).alias("dau"), F.sum("is_new").alias("new_mid")))
+    revenue = gmv_plan.gmv_total(orders).select(F.col("create_date").alias("dt"), "gmv")
+    wide = (devices.unionByName(revenue, allowMissingColumns=True).groupBy("dt")
+            .agg(*[F.max(c).alias(c) for c in VALUES.values()]))
     cards = F.array(
         F.struct(F.lit(CARD_DAU[0]).alias("id"), F.lit(CARD_DAU[1]).alias("name"),
-                 F.coalesce(F.col("v_dau"), F.lit(0)).cast("double").alias("value")),
+                 F.coalesce(F.col("dau"), F.lit(0)).cast("double").alias("value")),
         F.struct(F.lit(CARD_NEW_MID[0]).alias("id"), F.lit(CARD_NEW_MID[1]).alias("name"),
-                 F.coalesce(F.col("v_new"), F.lit(0)).cast("double").alias("value")),
+                 F.coalesce(F.col("new_mid"), F.lit(0)).cast("double").alias("value")),
         F.struct(F.lit(CARD_ORDER_AMOUNT[0]).alias("id"),
                  F.lit(CARD_ORDER_AMOUNT[1]).alias("name"),
-                 F.col("v_gmv").cast("double").alias("value")),
+                 F.col("gmv").cast("double").alias("value")),
     )
     return (wide.select("dt", F.explode(cards).alias("c"))
             .select("dt", "c.id", "c.name", "c.value"))
 
 
-def activity_days(startup: DataFrame, orders: DataFrame) -> DataFrame:
-    """Days with any start-up or order (the days the dashboard can ask for)."""
-    d = dau_plan.with_dates(startup.select("ts")).select(F.col("log_date").alias("dt"))
-    o = with_create_date_hour(orders.select("create_time")).select(
-        F.col("create_date").alias("dt"))
-    return d.unionByName(o).distinct()
-
-
-def realtime_hours(card_id: str, startup: DataFrame, orders: DataFrame,
-                   days: DataFrame | None = None) -> DataFrame:
+def realtime_hours(startup: DataFrame, orders: DataFrame, card_id: str | None = None) -> DataFrame:
     """SET3 + JN8: hour series (today vs yesterday, 24 zero-filled hours per
-    day of ``days``, default every activity day) of the selected card; an
-    unknown id gives an empty result of the same schema.
+    activity day) of every card, or of the selected one; an unknown id gives
+    an empty result of the same schema.
     Output: ``id, dt, hour, today, yesterday`` (doubles)."""
-    days = activity_days(startup, orders) if days is None else days
-    if card_id == CARD_DAU[0]:
-        s = dau_plan.dau_by_hour(dau_plan.dau_dedup(startup))
-        series = today_vs_yesterday(s, "log_date", "log_hour", "dau", days=days)
-    elif card_id == CARD_NEW_MID[0]:
-        s = dau_plan.new_devices_by_hour(startup)
-        series = today_vs_yesterday(s, "log_date", "log_hour", "new_mid", days=days)
-    elif card_id == CARD_ORDER_AMOUNT[0]:
-        s = gmv_plan.gmv_by_hour(orders)
-        series = today_vs_yesterday(s, "create_date", "create_hour", "gmv",
-                                    zero=F.lit(0.0), days=days)
-    else:
-        s = dau_plan.dau_by_hour(dau_plan.dau_dedup(startup)).limit(0)
-        series = today_vs_yesterday(s, "log_date", "log_hour", "dau", days=days.limit(0))
-    return series.select(F.lit(card_id).alias("id"), "dt", "hour",
-                         F.col("today").cast("double").alias("today"),
-                         F.col("yesterday").cast("double").alias("yesterday"))
+    values = [c for c in VALUES if card_id in (None, c)]
+    packed = activity(startup, orders).withColumn(
+        "v", F.struct(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(i) for i, c in VALUES.items()]))
+    series = today_vs_yesterday(packed, "dt", "hour", "v", fill=False)
+    rows = F.array(*[F.struct(F.lit(c).alias("id"),
+                              *[F.coalesce(F.col(f"{side}.{c}"), F.lit(0.0)).alias(side)
+                                for side in ("today", "yesterday")]) for c in values or VALUES])
+    out = (series.select("dt", "hour", F.explode(rows).alias("r"))
+           .select("r.id", "dt", "hour", "r.today", "r.yesterday"))
+    return out if values else out.limit(0)

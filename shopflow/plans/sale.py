@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from shopflow.functions.numeric import age_years
 from shopflow.functions.time import create_date
 from shopflow.operators.dedup import latest_per_key
-from shopflow.operators.joins import full_outer_unique, interval_join
+from shopflow.operators.joins import interval_join
 
 ORDER_COLS = ("order_status", "create_time", "user_id")
 
@@ -48,19 +48,18 @@ def order_line_full_outer(orders: DataFrame, lines: DataFrame,
                           batch: str = "batch") -> DataFrame:
     """JN5: same-batch full outer join on ``(order_id, batch)``: matched pairs,
     orders whose lines are not in the batch, lines whose order is not. Both
-    inputs carry the ``batch`` column (micro-batch id or arrival bucket)."""
+    inputs carry the ``batch`` column (micro-batch id or arrival bucket). Lines
+    of one order are bounded by the order, so one native join, which reads each
+    side once, does; for keys without such a bound see
+    ``operators.joins.full_outer_unique``."""
     o, d = order_side(orders, (batch,)), line_side(lines, (batch,))
-    return full_outer_unique(o, d, ["order_id", batch])
+    return d.join(o, ["order_id", batch], "full")
 
 
 def order_line_left(orders: DataFrame, lines: DataFrame, batch: str = "batch") -> DataFrame:
-    """JN6 left: every order of the batch, with its lines of the batch if any.
-    Written as inner join + lonely orders so the lines side streams."""
+    """JN6 left: every order of the batch, with its lines of the batch if any."""
     o, d = order_side(orders, (batch,)), line_side(lines, (batch,))
-    keys = ["order_id", batch]
-    matched = d.join(o, keys, "inner")
-    lonely = o.join(d.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(lonely, allowMissingColumns=True)
+    return d.join(o, ["order_id", batch], "right")
 
 
 def order_line_right(orders: DataFrame, lines: DataFrame, batch: str = "batch") -> DataFrame:

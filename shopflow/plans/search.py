@@ -1,19 +1,19 @@
 """Keyword search over the sale-detail table with paging and shares.
 
-One filtered DataFrame (all-terms keyword match, optional day) feeds four
-small queries. Results are per day (``dt``), so a single run answers the
+One filtered DataFrame (all-terms keyword match, optional day) feeds three
+small queries: total, page and stats. Results are per day (``dt``), so a single run answers the
 request for every day at once; ``date=`` restricts to one day and prunes the
 day partitions of a stored table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopflow.constants import (AGE_BUCKETS, BAND_20_TO_30, BAND_30_PLUS, BAND_UNDER_20,
                                 GENDER_BUCKETS, GENDER_NAMES)
-from shopflow.functions.numeric import remainder_pct, share_pct
+from shopflow.functions.numeric import age_band, remainder_pct, share_pct
 from shopflow.functions.text import matches_all_terms
 from shopflow.operators.topk import page, top_buckets
 
@@ -40,27 +40,24 @@ def search_page(hits: DataFrame, page_no: int, size: int) -> DataFrame:
 
 def facets(hits: DataFrame, terms: tuple[str, ...] = ("user_age", "user_gender")) -> DataFrame:
     """Hit counts per ``(dt, *terms)``. A share query groups by its own term
-    only; ``search_stats`` groups once by age and gender and derives both
-    stats from that, so the hits (scan + joins + keyword filter) are
-    evaluated once per request."""
+    only; ``search_stats`` groups once by age and gender, and both stats start
+    from the same exchange of these counts, so the hits (scan + joins +
+    keyword filter) are evaluated once per request."""
     return hits.groupBy("dt", *terms).agg(F.count(F.lit(1)).alias("doc_count"))
 
 
 def _counts(f: DataFrame, term: str) -> DataFrame:
-    return f.groupBy("dt", term).agg(F.sum("doc_count").alias("doc_count"))
-
-
-def _totals(f: DataFrame) -> DataFrame:
-    """Hits per day (NULL buckets included)."""
-    return f.groupBy("dt").agg(F.sum("doc_count").alias("total"))
+    """Counts per day and term, with the day's ``total`` (NULL terms included);
+    the window sees one row per day and term."""
+    return (f.groupBy("dt", term).agg(F.sum("doc_count").alias("doc_count"))
+            .withColumn("total", F.sum("doc_count").over(Window.partitionBy("dt"))))
 
 
 def gender_share(hits: DataFrame, f: DataFrame | None = None) -> DataFrame:
     """AGG9/AGG16: the two biggest gender buckets per day and their share of
     the day's hits. Output ``dt, user_gender, doc_count, share``."""
     f = facets(hits, ("user_gender",)) if f is None else f
-    top = top_buckets(_counts(f, "user_gender"), "user_gender", GENDER_BUCKETS, ["dt"])
-    return (top.join(_totals(f), "dt")
+    return (top_buckets(_counts(f, "user_gender"), "user_gender", GENDER_BUCKETS, ["dt"])
             .select("dt", "user_gender", "doc_count",
                     share_pct(F.col("doc_count"), F.col("total")).alias("share")))
 
@@ -68,7 +65,8 @@ def gender_share(hits: DataFrame, f: DataFrame | None = None) -> DataFrame:
 def age_terms(hits: DataFrame, f: DataFrame | None = None) -> DataFrame:
     """AGG10: the 100 biggest age buckets per day."""
     f = facets(hits, ("user_age",)) if f is None else f
-    return top_buckets(_counts(f, "user_age"), "user_age", AGE_BUCKETS, ["dt"]).drop("rank")
+    return (top_buckets(_counts(f, "user_age"), "user_age", AGE_BUCKETS, ["dt"])
+            .select("dt", "user_age", "doc_count"))
 
 
 def age_band_share(hits: DataFrame, f: DataFrame | None = None) -> DataFrame:
@@ -76,15 +74,18 @@ def age_band_share(hits: DataFrame, f: DataFrame | None = None) -> DataFrame:
     (30 and over, plus ages outside the top-100 buckets), per day.
     Output ``dt, name, value`` (three rows per day)."""
     f = facets(hits, ("user_age",)) if f is None else f
-    buckets = top_buckets(_counts(f, "user_age"), "user_age", AGE_BUCKETS, ["dt"])
-    per_day = buckets.groupBy("dt").agg(
-        F.sum(F.when(F.col("user_age") < 20, F.col("doc_count")).otherwise(0)).alias("n20"),
-        F.sum(F.when((F.col("user_age") >= 20) & (F.col("user_age") < 30),
-                     F.col("doc_count")).otherwise(0)).alias("n30"))
-    shares = (_totals(f).join(per_day, "dt", "left")
-              .select("dt",
-                      share_pct(F.coalesce("n20", F.lit(0)), F.col("total")).alias("a"),
-                      share_pct(F.coalesce("n30", F.lit(0)), F.col("total")).alias("b")))
+    age = F.col("user_age")
+    # buckets by size, the NULL bucket after all others: only the top ones count
+    by_size = Window.partitionBy("dt").orderBy(age.isNull(), F.desc("doc_count"), age)
+    top = age.isNotNull() & (F.col("rank") <= AGE_BUCKETS)
+    shares = (_counts(f, "user_age").withColumn("rank", F.row_number().over(by_size))
+              .withColumn("band", F.when(top, age_band(age)))
+              .groupBy("dt").agg(
+                  F.sum(F.when(F.col("band") == BAND_UNDER_20, F.col("doc_count")).otherwise(0)).alias("n20"),
+                  F.sum(F.when(F.col("band") == BAND_20_TO_30, F.col("doc_count")).otherwise(0)).alias("n30"),
+                  F.max("total").alias("total"))
+              .select("dt", share_pct(F.col("n20"), F.col("total")).alias("a"),
+                      share_pct(F.col("n30"), F.col("total")).alias("b")))
     options = F.array(
         F.struct(F.lit(BAND_UNDER_20).alias("name"), F.col("a").alias("value")),
         F.struct(F.lit(BAND_20_TO_30).alias("name"), F.col("b").alias("value")),

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopflow.constants import BAND_20_TO_30, BAND_30_PLUS, BAND_UNDER_20
 from shopflow.operators.joins import today_vs_yesterday
 from shopflow.plans import kpi, search
 from shopflow.streaming import sinks
@@ -35,7 +36,8 @@ def _orders(spark: SparkSession, orders_path: str, days: list[str]) -> DataFrame
     order is counted once. An order's ``create_date`` never changes, so its
     versions share a day partition and only those days are read."""
     o = sinks.read_table(spark, orders_path).filter(F.col("create_date").isin(days))
-    return sinks.latest_view(o, ["id"]).drop(sinks.BATCH_COL)
+    order = [c for c in ("version",) if c in o.columns]  # arrival, within a batch
+    return sinks.latest_view(o, ["id"], order).drop(sinks.BATCH_COL)
 
 
 def dau_total(spark: SparkSession, dau_path: str, date: str) -> DataFrame:
@@ -75,22 +77,23 @@ def realtime_total(spark: SparkSession, dau_path: str, orders_path: str, date: s
 
 
 def realtime_hours(spark: SparkSession, card_id: str, dau_path: str, orders_path: str,
-                   date: str) -> DataFrame:
-    """Hour series of one card for ``date`` next to the day before (24 rows);
-    an unknown id gives an empty result. Reads two day partitions."""
+                   date: str, fill: bool = True) -> DataFrame:
+    """Hour series of one card for ``date`` next to the day before (24 rows;
+    without ``fill``, NULL in hours without data); an unknown id gives an empty
+    result. Reads two day partitions (new devices: all days up to ``date``)."""
     days = [date, _day_before(date)]
     # the requested day is the spine: always 24 rows, zero-filled
     spine = spark.createDataFrame([(date,)], "dt string")
     if card_id == kpi.CARD_DAU[0]:
         s = (_dau(spark, dau_path).filter(F.col("log_date").isin(days))
              .groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("v")))
-        series = today_vs_yesterday(s, "log_date", "log_hour", "v", days=spine)
+        series = today_vs_yesterday(s, "log_date", "log_hour", "v", days=spine, fill=fill)
     elif card_id == kpi.CARD_ORDER_AMOUNT[0]:
         s = (_orders(spark, orders_path, days)
              .groupBy("create_date", "create_hour")
              .agg(F.round(F.sum("total_amount"), 2).alias("v")))
         series = today_vs_yesterday(s, "create_date", "create_hour", "v", zero=F.lit(0.0),
-                                    days=spine)
+                                    days=spine, fill=fill)
     elif card_id == kpi.CARD_NEW_MID[0]:
         t = _dau(spark, dau_path)
         first = (t.filter(F.col("log_date") <= date).groupBy("mid")
@@ -98,7 +101,7 @@ def realtime_hours(spark: SparkSession, card_id: str, dau_path: str, orders_path
         s = (first.filter(F.col("f.log_date").isin(days))
              .groupBy(F.col("f.log_date").alias("log_date"), F.col("f.log_hour").alias("log_hour"))
              .agg(F.count(F.lit(1)).alias("v")))
-        series = today_vs_yesterday(s, "log_date", "log_hour", "v", days=spine)
+        series = today_vs_yesterday(s, "log_date", "log_hour", "v", days=spine, fill=fill)
     else:
         s = spark.createDataFrame([], "log_date string, log_hour string, v long")
         series = today_vs_yesterday(s, "log_date", "log_hour", "v", days=spine.limit(0))
@@ -120,43 +123,62 @@ def sale_detail(spark: SparkSession, sale_path: str, date: str, page_no: int, si
                 keyword: str) -> SaleDetailResult:
     """One search request: the day's partition, all-terms keyword match, a
     1-based page in line-id order and the age/gender stats. Read the latest
-    document per line id (upsert view)."""
+    document per line id (upsert view). Without a hit the total is 0, the first
+    two age bands have share 0 and no gender is listed."""
     day = sinks.read_table(spark, sale_path).filter(F.col("dt") == date)
     docs = sinks.latest_view(day, ["order_detail_id"]).drop(sinks.BATCH_COL)
     hits = search.search(docs, keyword)
+    stats = search.search_stats(hits).drop("dt")
     return SaleDetailResult(
-        total=search.search_total(hits).select("total"),
+        total=hits.agg(F.count(F.lit(1)).alias("total")),
         detail=search.search_page(hits, page_no, size),
-        stat=search.search_stats(hits).drop("dt").orderBy("idx"),
+        stat=(_no_hits(spark).join(stats, ["idx", "title"], "left")
+              .select("idx", "title", F.coalesce("options", "none").alias("options")).orderBy("idx")),
     )
 
 
+def _no_hits(spark: SparkSession) -> DataFrame:
+    """The stats of a search without hits (two rows)."""
+    bands = [(BAND_UNDER_20, 0.0), (BAND_20_TO_30, 0.0), (BAND_30_PLUS, 100.0)]
+    return spark.createDataFrame([(0, search.STAT_AGE, bands), (1, search.STAT_GENDER, [])],
+                                 "idx int, title string, none array<struct<name:string,value:double>>")
+
+
+def _number(value: F.Column, card_id: F.Column) -> F.Column:
+    """A card's value as a JSON number: counts are whole, revenue is not."""
+    whole = card_id.isin(kpi.CARD_DAU[0], kpi.CARD_NEW_MID[0])
+    return F.when(whole, F.parse_json(value.cast("bigint").cast("string"))) \
+        .otherwise(F.parse_json(value.cast("double").cast("string")))
+
+
 def realtime_total_json(spark: SparkSession, dau_path: str, orders_path: str,
                         date: str) -> DataFrame:
     """The ``realtime-total`` response body: a JSON list of the three cards
-    (one row, one ``body`` column; 3 entries collected)."""
+    (one row, one ``body`` column; 3 entries collected). Counts are whole
+    numbers; the revenue of a day without orders is null."""
     cards = realtime_total(spark, dau_path, orders_path, date).withColumn(
         "ord", F.when(F.col("id") == kpi.CARD_DAU[0], 0)
         .when(F.col("id") == kpi.CARD_NEW_MID[0], 1).otherwise(2))
     entries = F.array_sort(F.collect_list(F.struct("ord", "id", "name", "value")))
     return cards.agg(F.to_json(F.transform(entries, lambda e: F.struct(
-        e["id"].alias("id"), e["name"].alias("name"), e["value"].alias("value"))))
-        .alias("body"))
+        e["id"].alias("id"), e["name"].alias("name"), _number(e["value"], e["id"]).alias("value"))),
+        {"ignoreNullFields": "false"}).alias("body"))
 
 
 def realtime_hours_json(spark: SparkSession, card_id: str, dau_path: str, orders_path: str,
                         date: str) -> DataFrame:
     """The ``realtime-hours`` response body ``{"yesterday": {HH: v},
     "today": {HH: v}}`` with only the hours that have data (the page fills
-    the rest); an unknown id gives ``{}``. At most 24 entries per day are
-    collected."""
+    the rest; an hour whose total is 0 has data); an unknown id gives ``{}``.
+    At most 24 entries per day are collected."""
     if card_id not in kpi.CARD_IDS:
         return spark.range(1).select(F.lit("{}").alias("body"))
-    s = realtime_hours(spark, card_id, dau_path, orders_path, date)
+    s = realtime_hours(spark, card_id, dau_path, orders_path, date, fill=False)
+    kind = "double" if card_id == kpi.CARD_ORDER_AMOUNT[0] else "bigint"
 
     def hour_map(col: str):
         entries = F.array_sort(F.collect_list(
-            F.when(F.col(col) != 0, F.struct(F.col("hour"), F.col(col)))))
+            F.when(F.col(col).isNotNull(), F.struct(F.col("hour"), F.col(col).cast(kind).alias(col)))))
         return F.map_from_entries(F.filter(entries, lambda e: e.isNotNull()))
     return s.agg(F.to_json(F.struct(hour_map("yesterday").alias("yesterday"),
                                     hour_map("today").alias("today"))).alias("body"))

@@ -211,8 +211,8 @@ def test_realtime_hours_unknown_id_is_empty(spark):
     from shopflow.sources.tables import Tables
     from tests.conftest import SF001
     t = Tables(spark, SF001)
-    known = kpi.realtime_hours("dau", fx.startup_logs(t.events), fx.purchase_orders(t.events))
-    unknown = kpi.realtime_hours("nope", fx.startup_logs(t.events), fx.purchase_orders(t.events))
+    known = kpi.realtime_hours(fx.startup_logs(t.events), fx.purchase_orders(t.events), "dau")
+    unknown = kpi.realtime_hours(fx.startup_logs(t.events), fx.purchase_orders(t.events), "nope")
     assert unknown.count() == 0 and unknown.schema == known.schema
 
 

@@ -87,3 +87,28 @@ def test_time_zone_independent(spark, name):
         assert ok, msg
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _scans(spark, name, table):
+    """Scans of one driver table in the final plan of a query (reused
+    exchanges read nothing again)."""
+    df = QUERIES[name](spark, SF001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count(f"/{table}.parquet"), plan
+
+
+@pytest.mark.parametrize("name,table,most", [
+    ("realtime_hours", "events", 2), ("realtime_total", "events", 2), ("dau_today_vs_yesterday", "events", 1),
+    ("gmv_today_vs_yesterday", "events", 1), ("order_line_full_outer", "lineitem", 1),
+    ("order_line_left", "orders", 1), ("search_stats", "orders", 1), ("gender_share", "orders", 1),
+    ("age_band_share", "lineitem", 1)])
+def test_inputs_are_scanned_once(spark, name, table, most):
+    n, plan = _scans(spark, name, table)
+    assert n <= most, plan
+
+
+def test_first_hours_need_no_sort(spark):
+    for name in ("dau_by_hour", "new_devices", "new_devices_by_hour"):
+        _, plan = _scans(spark, name, "events")
+        assert "SortAggregate" not in plan and "Sort [" not in plan, plan

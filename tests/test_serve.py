@@ -68,11 +68,15 @@ def test_json_bodies(spark, stored):
     body = json.loads(serve.realtime_total_json(spark, stored["dau"], stored["orders"], DAY).first().body)
     assert [c["id"] for c in body] == ["dau", "new_mid", "order_amount"]
     cards = {r.id: r.value for r in serve.realtime_total(spark, stored["dau"], stored["orders"], DAY).collect()}
-    assert {c["id"]: c.get("value") for c in body} == cards
+    assert {c["id"]: c["value"] for c in body} == cards
+    assert [type(c["value"]) for c in body] == [int, int, float]
+    empty = json.loads(serve.realtime_total_json(spark, stored["dau"], stored["orders"], "1999-01-01").first().body)
+    assert [c["value"] for c in empty] == [0, 0, None]
     hours = json.loads(serve.realtime_hours_json(spark, "dau", stored["dau"], stored["orders"], DAY).first().body)
     rows = serve.realtime_hours(spark, "dau", stored["dau"], stored["orders"], DAY).collect()
     assert hours["today"] == {r.hour: r.today for r in rows if r.today}
     assert hours["yesterday"] == {r.hour: r.yesterday for r in rows if r.yesterday}
+    assert all(isinstance(v, int) for v in hours["today"].values())
     assert serve.realtime_hours_json(spark, "x", stored["dau"], stored["orders"], DAY).first().body == "{}"
 
 
@@ -87,3 +91,32 @@ def test_redelivered_order_counted_once(spark, tmp_path):
     hours = {r.hour: r.today for r in serve.realtime_hours(spark, "order_amount", path, path, "2024-01-07").collect()}
     assert hours["05"] == 10.0 and hours["06"] == 5.5
     assert serve.gmv_total(spark, path, "2024-01-08").first().gmv is None
+    free = [("3", 0.0, "2024-01-08 09:00:00", "2024-01-08", "09")]
+    sinks.write_batch(spark.createDataFrame(free, schema), 2, path, ["create_date"])
+    import json
+    body = json.loads(serve.realtime_hours_json(spark, "order_amount", path, path, "2024-01-08").first().body)
+    assert body == {"yesterday": {"05": 10.0, "06": 5.5}, "today": {"09": 0.0}}
+
+
+def test_versions_of_one_batch_go_by_arrival(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    schema = "id string, total_amount double, version long, create_date string, create_hour string"
+    rows = [("1", 99.0, 1, "2024-01-07", "05"), ("1", 5.0, 2, "2024-01-07", "05")]
+    sinks.write_batch(spark.createDataFrame(rows, schema), 0, path, ["create_date"])
+    assert serve.gmv_total(spark, path, "2024-01-07").first().gmv == 5.0
+
+
+def test_search_without_hits(spark, stored):
+    day = QUERIES["sale_search_total"](spark, SF01).first().dt
+    res = serve.sale_detail(spark, stored["sale"], day, 1, 5, "nosuchword")
+    assert res.total.first().total == 0 and res.detail.count() == 0
+    stats = [(r.title, [tuple(o) for o in r.options]) for r in res.stat.collect()]
+    assert [t for t, _ in stats] == ["age", "gender"]
+    assert [v for _, v in stats[0][1]] == [0.0, 0.0, 100.0] and stats[1][1] == []
+
+
+def test_stored_orders_are_pruned(spark, stored):
+    table = sinks.read_table(spark, stored["orders"])
+    for fn in (gmv.gmv_total, gmv.gmv_by_hour):
+        plan = fn(table, DAY)._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(create_date" in plan
