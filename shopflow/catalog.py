@@ -282,10 +282,10 @@ def q_sales_by_province(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # KPI cards and hour series
 # ---------------------------------------------------------------------------
-@register("realtime_total", cte(C_STARTUP, C_DEDUP, C_FIRST_SEEN, C_PURCHASES, """
+@register("realtime_total", cte(C_STARTUP, C_DEDUP, C_FIRST_SEEN, """
 d AS (SELECT log_date AS dt, count(*) AS v FROM dedup GROUP BY 1)""", """
 n AS (SELECT log_date AS dt, count(*) AS v FROM first_seen GROUP BY 1)""", """
-g AS (SELECT create_date AS dt, round(sum(total_amount), 2) AS v FROM purchases GROUP BY 1)""", """
+g AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS dt, round(sum(o_totalprice), 2) AS v FROM orders GROUP BY 1)""", """
 days AS (SELECT dt FROM d UNION SELECT dt FROM n UNION SELECT dt FROM g)""") + """
 SELECT days.dt, 'dau' AS id, '{{CARD_DAU_NAME}}' AS name, CAST(coalesce(d.v, 0) AS DOUBLE) AS value
 FROM days LEFT JOIN d ON d.dt = days.dt
@@ -296,7 +296,7 @@ UNION ALL
 SELECT days.dt, 'order_amount', '{{CARD_ORDER_AMOUNT_NAME}}', CAST(g.v AS DOUBLE)
 FROM days LEFT JOIN g ON g.dt = days.dt""")
 def q_realtime_total(spark, sf_dir):
-    return kpi.realtime_total(_startup(spark, sf_dir), _purchases(spark, sf_dir))
+    return kpi.realtime_total(_startup(spark, sf_dir), _orders(spark, sf_dir))
 
 
 # spine of the KPI hour series: every day with a start-up or an order
@@ -452,7 +452,7 @@ uv AS (
          strftime(DATE '{fx.BIRTHDAY_BASE}' + CAST((c_custkey * {fx.BIRTHDAY_MULT}) % {fx.BIRTHDAY_SPAN} AS INTEGER),
                   '%Y-%m-%d') AS birthday,
          CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, 1 AS version, c_custkey
-  FROM customer WHERE c_custkey % {fx.MISSING_USER_MODULUS} <> 0)"""
+  FROM customer)"""
 C_USERS = C_USER_VERSIONS + f""",
 uv2 AS (SELECT * FROM uv UNION ALL
         SELECT id, login_name, '{fx.UPDATED_USER_LEVEL}', birthday, gender, 2, c_custkey FROM uv
@@ -471,7 +471,9 @@ enriched AS (
            AS user_age,
          u.user_level
   FROM wide w LEFT JOIN users u ON u.id = w.user_id)"""
-SALE_SQL = [C_O, C_D, C_USERS, C_WIDE, C_ENRICHED]
+# the joins' user dimension: some customers have no user row
+C_JOINED_USERS = C_USERS.replace("FROM customer)", f"FROM customer WHERE c_custkey % {fx.MISSING_USER_MODULUS} <> 0)")
+SALE_SQL = [C_O, C_D, C_JOINED_USERS, C_WIDE, C_ENRICHED]
 C_HITS = f"""
 hits AS (SELECT * FROM enriched
          WHERE list_has_all(regexp_split_to_array(lower(sku_name), '[^\\p{{L}}\\p{{Nd}}]+'),
@@ -526,7 +528,8 @@ def _users(spark, sf_dir):
 
 
 def _enriched(spark, sf_dir):
-    return sale.enrich(_wide(spark, sf_dir), _users(spark, sf_dir), AS_OF)
+    users = fx.user_versions(Tables(spark, sf_dir).customer, some_missing=True)
+    return sale.enrich(_wide(spark, sf_dir), sale.user_dim_latest(users), AS_OF)
 
 
 @register("sale_detail_wide", cte(C_O, C_D, C_WIDE) + "SELECT * FROM wide")

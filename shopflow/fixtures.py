@@ -27,7 +27,7 @@ EVID_OF_EVENT_TYPE = {
     "error": "addComment",
 }
 N_EVENT_DEVICES = 10          # event-log device id = user_id % 10
-MISSING_USER_MODULUS = 50     # customers with key % 50 == 0 have no user row
+MISSING_USER_MODULUS = 50     # customers with key % 50 == 0 are missing where users are joined
 UPDATED_USER_MODULUS = 10     # customers with key % 10 == 1 get a 2nd version
 UPDATED_USER_LEVEL = "VIP"
 BIRTHDAY_BASE = "1950-01-01"  # birthday = base + (custkey * 7919 % 22000) days
@@ -148,11 +148,14 @@ def order_lines_named(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     return order_lines(lineitem).join(parts, "sku_id", "left")
 
 
-def user_versions(customer: DataFrame) -> DataFrame:
-    """User rows as they arrive on the user topic: version 1 for every kept
-    customer, version 2 (level upgraded) for some."""
+def user_versions(customer: DataFrame, some_missing: bool = False) -> DataFrame:
+    """User rows as they arrive on the user topic: version 1 for every
+    customer, version 2 (level upgraded) for some. With ``some_missing``, as
+    the sale-detail queries need it, some customers have no user row yet."""
     key = F.col("c_custkey")
-    base = customer.filter(key % MISSING_USER_MODULUS != 0).select(
+    if some_missing:
+        customer = customer.filter(key % MISSING_USER_MODULUS != 0)
+    base = customer.select(
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("login_name"),
         F.col("c_mktsegment").alias("user_level"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shopflow import fixtures as fx
 from shopflow.catalog import KEYWORD, QUERIES, _enriched
-from shopflow.plans import dau, gmv, serve
+from shopflow.plans import dau, gmv, kpi, serve
 from shopflow.sources.tables import Tables
 from shopflow.streaming import sinks
 from tests.conftest import SF01
@@ -30,7 +30,8 @@ def stored(spark, tmp_path_factory):
 
 def test_realtime_total_for_one_day(spark, stored):
     got = {r.id: r.value for r in serve.realtime_total(spark, stored["dau"], stored["orders"], DAY).collect()}
-    want = {r.id: r.value for r in QUERIES["realtime_total"](spark, SF01)
+    t = Tables(spark, SF01)
+    want = {r.id: r.value for r in kpi.realtime_total(fx.startup_logs(t.events), fx.purchase_orders(t.events))
             .filter(F.col("dt") == DAY).collect()}
     assert got == want
 
