@@ -60,6 +60,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
+    import shopflow.app_queries  # noqa: F401  registers its queries
     from shopflow.catalog import QUERIES
     from shopflow.session import local_session
 

@@ -3,6 +3,7 @@ plus the driver contract."""
 
 import pytest
 
+import shopflow.app_queries  # noqa: F401  registers its queries
 from shopflow.catalog import ORACLE_SQL, QUERIES
 from tests.conftest import SF001, SF01
 from tests.oracle import compare, duck, type_diff
