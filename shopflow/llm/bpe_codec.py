@@ -20,6 +20,7 @@ other columns are not carried.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import ahocorasick
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from shopflow.llm import bpe
-from shopflow.llm.common import python_ready
+from shopflow.llm.common import python_ready, sliced
 
 NEVER = 1 << 60
 
@@ -92,47 +93,77 @@ class Encoder:
         return ids
 
 
-class Rest(dict):
-    """Unit that follows a space -> its ids as little-endian 32-bit numbers."""
+class Known(dict):
+    """Pre-token without the text ``before`` it -> its ids as little-endian
+    32-bit numbers. Frequent pre-tokens come early; a full cache stays."""
+
+    def __init__(self, encoder: Encoder, before: str) -> None:
+        self.encoder, self.before = encoder, before
+
+    def __missing__(self, part: str) -> bytes:
+        ids = packed(self.encoder.encode(self.before + part))
+        if len(part) <= bpe.CACHED_LENGTH and len(self) < bpe.CACHE_ENTRIES:
+            self[part] = ids
+        return ids
+
+
+class Units(dict):
+    """Text between two spaces -> ids of the unit that starts with the first
+    of them. Only units of one pre-token, or one and a full stop or comma, are
+    looked up as a whole."""
 
     def __init__(self, codec: Codec) -> None:
         self.codec = codec
 
     def __missing__(self, unit: str) -> bytes:
-        ids = self.codec.plain(" " + unit)
-        if len(unit) <= bpe.CACHED_LENGTH and len(self) < bpe.CACHE_ENTRIES:
-            self[unit] = ids  # frequent units come early; a full cache stays
-        return ids
+        codec = self.codec
+        if unit.isalpha():
+            return codec.spaced[unit]
+        if unit[-1:] in (",", ".") and unit[:-1].isalpha():
+            ids = codec.spaced[unit[:-1]] + codec.bare[unit[-1]]
+            if len(unit) <= bpe.CACHED_LENGTH and len(self) < bpe.CACHE_ENTRIES // 4:
+                self[unit] = ids
+            return ids
+        return codec.plain(" " + unit)
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Codec:
     def __init__(self, vocab: bpe.Vocabulary) -> None:
         self.vocab, self.encoder = vocab, Encoder(vocab)
-        self.rest = Rest(self)
-        spelled = [vocab.tokens.get(i, b"") for i in range(max(vocab.tokens) + 1)]
-        self.spelled = spelled
+        self.spaced, self.bare = Known(self.encoder, " "), Known(self.encoder, "")
+        self.units = Units(self)
 
     def plain(self, text: str) -> bytes:
-        encode = self.encoder.encode
-        return np.array([i for p in bpe.pretokens(text) for i in encode(p)], "<u4").tobytes()
+        """Ids of text without special strings."""
+        spaced, bare = self.spaced, self.bare
+        return b"".join([spaced[p[1:]] if p[0] == " " else bare[p] for p in bpe.pretokens(text)])
 
     def encode(self, text: str) -> bytes:
         out = []
         for segment in self.vocab.segments(text):
             if isinstance(segment, int):
-                out.append(np.array([segment], "<u4").tobytes())
+                out.append(packed([segment]))
                 continue
             cut = bpe.units(segment)
             if cut:
                 out.append(self.plain(cut[0]))
-                out.extend(map(self.rest.__getitem__, cut[1]))
+                spaced, units = self.spaced, self.units
+                out.extend([spaced.get(u) or units[u] for u in cut[1]])
             else:
-                for p in bpe.pretokens(segment):
-                    out.append(self.rest[p[1:]] if p[0] == " " else self.plain(p))
+                out.append(self.plain(segment))
         if len(self.encoder.pairs) > bpe.CACHE_ENTRIES:
             self.encoder.pairs.clear()
         return b"".join(out)
 
+
+class Decoder:
+    def __init__(self, vocab: bpe.Vocabulary) -> None:
+        self.spelled = [vocab.tokens.get(i, b"") for i in range(max(vocab.tokens) + 1)]
+
     def decode(self, ids: bytes) -> str:
         spelled = b"".join(map(self.spelled.__getitem__, np.frombuffer(ids, "<u4").tolist()))
         return spelled.decode("utf-8", "replace")
@@ -157,7 +188,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             ids = [own.encode(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
@@ -171,8 +202,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     id_type = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(shared.value)
-        for batch in batches:
+        own = Decoder(bpe.vocabulary(shared.value))
+        for batch in sliced(batches):
             texts = [own.decode(i or b"") for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.select(["doc_id", "ids"]).columns, pa.array(texts, pa.string())],

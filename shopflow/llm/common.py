@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 import os
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,5 +46,13 @@ def in_training(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4, F.lit(0)) != 2
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: Python values and results exist for
+    one of them at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def pieces(n: float, each: float, least: int = 1) -> int:
     return max(least, math.ceil(n / each))
