@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shopflow.constants import PHONE_KEEP, PHONE_STARS
 
 TOKEN_SPLIT = r"[^\p{L}\p{Nd}]+"   # word characters are letters and digits
+IDEOGRAPH = r"([\p{IsHan}\p{IsHiragana}])"   # written without spaces: each is a token
 
 
 def mask_phone(tel: Column, keep: int = PHONE_KEEP, stars: int = PHONE_STARS) -> Column:
@@ -17,8 +18,10 @@ def mask_phone(tel: Column, keep: int = PHONE_KEEP, stars: int = PHONE_STARS) ->
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased word tokens (letters/digits runs), empties removed."""
-    return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: t != "")
+    """Lower-cased word tokens (letters/digits runs; every ideograph is a token
+    of its own, as in a standard analyser), empties removed."""
+    spaced = F.regexp_replace(F.lower(text), IDEOGRAPH, " $1 ")
+    return F.filter(F.split(spaced, TOKEN_SPLIT), lambda t: t != "")
 
 
 def matches_all_terms(text: Column, keyword: Column | str) -> Column:

@@ -3,8 +3,7 @@
 Broadcast policy: no join here forces a broadcast of a side whose size grows
 with the data. Spark's ``autoBroadcastJoinThreshold`` together with AQE
 decides from *measured* shuffle sizes at run time, and AQE's skew-join
-handling splits oversized partitions of the streamed side. Only sides with a
-structural size bound (the 24-hour spine, routing rules) use ``bounded``.
+handling splits oversized partitions of the streamed side.
 """
 
 from __future__ import annotations
@@ -19,13 +18,6 @@ from shopflow.functions.time import hour_label
 HOURS_PER_DAY = 24
 
 
-def bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint for a side whose row count is bounded by construction
-    (the bound is documented by the caller, never measured by a collect)."""
-    assert max_rows <= 100_000, "only tiny, fixed-size sides are broadcast"
-    return F.broadcast(df)
-
-
 def anti_join(batch: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``seen`` (set difference).
 
@@ -107,5 +99,5 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                          *[right[c] for c in right.columns if c not in keys])
 
 
-__all__ = ["bounded", "anti_join", "full_outer_unique", "hour_spine",
+__all__ = ["anti_join", "full_outer_unique", "hour_spine",
            "today_vs_yesterday", "interval_join"]

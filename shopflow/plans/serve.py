@@ -4,8 +4,9 @@ These answer the dashboard's requests for one day -- KPI cards, the hour
 series of one card, and a sale-detail search page with its stats -- from the
 day-partitioned outputs (DAU table by ``log_date``, orders by
 ``create_date``, sale detail by ``dt``). Day filters hit the partition
-column, so a request reads only the partitions it needs (plus, for new
-devices, the device column of earlier days).
+column, so a request reads only the partitions it needs; new devices come from
+the first-seen table that its app writes (without one, from the device column
+of all days).
 """
 
 from __future__ import annotations
@@ -46,8 +47,13 @@ def dau_total(spark: SparkSession, dau_path: str, date: str) -> DataFrame:
     return d.agg(F.count(F.lit(1)).alias("dau"))
 
 
-def new_devices(spark: SparkSession, dau_path: str, date: str) -> DataFrame:
-    """Devices active on ``date`` and on no earlier day."""
+def new_devices(spark: SparkSession, dau_path: str, date: str,
+                first_path: str | None = None) -> DataFrame:
+    """Devices active on ``date`` and on no earlier day: one partition of the
+    first-seen table, or without it the device column of all days so far."""
+    if first_path:
+        first = sinks.read_table(spark, first_path).filter(F.col("log_date") == date)
+        return first.agg(F.count(F.lit(1)).alias("new_mid"))
     t = _dau(spark, dau_path).select("mid", "log_date")
     today = t.filter(F.col("log_date") == date).select("mid")
     before = t.filter(F.col("log_date") < date).select("mid")
@@ -61,10 +67,11 @@ def gmv_total(spark: SparkSession, orders_path: str, date: str) -> DataFrame:
     return o.agg(F.round(F.sum("total_amount"), 2).alias("gmv"))
 
 
-def realtime_total(spark: SparkSession, dau_path: str, orders_path: str, date: str) -> DataFrame:
+def realtime_total(spark: SparkSession, dau_path: str, orders_path: str, date: str,
+                   first_path: str | None = None) -> DataFrame:
     """The three KPI cards of one day: ``id, name, value``."""
     cards = [(kpi.CARD_DAU, dau_total(spark, dau_path, date).select(F.col("dau").cast("double"))),
-             (kpi.CARD_NEW_MID, new_devices(spark, dau_path, date)
+             (kpi.CARD_NEW_MID, new_devices(spark, dau_path, date, first_path)
               .select(F.col("new_mid").cast("double"))),
              (kpi.CARD_ORDER_AMOUNT, gmv_total(spark, orders_path, date)
               .select(F.col("gmv").cast("double")))]
@@ -77,10 +84,11 @@ def realtime_total(spark: SparkSession, dau_path: str, orders_path: str, date: s
 
 
 def realtime_hours(spark: SparkSession, card_id: str, dau_path: str, orders_path: str,
-                   date: str, fill: bool = True) -> DataFrame:
+                   date: str, fill: bool = True, first_path: str | None = None) -> DataFrame:
     """Hour series of one card for ``date`` next to the day before (24 rows;
     without ``fill``, NULL in hours without data); an unknown id gives an empty
-    result. Reads two day partitions (new devices: all days up to ``date``)."""
+    result. Reads two day partitions (new devices without a first-seen table:
+    all days up to ``date``)."""
     days = [date, _day_before(date)]
     # the requested day is the spine: always 24 rows, zero-filled
     spine = spark.createDataFrame([(date,)], "dt string")
@@ -95,12 +103,13 @@ def realtime_hours(spark: SparkSession, card_id: str, dau_path: str, orders_path
         series = today_vs_yesterday(s, "create_date", "create_hour", "v", zero=F.lit(0.0),
                                     days=spine, fill=fill)
     elif card_id == kpi.CARD_NEW_MID[0]:
-        t = _dau(spark, dau_path)
-        first = (t.filter(F.col("log_date") <= date).groupBy("mid")
-                 .agg(F.min(F.struct("log_date", "log_hour")).alias("f")))
-        s = (first.filter(F.col("f.log_date").isin(days))
-             .groupBy(F.col("f.log_date").alias("log_date"), F.col("f.log_hour").alias("log_hour"))
-             .agg(F.count(F.lit(1)).alias("v")))
+        if first_path:
+            first = sinks.read_table(spark, first_path)
+        else:
+            first = (_dau(spark, dau_path).filter(F.col("log_date") <= date).groupBy("mid")
+                     .agg(F.min(F.struct("log_date", "log_hour")).alias("f")).select("f.*"))
+        s = (first.filter(F.col("log_date").isin(days))
+             .groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("v")))
         series = today_vs_yesterday(s, "log_date", "log_hour", "v", days=spine, fill=fill)
     else:
         s = spark.createDataFrame([], "log_date string, log_hour string, v long")
@@ -152,11 +161,11 @@ def _number(value: F.Column, card_id: F.Column) -> F.Column:
 
 
 def realtime_total_json(spark: SparkSession, dau_path: str, orders_path: str,
-                        date: str) -> DataFrame:
+                        date: str, first_path: str | None = None) -> DataFrame:
     """The ``realtime-total`` response body: a JSON list of the three cards
     (one row, one ``body`` column; 3 entries collected). Counts are whole
     numbers; the revenue of a day without orders is null."""
-    cards = realtime_total(spark, dau_path, orders_path, date).withColumn(
+    cards = realtime_total(spark, dau_path, orders_path, date, first_path).withColumn(
         "ord", F.when(F.col("id") == kpi.CARD_DAU[0], 0)
         .when(F.col("id") == kpi.CARD_NEW_MID[0], 1).otherwise(2))
     entries = F.array_sort(F.collect_list(F.struct("ord", "id", "name", "value")))
@@ -166,14 +175,14 @@ def realtime_total_json(spark: SparkSession, dau_path: str, orders_path: str,
 
 
 def realtime_hours_json(spark: SparkSession, card_id: str, dau_path: str, orders_path: str,
-                        date: str) -> DataFrame:
+                        date: str, first_path: str | None = None) -> DataFrame:
     """The ``realtime-hours`` response body ``{"yesterday": {HH: v},
     "today": {HH: v}}`` with only the hours that have data (the page fills
     the rest; an hour whose total is 0 has data); an unknown id gives ``{}``.
     At most 24 entries per day are collected."""
     if card_id not in kpi.CARD_IDS:
         return spark.range(1).select(F.lit("{}").alias("body"))
-    s = realtime_hours(spark, card_id, dau_path, orders_path, date, fill=False)
+    s = realtime_hours(spark, card_id, dau_path, orders_path, date, False, first_path)
     kind = "double" if card_id == kpi.CARD_ORDER_AMOUNT[0] else "bigint"
 
     def hour_map(col: str):

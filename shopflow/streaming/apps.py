@@ -74,6 +74,7 @@ def decode_changes(raw: DataFrame) -> DataFrame:
 #: its own rejects
 REJECTS = {
     "dau": (schemas.STARTUP_LOG, jobs.REQUIRED),
+    "first_seen": (schemas.STARTUP_LOG, jobs.REQUIRED),
     "alert": (schemas.EVENT_LOG, jobs.REQUIRED),
     "gmv": (ORDER_WIRE, ORDER_REQUIRED),
     "users": (USER_WIRE, USER_REQUIRED),
@@ -98,6 +99,15 @@ def dau_app(raw: DataFrame, out_path: str, name: str = "dau",
                       checkpoint=checkpoint)
 
 
+def first_seen_app(raw: DataFrame, out_path: str, name: str = "first_seen",
+                   trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
+    """Start-up topic -> devices by the day they were first seen, written
+    incrementally (``plans.serve`` reads one day of it for new devices)."""
+    rows = jobs.first_seen_stream(jobs.startup_rows(raw)).select("mid", "ts", "log_date", "log_hour")
+    return jobs.start(rows, name, sinks.table_sink(out_path, ["log_date"]), trigger=trigger,
+                      checkpoint=checkpoint)
+
+
 def gmv_app(raw: DataFrame, out_path: str, name: str = "gmv",
             trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """Order topic -> cleaned orders (all fields, date/hour derived, phone
@@ -166,7 +176,7 @@ def topic_folder(routed_path: str, topic: str) -> str:
     return f"{routed_path.rstrip('/')}/topic={topic}"
 
 
-__all__ = ["decode_orders", "decode_details", "decode_users", "decode_changes", "dau_app", "gmv_app",
+__all__ = ["decode_orders", "decode_details", "decode_users", "decode_changes", "dau_app", "first_seen_app", "gmv_app",
            "user_app", "alert_app", "sale_detail_app", "ingest_app", "cdc_app", "dead_letters_app",
            "topic_folder"]
 
@@ -192,7 +202,7 @@ def main(argv: list[str] | None = None) -> list[StreamingQuery]:
     from pyspark.sql import SparkSession
 
     ap = argparse.ArgumentParser(prog="shopflow.streaming.apps")
-    ap.add_argument("app", choices=["dau", "gmv", "users", "alert", "sale_detail", "ingest", "cdc"])
+    ap.add_argument("app", choices=["dau", "first_seen", "gmv", "users", "alert", "sale_detail", "ingest", "cdc"])
     ap.add_argument("--kafka-servers")
     ap.add_argument("--topic")
     ap.add_argument("--input")
@@ -225,6 +235,8 @@ def main(argv: list[str] | None = None) -> list[StreamingQuery]:
     rejecting = raw
     if args.app == "dau":
         q = dau_app(raw, args.out, **how)
+    elif args.app == "first_seen":
+        q = first_seen_app(raw, args.out, **how)
     elif args.app == "gmv":
         q = gmv_app(raw, args.out, **how)
     elif args.app == "users":

@@ -143,13 +143,24 @@ def dau_state_stream(startup: DataFrame, lateness: str = DAU_LATENESS) -> DataFr
         F.date_format(F.col("day.start"), "yyyy-MM-dd").alias("log_date"), "p.log_hour")
 
 
+def first_seen_stream(startup: DataFrame) -> DataFrame:
+    """AGG14: the first start-up row of every device to arrive. The state
+    holds one entry per device (RocksDB, split by device), so a micro-batch
+    costs what it holds, whatever is stored."""
+    return startup.dropDuplicates(["mid"])
+
+
 # --- coupon alert ------------------------------------------------------------
 
 def alert_stream(events: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
                  lateness: str = "1 minute",
                  min_accounts: int = alert_plan.MIN_ACCOUNTS) -> DataFrame:
     """STR2/AGG7/FLT3 as one incremental windowed aggregation (streams allow
-    no distinct count, so the account set's size is used). In append mode an
+    no distinct count, so the account set's size is used). State per device and
+    window grows with the device's events in the window. Events that arrive
+    more than ``lateness`` behind the newest one are left out and counted in
+    the progress (``numRowsDroppedByWatermark``); a processing-time window,
+    which has no late events, would instead put them into a later window. In append mode an
     alert is emitted once its window is closed by the watermark; in update
     mode as soon as it fires (never retracted, like the reference)."""
     coupon = F.col("evid") == alert_plan.COUPON

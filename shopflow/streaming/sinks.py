@@ -6,7 +6,7 @@ offsets) replaces its own output instead of appending a duplicate. The id
 includes the run (``run_batch``), so a new checkpoint never overwrites what an
 earlier one stored. Keyed
 (upsert) outputs keep every version and expose the latest one per key through
-``latest_view``; ``compact`` rewrites that view as a new table.
+``latest_view``; ``compact_keyed`` writes that view beside the table.
 """
 
 from __future__ import annotations
@@ -125,13 +125,6 @@ def latest_view(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -
     return latest_per_key(df, list(keys), [BATCH_COL, *order])
 
 
-def compact(spark: SparkSession, path: str, out_path: str, keys: Sequence[str],
-            order: Sequence[str] = (), partition_cols: Sequence[str] = ()) -> None:
-    """Periodic compaction: write the latest view as a new table."""
-    latest = latest_view(read_table(spark, path), keys, order)
-    latest.write.mode("overwrite").partitionBy(*partition_cols).parquet(out_path)
-
-
 def _child_values(spark: SparkSession, path: str, name: str) -> list[int]:
     """Values of the ``name=<int>`` child folders of ``path`` (one directory
     listing, no recursion)."""

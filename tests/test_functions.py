@@ -288,3 +288,10 @@ def test_top_terms_matches_brute_force(spark, rows, n):
         ranked = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:n]
         want += [(g, t, c) for t, c in ranked]
     assert got == sorted(want)
+
+
+def test_ideographs_are_tokens(spark):
+    from shopflow.functions.text import matches_all_terms
+    df = spark.createDataFrame([("红色手机 Pro",), ("蓝色电话",)], "name string")
+    hit = [r[0] for r in df.select(matches_all_terms(F.col("name"), "手机 pro")).collect()]
+    assert hit == [True, False]
