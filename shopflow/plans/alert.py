@@ -89,7 +89,7 @@ def alert_items(events: DataFrame, alerts: DataFrame, size: str,
 
 def alert_events(events: DataFrame, alerts: DataFrame, size: str,
                  slide: str | None = None) -> DataFrame:
-    """The events of each alert in time order (``ts``, ``event_id``):
+    """The events of each alert, with ``ts`` and ``event_id`` to order them by:
     ``*group, event_id, evid, ts`` rows (all events: alerting groups have
     no click)."""
     return _members(events, alerts, size, slide).select(*GROUP, "event_id", "evid", "ts")
