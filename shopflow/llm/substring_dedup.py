@@ -33,6 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ class Words(dict):
     """Word -> 64-bit hash; bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -104,16 +105,25 @@ class Chunk:
         return ids[self.owner(at)]
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """64-bit numbers as eight byte planes, compressed: planes that hold little
+    cost little."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def restored(data: bytes, kind: type = np.uint64) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
 def packed(values: np.ndarray) -> bytes:
-    """Sorted unsigned numbers as differences, in 4 bytes where they fit."""
-    steps = np.diff(values, prepend=np.uint64(0))
-    small = not len(steps) or steps.max() < 2 ** 32
-    return (b"4" + steps.astype(np.uint32).tobytes()) if small else (b"8" + steps.tobytes())
+    """Sorted unsigned numbers as compressed differences."""
+    return squeezed(np.diff(values, prepend=np.uint64(0)))
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    steps = np.frombuffer(data, np.uint32 if data[:1] == b"4" else np.uint64, offset=1)
-    return np.cumsum(steps.astype(np.uint64), dtype=np.uint64)
+    return np.cumsum(restored(data), dtype=np.uint64)
 
 
 def bucket_edges(sorted_keys: np.ndarray, bits: int, n: int) -> np.ndarray:
@@ -123,14 +133,19 @@ def bucket_edges(sorted_keys: np.ndarray, bits: int, n: int) -> np.ndarray:
 
 
 ANCHOR, MANY = np.uint64(1), np.uint64(2)
-KEY_BITS = 46
 
 
-def probes(chunk: Chunk, block: int) -> np.ndarray:
+def key_bits(text_bytes: int) -> int:
+    """Bits of a block key: enough that a probe meets a strange anchor by
+    chance once in some thousands (an anchor stands for about 50 bytes)."""
+    return min(62, max(24, int(text_bytes // 50).bit_length() + 12))
+
+
+def probes(chunk: Chunk, block: int, bits: int) -> np.ndarray:
     """Sorted distinct block keys, shifted by two bits for the flags ANCHOR
     (an anchor block of this chunk) and MANY (at several positions of it)."""
     at = chunk.places(block)
-    keys = rolling(chunk.codes, block)[at] >> np.uint64(64 - KEY_BITS) << np.uint64(1)
+    keys = rolling(chunk.codes, block)[at] >> np.uint64(64 - bits) << np.uint64(1)
     keys |= ((at - chunk.starts[chunk.owner(at)]) % block == 0).astype(np.uint64)
     keys.sort()
     own = keys >> np.uint64(1)
@@ -169,12 +184,12 @@ def hit_anchors(parts: list[np.ndarray]) -> list[np.ndarray]:
     return [keys[hot & (source == i)] for i in range(len(parts))]
 
 
-def candidate_windows(chunk: Chunk, hot: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+def candidate_windows(chunk: Chunk, hot: np.ndarray, window: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes of windows that hold a hit, and the first
     position of each."""
     block = window // 2
     at = chunk.places(window)
-    blocks = rolling(chunk.codes, block) >> np.uint64(64 - KEY_BITS)
+    blocks = rolling(chunk.codes, block) >> np.uint64(64 - bits)
     hits = np.concatenate([[0], np.cumsum(isin(blocks, hot))])
     held = hits[at + window - block + 1] > hits[at]
     at = at[held]
@@ -219,12 +234,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
     python_ready(docs.sparkSession)
     block = window // 2
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = pieces(size, chunk_bytes)
+    n, bits = pieces(size, chunk_bytes), key_bits(size)
     dealt = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("chunk"),
                         F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def send(number: int, keys: np.ndarray, bits: int, columns: dict) -> pa.Table:
-        edges = bucket_edges(keys, bits, n)
+    def send(number: int, keys: np.ndarray, width: int, columns: dict) -> pa.Table:
+        edges = bucket_edges(keys, width, n)
         full = [b for b in range(n) if edges[b] < edges[b + 1]]
         out = {"bucket": pa.array(full, pa.int32()), "chunk": pa.array([number] * len(full), pa.int32())}
         return pa.table(out | {name: pa.array([f(edges[b], edges[b + 1]) for b in full], pa.binary())
@@ -241,22 +256,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
         return np.concatenate([unpacked(k) for _, k in rows] or [np.zeros(0, np.uint64)])
 
     def probe(key: tuple, table: pa.Table) -> pa.Table:
-        values = probes(Chunk.of(table), block)
-        return send(key[0].as_py(), values, KEY_BITS + 2, {"keys": lambda a, b: packed(values[a:b])})
+        values = probes(Chunk.of(table), block, bits)
+        return send(key[0].as_py(), values, bits + 2, {"keys": lambda a, b: packed(values[a:b])})
 
     def hit(key: tuple, table: pa.Table) -> pa.Table:
         return answer(table, hit_anchors([unpacked(k) for k in table["keys"].to_pylist()]))
 
     def extend(key: tuple, table: pa.Table, hot: pa.Table) -> pa.Table:
         chunk = Chunk.of(table)
-        keys, at = candidate_windows(chunk, told(hot), window)
+        keys, at = candidate_windows(chunk, told(hot), window, bits)
         ids = chunk.first_id(at)
-        return send(key[0].as_py(), keys, 64, {"keys": lambda a, b: keys[a:b].tobytes(),
-                                               "ids": lambda a, b: ids[a:b].tobytes()})
+        return send(key[0].as_py(), keys, 64, {"keys": lambda a, b: packed(keys[a:b]),
+                                               "ids": lambda a, b: squeezed(ids[a:b])})
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
-        keys, ids = ([np.frombuffer(x, kind) for x in table[name].to_pylist()]
-                     for name, kind in (("keys", np.uint64), ("ids", np.int64)))
+        keys = [unpacked(x) for x in table["keys"].to_pylist()]
+        ids = [restored(x, np.int64) for x in table["ids"].to_pylist()]
         return answer(table, earlier_elsewhere(keys, ids))
 
     def strip(key: tuple, table: pa.Table, elsewhere: pa.Table) -> pa.Table:
