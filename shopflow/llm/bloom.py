@@ -70,14 +70,19 @@ def build(keys: DataFrame, bits: int, hashes: int, seed: int = 0) -> Bloom:
     return Bloom(bits, hashes, seed, out)
 
 
-def may_hold(ids: DataFrame, column: Column, n: int) -> Column:
-    """Condition that is true for every id in ``ids`` (n rows of one long
-    column) and for few others. The filter has at most ``MOST_BITS`` bits: with
-    more ids it lets more through, so an exact join has to follow."""
+def covering(ids: DataFrame, n: int) -> Bloom:
+    """Filter that accepts every id in ``ids`` (n rows of one long column) and
+    few others. It has at most ``MOST_BITS`` bits: with more ids it lets more
+    through, so an exact join has to follow."""
     bits, hashes = sized(n, 0.01)
     if bits > MOST_BITS:
         bits, hashes = MOST_BITS, max(1, round(MOST_BITS / n * math.log(2)))
-    shared = ids.sparkSession.sparkContext.broadcast(build(ids, bits, hashes))
+    return build(ids, bits, hashes)
+
+
+def may_hold(ids: DataFrame, column: Column, n: int) -> Column:
+    """Condition on ``column`` that ``covering`` accepts it."""
+    shared = ids.sparkSession.sparkContext.broadcast(covering(ids, n))
 
     @F.pandas_udf("boolean")
     def test(keys: pd.Series) -> pd.Series:

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.llm import bloom
-from shopflow.llm.common import cut, python_ready
+from shopflow.llm.common import cut, python_ready, sliced
 
 BINS = 512
 MISSED = 1e-6
@@ -57,7 +57,7 @@ class Words(dict):
     """Word -> 64-bit hash; bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 250_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -129,7 +129,7 @@ def signed(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
     """doc_id, n_shingles, set_key (null for empty sets), buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, signer = Words(), Signer(rows, bands)
-        for batch in batches:
+        for batch in sliced(batches):
             n, keys, buckets = [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingles(text, size, words)
@@ -147,13 +147,13 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """doc_id and shingles (binary, sorted 64-bit hashes) of the wanted
     (doc_id, set_key). A bounded filter keeps other documents from being
     hashed and sent; the join is exact."""
-    n = wanted.count()
     near = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
-    near = near.filter(bloom.may_hold(wanted.select("doc_id"), F.col("doc_id"), n))
+    shared = docs.sparkSession.sparkContext.broadcast(bloom.covering(wanted.select("doc_id"), wanted.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        for batch in batches:
+        for batch in sliced(batches):
+            batch = batch.filter(pa.array(shared.value.passes(batch.column(0).to_numpy())))
             sets = [shingles(t, size, words) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([set_key(s) for s in sets], pa.binary()),
@@ -177,7 +177,7 @@ def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ok = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 shared, union = common(x.as_py(), y.as_py())
