@@ -42,9 +42,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and a digest of what they decode to."""
-    path = public_tokenizers.path(TOKENIZER)
-    decoded = bpe_codec.decode(bpe_codec.encode(docs, path), path)
-    return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+    coded = bpe_codec.round_trip(docs, public_tokenizers.path(TOKENIZER))
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
                           F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 

@@ -21,7 +21,7 @@ _PRETOKEN = regex.compile(PATTERN)
 #: a space that may not start a new unit: it stands inside a longer white run
 _INNER_SPACE = re.compile(r"\s \s")
 #: entries that a worker's cache holds at most (some 200 bytes each)
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 #: longer units are encoded without being kept
 CACHED_LENGTH = 64
 

@@ -10,7 +10,7 @@ each symbol x that stands at the right edge of the left token at some time,
 and y at the left edge of the right one, the merge (x, y) must come later than
 the merge that consumes x or y inside its token.
 
-Both directions are map-only. Workers remember the ids of a bounded number of
+Both directions are map-only, and ``round_trip`` does them in one pass. Workers remember the ids of a bounded number of
 short units (text between spaces) and pairs.
 
 Defined cases: null and empty texts have no ids and decode to the empty
@@ -209,3 +209,21 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 [*batch.select(["doc_id", "ids"]).columns, pa.array(texts, pa.string())],
                 ["doc_id", "ids", "text"])
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {id_type}, ids binary, text string")
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, ids and the text that the ids decode to, in one pass through one
+    worker a task."""
+    python_ready(docs.sparkSession)
+    shared = bpe.share(docs.sparkSession, path)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = codec(shared.value), Decoder(bpe.vocabulary(shared.value))
+        for batch in sliced(batches):
+            ids = [encoder.encode(t or "") for t in batch.column("text").to_pylist()]
+            texts = [decoder.decode(i) for i in ids]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(texts, pa.string())],
+                ["doc_id", "ids", "text"])
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, ids binary, text string")

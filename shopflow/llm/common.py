@@ -22,9 +22,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+#: rows that are sent to a Python worker at once: whole texts are long, and a
+#: batch exists several times (in the executor, in the worker, as Python values)
+ROWS_PER_BATCH = 1000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def python_ready(spark: SparkSession) -> None:
     """Let Python workers import this package where it is on the same path as
-    on the driver; on other clusters ship it with ``--py-files``."""
+    on the driver (on other clusters ship it with ``--py-files``), and keep the
+    batches that they get small."""
+    if int(spark.conf.get(_ARROW_ROWS)) > ROWS_PER_BATCH:
+        spark.conf.set(_ARROW_ROWS, str(ROWS_PER_BATCH))
     env = spark.sparkContext.environment
     if PACKAGE_ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (PACKAGE_ROOT, env.get("PYTHONPATH")) if x)

@@ -39,7 +39,7 @@ ROUNDS = 30
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 #: bytes of word likelihoods that a worker keeps
 CACHE_BYTES = 32 << 20
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 
 
 def grams(units: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -42,9 +42,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe_codec.encode(table(spark, sf_dir, "documents", "doc_id", "text"), path)
-    return bpe_codec.decode(encoded, path).select(
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe_codec.round_trip(docs, public_tokenizers.path(TOKENIZER)).select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))

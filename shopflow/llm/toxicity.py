@@ -41,7 +41,7 @@ FEATURES = 20_000
 SIGNIFICANCE = 5.0
 THRESHOLD = 0.3
 PREFIXES = (4, 5, 6, 7)
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 150_000
 #: fixed values: letters that a character may stand for, likeliest first
 LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b",
