@@ -16,8 +16,8 @@
    buckets that still hold two or more components are therefore compared
    exactly: they are grouped by the buckets they share, groups are dealt into
    tiles of bounded size, and a tile counts all intersections of its two
-   blocks by a matrix product, emitting only confirmed links between
-   components.
+   blocks by matrix products over strips of documents, emitting only confirmed
+   links between components.
 5. Components of all confirmed links (alternating stars over edge tables).
 
 Sets are sent only for documents that share a bucket, copies are aggregated
@@ -48,6 +48,8 @@ BINS = 512
 MISSED = 1e-6
 #: shingles in one block of the exact comparison
 BLOCK_SHINGLES = 100_000
+#: documents on a side of one matrix of counts
+STRIP = 1024
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
         0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3]
@@ -241,48 +243,71 @@ def tiles(members: DataFrame, sets: DataFrame, percent: int,
              .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                      "block", "doc_id", "component", "shingles"))
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i, j = key[1].as_py(), key[2].as_py()
+        table = pa.Table.from_batches(batches)
         ids, comps = table["doc_id"].to_numpy(), table["component"].to_numpy()
         sets_ = [np.frombuffer(x.as_py(), np.uint64) for x in table["shingles"]]
         block = table["block"].to_numpy()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        a, b = linked(sets_, comps, left, right, percent)
-        a, b = ids[a], ids[b]
-        return pa.table({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)})
+        for a, b in strips(sets_, comps, np.flatnonzero(block == i), np.flatnonzero(block == j), percent):
+            a, b = ids[a], ids[b]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()),
+                                              pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
     return dealt.groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def linked(sets_: list[np.ndarray], comps: np.ndarray, left: np.ndarray, right: np.ndarray,
            percent: int, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
     """Indices of linked pairs of different components, one of ``left`` and
-    one of ``right``. Intersections are counted exactly by products of 0/1
-    matrices, ``columns`` shingles at a time; shingles of one set take no part."""
+    one of ``right``."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)), *strips(sets_, comps, left, right, percent, columns)]
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+
+
+def strips(sets_: list[np.ndarray], comps: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int,
+           columns: int = 4096, side: int = STRIP) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of ``linked``, from ``side`` documents against ``side`` at a
+    time, so that memory does not grow with the number of documents.
+    Intersections are counted exactly by products of 0/1 matrices, ``columns``
+    shingles at a time; shingles that the two sides do not share take no part."""
     if not len(left) or not len(right):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return
     size = np.array([len(s) for s in sets_])
-    owner = np.repeat(np.arange(len(sets_)), size)
-    _, code, times = np.unique(np.concatenate(sets_), return_inverse=True, return_counts=True)
-    shared = times > 1
-    number = np.cumsum(shared) - 1
-    keep = shared[code]
-    code, owner = number[code[keep]], owner[keep]
-    order = np.argsort(code, kind="stable")
-    code, owner = code[order], owner[order]
-    row_left, row_right = np.full(len(sets_), -1), np.full(len(sets_), -1)
-    row_left[left], row_right[right] = np.arange(len(left)), np.arange(len(right))
-    counts = np.zeros((len(left), len(right)), np.float32)
-    for start in range(0, int(shared.sum()), columns):
-        a, b = np.searchsorted(code, [start, start + columns])
-        one, two = np.zeros((len(left), columns), np.float32), np.zeros((len(right), columns), np.float32)
-        for matrix, rows in ((one, row_left), (two, row_right)):
-            r = rows[owner[a:b]]
-            matrix[r[r >= 0], code[a:b][r >= 0] - start] = 1
-        counts += one @ two.T
-    union = size[left][:, None] + size[right][None, :] - counts
-    hit = (100 * counts >= percent * union) & (comps[left][:, None] != comps[right][None, :])
-    x, y = np.nonzero(hit)
-    return left[x], right[y]
+    code = np.unique(np.concatenate(sets_), return_inverse=True)[1]
+    start = np.cumsum(size) - size
+
+    def entries(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(shingle, place in ``own``) of the documents, by shingle."""
+        codes = np.concatenate([code[start[d]:start[d] + size[d]] for d in own])
+        order = np.argsort(codes, kind="stable")
+        return codes[order], np.repeat(np.arange(len(own)), size[own])[order]
+    parts = [right[at:at + side] for at in range(0, len(right), side)]
+    ready = [entries(two) for two in parts]
+    for at in range(0, len(left), side):
+        one = left[at:at + side]
+        own = entries(one)
+        for two, other in zip(parts, ready):
+            shared = np.intersect1d(own[0], other[0])
+            counts = np.zeros((len(one), len(two)), np.float32)
+            for first in range(0, len(shared), columns):
+                some = shared[first:first + columns]
+                counts += ones(*own, some, len(one)) @ ones(*other, some, len(two)).T
+            counts = counts.astype(np.int64)
+            union = size[one][:, None] + size[two][None, :] - counts
+            hit = (100 * counts >= percent * union) & (comps[one][:, None] != comps[two][None, :])
+            x, y = np.nonzero(hit)
+            if len(x):
+                yield one[x], two[y]
+
+
+def ones(codes: np.ndarray, rows: np.ndarray, some: np.ndarray, n: int) -> np.ndarray:
+    """0/1 matrix: which of ``n`` documents hold which of the shingles ``some`` (sorted)."""
+    a, b = np.searchsorted(codes, some[0]), np.searchsorted(codes, some[-1], "right")
+    place = np.searchsorted(some, codes[a:b])
+    held = some[place] == codes[a:b]
+    matrix = np.zeros((n, len(some)), np.float32)
+    matrix[rows[a:b][held], place[held]] = 1
+    return matrix
 
 
 def classify(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -89,6 +90,31 @@ def test_tiles_find_what_stars_miss(spark, monkeypatch):
     assert links == want and want
 
 
+def test_many_short_documents_in_a_block(spark):
+    """Every link, over several strips, without an array of documents x documents."""
+    rnd = np.random.default_rng(4)
+    sets = [np.unique(rnd.integers(0, 60, 6).astype(np.uint64)) for _ in range(250)]
+    comps, every = rnd.integers(0, 40, 250), np.arange(250)
+    want = {(a, b) for a in range(250) for b in range(250) if comps[a] != comps[b]
+            and 100 * len(np.intersect1d(sets[a], sets[b])) >= 40 * len(np.union1d(sets[a], sets[b]))}
+    for left, right in ((every, every), (every[:90], every[90:])):
+        got = [(a, b) for x, y in N.strips(sets, comps, left, right, 40, columns=7, side=32)
+               for a, b in zip(x.tolist(), y.tolist())]
+        assert len(got) == len(set(got)) and want
+        assert set(got) == {(a, b) for a, b in want if a in set(left.tolist()) and b in set(right.tolist())}
+    # 6,000 texts round one hot phrase: less memory than one array of 6,000 x 6,000 numbers
+    sets = [np.array([1, 2, 3, 10 + 2 * i, 11 + 2 * i], np.uint64) for i in range(6000)]
+    sets[5999] = sets[0]
+    tracemalloc.start()
+    try:
+        a, b = N.linked(sets, np.arange(6000), np.arange(6000), np.arange(6000), 80)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert set(zip(a.tolist(), b.tolist())) == {(0, 5999), (5999, 0)}
+    assert peak < 6000 * 6000 * 4
+
+
 def test_query_matches_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.QUERIES["op10_near_dedup"](spark, SF001).collect()}
