@@ -13,14 +13,17 @@ pass. Items are broadcast in blocks of about ``BLOCK_BYTES`` of text and every
 block is matched against all documents, so the broadcast does not grow with
 the benchmark.
 
-Defined cases: null or empty documents and items match nothing; items of fewer
-than ``LEAST`` normalised characters are too short to tell leaks from chance
-and match nothing; of several passages the one with the smallest distance, then the first
+Items of fewer than ``LEAST`` normalised characters match without edits and
+only as whole words: no word of the document reaches across either end. In
+scripts that are written without spaces every character is a word.
+
+Defined cases: null or empty documents and items match nothing; of several passages the one with the smallest distance, then the first
 end, is reported; repeated documents or items give repeated rows.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,6 +37,10 @@ from shopflow.llm.common import pieces, python_ready
 ERRORS = 0.08
 LEAST = 20
 BLOCK_BYTES = 1 << 20
+#: first and last code points of scripts that put no spaces between words
+#: (Thai, Lao, Myanmar, Khmer, kana and ideographs)
+UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF),
+            (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
 _SPACED = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
 
@@ -41,6 +48,17 @@ def normalised(text: str | None) -> str:
     return b" ".join((text or "").lower().encode().translate(_SPACED).split()).decode()
 
 
+def in_word(character: str) -> bool:
+    """Letters, digits and their marks, in scripts that separate words."""
+    return ((character.isalnum() or unicodedata.category(character)[0] == "M")
+            and not any(a <= ord(character) <= b for a, b in UNSPACED))
+
+
+def border(text: str, at: int) -> bool:
+    """Whether no word reaches across the place before ``text[at]``."""
+    return not (0 < at < len(text) and in_word(text[at - 1]) and in_word(text[at]))
+
+
 @dataclass
 class Pattern:
     """A benchmark item ready for Myers' algorithm."""
@@ -49,6 +67,7 @@ class Pattern:
     text: str
     errors: int
     masks: dict[str, int] = field(default_factory=dict)
+    whole_words: bool = False
 
     def __post_init__(self) -> None:
         for i, c in enumerate(self.text):
@@ -60,6 +79,16 @@ class Pattern:
         edges = [n * j // k for j in range(k + 1)]
         return [(a, self.text[a:b]) for a, b in zip(edges, edges[1:])]
 
+    def exact(self, text: str, start: int, stop: int) -> tuple[int, int] | None:
+        """(0, end) of the first place between word borders."""
+        at = text.find(self.text, start, stop)
+        while at >= 0:
+            end = at + len(self.text)
+            if border(text, at) and border(text, end):
+                return 0, end
+            at = text.find(self.text, at + 1, stop)
+        return None
+
     def best(self, text: str) -> tuple[int, int] | None:
         """(distance, end) of the closest passage of ``text`` within budget."""
         found = text.find(self.text)
@@ -90,7 +119,8 @@ class Pattern:
 class Matcher:
     def __init__(self, items: list[tuple[int, str]], errors: float = ERRORS) -> None:
         texts = [(i, normalised(t)) for i, t in items]
-        self.patterns = [Pattern(i, t, int(len(t) * errors)) for i, t in texts if len(t) >= LEAST]
+        self.patterns = [Pattern(i, t, int(len(t) * errors)) if len(t) >= LEAST else Pattern(i, t, 0, whole_words=True)
+                         for i, t in texts if t]
         places: dict[str, list[tuple[int, int]]] = {}
         for number, pattern in enumerate(self.patterns):
             for offset, piece in pattern.cuts():
@@ -124,13 +154,19 @@ class Matcher:
             return []
         out = []
         for number, spans in self.regions(own).items():
-            found = []
+            found, pattern = [], self.patterns[number]
             for start, stop in spans:
-                got = self.patterns[number].best(own[max(0, start):stop])
+                if pattern.whole_words:
+                    got = pattern.exact(own, start, stop)
+                    if got:
+                        found.append(got)
+                        break
+                    continue
+                got = pattern.best(own[max(0, start):stop])
                 if got:
                     found.append((got[0], got[1] + max(0, start)))
             if found:
-                out.append((self.patterns[number].item_id, *min(found)))
+                out.append((pattern.item_id, *min(found)))
                 if any_one:
                     return out
         return out

@@ -86,6 +86,19 @@ def test_leaks_match_brute_force(spark, block_bytes):
     assert {r.doc_id for r in left.collect()} == {d for d, _ in docs} - {x[0] for x in want}
 
 
+def test_short_items_match_whole_words(spark):
+    items = [(1, "What is 2+2?"), (2, "法国的首都是哪里？"), (3, "Yes or no"), (4, "..."), (5, "Où?")]
+    docs = [(1, "what is 2 2"), (2, "So: WHAT is (2 + 2)!"), (3, "what is 2 23 or somewhat is 2 2"), (4, "法国的首都是哪里？"),
+            (5, "问题：法国的首都是哪里？答案"), (6, "yes or not, yes or no"), (7, "yes or now"), (8, "..."), (9, None),
+            (10, "what is 2 3"), (11, "oùx où"), (12, "yes or nó")]
+    want = {(1, 1, 0, 11), (2, 1, 0, 14), (4, 2, 0, 9), (5, 2, 0, 12), (6, 3, 0, 20), (11, 5, 0, 6)}
+    # item 5 keeps its accent, its question mark does not count
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert {tuple(r) for r in D.leaks(rows, benchmark).collect()} == want
+    assert {r.doc_id for r in D.clean(rows, benchmark).collect()} == {3, 7, 8, 9, 10, 12}
+
+
 def test_query_finds_planted_passages(spark):
     got = {(r.doc_id, r.item_id) for r in queries.QUERIES["op5_decontamination"](spark, SF001).collect()}
     docs = spark.read.parquet(f"{SF001}/documents.parquet").collect()
