@@ -18,8 +18,9 @@ from pyspark.sql import SparkSession
 #: fixed value: the byte-level pre-tokenizer's pattern
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PRETOKEN = regex.compile(PATTERN)
-#: a space that may not start a new unit: it stands inside a longer white run
-_INNER_SPACE = re.compile(r"\s \s")
+#: a space that may not start a new unit: it stands inside a longer white run,
+#: or ends one at the end of the text
+_INNER_SPACE = re.compile(r"\s (?:\s|\Z)")
 #: entries that a worker's cache holds at most (some 200 bytes each)
 CACHE_ENTRIES = 150_000
 #: longer units are encoded without being kept
@@ -106,9 +107,9 @@ def units(text: str) -> tuple[str, list[str]] | None:
     """Text cut at its spaces: the first unit, and the others without the
     space they start with. None where white space does not allow it.
 
-    A space with a visible neighbour on either side ends a pre-token: the
-    pattern joins a space to what follows it, or keeps it as the end of a
-    white run. So units can be pre-tokenized, and remembered, alone."""
+    Before a space with a visible neighbour a pre-token ends: the pattern joins
+    a space to the visible character that follows it, and starts a white run
+    with it after a visible one. So units can be pre-tokenized, and remembered, alone."""
     if _INNER_SPACE.search(text):
         return None
     first, *rest = text.split(" ")

@@ -1,6 +1,8 @@
 """BPE codec and token counts against the tokenizers library."""
 
 import hashlib
+import itertools
+import json
 import random
 
 import numpy as np
@@ -58,6 +60,30 @@ def test_counts_equal_the_library(library, texts, file_text):
     assert counts == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_white_runs_with_a_vocabulary_that_merges_them():
+    """Cutting at spaces does not part what the pattern keeps together."""
+    spelled = {b: c for c, b in bpe.byte_characters().items()}
+    space, line, tab, letter = (spelled[ord(c)] for c in " \n\ta")
+    merges = [(space, space), (line, space), (space, line), (tab, space), (space, letter), (space * 2, space)]
+    tokens = [*spelled.values(), *(a + b for a, b in merges)]
+    file_text = json.dumps({
+        "version": "1.0", "truncation": None, "padding": None, "normalizer": None, "post_processor": None,
+        "added_tokens": [{"id": len(tokens), "content": "<|end|>", "single_word": False, "lstrip": False,
+                          "rstrip": False, "normalized": False, "special": True}],
+        "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True},
+        "decoder": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True},
+        "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None,
+                  "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False,
+                  "vocab": {t: i for i, t in enumerate(tokens)}, "merges": [list(m) for m in merges]}})
+    library = Tokenizer.from_str(file_text)
+    made = ["".join(x) for n in range(1, 6) for x in itertools.product(" \n\ta", repeat=n)]
+    made += [x + "<|end|>" + y for x in made[:84] for y in ("", "  ", "a \n ")]
+    expected = [e.ids for e in library.encode_batch(made, add_special_tokens=False)]
+    codec, counter = bpe_codec.Codec(bpe.parse(file_text)), token_counts.Counter(bpe.parse(file_text))
+    assert [np.frombuffer(codec.encode(t), "<u4").tolist() for t in made] == expected
+    assert counter.count(made) == list(map(len, expected))
+
+
 def test_queries(spark, library):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
     for r in queries.QUERIES["op3_bpe_codec"](spark, SF001).collect():
