@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shopflow.llm import (
     bpe_codec,
+    conversation_repair,
     decontamination,
     exact_dedup,
     language_id,
@@ -87,6 +88,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classify(table(spark, sf_dir, "documents", "doc_id", "text"), size=3, percent=85)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_substring_dedup": op2_substring_dedup,
@@ -98,8 +103,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_near_dedup": op10_near_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_url_filter": url_filter.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
+    "op12_conversation_repair": conversation_repair.ORACLE,
 }
