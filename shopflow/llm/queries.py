@@ -15,6 +15,7 @@ from shopflow.llm import (
     exact_dedup,
     language_id,
     near_dedup,
+    ranked_search,
     sharding,
     substring_dedup,
     token_counts,
@@ -88,6 +89,11 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classify(table(spark, sf_dir, "documents", "doc_id", "text"), size=3, percent=85)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
@@ -103,10 +109,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_near_dedup": op10_near_dedup,
+    "op11_ranked_search": op11_ranked_search,
     "op12_conversation_repair": op12_conversation_repair,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_url_filter": url_filter.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
+    "op11_ranked_search": ranked_search.ORACLE,
     "op12_conversation_repair": conversation_repair.ORACLE,
 }
