@@ -15,6 +15,7 @@ from shopflow.llm import (
     exact_dedup,
     language_id,
     near_dedup,
+    prefix_forest,
     ranked_search,
     sharding,
     substring_dedup,
@@ -98,6 +99,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
+def op13_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", F.col("embedding").alias("vec"))
+    return prefix_forest.search(vectors, F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_substring_dedup": op2_substring_dedup,
@@ -111,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_dedup": op10_near_dedup,
     "op11_ranked_search": op11_ranked_search,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_prefix_forest": op13_prefix_forest,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_url_filter": url_filter.ORACLE,
