@@ -451,12 +451,12 @@ damaged AS (
   FROM fated WHERE fate <> 0),
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
-         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
          regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS shown
   FROM damaged),
 judged AS (
   SELECT *, left(role, 1) AS initial,
-         CASE WHEN shown = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+         CASE WHEN shown = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
               WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
          lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
   FROM placed),
