@@ -732,6 +732,31 @@ def q_coupon_alert_events(spark, sf_dir):
     return _alert_members(spark, sf_dir, alert.alert_events)
 
 
+# windows that slide by a batch interval of 5 s (longer than the app's 5 minutes:
+# the fixture's events are sparse)
+FINE_SIZE, FINE_SLIDE = "30 minutes", "5 seconds"
+FINE_SIZE_MS, FINE_SLIDE_MS = 30 * 60_000, 5_000
+C_FINE = (C_EVW.replace(str(ALERT_SLIDE_MS), str(FINE_SLIDE_MS)).replace(str(ALERT_SIZE_MS), str(FINE_SIZE_MS))
+          .replace(f"range({ALERT_SIZE_MS // ALERT_SLIDE_MS})", f"range({FINE_SIZE_MS // FINE_SLIDE_MS})"))
+
+
+@register("coupon_alert_5s", cte(C_EV, C_FINE, C_ALERTS) + f"""
+SELECT mid, {_ms_str('ws')} AS window_start, {_ms_str('we')} AS window_end,
+       n_accounts, n_events, ts FROM alerts""")
+def q_coupon_alert_5s(spark, sf_dir):
+    a = alert.coupon_alerts_paned(_ev(spark, sf_dir), FINE_SIZE, FINE_SLIDE)
+    return a.select("mid", _tsfmt("window_start"), _tsfmt("window_end"), "n_accounts", "n_events", "ts")
+
+
+@register("coupon_alert_5s_events", cte(C_EV, C_FINE, C_ALERTS) + f"""
+SELECT mid, {_ms_str('ws')} AS window_start, {_ms_str('we')} AS window_end, event_id, evid, uid, ts FROM members""")
+def q_coupon_alert_5s_events(spark, sf_dir):
+    ev = _ev(spark, sf_dir)
+    alerts = alert.coupon_alerts_paned(ev, FINE_SIZE, FINE_SLIDE)
+    return alert.paned_members(ev, alerts, FINE_SIZE, FINE_SLIDE).select(
+        "mid", _tsfmt("window_start"), _tsfmt("window_end"), "event_id", "evid", "uid", "ts")
+
+
 @register("events_until_click", cte(C_EV, C_EVW) + f""",
 fc AS (SELECT ws, mid, min((ts, event_id)) AS fc FROM evw WHERE evid = 'clickItem' GROUP BY ws, mid)
 SELECT e.mid, {_ms_str('e.ws')} AS window_start, {_ms_str('e.we')} AS window_end,

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from shopflow.constants import ALERT_INDEX_PREFIX, CLICK, COUPON, MIN_ACCOUNTS  # noqa: F401
 from shopflow.functions.time import to_event_time
+from shopflow.operators.panes import Panes, in_stretches, windows_of
 
 GROUP = ["window_start", "window_end", "mid"]
 
@@ -95,6 +96,41 @@ def alert_events(events: DataFrame, alerts: DataFrame, size: str,
     return _members(events, alerts, size, slide).select(*GROUP, "event_id", "evid", "ts")
 
 
+def pane_cells(events: DataFrame, panes: Panes) -> DataFrame:
+    """Per pane, device and coupon account (NULL: all other events) the number
+    of events and whether one is an item click: the only pass over the events."""
+    return (events.groupBy(panes.pane(F.col("ts")).alias("pane"), "mid", _coupon("uid").alias("account"))
+            .agg(F.count(F.lit(1)).alias("n"), F.max((F.col("evid") == CLICK).cast("int")).alias("clicked")))
+
+
+def coupon_alerts_paned(events: DataFrame, size: str = "5 minutes", slide: str = "5 seconds",
+                        min_accounts: int = MIN_ACCOUNTS) -> DataFrame:
+    """``coupon_alerts`` for slides far shorter than the window. Events are
+    aggregated into panes once; windows are made of panes, and only where two
+    adjoining stretches of a window's length hold enough accounts to alert at
+    all. A hot device is combined map-side at every step."""
+    panes = Panes.of(size, slide)
+    parts = in_stretches(pane_cells(events, panes), panes)
+    hopeful = (parts.groupBy("mid", "stretch").agg(F.count_distinct("account").alias("a"))
+               .filter(F.col("a") >= min_accounts).select("mid", "stretch"))
+    merged = (windows_of(parts.join(hopeful, ["mid", "stretch"], "left_semi"), panes).groupBy("start", "mid")
+              .agg(F.count_distinct("account").alias("n_accounts"), F.sum("n").alias("n_events"),
+                   F.max("clicked").alias("clicked")))
+    return (merged.filter((F.col("n_accounts") >= min_accounts) & (F.coalesce("clicked", F.lit(0)) == 0))
+            .select(panes.window_start(F.col("start")).alias("window_start"),
+                    panes.window_end(F.col("start")).alias("window_end"), "mid", "n_accounts", "n_events")
+            .withColumn("ts", F.unix_millis("window_end")))
+
+
+def paned_members(events: DataFrame, alerts: DataFrame, size: str, slide: str) -> DataFrame:
+    """The events of alerts, once per alert: alerts, which are few, are spread
+    over their panes and meet each event in its one pane."""
+    panes = Panes.of(size, slide)
+    first = F.floor(F.unix_millis("window_start") / panes.length).cast("long")
+    spread = alerts.select(*GROUP, F.explode(F.sequence(first, first + (panes.per_window - 1))).alias("pane"))
+    return events.withColumn("pane", panes.pane(F.col("ts"))).join(spread, ["mid", "pane"]).drop("pane")
+
+
 def alert_aggregates():
     """Streaming form of AGG7 (one incremental aggregation; a stream allows
     no distinct count and no second pass): the sets and the ordered event

@@ -8,7 +8,7 @@ day partitions of a stored table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopflow.constants import (AGE_BUCKETS, BAND_20_TO_30, BAND_30_PLUS, BAND_UNDER_20,
@@ -94,26 +94,54 @@ def age_band_share(hits: DataFrame, f: DataFrame | None = None) -> DataFrame:
     return shares.select("dt", F.explode(options).alias("o")).select("dt", "o.name", "o.value")
 
 
+TOTAL, BY_AGE, BY_GENDER = 3, 1, 2   # grouping ids of (user_age, user_gender)
+
+
+def cube(hits: DataFrame) -> DataFrame:
+    """AGG9/10/12/16 in one aggregate over the hits: grouping sets for the
+    day's total, its ages and its genders. ``dt, user_age, user_gender,
+    doc_count, part`` (which of the three)."""
+    return (hits.select("dt", "user_age", "user_gender")
+            .groupingSets([["dt"], ["dt", "user_age"], ["dt", "user_gender"]], "dt", "user_age", "user_gender")
+            .agg(F.count(F.lit(1)).alias("doc_count"),
+                 F.grouping_id("dt", "user_age", "user_gender").alias("part")))
+
+
 def search_stats(hits: DataFrame) -> DataFrame:
     """Search-page payload: per day two ``Stat`` rows -- ``stat[0]`` age bands,
     ``stat[1]`` gender shares -- each with ``options`` = [(name, value)].
-    Built from the two share queries (at most 3 options per stat and day),
-    so the collect per (day, stat) is bounded."""
-    f = facets(hits)
-    age = age_band_share(hits, f).select(
-        "dt", F.lit(0).alias("idx"), F.lit(STAT_AGE).alias("title"),
-        F.when(F.col("name") == BAND_UNDER_20, 0).when(F.col("name") == BAND_20_TO_30, 1)
-        .otherwise(2).alias("ord"), "name", "value")
-    names = None
+    One aggregate over the hits (``cube``) and one exchange of its rows by day:
+    a day has its total, at most as many age rows as there are ages, and its
+    genders; ranks, shares and bands come from windows over these."""
+    term = F.coalesce(F.col("user_age").cast("string"), F.col("user_gender"))
+    day = Window.partitionBy("dt")
+    biggest = Window.partitionBy("dt", "part").orderBy(term.isNull(), F.desc("doc_count"), "user_age", "user_gender")
+    rows = (cube(hits).withColumn("rank", F.row_number().over(biggest))
+            .withColumn("total", F.max(F.when(F.col("part") == TOTAL, F.col("doc_count"))).over(day)))
+    counted = term.isNotNull()
+
+    def in_band(name: str) -> Column:
+        inside = (F.col("part") == BY_AGE) & counted & (F.col("rank") <= AGE_BUCKETS) & (age_band(F.col("user_age")) == name)
+        return F.sum(F.when(inside, F.col("doc_count")).otherwise(0))
+    names = F.col("user_gender")
     for code, label in GENDER_NAMES.items():
-        names = (F.when(F.col("user_gender") == code, F.lit(label)) if names is None
-                 else names.when(F.col("user_gender") == code, F.lit(label)))
-    gender = gender_share(hits, f).select(
-        "dt", F.lit(1).alias("idx"), F.lit(STAT_GENDER).alias("title"),
+        names = F.when(F.col("user_gender") == code, F.lit(label)).otherwise(names)
+    shown = F.when((F.col("part") == BY_GENDER) & counted & (F.col("rank") <= GENDER_BUCKETS), F.struct(
         # biggest bucket first, as the terms aggregation returns them
-        (-F.col("doc_count")).alias("ord"),
-        names.otherwise(F.col("user_gender")).alias("name"), F.col("share").alias("value"))
-    opts = F.array_sort(F.collect_list(F.struct("ord", "name", "value")))
-    return (age.unionByName(gender).groupBy("dt", "idx", "title")
-            .agg(F.transform(opts, lambda o: F.struct(o["name"].alias("name"),
-                                                      o["value"].alias("value"))).alias("options")))
+        (-F.col("doc_count")).alias("ord"), names.alias("name"),
+        share_pct(F.col("doc_count"), F.col("total")).alias("value")))
+    per_day = rows.groupBy("dt").agg(
+        in_band(BAND_UNDER_20).alias("n20"), in_band(BAND_20_TO_30).alias("n30"),
+        F.max("total").alias("total"), F.array_sort(F.collect_list(shown)).alias("genders"))
+    a, b = share_pct(F.col("n20"), F.col("total")), share_pct(F.col("n30"), F.col("total"))
+
+    def option(name: Column, value: Column) -> Column:
+        return F.struct(name.alias("name"), value.alias("value"))
+    ages = F.array(option(F.lit(BAND_UNDER_20), a), option(F.lit(BAND_20_TO_30), b),
+                   option(F.lit(BAND_30_PLUS), remainder_pct(a, b)))
+    genders = F.transform("genders", lambda g: option(g["name"], g["value"]))
+    # a day without a gender has no gender stat
+    stats = F.array(F.struct(F.lit(0).alias("idx"), F.lit(STAT_AGE).alias("title"), ages.alias("options")),
+                    F.struct(F.lit(1).alias("idx"), F.lit(STAT_GENDER).alias("title"), genders.alias("options")))
+    return (per_day.select("dt", F.explode(stats).alias("s")).select("dt", "s.idx", "s.title", "s.options")
+            .filter(F.size("options") > 0))

@@ -175,6 +175,34 @@ def alert_stream(events: DataFrame, size: str = "5 minutes", slide: str = "1 min
                     F.unix_millis(F.col("w.end")).alias("ts")))
 
 
+def paned_alert_stream(events: DataFrame, size: str = "5 minutes", slide: str = "5 seconds",
+                       lateness: str = "1 minute",
+                       min_accounts: int = alert_plan.MIN_ACCOUNTS) -> DataFrame:
+    """``alert_stream`` for slides far shorter than the window, in append mode:
+    one aggregation turns events into panes (state per device and pane, evicted
+    by the watermark), a second one over the panes' own windows merges closed
+    panes into sliding windows. An event is copied never, a pane
+    ``size / slide`` times."""
+    coupon = F.col("evid") == alert_plan.COUPON
+    panes = (events.withWatermark("event_time", lateness)
+             .groupBy(F.window("event_time", slide).alias("pane"), "mid")
+             .agg(F.collect_set(F.when(coupon, F.col("uid"))).alias("uids"),
+                  F.collect_set(F.when(coupon, F.col("itemid"))).alias("items"),
+                  F.collect_list(F.struct("ts", "event_id", "evid")).alias("members"),
+                  F.max((F.col("evid") == alert_plan.CLICK).cast("int")).alias("clicked")))
+
+    def merged(column: str) -> Column:
+        return F.flatten(F.collect_list(column))
+    windows = (panes.groupBy(F.window("pane", size, slide).alias("w"), "mid")
+               .agg(F.array_sort(F.array_distinct(merged("uids"))).alias("uids"),
+                    F.array_sort(F.array_distinct(merged("items"))).alias("itemIds"),
+                    F.transform(F.array_sort(merged("members")), lambda e: e["evid"]).alias("events"),
+                    F.max("clicked").alias("clicked")))
+    return (windows.filter((F.size("uids") >= min_accounts) & (F.col("clicked") == 0))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "mid", "uids", "itemIds", "events", F.unix_millis("w.end").alias("ts")))
+
+
 def alert_sink(out_path: str) -> Callable[[DataFrame, int], None]:
     """SNK2/STR3: alert documents appended per batch; readers take
     ``latest_view(keys=["doc_id"])``."""
