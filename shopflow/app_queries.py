@@ -11,16 +11,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopflow import catalog as Q
 from shopflow import fixtures as fx
-from shopflow.plans import dau, gmv, serve
+from shopflow.operators import bitmaps, postings
+from shopflow.plans import dau, gmv, sale, search, serve
 from shopflow.session import checkpoint_root
 from shopflow.sources import streams
 from shopflow.sources.tables import Tables
-from shopflow.streaming import apps, sinks
+from shopflow.streaming import apps, halves, jobs, sinks
 
 DAY = "2024-01-07"   # a day of the driver's events
 NOW = {"availableNow": True}
@@ -131,3 +132,142 @@ FROM range(24) r(h) LEFT JOIN dedup ON CAST(log_hour AS INTEGER) = h GROUP BY 1"
 def q_request_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC4 FLT8 SET3: the hours of one day and the day before."""
     return serve.realtime_hours(spark, "dau", *_day_tables(spark, sf_dir), DAY)
+
+
+# --- order/line join with waiting halves ---------------------------------------
+
+#: arrival times (order and ship dates) up to which the first releases reach
+RELEASES = ("1997-04-01", "1999-06-01")
+BOUND_S = Q.INTERVAL_BOUND_S
+#: a message past every bound: the streams' clocks have moved on
+LAST = "2100-01-01"
+
+
+def _released(spark: SparkSession, df: DataFrame, path: str, run) -> None:
+    """Writes rows in the order of their arrival ``at``, one release after the
+    other, and lets ``run`` consume each before the next comes (the query starts
+    again from its checkpoint every time)."""
+    edges = [None, *RELEASES, None]
+    for low, high in zip(edges, edges[1:]):
+        part = df
+        if low is not None:
+            part = part.filter(F.col("at") >= F.lit(low).cast("timestamp"))
+        if high is not None:
+            part = part.filter(F.col("at") < F.lit(high).cast("timestamp"))
+        part.write.mode("append").partitionBy("side").parquet(path)
+        run()
+    clock = spark.range(1).select(F.lit(None).cast("string").alias("order_id"), F.lit(None).cast("string").alias("body"),
+                                  F.lit(LAST).cast("timestamp").alias("at"),
+                                  F.explode(F.array(F.lit(halves.ORDER_ONLY), F.lit(halves.LINE_ONLY))).alias("side"))
+    clock.write.mode("append").partitionBy("side").parquet(path)
+    run()
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return (halves.half(fx.order_info(t.orders, with_time=True), halves.ORDER_ONLY, "id", "order_time",
+                        ["order_status", "create_time", "user_id"])
+            .unionByName(halves.half(fx.order_lines(t.lineitem, with_time=True), halves.LINE_ONLY, "order_id",
+                                     "line_time", ["id", "sku_id", "order_price"])))
+
+
+def _topic(spark: SparkSession, path: str, side: str) -> DataFrame:
+    return (streams.parquet_files(spark, path, halves.HALF).filter(F.col("side") == side)
+            .withColumn("side", F.when(F.col("order_id").isNull(), halves.CLOCK).otherwise(F.col("side"))))
+
+
+@Q.register("stream_order_lines", Q.cte(Q.C_O, Q.C_D) + f"""
+SELECT o.order_id, d.order_detail_id, d.sku_id, d.sku_price, o.order_status, o.create_time, o.user_id
+FROM o JOIN d ON o.order_id = d.order_id
+ AND d.line_time BETWEEN o.order_time - INTERVAL {BOUND_S} SECOND AND o.order_time + INTERVAL {BOUND_S} SECOND""")
+def q_stream_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK5 STR5 JN4: orders and lines as they arrive, joined in keyed state that
+    holds each half until its bound has passed."""
+    root = _folder(spark)
+
+    def run() -> None:
+        both = _topic(spark, f"{root}/in", halves.ORDER_ONLY).unionByName(
+            _topic(spark, f"{root}/in", halves.LINE_ONLY))
+        jobs.start(halves.halves_stream(both, BOUND_S), f"halves_{root[-8:]}", halves.halves_sink(f"{root}/out"),
+                   trigger=NOW, checkpoint=f"{root}/ck").awaitTermination()
+    _released(spark, _halves(spark, sf_dir), f"{root}/in", run)
+    pairs = sinks.read_table(spark, f"{root}/out").filter(F.col("found") == halves.PAIR)
+    return pairs.select("order_id", halves.field("line_body", "id").alias("order_detail_id"),
+                        halves.field("line_body", "sku_id"),
+                        halves.field("line_body", "order_price", "double").alias("sku_price"),
+                        *[halves.field("order_body", c) for c in ("order_status", "create_time", "user_id")])
+
+
+@Q.register("stream_late_halves", Q.cte(Q.C_O, Q.C_D, f"""
+pairs AS (SELECT d.order_detail_id, o.order_id, o.order_time IS NOT NULL AND d.line_time BETWEEN
+                 o.order_time - INTERVAL {BOUND_S} SECOND AND o.order_time + INTERVAL {BOUND_S} SECOND AS in_time,
+                 coalesce(o.order_id, d.order_id) AS id
+          FROM d LEFT JOIN o ON o.order_id = d.order_id)""") + """
+SELECT CASE WHEN in_time THEN 'pair' WHEN order_id IS NOT NULL THEN 'late' ELSE 'line' END AS found,
+       id AS order_id, order_detail_id FROM pairs
+UNION ALL
+SELECT 'order', order_id, NULL FROM o WHERE order_id NOT IN (SELECT order_id FROM d)""")
+def q_stream_late_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR9 STR5: the outer stream-stream join's pairs and halves, then the
+    repair step over what it stored; every line and every lone order once."""
+    root = _folder(spark)
+
+    def run() -> None:
+        joined = halves.outer_stream(*[_topic(spark, f"{root}/in", s)
+                                       for s in (halves.ORDER_ONLY, halves.LINE_ONLY)], BOUND_S)
+        jobs.start(joined, f"outer_{root[-8:]}", halves.halves_sink(f"{root}/out"), trigger=NOW,
+                   checkpoint=f"{root}/ck").awaitTermination()
+    _released(spark, _halves(spark, sf_dir), f"{root}/in", run)
+    return halves.repaired(spark, f"{root}/out").select(
+        "found", "order_id", halves.field("line_body", "id").alias("order_detail_id"))
+
+
+# --- inverted index, device bitmaps ---------------------------------------------
+
+def _batches(df: DataFrame, key: str, n: int = 2) -> list[DataFrame]:
+    """The rows in the batches they arrive in (dealt by key)."""
+    own = F.pmod(F.xxhash64(key), F.lit(n))
+    return [df.filter(own == i) for i in range(n)]
+
+
+@Q.register("index_search_total", Q.cte(*Q.SALE_SQL, Q.C_HITS) + """
+SELECT dt, count(*) AS total FROM hits GROUP BY dt""")
+def q_index_search_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC5 FLT9 AGG12: sale lines indexed in two batches, then the keyword's
+    totals from the posting lists of its tokens alone."""
+    root, t = _folder(spark), Tables(spark, sf_dir)
+    wide = sale.sale_detail_wide(fx.order_info(t.orders), fx.order_lines_named(t.lineitem, t.part))
+    # a line id occurs more than once in the driver's table: each is a hit
+    docs = wide.select("dt", "sku_name", F.concat_ws("#", "order_detail_id", F.row_number().over(
+        Window.partitionBy("order_detail_id").orderBy("sku_price"))).alias("doc_id"))
+    for i, batch in enumerate(_batches(docs, "doc_id")):
+        postings.write_postings(postings.posting_rows(batch, "doc_id", "sku_name", "dt"), i, f"{root}/postings")
+    return search.search_total(postings.lookup(spark, f"{root}/postings", Q.KEYWORD))
+
+
+def _device_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start-ups in two deliveries, late ones among them: numbers and bitmaps
+    stored batch by batch."""
+    root = _folder(spark)
+    rows = dau.with_dates(fx.startup_logs(Tables(spark, sf_dir).events)).select("event_id", "mid", "log_date")
+    for i, batch in enumerate(_batches(rows, "event_id")):
+        known = sinks.read_table(spark, f"{root}/numbers", before_batch=i, empty_schema="mid string, slot int, n long")
+        sinks.write_batch(bitmaps.number(batch, known), i, f"{root}/numbers")
+        numbers = sinks.read_table(spark, f"{root}/numbers").drop(sinks.BATCH_COL)
+        sinks.write_batch(bitmaps.day_bits(batch, numbers), i, f"{root}/bits", ["log_date"])
+    return sinks.read_table(spark, f"{root}/bits")
+
+
+@Q.register("bitmap_dau_total", "WITH" + Q.DEDUP + """
+SELECT log_date, count(*) AS dau FROM dedup GROUP BY log_date""")
+def q_bitmap_dau_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG3: devices per day from stored bitmaps."""
+    return bitmaps.totals(_device_bits(spark, sf_dir))
+
+
+@Q.register("bitmap_new_devices", "WITH" + Q.FIRST_SEEN + """
+SELECT log_date, count(*) AS new_mid FROM first_seen GROUP BY log_date""")
+def q_bitmap_new_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG14: new devices per day from stored bitmaps, right although part of
+    every day comes in the second delivery."""
+    return bitmaps.new_per_day(_device_bits(spark, sf_dir))
