@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from shopflow import catalog as Q
 from shopflow import fixtures as fx
-from shopflow.operators import bitmaps, postings
+from shopflow.operators import bitmaps, paging, postings
 from shopflow.plans import dau, gmv, sale, search, serve
 from shopflow.session import checkpoint_root
-from shopflow.sources import streams
+from shopflow.sources import changes, streams
 from shopflow.sources.tables import Tables
-from shopflow.streaming import apps, halves, jobs, sinks
+from shopflow.streaming import apps, halves, jobs, revenue, sinks
 
 DAY = "2024-01-07"   # a day of the driver's events
 NOW = {"availableNow": True}
@@ -271,3 +271,85 @@ def q_bitmap_new_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG14: new devices per day from stored bitmaps, right although part of
     every day comes in the second delivery."""
     return bitmaps.new_per_day(_device_bits(spark, sf_dir))
+
+
+# --- revenue by differences, pages, change feed, user lookup ----------------------
+
+#: the second delivery: unchanged orders, and changed ones an hour later
+AGAIN, CHANGED, MORE = 5, 7, 10.0
+
+
+@Q.register("stream_revenue_hours", f"""
+WITH purchases AS (
+  SELECT CASE WHEN event_id % {CHANGED} = 0 THEN value + {MORE} ELSE value END AS amount,
+         CASE WHEN event_id % {CHANGED} = 0 THEN ts + INTERVAL 1 HOUR ELSE ts END AS moved
+  FROM events WHERE event_type = 'purchase')
+SELECT strftime(moved, '%Y-%m-%d') AS create_date, strftime(moved, '%H') AS create_hour, round(sum(amount), 2) AS gmv
+FROM purchases GROUP BY 1, 2""")
+def q_stream_revenue_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG5 AGG6: orders, then some again and some changed, through the revenue
+    app; hours from its stored differences."""
+    root = _folder(spark)
+    first = fx.purchase_orders(Tables(spark, sf_dir).events)
+    changed = F.col("id") % CHANGED == 0
+    later = F.date_format(F.to_timestamp("create_time") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd HH:mm:ss")
+    second = first.filter(changed | (F.col("id") % AGAIN == 0)).select(
+        "id", F.when(changed, F.col("total_amount") + MORE).otherwise(F.col("total_amount")).alias("total_amount"),
+        F.when(changed, later).otherwise(F.col("create_time")).alias("create_time"))
+    for delivery in (first, second):
+        _lines(delivery, f"{root}/in")
+        _run(apps.revenue_app, streams.text_files(spark, f"{root}/in"), f"{root}/out", root)
+    return revenue.by_hour(sinks.read_table(spark, f"{root}/out/deltas"))
+
+
+PAGE_ORDER = ["dt", "order_detail_id", "sku_price"]
+PAGE_SIZE, NEAR, FAR = 20, 2, 700
+C_PAGED = "SELECT dt, order_detail_id, order_id, sku_id, sku_price FROM d JOIN o USING (order_id)"
+
+
+def _page_sql(page_no: int) -> str:
+    return (Q.cte(Q.C_O, Q.C_D) + f"SELECT * FROM ({C_PAGED}) ORDER BY {', '.join(PAGE_ORDER)} "
+            f"LIMIT {PAGE_SIZE} OFFSET {(page_no - 1) * PAGE_SIZE}")
+
+
+def _sale_page(spark: SparkSession, sf_dir: str, page_no: int) -> DataFrame:
+    root, t = _folder(spark), Tables(spark, sf_dir)
+    wide = fx.as_record_ids(sale.sale_detail_wide(fx.order_info(t.orders), fx.order_lines(t.lineitem)))
+    paging.build(wide.select("dt", "order_detail_id", "order_id", "sku_id", "sku_price"), PAGE_ORDER,
+                 f"{root}/pages", part_rows=2_000)
+    return paging.page(spark, f"{root}/pages", PAGE_ORDER, page_no, PAGE_SIZE)
+
+
+@Q.register("sale_page_near", _page_sql(NEAR))
+def q_sale_page_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LIM2 PRJ19: the second page of all sale lines, from one part."""
+    return _sale_page(spark, sf_dir, NEAR)
+
+
+@Q.register("sale_page_far", _page_sql(FAR))
+def q_sale_page_far(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LIM2 PRJ19: a page far behind, from one part as well."""
+    return _sale_page(spark, sf_dir, FAR)
+
+
+@Q.register("stream_change_feed", Q.cte(Q.C_CHANGES) + """
+SELECT topic, value FROM (
+  SELECT *, CASE
+    WHEN "table" = 'order_info' AND op = 'INSERT' THEN '{{TOPIC_ORDER_INFO}}'
+    WHEN "table" = 'order_detail' AND op = 'INSERT' THEN '{{TOPIC_ORDER_DETAIL}}'
+    WHEN "table" = 'user_info' AND op IN ('INSERT', 'UPDATE') THEN '{{TOPIC_USER_INFO}}'
+  END AS topic FROM changes) WHERE topic IS NOT NULL""")
+def q_stream_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3 FLT5 FLT6 PRJ9 SNK6: change entries of two databases as files, read
+    by the change-feed source in fetches and routed, in two runs; then every
+    message of the topics."""
+    root, t = _folder(spark), Tables(spark, sf_dir)
+    entries = fx.change_entries(t.orders, t.lineitem, t.customer).drop("key")
+    other = entries.withColumn("database", F.lit("other"))
+    for i, part in enumerate((entries.filter("table <> 'order_detail'").unionByName(other.filter("table = 'user_info'")),
+                              entries.filter("table = 'order_detail'"))):
+        # names must grow from delivery to delivery
+        part.select(F.to_json(F.struct(*part.columns)).alias("value")).write.text(f"{root}/drop-{i}")
+        changes.deliver(spark, f"{root}/drop-{i}", f"{root}/in", f"{i:04d}")
+        _run(apps.cdc_app, changes.change_files(spark, f"{root}/in", fx.CDC_DATABASE), f"{root}/out", root)
+    return spark.read.text(f"{root}/out").select("topic", "value")

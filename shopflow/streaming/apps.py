@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shopflow import schemas
 from shopflow.functions.json import decode, good_rows
 from shopflow.plans import gmv as gmv_plan
-from shopflow.streaming import jobs, sinks
+from shopflow.streaming import jobs, revenue, sinks
 
 
 def _strings(*names: str) -> T.StructType:
@@ -77,6 +77,7 @@ REJECTS = {
     "first_seen": (schemas.STARTUP_LOG, jobs.REQUIRED),
     "alert": (schemas.EVENT_LOG, jobs.REQUIRED),
     "gmv": (ORDER_WIRE, ORDER_REQUIRED),
+    "revenue": (ORDER_WIRE, ORDER_REQUIRED),
     "users": (USER_WIRE, USER_REQUIRED),
     "sale_detail": (DETAIL_WIRE, DETAIL_REQUIRED),
     "cdc": (schemas.CHANGE_ENTRY, CHANGE_REQUIRED),
@@ -119,11 +120,22 @@ def gmv_app(raw: DataFrame, out_path: str, name: str = "gmv",
                       trigger=trigger, checkpoint=checkpoint)
 
 
+def revenue_app(raw: DataFrame, out_path: str, name: str = "revenue",
+                trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
+    """Order topic -> hourly revenue kept up by differences (``<out>/deltas``,
+    read by ``revenue.day_by_hour``) and the orders' versions (``<out>/orders``)."""
+    orders = (gmv_plan.clean_orders(decode_orders(raw))
+              .withColumn("version", F.unix_millis("order_time")).drop("order_time", "arrival"))
+    return jobs.start(orders, name, revenue.revenue_sink(f"{out_path}/orders", f"{out_path}/deltas"),
+                      trigger=trigger, checkpoint=checkpoint)
+
+
 def user_app(raw: DataFrame, out_path: str, name: str = "users",
              trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
-    """User topic -> user versions table; readers take the latest per id
-    (``sinks.latest_view(..., ["id"], ["version"])``)."""
-    return jobs.start(decode_users(raw).drop("arrival"), name, sinks.table_sink(out_path),
+    """User topic -> user versions table, laid out by key bucket; readers take
+    the latest per id (``sinks.read_keyed(..., ["id"], ["version"])``), lookups
+    read the buckets of their ids only."""
+    return jobs.start(decode_users(raw).drop("arrival"), name, sinks.keyed_sink(out_path, ["id"]),
                       trigger=trigger, checkpoint=checkpoint)
 
 
@@ -177,7 +189,7 @@ def topic_folder(routed_path: str, topic: str) -> str:
 
 
 __all__ = ["decode_orders", "decode_details", "decode_users", "decode_changes", "dau_app", "first_seen_app", "gmv_app",
-           "user_app", "alert_app", "sale_detail_app", "ingest_app", "cdc_app", "dead_letters_app",
+           "revenue_app", "user_app", "alert_app", "sale_detail_app", "ingest_app", "cdc_app", "dead_letters_app",
            "topic_folder"]
 
 
@@ -202,7 +214,7 @@ def main(argv: list[str] | None = None) -> list[StreamingQuery]:
     from pyspark.sql import SparkSession
 
     ap = argparse.ArgumentParser(prog="shopflow.streaming.apps")
-    ap.add_argument("app", choices=["dau", "first_seen", "gmv", "users", "alert", "sale_detail", "ingest", "cdc"])
+    ap.add_argument("app", choices=["dau", "first_seen", "gmv", "revenue", "users", "alert", "sale_detail", "ingest", "cdc"])
     ap.add_argument("--kafka-servers")
     ap.add_argument("--topic")
     ap.add_argument("--input")
@@ -239,6 +251,8 @@ def main(argv: list[str] | None = None) -> list[StreamingQuery]:
         q = first_seen_app(raw, args.out, **how)
     elif args.app == "gmv":
         q = gmv_app(raw, args.out, **how)
+    elif args.app == "revenue":
+        q = revenue_app(raw, args.out, **how)
     elif args.app == "users":
         q = user_app(raw, args.out, **how)
     elif args.app == "alert":

@@ -237,7 +237,7 @@ def sale_detail_sink(users_path: str, out_path: str,
             ids = wide.select(F.col("user_id").alias("id")).distinct()
             users = (sinks.read_keyed(spark, users_path, ["id"], ["version"],
                                       empty_schema=USER_TABLE, only=ids)
-                     .drop(sinks.BATCH_COL, "version"))
+                     .drop(sinks.BATCH_COL, sinks.KEY_BUCKET, "version"))
             day = F.current_date() if as_of is None else as_of
             sinks.write_batch(sale_plan.enrich(wide, users, day), batch_id, out_path, ["dt"])
         finally:

@@ -14,12 +14,16 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.operators.dedup import latest_per_key
 
 BATCH_COL = "batch_id"
+KEY_BUCKET = "key_bucket"
+#: folders that a batch of a keyed table is dealt into; a lookup reads those of
+#: its keys
+KEY_BUCKETS = 64
 #: batch ids a checkpoint can use: 15 years of one batch every 5 seconds
 RUN_BATCHES = 100_000_000
 
@@ -118,6 +122,23 @@ def read_days(spark: SparkSession, path: str, day_col: str, days: Sequence[str],
     return df
 
 
+def key_bucket(keys: Sequence[str], buckets: int = KEY_BUCKETS) -> Column:
+    """Bucket of a key, the same for numbers and their text."""
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("string")
+
+
+def write_keyed(df: DataFrame, batch_id: int, path: str, keys: Sequence[str], buckets: int = KEY_BUCKETS) -> None:
+    """One micro-batch of a keyed table, laid out by key bucket below the
+    batch's folder. A table has one number of buckets."""
+    (df.withColumn(KEY_BUCKET, key_bucket(keys, buckets)).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+     .repartition(KEY_BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BATCH_COL, KEY_BUCKET).parquet(path))
+
+
+def keyed_sink(path: str, keys: Sequence[str], buckets: int = KEY_BUCKETS) -> Callable[[DataFrame, int], None]:
+    return lambda batch, batch_id: write_keyed(batch, batch_id, path, keys, buckets)
+
+
 def latest_view(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """SNK2/WIN2: latest version per key: highest batch id (numeric), then
     ``order``."""
@@ -159,40 +180,62 @@ def compact_keyed(spark: SparkSession, path: str, keys: Sequence[str],
         return None
     upto = ids[-1]
     latest = read_keyed(spark, path, keys, order, upto=upto)
-    latest.write.mode("overwrite").parquet(f"{compacted_path(path)}/upto={upto}")
+    target = f"{compacted_path(path)}/upto={upto}"
+    if KEY_BUCKET in latest.columns:
+        latest.repartition(KEY_BUCKET).write.mode("overwrite").partitionBy(KEY_BUCKET).parquet(target)
+    else:
+        latest.write.mode("overwrite").parquet(target)
     return upto
 
 
 def read_keyed(spark: SparkSession, path: str, keys: Sequence[str],
                order: Sequence[str] = (), empty_schema: str | None = None,
-               upto: int | None = None, only: DataFrame | None = None) -> DataFrame:
+               upto: int | None = None, only: DataFrame | None = None,
+               buckets: int = KEY_BUCKETS) -> DataFrame:
     """Latest version per key of a keyed (upsert) table: the newest
     compaction plus only the batch folders written after it, so the read
     does not list or scan the table's whole history. With ``only`` (a table of
-    keys) other keys are left out before their versions are compared."""
-    done = _child_values(spark, compacted_path(path), "upto")
+    keys) other keys are left out before their versions are compared, and of a
+    table that ``write_keyed`` laid out only the folders of their buckets are
+    listed and read (the numbers that occur, at most ``buckets``, are collected)."""
+    done = [d for d in _child_values(spark, compacted_path(path), "upto") if upto is None or d <= upto]
     base = done[-1] if done else None
     ids = [i for i in _child_values(spark, path, BATCH_COL)
            if (base is None or i > base) and (upto is None or i <= upto)]
+    touched = None
+    if only is not None:
+        touched = {int(r[0]) for r in only.select(key_bucket(keys, buckets).alias("b")).distinct().collect()}
     parts = []
     if base is not None:
-        parts.append(spark.read.parquet(f"{compacted_path(path)}/upto={base}"))
-    if ids:
-        parts.append(spark.read.option("basePath", path)
-                     .parquet(*[f"{path.rstrip('/')}/{BATCH_COL}={i}" for i in ids]))
-    if not parts:
+        own = f"{compacted_path(path)}/upto={base}"
+        parts.append((own, _bucket_folders(spark, own, touched)))
+    newer = [f for i in ids for f in _bucket_folders(spark, f"{path.rstrip('/')}/{BATCH_COL}={i}", touched)]
+    parts.append((path, newer))
+    read = [spark.read.option("basePath", root).parquet(*folders).withColumn(BATCH_COL, F.col(BATCH_COL).cast("long"))
+            for root, folders in parts if folders]
+    if not read:
         if empty_schema is None:
-            raise ValueError(f"{path} has no data")
-        return spark.createDataFrame([], f"{empty_schema}, {BATCH_COL} long")
-    df = parts[0]
-    for extra in parts[1:]:
-        df = df.unionByName(extra.withColumn(BATCH_COL, F.col(BATCH_COL).cast("long")),
-                            allowMissingColumns=True)
+            if only is None or not (base is not None or ids):
+                raise ValueError(f"{path} has no data")
+            return read_keyed(spark, path, keys, order, upto=upto).join(only, list(keys), "left_semi")
+        return spark.createDataFrame([], f"{empty_schema}, {BATCH_COL} long, {KEY_BUCKET} string")
+    df = read[0]
+    for extra in read[1:]:
+        df = df.unionByName(extra, allowMissingColumns=True)
     if only is not None:
         df = df.join(only, list(keys), "left_semi")
     return latest_view(df, keys, order)
 
 
+def _bucket_folders(spark: SparkSession, folder: str, touched: set[int] | None) -> list[str]:
+    """The folder itself, or of one that is laid out by key bucket the touched
+    buckets (one listing, no recursion)."""
+    if touched is None:
+        return [folder]
+    there = _child_values(spark, folder, KEY_BUCKET)
+    return [f"{folder}/{KEY_BUCKET}={b}" for b in there if b in touched] if there else [folder]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
