@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from shopflow import catalog as Q
 from shopflow import fixtures as fx
+from shopflow.functions.json import log_topic
 from shopflow.operators import bitmaps, paging, postings
 from shopflow.plans import dau, gmv, sale, search, serve
 from shopflow.session import checkpoint_root
@@ -53,17 +54,29 @@ def q_stream_dau_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_table(spark, f"{root}/out").select("mid", "log_date")
 
 
-@Q.register("stream_ingest_topics", """
-SELECT '{{TOPIC_STARTUP}}' AS topic, count(*) AS n FROM events
-UNION ALL SELECT '{{TOPIC_EVENT}}', count(*) FROM events""")
+_MESSAGES = """
+SELECT '{place}' AS place, '{{{{TOPIC_STARTUP}}}}' AS topic,
+       '{{"type":"startup","mid":"' || uid || '","uid":"' || uid || '"}}' AS message FROM raw
+UNION ALL
+SELECT '{place}', '{{{{TOPIC_EVENT}}}}', '{{"type":"event","mid":"' || emid || '","uid":"' || uid || '","evid":"' || evid || '"'
+       || CASE WHEN itemid IS NULL THEN '' ELSE ',"itemid":' || itemid END || '}}' FROM raw"""
+
+
+@Q.register("stream_ingest_topics", Q.cte(Q.C_RAW_FIELDS) + _MESSAGES.format(place="topic") + " UNION ALL "
+            + _MESSAGES.format(place="archive"))
 def q_stream_ingest_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK6 SNK7 PRJ10 FLT7: raw messages through the ingest app, then the
-    lines that its topics hold."""
+    """SNK6 SNK7 PRJ10 FLT7: raw messages through the ingest app, then every
+    message that its topics and its archive hold. The stamp (the time of this
+    run) must be a message's last field and is taken off."""
     root = _folder(spark)
     fx.raw_log_json(Tables(spark, sf_dir).events).select("value").write.text(f"{root}/in")
     _run(apps.ingest_app, streams.text_files(spark, f"{root}/in"), f"{root}/archive", root,
          routed_path=f"{root}/routed")
-    return spark.read.text(f"{root}/routed").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    topics = spark.read.text(f"{root}/routed").select(F.lit("topic").alias("place"), "topic", "value")
+    archive = spark.read.text(f"{root}/archive").select(F.lit("archive").alias("place"),
+                                                        log_topic(F.col("value")).alias("topic"), "value")
+    return topics.unionByName(archive).select(
+        "place", "topic", F.regexp_replace("value", r',"ts":\d+\}$', "}").alias("message"))
 
 
 @Q.register("stream_gmv_day", Q.cte(Q.C_PURCHASES) + f"""
@@ -107,10 +120,18 @@ def q_stream_alert_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.latest_view(docs, ["doc_id"]).select("doc_id", "mid", "ts")
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def _day_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The tables that requests read, stored once per application and input."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key in _STORED:
+        return f"{_STORED[key]}/dau", f"{_STORED[key]}/orders"
     root, t = _folder(spark), Tables(spark, sf_dir)
     sinks.write_batch(dau.dau_dedup(fx.startup_logs(t.events)), 0, f"{root}/dau", ["log_date"])
     sinks.write_batch(gmv.clean_orders(fx.purchase_orders(t.events)), 0, f"{root}/orders", ["create_date"])
+    _STORED[key] = root
     return f"{root}/dau", f"{root}/orders"
 
 
@@ -353,3 +374,19 @@ def q_stream_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         changes.deliver(spark, f"{root}/drop-{i}", f"{root}/in", f"{i:04d}")
         _run(apps.cdc_app, changes.change_files(spark, f"{root}/in", fx.CDC_DATABASE), f"{root}/out", root)
     return spark.read.text(f"{root}/out").select("topic", "value")
+
+
+@Q.register("stream_first_seen", "WITH" + Q.FIRST_SEEN + """
+SELECT log_date, log_hour, count(*) AS new_mid FROM first_seen GROUP BY log_date, log_hour""")
+def q_stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG14: start-ups, the later half of the month first, through the
+    first-seen app; new devices per hour of their earliest record."""
+    root = _folder(spark)
+    raw = fx.raw_log_json(Tables(spark, sf_dir).events).filter("kind = 'startup'")
+    day = F.dayofmonth(F.timestamp_millis(F.get_json_object("value", "$.ts").cast("long")))
+    for late in (True, False):
+        raw.filter((day > 15) if late else (day <= 15)).select("value").write.mode("append").text(f"{root}/in")
+        _run(apps.first_seen_app, streams.text_files(spark, f"{root}/in"), f"{root}/out", root)
+    deltas = sinks.read_table(spark, f"{root}/out/deltas")
+    return (deltas.groupBy(F.col("create_date").alias("log_date"), F.col("create_hour").alias("log_hour"))
+            .agg(F.sum("orders").alias("new_mid")).filter("new_mid <> 0"))

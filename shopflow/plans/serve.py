@@ -4,9 +4,9 @@ These answer the dashboard's requests for one day -- KPI cards, the hour
 series of one card, and a sale-detail search page with its stats -- from the
 day-partitioned outputs (DAU table by ``log_date``, orders by
 ``create_date``, sale detail by ``dt``). Day filters hit the partition
-column, so a request reads only the partitions it needs; new devices come from
-the first-seen table that its app writes (without one, from the device column
-of all days).
+column and only the folders of those days are listed, so a request costs what
+its days hold; new devices come from the changes that the first-seen app writes
+(without them, from the device column of all days).
 """
 
 from __future__ import annotations
@@ -17,10 +17,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopflow import schemas
 from shopflow.constants import BAND_20_TO_30, BAND_30_PLUS, BAND_UNDER_20
 from shopflow.operators.joins import today_vs_yesterday
 from shopflow.plans import kpi, search
-from shopflow.streaming import sinks
+from shopflow.streaming import revenue, sinks
+
+#: columns of a stored table that has no rows for a day
+DAU_COLS = "mid string, log_date string, log_hour string"
+ORDER_COLS = "id string, total_amount double, create_date string, create_hour string"
+SALE_COLS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.SALE_DETAIL.fields)
 
 
 def _day_before(date: str) -> str:
@@ -28,33 +34,41 @@ def _day_before(date: str) -> str:
     return (_dt.date.fromisoformat(date) - _dt.timedelta(days=1)).isoformat()
 
 
-def _dau(spark: SparkSession, dau_path: str) -> DataFrame:
-    return sinks.read_table(spark, dau_path)
+def _dau(spark: SparkSession, dau_path: str, days: list[str]) -> DataFrame:
+    """Stored devices of the given days; other days are not even listed."""
+    return (sinks.read_days(spark, dau_path, "log_date", days, empty_schema=DAU_COLS)
+            .filter(F.col("log_date").isin(days)))
+
+
+def _dau_until(spark: SparkSession, dau_path: str, date: str) -> DataFrame:
+    return (sinks.read_table(spark, dau_path, empty_schema=DAU_COLS)
+            .filter(F.col("log_date") <= date).select("mid", "log_date", "log_hour"))
 
 
 def _orders(spark: SparkSession, orders_path: str, days: list[str]) -> DataFrame:
     """Orders of the given days, latest version per order id: a re-delivered
     order is counted once. An order's ``create_date`` never changes, so its
     versions share a day partition and only those days are read."""
-    o = sinks.read_table(spark, orders_path).filter(F.col("create_date").isin(days))
+    o = (sinks.read_days(spark, orders_path, "create_date", days, empty_schema=ORDER_COLS)
+         .filter(F.col("create_date").isin(days)))
     order = [c for c in ("version",) if c in o.columns]  # arrival, within a batch
     return sinks.latest_view(o, ["id"], order).drop(sinks.BATCH_COL)
 
 
 def dau_total(spark: SparkSession, dau_path: str, date: str) -> DataFrame:
     """Active devices of one day (one partition)."""
-    d = _dau(spark, dau_path).filter(F.col("log_date") == date)
+    d = _dau(spark, dau_path, [date])
     return d.agg(F.count(F.lit(1)).alias("dau"))
 
 
 def new_devices(spark: SparkSession, dau_path: str, date: str,
                 first_path: str | None = None) -> DataFrame:
-    """Devices active on ``date`` and on no earlier day: one partition of the
-    first-seen table, or without it the device column of all days so far."""
+    """Devices active on ``date`` and on no earlier day: one day of the
+    first-seen changes, or without them the device column of all days so far."""
     if first_path:
-        first = sinks.read_table(spark, first_path).filter(F.col("log_date") == date)
-        return first.agg(F.count(F.lit(1)).alias("new_mid"))
-    t = _dau(spark, dau_path).select("mid", "log_date")
+        first = revenue.new_devices(spark, first_path, [date])
+        return first.agg(F.coalesce(F.sum("v"), F.lit(0)).alias("new_mid"))
+    t = _dau_until(spark, dau_path, date)
     today = t.filter(F.col("log_date") == date).select("mid")
     before = t.filter(F.col("log_date") < date).select("mid")
     return (today.join(before.distinct(), "mid", "left_anti")
@@ -93,7 +107,7 @@ def realtime_hours(spark: SparkSession, card_id: str, dau_path: str, orders_path
     # the requested day is the spine: always 24 rows, zero-filled
     spine = spark.createDataFrame([(date,)], "dt string")
     if card_id == kpi.CARD_DAU[0]:
-        s = (_dau(spark, dau_path).filter(F.col("log_date").isin(days))
+        s = (_dau(spark, dau_path, days)
              .groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("v")))
         series = today_vs_yesterday(s, "log_date", "log_hour", "v", days=spine, fill=fill)
     elif card_id == kpi.CARD_ORDER_AMOUNT[0]:
@@ -104,12 +118,12 @@ def realtime_hours(spark: SparkSession, card_id: str, dau_path: str, orders_path
                                     days=spine, fill=fill)
     elif card_id == kpi.CARD_NEW_MID[0]:
         if first_path:
-            first = sinks.read_table(spark, first_path)
+            s = revenue.new_devices(spark, first_path, days)
         else:
-            first = (_dau(spark, dau_path).filter(F.col("log_date") <= date).groupBy("mid")
+            first = (_dau_until(spark, dau_path, date).groupBy("mid")
                      .agg(F.min(F.struct("log_date", "log_hour")).alias("f")).select("f.*"))
-        s = (first.filter(F.col("log_date").isin(days))
-             .groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("v")))
+            s = (first.filter(F.col("log_date").isin(days))
+                 .groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("v")))
         series = today_vs_yesterday(s, "log_date", "log_hour", "v", days=spine, fill=fill)
     else:
         s = spark.createDataFrame([], "log_date string, log_hour string, v long")
@@ -134,7 +148,7 @@ def sale_detail(spark: SparkSession, sale_path: str, date: str, page_no: int, si
     1-based page in line-id order and the age/gender stats. Read the latest
     document per line id (upsert view). Without a hit the total is 0, the first
     two age bands have share 0 and no gender is listed."""
-    day = sinks.read_table(spark, sale_path).filter(F.col("dt") == date)
+    day = (sinks.read_days(spark, sale_path, "dt", [date], empty_schema=SALE_COLS).filter(F.col("dt") == date))
     docs = sinks.latest_view(day, ["order_detail_id"]).drop(sinks.BATCH_COL)
     hits = search.search(docs, keyword)
     stats = search.search_stats(hits).drop("dt")

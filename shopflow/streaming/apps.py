@@ -80,13 +80,16 @@ REJECTS = {
     "revenue": (ORDER_WIRE, ORDER_REQUIRED),
     "users": (USER_WIRE, USER_REQUIRED),
     "sale_detail": (DETAIL_WIRE, DETAIL_REQUIRED),
+    "sale_detail_orders": (ORDER_WIRE, ORDER_REQUIRED),
     "cdc": (schemas.CHANGE_ENTRY, CHANGE_REQUIRED),
 }
 
 
 def dead_letters_app(raw: DataFrame, app: str, dead_path: str, name: str | None = None,
                      trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
-    """The lines of an app's source that its decoder rejects, as they came."""
+    """The lines of an app's source that its decoder rejects, as they came. The
+    sale-detail app has two sources: ``sale_detail`` stands for its lines,
+    ``sale_detail_orders`` for its orders."""
     rejected = jobs.dead_letter_rows(raw, *REJECTS[app])
     return jobs.start(rejected, name or f"{app}_dead", sinks.table_sink(dead_path, fmt="text"),
                       trigger=trigger, checkpoint=checkpoint)
@@ -102,11 +105,12 @@ def dau_app(raw: DataFrame, out_path: str, name: str = "dau",
 
 def first_seen_app(raw: DataFrame, out_path: str, name: str = "first_seen",
                    trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
-    """Start-up topic -> devices by the day they were first seen, written
-    incrementally (``plans.serve`` reads one day of it for new devices)."""
-    rows = jobs.first_seen_stream(jobs.startup_rows(raw)).select("mid", "ts", "log_date", "log_hour")
-    return jobs.start(rows, name, sinks.table_sink(out_path, ["log_date"]), trigger=trigger,
-                      checkpoint=checkpoint)
+    """Start-up topic -> devices by the hour of their earliest start-up
+    (``<out>/devices``) and what each batch changes per hour (``<out>/deltas``);
+    ``plans.serve`` reads one day of the changes for new devices."""
+    return jobs.start(jobs.startup_rows(raw), name,
+                      revenue.first_seen_sink(f"{out_path}/devices", f"{out_path}/deltas"),
+                      trigger=trigger, checkpoint=checkpoint)
 
 
 def gmv_app(raw: DataFrame, out_path: str, name: str = "gmv",
@@ -244,7 +248,7 @@ def main(argv: list[str] | None = None) -> list[StreamingQuery]:
     name = args.name or args.app
     how = {"name": name, "trigger": trigger, "checkpoint": args.checkpoint}
     servers = args.kafka_servers if args.publish else None
-    rejecting = raw
+    rejecting = [(raw, args.app)]
     if args.app == "dau":
         q = dau_app(raw, args.out, **how)
     elif args.app == "first_seen":
@@ -262,13 +266,17 @@ def main(argv: list[str] | None = None) -> list[StreamingQuery]:
     elif args.app == "cdc":
         q = cdc_app(decode_changes(raw), args.out, database=args.database, kafka_servers=servers, **how)
     else:
-        rejecting = _source(spark, args, "detail_topic", "detail_input")
-        q = sale_detail_app(raw, rejecting, args.users, args.out, args.as_of, **how)
+        lines = _source(spark, args, "detail_topic", "detail_input")
+        q = sale_detail_app(raw, lines, args.users, args.out, args.as_of, **how)
+        rejecting = [(lines, "sale_detail"), (raw, "sale_detail_orders")]
     running = [q]
-    if args.app in REJECTS:
-        running.append(dead_letters_app(
-            rejecting, args.app, args.dead or jobs.dead_path(args.out), f"{name}_dead", trigger,
-            args.checkpoint and f"{args.checkpoint.rstrip('/')}_dead"))
+    dead = (args.dead or jobs.dead_path(args.out)).rstrip("/")
+    for source, app in rejecting:
+        if app in REJECTS:
+            own = "_orders" if app == "sale_detail_orders" else ""   # one folder a topic
+            running.append(dead_letters_app(
+                source, app, dead + own, f"{name}_dead{own}", trigger,
+                args.checkpoint and f"{args.checkpoint.rstrip('/')}_dead{own}"))
     if args.available_now:
         for query in running:
             query.awaitTermination()

@@ -95,12 +95,51 @@ def observed(df: DataFrame, name: str) -> DataFrame:
 
 # --- DAU ---------------------------------------------------------------------
 
+class SeenDays:
+    """The device-days a DAU table holds, kept between micro-batches: a day is
+    read once, then only the folders that later batches added to it. What is
+    kept is cached on the executors (with spill to disk) and, if one is lost,
+    read again from the table."""
+
+    #: days that are kept, and pieces of one before it is read as a whole again
+    DAYS, PIECES = 4, 64
+
+    def __init__(self, path: str) -> None:
+        self.path, self.days = path, {}
+
+    def _read(self, spark: SparkSession, day: str, before: int, after: int | None) -> DataFrame:
+        rows = sinks.read_days(spark, self.path, "log_date", [day], before_batch=before, after_batch=after,
+                               empty_schema="mid string, log_date string")
+        return rows.select("mid", "log_date", sinks.BATCH_COL).persist()
+
+    def of(self, spark: SparkSession, day: str, before: int) -> DataFrame:
+        """Stored ``mid, log_date`` of one day from batches before this one."""
+        upto, pieces = self.days.pop(day, (None, []))
+        if upto is None or len(pieces) >= self.PIECES or upto >= before:
+            for piece in pieces:
+                piece.unpersist()
+            upto, pieces = None, []
+        if upto is None or upto < before - 1:
+            pieces.append(self._read(spark, day, before, upto))
+        self.days[day] = before - 1, pieces
+        while len(self.days) > self.DAYS:
+            for piece in self.days.pop(next(iter(self.days)))[1]:
+                piece.unpersist()
+        out = pieces[0]
+        for piece in pieces[1:]:
+            out = out.unionByName(piece)
+        return out.select("mid", "log_date")
+
+
 def dau_batch_sink(out_path: str) -> Callable[[DataFrame, int], None]:
     """STR4/STR6/STR7 via the output table: each micro-batch keeps devices not
     yet stored for their own record date (anti join against batches before
     this one, so a retry does not filter itself out), de-duplicates within
     the batch (earliest row) and writes its partition. Input: decoded
-    start-up rows (``startup_rows``)."""
+    start-up rows (``startup_rows``). Of a day that earlier batches already
+    read, only what they added since is read (``SeenDays``)."""
+    stored = SeenDays(out_path)
+
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.select("event_id", *STARTUP_FIELDS).persist()   # STR8
@@ -109,11 +148,11 @@ def dau_batch_sink(out_path: str) -> Callable[[DataFrame, int], None]:
             # The day list is bounded by the calendar (a 5 s batch spans one
             # or two days; a backfill at most its date range), so it is safe
             # to bring to the driver as a partition filter.
-            days = [r[0] for r in dau_plan.with_dates(rows).select("log_date")
-                    .distinct().collect()]
-            seen = sinks.read_days(spark, out_path, "log_date", days, before_batch=batch_id,
-                                   empty_schema="mid string, log_date string")
-            fresh = dau_plan.dau_cross_batch(rows, seen.select("mid", "log_date"))
+            days = sorted(r[0] for r in dau_plan.with_dates(rows).select("log_date").distinct().collect())
+            seen = spark.createDataFrame([], "mid string, log_date string")
+            for day in days:
+                seen = seen.unionByName(stored.of(spark, day, batch_id))
+            fresh = dau_plan.dau_cross_batch(rows, seen)
             sinks.write_batch(fresh, batch_id, out_path, ["log_date"])
         finally:
             rows.unpersist()
@@ -143,13 +182,6 @@ def dau_state_stream(startup: DataFrame, lateness: str = DAU_LATENESS) -> DataFr
         F.date_format(F.col("day.start"), "yyyy-MM-dd").alias("log_date"), "p.log_hour")
 
 
-def first_seen_stream(startup: DataFrame) -> DataFrame:
-    """AGG14: the first start-up row of every device to arrive. The state
-    holds one entry per device (RocksDB, split by device), so a micro-batch
-    costs what it holds, whatever is stored."""
-    return startup.dropDuplicates(["mid"])
-
-
 # --- coupon alert ------------------------------------------------------------
 
 def alert_stream(events: DataFrame, size: str = "5 minutes", slide: str = "1 minute",

@@ -93,35 +93,85 @@ def read_table(spark: SparkSession, path: str, before_batch: int | None = None,
 
 
 def read_days(spark: SparkSession, path: str, day_col: str, days: Sequence[str],
-              before_batch: int | None = None, empty_schema: str | None = None) -> DataFrame:
+              before_batch: int | None = None, empty_schema: str | None = None,
+              after_batch: int | None = None) -> DataFrame:
     """Rows of the given day partitions only. Only those day directories are
     listed (``basePath`` keeps ``day_col`` as a column), so the cost of a
-    read does not grow with the number of days and batches in the table."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    dirs = []
+    read does not grow with the number of days and batches in the table. A day
+    that ``compact_days`` has rewritten is read from its newest compaction plus
+    the batches after it. ``after_batch`` leaves out batches up to that one."""
+    path = path.rstrip("/")
+    plain, packed = [], []
     for d in days:
-        p = f"{path.rstrip('/')}/{day_col}={d}"
-        jp = jvm.org.apache.hadoop.fs.Path(p)
-        if jp.getFileSystem(conf).exists(jp):
-            dirs.append(p)
-    if not dirs:
-        if empty_schema is None:
-            raise ValueError(f"no partitions of {path} for {list(days)}")
-        df = spark.createDataFrame([], f"{empty_schema}, {BATCH_COL} long")
-    else:
+        own = f"{path}/{day_col}={d}"
+        done = _child_values(spark, f"{compacted_path(path)}/{day_col}={d}", "upto")
+        base = done[-1] if done and (after_batch is None or after_batch < done[-1]) else None
+        if base is not None:
+            packed.append(f"{compacted_path(path)}/{day_col}={d}/upto={base}")
+        low = max([x for x in (base, after_batch) if x is not None], default=None)
+        if low is None:
+            plain += [own] if path_exists(spark, own) else []
+        else:
+            plain += [f"{own}/{BATCH_COL}={i}" for i in _child_values(spark, own, BATCH_COL) if i > low]
+    read = []
+    for root, folders in ((compacted_path(path), packed), (path, plain)):
+        if not folders:
+            continue
         try:
-            df = spark.read.option("basePath", path).parquet(*dirs)
+            df = spark.read.option("basePath", root).parquet(*folders).drop("upto")
         except AnalysisException as e:
             if empty_schema is None or "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
-            df = spark.createDataFrame([], f"{empty_schema}, {BATCH_COL} long")
-    df = df.withColumn(BATCH_COL, F.col(BATCH_COL).cast("long"))
+            continue
+        read.append(df.withColumn(BATCH_COL, F.col(BATCH_COL).cast("long")))
+    if not read:
+        if empty_schema is None:
+            raise ValueError(f"no partitions of {path} for {list(days)}")
+        read = [spark.createDataFrame([], f"{empty_schema}, {BATCH_COL} long")]
+    df = read[0] if len(read) == 1 else read[0].unionByName(read[1], allowMissingColumns=True)
     if before_batch is not None:
         df = df.filter(F.col(BATCH_COL) < before_batch)
+    if after_batch is not None:
+        df = df.filter(F.col(BATCH_COL) > after_batch)
     return df
 
 
+def compact_days(spark: SparkSession, path: str, day_col: str, days: Sequence[str],
+                 files: int = 1) -> dict[str, int]:
+    """SNK1: rewrites days' many batch folders as one folder each, beside the
+    table (``<path>__compacted/<day>/upto=<batch>``; rows keep their batch id).
+    Nothing that readers may be reading is touched. Returns the batch covered
+    per day."""
+    out = {}
+    for d in days:
+        ids = _child_values(spark, f"{path.rstrip('/')}/{day_col}={d}", BATCH_COL)
+        if not ids:
+            continue
+        rows = read_days(spark, path, day_col, [d], before_batch=ids[-1] + 1).drop(day_col)
+        rows.repartition(files).write.mode("overwrite").parquet(
+            f"{compacted_path(path)}/{day_col}={d}/upto={ids[-1]}")
+        out[d] = ids[-1]
+    return out
+
+
+def drop_compacted(spark: SparkSession, path: str, day_col: str, days: Sequence[str]) -> int:
+    """Removes the batch folders that days' newest compactions cover, and older
+    compactions; run it when no reader that started before the compaction is
+    left. Returns how many folders went."""
+    jvm, gone = spark.sparkContext._jvm, 0
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for d in days:
+        packed, own = f"{compacted_path(path)}/{day_col}={d}", f"{path.rstrip('/')}/{day_col}={d}"
+        done = _child_values(spark, packed, "upto")
+        old = [f"{packed}/upto={u}" for u in done[:-1]]
+        if done:
+            old += [f"{own}/{BATCH_COL}={i}" for i in _child_values(spark, own, BATCH_COL) if i <= done[-1]]
+        for folder in old:
+            p = jvm.org.apache.hadoop.fs.Path(folder)
+            gone += bool(p.getFileSystem(conf).delete(p, True))
+    return gone
+
+
 def key_bucket(keys: Sequence[str], buckets: int = KEY_BUCKETS) -> Column:
     """Bucket of a key, the same for numbers and their text."""
     return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("string")

@@ -149,3 +149,28 @@ def test_command_line_refuses_missing_options(spark):
                  ["cdc", "--input", "a", "--out", "b", "--publish"]):
         with pytest.raises(SystemExit):
             apps.main(argv)
+
+
+def test_sale_detail_keeps_rejects_of_both_topics(spark, workdir):
+    d = {k: os.path.join(workdir, k) for k in ("o", "l", "u", "out", "ck")}
+    write_batches(d["o"], [[{"id": "1", "create_time": "2024-01-01 00:00:00", "user_id": "9"}, '{"id": "bad order',
+                            {"id": "no time"}]])
+    write_batches(d["l"], [[{"id": "1-1", "order_id": "1"}, "bad line", {"id": "no order"}]])
+    apps.main(["sale_detail", "--input", d["o"], "--detail-input", d["l"], "--users", d["u"], "--out", d["out"],
+               "--checkpoint", d["ck"], "--name", "sd_rejects", "--as-of", "2024-01-01", "--available-now"])
+    dead = {k: sorted(r.value for r in spark.read.text(f"{d['out']}__dead{k}").collect()) for k in ("", "_orders")}
+    assert dead[""] == ["bad line", '{"id": "no order"}']
+    assert dead["_orders"] == ['{"id": "bad order', '{"id": "no time"}']
+
+
+def test_dau_sink_reads_a_day_once(spark, workdir, monkeypatch):
+    """Later batches read only what was added to the day since."""
+    asked = []
+    own = sinks.read_days
+    monkeypatch.setattr(sinks, "read_days", lambda *a, **k: asked.append(k.get("after_batch")) or own(*a, **k))
+    batches = [[{"type": "startup", "mid": f"m{i % 3}", "uid": "1", "ts": 1704067200000 + i}] for i in range(5)]
+    write_batches(os.path.join(workdir, "in"), batches)
+    apps.dau_app(streams.text_files(spark, os.path.join(workdir, "in"), 1), os.path.join(workdir, "out"), name="dau_once",
+                 trigger=NOW, checkpoint=os.path.join(workdir, "ck")).awaitTermination()
+    assert sorted(r.mid for r in spark.read.parquet(os.path.join(workdir, "out")).collect()) == ["m0", "m1", "m2"]
+    assert asked[0] is None and None not in asked[1:] and len(asked) == 5

@@ -124,31 +124,57 @@ def test_stored_orders_are_pruned(spark, stored):
 
 
 def test_first_seen_table_answers_new_devices(spark, stored, tmp_path):
-    """Written by its app in several batches, the table gives the same answers
-    as all days, from one partition."""
+    """Written by its app in several batches, the earliest records last, the
+    table gives the answers of all days, from the requested day's folder."""
     from shopflow.sources import streams
     from shopflow.streaming import apps
     raw = fx.raw_log_json(Tables(spark, SF01).events).filter("kind = 'startup'")
     src, out = str(tmp_path / "in"), str(tmp_path / "first")
-    # in order of time, one file a part of the month
-    day = F.substring(F.timestamp_millis(F.get_json_object("value", "$.ts").cast("long")).cast("string"), 9, 2)
-    for part in range(3):
-        raw.filter(F.least(F.floor((day.cast("int") - 1) / 10), F.lit(2)) == part).select("value") \
+    day = F.dayofmonth(F.timestamp_millis(F.get_json_object("value", "$.ts").cast("long")))
+    for part in (2, 0, 1):
+        raw.filter(F.least(F.floor((day - 1) / 10), F.lit(2)) == part).select("value") \
             .coalesce(1).write.mode("append").text(src)
         apps.first_seen_app(streams.text_files(spark, src, 1), out, trigger={"availableNow": True},
                             checkpoint=str(tmp_path / "ck")).awaitTermination()
-    first = sinks.read_table(spark, out)
-    assert first.count() == first.select("mid").distinct().count()
-    # rows of one batch may arrive in any order: compare the tens of the days
-    want = QUERIES["new_devices"](spark, SF01).collect()
-    tens = {}
-    for r in want:
-        tens[min((int(r.log_date[8:]) - 1) // 10, 2)] = tens.get(min((int(r.log_date[8:]) - 1) // 10, 2), 0) + r.new_mid
-    got = {}
-    for r in first.collect():
-        k = min((int(r.log_date[8:]) - 1) // 10, 2)
-        got[k] = got.get(k, 0) + 1
-    assert got == tens
-    n = serve.new_devices(spark, stored["dau"], DAY, out)
-    assert n.first()[0] == first.filter(F.col("log_date") == DAY).count()
-    assert "PartitionFilters: [isnotnull(log_date" in n._jdf.queryExecution().executedPlan().toString()
+    want = {r.log_date: r.new_mid for r in QUERIES["new_devices"](spark, SF01).collect()}
+    for date in [*want, "2024-01-25"]:
+        assert serve.new_devices(spark, stored["dau"], date, out).first()[0] == want.get(date, 0)
+        assert serve.new_devices(spark, stored["dau"], date).first()[0] == want.get(date, 0)
+    hours = serve.realtime_hours(spark, "new_mid", stored["dau"], stored["orders"], min(want), first_path=out)
+    assert sum(r.today for r in hours.collect()) == want[min(want)]
+    days = {f.split("create_date=")[1].split("/")[0] for f in
+            serve.new_devices(spark, stored["dau"], min(want), out).inputFiles()}
+    assert days == {min(want)}
+
+
+def test_requests_list_their_days_only(spark, stored):
+    """Files of other days are in no plan."""
+    def days(df):
+        return {f.split("=")[1].split("/")[0] for f in df.inputFiles()}
+    assert days(serve.dau_total(spark, stored["dau"], DAY)) == {DAY}
+    assert days(serve.gmv_total(spark, stored["orders"], DAY)) == {DAY}
+    hours = serve.realtime_hours(spark, "dau", stored["dau"], stored["orders"], DAY)
+    assert days(hours) == {DAY, "2024-01-06"}
+    day = QUERIES["sale_search_total"](spark, SF01).first().dt
+    assert days(serve.sale_detail(spark, stored["sale"], day, 1, 5, KEYWORD).detail) == {day}
+
+
+def test_compacted_days_read_the_same(spark, tmp_path):
+    path = str(tmp_path / "t")
+    def batch(*keys):
+        return spark.createDataFrame([(k, "2024-01-01") for k in keys] + [(k, "2024-01-02") for k in keys], "k string, dt string")
+    for i in range(3):
+        sinks.write_batch(batch(f"a{i}"), i, path, ["dt"])
+    def read(**how):
+        return sorted(r.k for r in sinks.read_days(spark, path, "dt", ["2024-01-01"], **how).collect())
+    assert sinks.compact_days(spark, path, "dt", ["2024-01-01", "1999-01-01"]) == {"2024-01-01": 2}
+    sinks.write_batch(batch("a3"), 3, path, ["dt"])
+    for dropped in (3, 0):
+        assert read() == ["a0", "a1", "a2", "a3"]
+        assert read(before_batch=2) == ["a0", "a1"]
+        assert read(after_batch=0) == ["a1", "a2", "a3"] and read(after_batch=2) == ["a3"]
+        folders = {f.rsplit("/", 2)[1] for f in sinks.read_days(spark, path, "dt", ["2024-01-01"]).inputFiles()}
+        assert folders == {"upto=2", "batch_id=3"}
+        assert sinks.drop_compacted(spark, path, "dt", ["2024-01-01"]) == dropped
+    sinks.compact_days(spark, path, "dt", ["2024-01-01"])
+    assert read() == ["a0", "a1", "a2", "a3"]
