@@ -11,7 +11,8 @@ with one key share a shard; placement itself shuffles nothing, so a hot key
 costs no task more than its own rows.
 
 Defined cases: a null key goes to slot 0; repeated keys share a shard;
-an empty table gives an empty result; other columns are carried.
+an empty table gives an empty result; other columns are carried, but for
+own columns named slot or shard, which the result's replace.
 """
 
 from __future__ import annotations
@@ -61,9 +62,15 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 def place(rows: DataFrame, key: str, shards: list[str], slots: int = SLOTS) -> DataFrame:
     """``rows`` with the columns slot and shard."""
     owner = fill(shards, slots)
+    carried = [c for c in rows.columns if c.lower() not in ("slot", "shard")]
+    number = "slot"
+    while number in (c.lower() for c in rows.columns):
+        number += "_"
     lookup = rows.sparkSession.createDataFrame(
-        [(i, shards[s]) for i, s in enumerate(owner)], "slot int, shard string")
-    return rows.withColumn("slot", slot_of(F.col(key), slots)).join(F.broadcast(lookup), "slot")
+        [(i, shards[s]) for i, s in enumerate(owner)], f"{number} int, shard string")
+    keyed = rows.select(*carried, slot_of(F.col(key), slots).alias(number))
+    return (keyed.join(F.broadcast(lookup), number)
+            .select(F.col(number).alias("slot"), *carried, "shard"))
 
 
 def write(placed: DataFrame, path: str, files_per_shard: int = 8) -> None:

@@ -143,3 +143,16 @@ def test_heavy_digests_are_decided_map_side(spark):
     assert [r.group_size for r in exact_dedup.winners(digests, 0.05).collect()] == [1000]
     got = exact_dedup.mark(docs).filter("kept").count()
     assert got == 2001
+
+
+def test_sharding_with_clashing_columns(spark):
+    """Own columns named like the result's are replaced, whatever else there is."""
+    names = [f"s{i}" for i in range(4)]
+    rows = spark.createDataFrame([(1, "x", "y", "z"), (None, "x", None, "z")], "id long, slot string, shard string, slot_ string")
+    got = sharding.place(rows, "id", names)
+    assert sorted(got.columns) == ["id", "shard", "slot", "slot_"]
+    plain = {r["id"]: (r["slot"], r["shard"]) for r in sharding.place(rows.select("id"), "id", names).collect()}
+    assert {r["id"]: (r["slot"], r["shard"]) for r in got.collect()} == plain
+    assert {r["slot_"] for r in got.collect()} == {"z"}
+    by_slot = sharding.place(rows, "slot", names)
+    assert by_slot.select("shard").distinct().count() == 1
