@@ -13,9 +13,10 @@ pass. Items are broadcast in blocks of about ``BLOCK_BYTES`` of text and every
 block is matched against all documents, so the broadcast does not grow with
 the benchmark.
 
-Items of fewer than ``LEAST`` normalised characters match without edits and
-only as whole words: no word of the document reaches across either end. In
-scripts that are written without spaces every character is a word.
+Items of fewer than ``LEAST`` normalised characters match only as whole words,
+within the same budget (so without edits below 13 characters): no word of the
+document reaches across either end of the passage. In scripts that are written
+without spaces every character is a word.
 
 Defined cases: null or empty documents and items match nothing; of several passages the one with the smallest distance, then the first
 end, is reported; repeated documents or items give repeated rows.
@@ -31,6 +32,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shopflow.llm.common import pieces, python_ready
 
@@ -89,6 +91,22 @@ class Pattern:
             at = text.find(self.text, at + 1, stop)
         return None
 
+    def bordered(self, text: str, start: int, stop: int) -> tuple[int, int] | None:
+        """(distance, end) of the closest passage between word borders, for
+        items of a few characters."""
+        best, n = None, len(self.text)
+        for first in range(max(0, start), min(stop, len(text))):
+            if not border(text, first):
+                continue
+            column = list(range(n + 1))
+            for end in range(first + 1, min(len(text), first + n + self.errors) + 1):
+                c, above, column[0] = text[end - 1], column[0], end - first
+                for i in range(1, n + 1):
+                    above, column[i] = column[i], min(above + (self.text[i - 1] != c), column[i] + 1, column[i - 1] + 1)
+                if column[n] <= self.errors and border(text, end):
+                    best = min(best or (column[n], end), (column[n], end))
+        return best
+
     def best(self, text: str) -> tuple[int, int] | None:
         """(distance, end) of the closest passage of ``text`` within budget."""
         found = text.find(self.text)
@@ -119,8 +137,7 @@ class Pattern:
 class Matcher:
     def __init__(self, items: list[tuple[int, str]], errors: float = ERRORS) -> None:
         texts = [(i, normalised(t)) for i, t in items]
-        self.patterns = [Pattern(i, t, int(len(t) * errors)) if len(t) >= LEAST else Pattern(i, t, 0, whole_words=True)
-                         for i, t in texts if t]
+        self.patterns = [Pattern(i, t, int(len(t) * errors), whole_words=len(t) < LEAST) for i, t in texts if t]
         places: dict[str, list[tuple[int, int]]] = {}
         for number, pattern in enumerate(self.patterns):
             for offset, piece in pattern.cuts():
@@ -157,10 +174,11 @@ class Matcher:
             found, pattern = [], self.patterns[number]
             for start, stop in spans:
                 if pattern.whole_words:
-                    got = pattern.exact(own, start, stop)
+                    got = pattern.bordered(own, start, stop) if pattern.errors else pattern.exact(own, start, stop)
                     if got:
                         found.append(got)
-                        break
+                        if not pattern.errors:
+                            break
                     continue
                 got = pattern.best(own[max(0, start):stop])
                 if got:
@@ -189,6 +207,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS,
     spark = docs.sparkSession
     python_ready(spark)
     kinds = [x.schema[c].dataType.simpleString() for x, c in ((docs, "doc_id"), (benchmark, "item_id"))]
+    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, distance int, end_at int"
     out = None
     for items in blocks(benchmark, block_bytes):
@@ -201,7 +220,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS,
                         for m in matcher.matches(t)]
                 columns = list(zip(*rows)) or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], batch.schema.field(0).type), pa.array(columns[1], kind(kinds[1])),
+                    [pa.array(columns[0], batch.schema.field(0).type), pa.array(columns[1], item_type),
                      pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32())],
                     ["doc_id", "item_id", "distance", "end_at"])
         found = docs.select("doc_id", "text").mapInArrow(run, schema)
@@ -209,10 +228,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS,
     return out
 
 
-def kind(name: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[name]
-
-
 def clean(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS,
           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, with all columns, that hold no item."""

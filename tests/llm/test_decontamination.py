@@ -4,6 +4,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from shopflow.llm import decontamination as D
 from shopflow.llm import queries
 from tests.conftest import SF001
@@ -118,3 +120,21 @@ def test_edges(spark):
     assert D.clean(docs, benchmark).count() == len(cases.rows()) - 6
     assert D.leaks(docs.limit(0), benchmark).count() == 0
     assert D.clean(docs, benchmark.limit(0)).count() == len(cases.rows())
+
+
+def test_short_items_within_their_budget():
+    """13 to 19 characters allow one edit, between word borders; fewer none."""
+    own = D.Matcher([(1, "machine learning"), (2, "tiny item")])
+    found = {t: [(i, d) for i, d, _ in own.matches(t)] for t in (
+        "The machine learning way", "the machinne-learning way", "machine learnin", "machine lexrnixg", "machinelearning",
+        "unmachine learnings", "a tiny item", "a tinny item")}
+    assert list(found.values()) == [[(1, 0)], [(1, 1)], [(1, 1)], [], [(1, 1)], [], [(2, 0)], []]
+
+
+def test_item_ids_of_any_kind(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six seven")], "doc_id long, text string")
+    for kind, key in (("smallint", 7), ("decimal(5,0)", 7), ("string", "x")):
+        items = spark.createDataFrame([(str(key), "two three four five six")], "item_id string, text string") \
+            .withColumn("item_id", F.col("item_id").cast(kind))
+        got = D.leaks(docs, items).collect()
+        assert [(r["doc_id"], str(r["item_id"]), r["distance"]) for r in got] == [(1, str(key), 0)]
