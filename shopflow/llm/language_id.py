@@ -46,7 +46,10 @@ def grams(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, owner) of the 1- to 3-grams of each unit's words. Units without a letter own none."""
     joined, sizes = [], []
     for unit in units:
-        word = " " + _NO_LETTERS.sub(" ", unit.lower()).strip() + " "
+        word = _NO_LETTERS.sub(" ", unit.lower()).strip()
+        if not word.isascii() and not word.replace(" ", "").isalpha():   # numerals such as ² and Ⅷ are no letters
+            word = "".join(c if c.isalpha() else " " for c in word).strip()
+        word = " " + word + " "
         joined.append(word)
         sizes.append(len(word))
     codes = np.frombuffer("".join(joined).encode("utf-32-le"), np.uint32).astype(np.uint64)
