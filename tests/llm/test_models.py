@@ -1,13 +1,15 @@
 """Language identification and toxicity: held-out accuracy and edges."""
 
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from shopflow.llm import language_id, queries, toxicity
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 from tests.llm import cases
 
 
@@ -139,3 +141,100 @@ def test_toxicity_edges(spark):
     assert {r.score for r in toxicity.score(docs, model, toxicity.fit(docs, marks.limit(0), model)).collect()} == {0.0}
     assert toxicity.score(empty, model, classifier).count() == 0
     assert toxicity.keep_clean(docs, marks.limit(0)).columns == docs.columns
+
+
+def test_viterbi_equals_all_readings():
+    """The likeliest of all readings of short lattices, by trying each."""
+    import itertools
+
+    rnd = random.Random(21)
+    words = Counter({"idiot": 40, "clown": 30, "loser": 20, "little": 10, "hello": 9, "trash": 8, "bag": 5})
+    model = toxicity.smoothed(toxicity.trigrams(words).astype(float).reshape((toxicity.LETTERS,) * 3))
+
+    def score(choice):
+        total, a, b = 0.0, 0, 0
+        for letters, cost in choice:
+            total -= cost
+            for c in letters:
+                if c == " ":
+                    if b == 0:
+                        return None
+                    total, a, b = total + float(model[a, b, 0]), 0, 0
+                else:
+                    z = toxicity.letter(c)
+                    total, a, b = total + float(model[a, b, z]), b, z
+        return total + float(model[a, b, 0])
+    texts = ["1d10t", "!diot", "c|own", "l0os3r", "heello", "tr@sh", "69", "li77le", "a..b", "|11", "ß1ø"]
+    texts += ["".join(rnd.choice("ail01|!t7so.x") for _ in range(rnd.randint(1, 6))) for _ in range(60)]
+    for text in texts:
+        for breaks in (False, True):
+            if breaks and len(text) > 5:
+                continue
+            found = []
+            for choice in itertools.product(*toxicity.lattice(text, breaks)):
+                total = score(choice)
+                if total is not None:
+                    found.append((total, "".join(x for x, _ in choice)))
+            best = max(t for t, _ in found)
+            got = toxicity.restore(text, model, breaks)
+            assert got in {x for t, x in found if t >= best - 1e-4}, (text, breaks)
+
+
+def test_numerals_are_no_letters(spark):
+    train = [(i, t, lang, None, None) for i, (t, lang) in enumerate([("the house is red", "en"), ("das haus ist rot", "de")] * 8)]
+    model = language_id.train(cases.frame(spark, train))
+    asked = [(100 + i, t, None, None, None) for i, t in enumerate(["²", "½ ¾", "Ⅷ", "123 ²³", "①", "house²"])]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in
+           language_id.predict(cases.frame(spark, asked).select("doc_id", "text"), model).collect()}
+    assert [got[100 + i] for i in range(5)] == [("und", 0.0)] * 5 and got[105][0] == "en"
+
+
+def test_language_query_equals_plain_loops(spark):
+    """op8's own rows against EM and backward selection written as loops."""
+    import math
+
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.train(docs)
+    n = len(model.names)
+
+    def em(fit):
+        share = [1 / len(fit[0])] * len(fit[0])
+        for _ in range(language_id.ROUNDS):
+            new = [0.0] * len(share)
+            for row in fit:
+                total = sum(f * s for f, s in zip(row, share))
+                for i, (f, s) in enumerate(zip(row, share)):
+                    new[i] += f * s / total / len(fit)
+            moved, share = max(abs(a - b) for a, b in zip(new, share)), new
+            if moved < 1e-4:
+                break
+        return share, sum(math.log(max(sum(f * s for f, s in zip(row, share)), 1e-300)) for row in fit)
+
+    def plain(text):
+        fit = []
+        for word in (text or "").split():
+            bucket, _ = language_id.grams([word])
+            if len(bucket):
+                logs = [sum(float(model.logs[b, i]) for b in bucket) for i in range(n)]
+                fit.append([max(math.exp(x - max(logs)), 1e-30) for x in logs])
+        if not fit:
+            return "und", 0.0
+        share, _ = em(fit)
+        chosen = [i for i in range(n) if share[i] * len(fit) >= 0.5] or [max(range(n), key=lambda i: share[i])]
+        share, likelihood = em([[row[i] for i in chosen] for row in fit])
+        while len(chosen) > 1:
+            weakest = min(range(len(chosen)), key=lambda i: share[i])
+            rest = chosen[:weakest] + chosen[weakest + 1:]
+            fewer, lower = em([[row[i] for i in rest] for row in fit])
+            if likelihood - lower >= 0.5 * math.log(max(2, len(fit))):
+                break
+            chosen, share, likelihood = rest, fewer, lower
+        best = max(range(len(chosen)), key=lambda i: (share[i], -i))
+        return model.names[chosen[best]], share[best]
+    got = {r["doc_id"]: r for r in queries.QUERIES["op8_language_id"](spark, SF001).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        lang, score = plain(r["text"])
+        assert got[r["doc_id"]]["lang_pred"] == lang
+        assert got[r["doc_id"]]["score"] == pytest.approx(min(1.0, score), abs=1e-3)
