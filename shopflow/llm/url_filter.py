@@ -9,18 +9,28 @@ side is told by the first level that rejects it. Judging a page is a
 map-only pass with the filters broadcast.
 
 The filters' size grows with the list. It is computed before anything is
-collected; beyond ``max_bytes`` the list is joined (left semi) instead, with
-the same answer.
+collected. Beyond ``max_bytes`` the keys are dealt into ranges, one cascade
+each, so that no broadcast is larger; a range's cascade judges the pages of its
+range only, in a pass of its own over the urls.
+
+The block list is a condition on host and path, or a table (host, path) of any
+size that the caller gives. Filters hold 64-bit keys of urls. Where a listed
+and an unlisted url of the corpus share a key -- found when the keys are grouped
+-- the unlisted urls are told apart by their text, so that no url is blocked
+for another one's sake.
 
 Defined cases: null urls and urls without ``://`` have host and path empty;
-their key is the empty string, which is never listed; an empty list blocks nothing;
-repeated urls are judged alike; other columns are not carried.
+the empty url is never listed; an empty list blocks nothing; rows of a list that
+repeat or lack a host count once or not at all, a null path is empty; repeated
+urls are judged alike; other columns, also such as are named host, path, key or
+listed, are not carried.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +40,7 @@ from pyspark.sql import types as T
 
 from shopflow.llm import bloom
 from shopflow.llm.bloom import Bloom
-from shopflow.llm.common import cut, python_ready
+from shopflow.llm.common import cut, pieces, python_ready
 
 #: fixed values: (verdict, host, path) of the rules
 RULES = [
@@ -78,18 +88,24 @@ def tested(keys: DataFrame, level: Bloom) -> DataFrame:
     return keys.select("key").mapInArrow(run, "key long")
 
 
-def build(universe: DataFrame, max_bytes: int = MAX_BYTES) -> list[Bloom] | None:
-    """Levels for a table (key long, listed boolean) of distinct keys; None
-    where the filters would be larger than ``max_bytes``."""
-    python_ready(universe.sparkSession)
+def first_size(inside: int, outside: int) -> tuple[int, int]:
+    """Bits and hashes of the first level."""
+    return bloom.sized(inside, min(0.5, max(inside, 1) / (math.sqrt(2) * max(outside, 1))))
+
+
+def sides(universe: DataFrame) -> tuple[int, int]:
+    """Numbers of listed and of other keys."""
     n = {r["listed"]: r["count"] for r in universe.groupBy("listed").count().collect()}
-    inside, outside = n.get(True, 0), n.get(False, 0)
+    return n.get(True, 0), n.get(False, 0)
+
+
+def build(universe: DataFrame) -> list[Bloom]:
+    """Levels for a table (key long, listed boolean) of distinct keys."""
+    python_ready(universe.sparkSession)
+    inside, outside = sides(universe)
     if not inside:
         return []
-    wrong = min(0.5, max(inside, 1) / (math.sqrt(2) * max(outside, 1)))
-    bits, hashes = bloom.sized(inside, wrong)
-    if 3 * bits / 8 > max_bytes:  # later levels hold less than twice the first one's bits
-        return None
+    bits, hashes = first_size(inside, outside)
     levels: list[Bloom] = []
     has, rest = universe.filter("listed").select("key"), universe.filter("not listed").select("key")
     while True:
@@ -126,21 +142,55 @@ def listed_pages(pages: DataFrame, levels: list[Bloom]) -> DataFrame:
     return pages.mapInArrow(run, fields)
 
 
+def ranges(universe: DataFrame, max_bytes: int) -> int:
+    """How many ranges of keys keep each one's cascade below ``max_bytes``."""
+    inside, outside = sides(universe)
+    if not inside:
+        return 1
+    # later levels hold less than twice the first one's bits
+    return pieces(3 * first_size(inside, outside)[0] / 8, max(max_bytes, 1))
+
+
+def in_range(df: DataFrame, number: int, n: int) -> DataFrame:
+    return df if n == 1 else df.filter(F.pmod("key", F.lit(n)) == number)
+
+
 def url_key() -> Column:
     return F.xxhash64(F.concat("host", "path"))
 
 
-def judge(pages: DataFrame, listed: Column, rules=RULES, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict. ``listed`` is a
-    condition on host and path that marks the block list's keys among the
-    corpus's keys; two urls whose 64-bit keys collide count as one key."""
-    parsed = parse(pages).withColumn("key", url_key())
-    universe = cut(parsed.groupBy("key").agg(F.bool_or(F.coalesce(listed, F.lit(False))).alias("listed")))
-    levels = build(universe, max_bytes)
-    if levels is None:
-        known = parsed.join(universe.filter("listed").select("key", "listed"), "key", "left")
-    else:
-        known = listed_pages(parsed, levels)
+def marked(parsed: DataFrame, listed: Column | DataFrame, key: Column) -> DataFrame:
+    """host, path, key, listed of the corpus's urls: rows as they stand for a
+    condition, distinct ones for a list."""
+    own = parsed.select("host", "path")
+    if isinstance(listed, Column):
+        return own.select("host", "path", key.alias("key"), F.coalesce(listed, F.lit(False)).alias("listed"))
+    given = listed.select("host", F.coalesce("path", F.lit("")).alias("path")).filter("host <> ''")
+    both = (own.withColumn("in_corpus", F.lit(True)).withColumn("listed", F.lit(False))
+            .unionByName(given.withColumn("in_corpus", F.lit(False)).withColumn("listed", F.lit(True))))
+    urls = both.groupBy("host", "path").agg(F.bool_or("in_corpus").alias("in_corpus"),
+                                            F.bool_or("listed").alias("listed"))
+    return urls.filter("in_corpus").select("host", "path", key.alias("key"), "listed")
+
+
+def judge(pages: DataFrame, listed: Column | DataFrame, rules=RULES, max_bytes: int = MAX_BYTES,
+          key: Column | None = None) -> DataFrame:
+    """One row per page: page_id, host, path, rule, verdict. ``listed`` is the
+    block list: a condition on host and path, or a table (host, path). ``key``
+    is the urls' 64-bit key, an expression on host and path."""
+    key = url_key() if key is None else key
+    parsed = parse(pages).withColumn("key", key)
+    urls = marked(parsed, listed, key)
+    universe = cut(urls.groupBy("key").agg(F.bool_or("listed").alias("listed"), F.bool_and("listed").alias("pure")))
+    n = ranges(universe, max_bytes)
+    known = reduce(DataFrame.unionByName, [
+        listed_pages(in_range(parsed, i, n), build(in_range(universe.select("key", "listed"), i, n)))
+        for i in range(n)])
+    shared = universe.filter("listed and not pure").select("key")
+    if shared.take(1):  # keys that a listed and an unlisted url have in common
+        spared = (urls.filter("not listed").join(shared, "key", "left_semi")
+                  .select("host", "path", F.lit(True).alias("spared")).distinct())
+        known = known.join(spared, ["host", "path"], "left").withColumn("listed", F.expr("listed and spared is null"))
     rule, verdict = rule_of(rules)
     own = F.when(F.col("listed"), "block").otherwise("allow")
     return known.select("page_id", "host", "path", rule.alias("rule"),

@@ -94,7 +94,7 @@ URLS = [None, "", "no scheme", "http://", "http://Example.ORG", "https://a.examp
 
 def test_url_filter_edges(spark):
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(URLS + URLS)], "page_id long, url string")
-    for most in (url_filter.MAX_BYTES, 0):  # the cascade, and the join beyond its limit
+    for most in (url_filter.MAX_BYTES, 8):  # one cascade, and one a range of keys
         got = {r.page_id: tuple(r)[1:] for r in
                url_filter.judge(pages, url_filter.label_listed(), max_bytes=most).collect()}
         assert got == {i: plain_judge(u) for i, u in enumerate(URLS + URLS)}
@@ -102,6 +102,37 @@ def test_url_filter_edges(spark):
     assert {r.verdict for r in url_filter.judge(pages, F.lit(False), rules=[]).collect()} == {"allow"}
 
 
+def test_url_list_of_the_caller(spark):
+    urls = [f"http://h{i % 40}.net/p{i}" for i in range(400)] + [None, "http://x.org/a", "http://x.net"]
+    pages = spark.createDataFrame([(i, u, "own", i, True) for i, u in enumerate(urls + urls[:50])],
+                                  "page_id long, url string, host string, key long, listed boolean")
+    bad = [(f"h{i % 40}.net", f"/p{i}") for i in range(0, 400, 7)]
+    rows = [*bad, *bad[:9], ("x.org", "/a"), ("x.net", None), ("", "/p"), (None, "/p1"), ("elsewhere.net", "/")]
+    listed = spark.createDataFrame(rows, "host string, path string")
+    want = {}
+    for i, u in enumerate(urls + urls[:50]):
+        host, path = plain_judge(u)[:2]
+        want[i] = "allow" if host == "x.org" or not host else \
+            "block" if (host, path) in bad or host == "x.net" else "allow"
+    few = F.length("host") * 100 + F.length("path")  # keys that many urls share
+    for most, key in ((url_filter.MAX_BYTES, None), (40, None), (40, few)):
+        got = url_filter.judge(pages, listed, max_bytes=most, key=key).collect()
+        assert len(got) == len(want) and {r.page_id: r.verdict for r in got} == want
+    assert {r.verdict for r in url_filter.judge(pages, listed.limit(0), rules=[]).collect()} == {"allow"}
+
+
+def test_ranges_bound_every_cascade(spark):
+    universe = spark.range(60_000).select(F.xxhash64("id").alias("key"), (F.col("id") % 3 == 0).alias("listed")).cache()
+    most = 5_000
+    n = url_filter.ranges(universe, most)
+    assert n > 3
+    for i in range(n):
+        own = url_filter.in_range(universe, i, n)
+        levels = url_filter.build(own)
+        assert sum(level.words.nbytes for level in levels) < 1.2 * most
+        assert url_filter.listed_pages(own.withColumnRenamed("listed", "truth"), levels).filter("listed <> truth").count() == 0
+
+
 def test_cascade_is_exact_for_every_key(spark):
     universe = spark.range(20_000).select(F.xxhash64("id").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
     levels = url_filter.build(universe)

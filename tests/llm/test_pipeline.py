@@ -77,7 +77,7 @@ def test_run_on_the_tables(spark):
 
 def test_names_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_empty_table(spark, workdir):
