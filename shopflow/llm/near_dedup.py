@@ -46,6 +46,8 @@ from shopflow.llm.common import cut, python_ready, sliced
 
 BINS = 512
 MISSED = 1e-6
+#: keys that may hold the HEAVY-th part of a table's rows or more: at most as many
+HEAVY = 1000
 #: shingles in one block of the exact comparison
 BLOCK_SHINGLES = 100_000
 #: documents on a side of one matrix of counts
@@ -193,10 +195,24 @@ def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def beside(many: DataFrame, one: DataFrame, key: str, n: int, size: str = "n") -> DataFrame:
+    """Inner join of ``many`` (n rows or fewer) with ``one``, which has one row a
+    key and says in ``size`` how many rows of ``many`` hold it. At most ``HEAVY``
+    keys can hold an n / HEAVY-th of the rows each: these are broadcast, so that
+    a hot key's rows stay where they are; the rest is an ordinary join."""
+    hot = F.col(size) * HEAVY >= n
+    heavy = F.broadcast(one.filter(hot).drop(size).withColumn("is_hot", F.lit(True)))
+    seen = many.join(heavy, key, "left")
+    columns = [c for c in seen.columns if c != "is_hot"]
+    rest = seen.filter("is_hot is null").select(*many.columns).join(one.filter(~hot).drop(size), key)
+    return seen.filter("is_hot").select(*columns).unionByName(rest.select(*columns))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (smallest node it reaches) of the edges (a, b), by
     alternating large and small stars until the edges no longer change. Each
-    step is partial aggregates and joins over the edge table."""
+    step is partial aggregates and joins over the edge table; edges of a node
+    with very many are not shuffled for the joins."""
     def same(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
@@ -206,11 +222,11 @@ def components(edges: DataFrame) -> DataFrame:
     mark = same(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low"))
-        large = (both.join(low.select("a", F.least("a", "low").alias("low")), "a")
+        low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"), F.count(F.lit(1)).alias("n"))
+        large = (beside(both, low, "a", 2 * mark[0])
                  .filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a").select(
+        low = large.groupBy("a").agg(F.min("b").alias("low"), F.count(F.lit(1)).alias("n"))
+        small = beside(large, low, "a", 2 * mark[0]).select(
             F.explode(F.array(F.struct("a", F.col("low").alias("b")),
                               F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")) \
             .select("e.*").filter("a <> b").distinct()
