@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from shopflow.llm.common import cut
 
 SUPPORT = 0.001
+#: bits of the filter of repeated digests: 8 MB, in bitmaps of 4 KB
+SLOTS = 1 << 26
 
 
 def text_digest(text: Column) -> Column:
@@ -65,23 +67,41 @@ def mark(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
                           (F.col("place.row") == F.col("first.row")).alias("kept"), "text_sha256")
 
 
+def with_bits(rows: DataFrame, digests: DataFrame) -> DataFrame:
+    """``rows`` with ``hit``: true for every row whose text_sha256 is among
+    ``digests``, and for few others. The digests are folded into ``SLOTS`` bits,
+    so the broadcast table of bitmaps is bounded whatever their number."""
+    slot = F.pmod(F.xxhash64("text_sha256"), F.lit(SLOTS)) + 1
+    part, bit = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
+    bits = digests.groupBy(part.alias("part")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    octet = F.conv(F.hex(F.expr("substring(bits, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return (rows.withColumn("part", part).withColumn("bit", bit.cast("int"))
+            .join(F.broadcast(bits), "part", "left")
+            .withColumn("hit", F.coalesce(octet.bitwiseAND(F.expr("shiftleft(1, bit % 8)")) > 0, F.lit(False)))
+            .drop("part", "bit", "bits"))
+
+
 def keep_first(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """The rows that stay, with all their columns. Heavy digests lose their
-    copies map-side; each other digest keeps its first row by a partial
-    aggregate, so copies are dropped before they are shuffled."""
+    copies map-side; rows whose digest a bitmap of all repeated digests lacks
+    stay map-side; only the others' texts are shuffled, by a partial aggregate
+    that keeps the first row of each digest."""
     columns = docs.columns
     rows = docs.select(F.struct(*columns).alias("kept_row"),
                        text_digest(F.col("text")).alias("text_sha256"))
-    digests = cut(rows.select("text_sha256", F.col("kept_row.doc_id").alias("doc_id"))
-                  .withColumn("place", F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id")))
+    place = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id")
+    digests = cut(docs.select("doc_id", text_digest(F.col("text")).alias("text_sha256"))
+                  .withColumn("place", place))
     heavy = cut(winners(digests, support))
-    stays = (rows.join(F.broadcast(heavy), "text_sha256")
-             .filter(F.col("kept_row.doc_id").eqNullSafe(F.col("first.doc_id"))))
-    light = rows.join(F.broadcast(heavy.select("text_sha256")), "text_sha256", "left_anti")
+    repeated = groups(digests).filter("group_size > 1").select("text_sha256")
+    seen = with_bits(rows, repeated).join(
+        F.broadcast(heavy.select("text_sha256", "first", F.lit(True).alias("heavy"))), "text_sha256", "left")
+    unique = seen.filter("heavy is null and not hit").select("kept_row.*")
+    open_ = seen.filter(F.when(F.col("heavy"), F.col("kept_row.doc_id").eqNullSafe(F.col("first.doc_id")))
+                        .otherwise(F.col("hit")))
     first = F.min_by("kept_row", F.struct(F.col("kept_row.doc_id").isNull(), F.col("kept_row.doc_id")))
-    both = [side.groupBy("text_sha256").agg(first.alias("kept_row")).select("kept_row.*")
-            for side in (stays, light)]
-    return both[0].unionByName(both[1]).select(*columns)
+    kept = open_.groupBy("text_sha256").agg(first.alias("kept_row")).select("kept_row.*")
+    return unique.unionByName(kept).select(*columns)
 
 
 ORACLE = r"""

@@ -174,6 +174,17 @@ def test_heavy_digests_are_decided_map_side(spark):
     assert [r.group_size for r in exact_dedup.winners(digests, 0.05).collect()] == [1000]
     got = exact_dedup.mark(docs).filter("kept").count()
     assert got == 2001
+    again = docs.unionByName(docs.filter("doc_id % 3 = 1"))  # the same ids once more
+    copies = again.unionByName(docs.filter("doc_id % 5 = 2").withColumn("doc_id", F.col("doc_id") + 5000))
+    assert sorted(r.doc_id for r in exact_dedup.keep_first(copies).collect()) == \
+        sorted([0] + [d for d in range(3000) if d % 3])
+
+
+def test_bits_mark_every_digest_and_few_others(spark):
+    rows = spark.range(5000).select("id", exact_dedup.text_digest(F.col("id").cast("string")).alias("text_sha256"))
+    got = exact_dedup.with_bits(rows, rows.filter("id % 9 = 4").select("text_sha256"))
+    assert got.columns == ["id", "text_sha256", "hit"]
+    assert got.filter("hit").count() == got.filter("id % 9 = 4").count() == got.filter("hit and id % 9 = 4").count()
 
 
 def test_sharding_with_clashing_columns(spark):
