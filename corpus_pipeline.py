@@ -2,7 +2,8 @@
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame``. ``run`` writes every
 stage's rows as Parquet in the session's shared folder and reads them back as
-the next stage's input, so a lost executor costs no finished stage.
+the next stage's input, so a lost executor costs no finished stage. A stage's
+folder goes when the next stage is written; the last one's stays.
 """
 
 from __future__ import annotations
@@ -61,11 +62,19 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{checkpoint_root(spark)}/corpus-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
