@@ -3,11 +3,9 @@
 import random
 import re
 import tracemalloc
-from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from shopflow.llm import near_dedup as N
 from shopflow.llm import queries
@@ -175,16 +173,3 @@ def test_components(spark):
         x, y = find(a), find(b)
         up[max(x, y)] = min(x, y)
     assert all(got.get(x, x) == find(x) for x in up)
-
-
-def test_hot_nodes_are_joined_without_their_rows_moving(spark, monkeypatch):
-    monkeypatch.setattr(N, "HEAVY", 20)
-    hub = [(0, i) for i in range(1, 900)] + [(i, 2000 + i) for i in range(1, 300)] + [(7000, 7001), (7001, 7002), (7001, 7001)]
-    many = spark.createDataFrame([(a % 3, a) for a in range(60)] + [(9, 9), (8, 8)], "a long, b long")
-    one = many.groupBy("a").agg(F.min("b").alias("low"), F.count(F.lit(1)).alias("n")).filter("a <> 8")
-    got = N.beside(many, one, "a", 62)
-    assert got.columns == ["a", "b", "low"]
-    assert Counter(tuple(r) for r in got.collect()) == Counter([(a % 3, a, a % 3) for a in range(60)] + [(9, 9, 9)])
-    found = {r.node: r.component for r in N.components(spark.createDataFrame(hub, "a long, b long")).collect()}
-    want = {x: 0 for x in [*range(1, 900), *range(2001, 2300)]} | {7001: 7000, 7002: 7000}
-    assert {k: v for k, v in found.items() if k != v} == want
