@@ -10,24 +10,29 @@ occurrence's anchor is hit by a rolling probe of the other.
    packed and sorted, to key buckets.
 2. A bucket finds the anchor hashes that any other position probes, and tells
    the chunks that hold them.
-3. Chunks extend these hits: the windows that hold a hit are hashed and sent,
-   each with the first document of the chunk that has it.
+3. Chunks extend these hits: the windows that hold a hit are hashed twice and
+   sent, each with the first document of the chunk that has it.
 4. A bucket tells every chunk which of its windows start earlier elsewhere.
 5. A window is a repeat if it starts earlier in another chunk or in its own;
    overlapping repeats join to maximal spans, whose words are removed.
 
 A hash that is frequent is sent once a chunk, not once an occurrence, so hot
-passages do not gather in one task. Windows are told apart by 64-bit hashes of
-their words; block hashes only propose candidates. The documents' exchange is
-one shuffle that all passes read.
-
-Defined cases: a null text has no words; order is by id, rows without an id
-last, and rows that share an id by their text; documents shorter than a window
-lose nothing; an empty table gives an empty result; other columns are not carried.
+passages do not gather in one task. Windows of different chunks are equal if
+two independent 64-bit hashes of their words are; block hashes only propose
+candidates. The documents' exchange is one shuffle that all passes read. A
+bucket holds the keys of a few chunks, so there are fewer buckets than chunks;
+a bucket's work is one sort, and the shuffles get more partitions with the
+number of chunks, so that no task grows with the input.
+
+Defined cases: a null text has no words; order is by id, then by text; rows
+without an id come last, by the 64-bit hash of their text (which also deals
+them into chunks) and then by text; documents shorter than a window lose
+nothing; an empty table gives an empty result; other columns are not carried.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,12 +42,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import pieces, python_ready
+from shopflow.llm.common import pieces, python_ready, shuffle_partitions
 
 WINDOW = 20
 #: bytes of text in a chunk; more on larger clusters means fewer, larger messages
 CHUNK_BYTES = 8 << 20
+#: chunks whose keys a bucket holds on average, where there are many chunks
+CHUNKS_A_BUCKET = 4
+#: as many buckets as chunks up to here, so that small inputs use all cores
+FEW_BUCKETS = 16
 _FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_CHECK = np.uint64(0xC2B2AE3D27D4EB4F)
 LAST = np.iinfo(np.int64).max
 
 
@@ -59,35 +69,46 @@ class Words(dict):
 _WORDS = Words()
 
 
-def rolling(codes: np.ndarray, size: int) -> np.ndarray:
+def rolling(codes: np.ndarray, size: int, factor: np.uint64 = _FACTOR) -> np.ndarray:
     """Hash of the ``size`` codes from each position on (shorter tails: none)."""
     n = max(0, len(codes) - size + 1)
     total = np.zeros(n, np.uint64)
     for i in range(size):
-        total = total * _FACTOR + codes[i:i + n]
+        total = total * factor + codes[i:i + n]
     total ^= total >> np.uint64(32)
     total *= _MIX
     return total ^ (total >> np.uint64(29))
 
 
+def text_order(doc_id: int | None, text: str | None) -> int:
+    """Place of a row without an id among its like: Spark's ``xxhash64`` of the
+    text, by which such rows are dealt, so equal places share a chunk."""
+    if doc_id is not None or text is None:
+        return 0
+    value = xxhash.xxh64_intdigest(text, 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
 @dataclass
 class Chunk:
     """The documents of a chunk in order, their words' codes in one array."""
 
     ids: list[int | None]
+    order: list[int]  # of rows without an id
     words: list[list[bytes]]
     codes: np.ndarray
     starts: np.ndarray  # of each document, and the end of the last
 
     @classmethod
     def of(cls, table: pa.Table) -> Chunk:
-        rows = sorted(zip(table["doc_id"].to_pylist(), table["text"].to_pylist()),
-                      key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        words = [(t or "").encode().split() for _, t in rows]  # ASCII white space
+        rows = sorted(((d, text_order(d, t), t or "")
+                       for d, t in zip(table["doc_id"].to_pylist(), table["text"].to_pylist())),
+                      key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+        words = [t.encode().split() for _, _, t in rows]  # ASCII white space
         n = np.fromiter(map(len, words), np.int64, len(words))
         starts = np.concatenate([[0], np.cumsum(n)])
         codes = np.fromiter((_WORDS[w] for own in words for w in own), np.uint64, int(starts[-1]))
-        return cls([d for d, _ in rows], words, codes, starts)
+        return cls([r[0] for r in rows], [r[1] for r in rows], words, codes, starts)
 
     def places(self, size: int) -> np.ndarray:
         """Positions where a window of that size lies within one document."""
@@ -100,9 +121,11 @@ class Chunk:
     def owner(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, at, "right") - 1
 
-    def first_id(self, at: np.ndarray) -> np.ndarray:
+    def place(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Id and order of the documents at these positions."""
         ids = np.array([LAST if d is None else d for d in self.ids], np.int64)
-        return ids[self.owner(at)]
+        own = self.owner(at)
+        return ids[own], np.array(self.order, np.int64)[own]
 
 
 def squeezed(values: np.ndarray) -> bytes:
@@ -132,7 +155,7 @@ def bucket_edges(sorted_keys: np.ndarray, bits: int, n: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(sorted_keys, np.array(bounds, np.uint64)), [len(sorted_keys)]])
 
 
-ANCHOR, MANY = np.uint64(1), np.uint64(2)
+ANCHOR, MANY = np.uint8(1), np.uint8(2)
 
 
 def key_bits(text_bytes: int) -> int:
@@ -146,7 +169,7 @@ def probes(chunk: Chunk, block: int, bits: int) -> np.ndarray:
     (an anchor block of this chunk) and MANY (at several positions of it)."""
     at = chunk.places(block)
     keys = rolling(chunk.codes, block)[at] >> np.uint64(64 - bits) << np.uint64(1)
-    keys |= ((at - chunk.starts[chunk.owner(at)]) % block == 0).astype(np.uint64)
+    keys |= ((at - chunk.starts[chunk.owner(at)]) % block == 0).astype(np.uint64)  # ANCHOR
     keys.sort()
     own = keys >> np.uint64(1)
     first = np.flatnonzero(np.diff(own, prepend=own[:1] + np.uint64(1)) != 0) if len(own) else own.astype(np.int64)
@@ -164,29 +187,39 @@ def isin(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
 
 def gathered(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(values, number of the part) of all parts."""
-    source = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    source = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), source
 
 
+def dealt_back(values: np.ndarray, source: np.ndarray, n: int) -> list[np.ndarray]:
+    """The values of each of ``n`` parts, in the order given."""
+    order = np.argsort(source, kind="stable")
+    return np.split(values[order], np.searchsorted(source[order], np.arange(1, n)))
+
+
 def hit_anchors(parts: list[np.ndarray]) -> list[np.ndarray]:
     """Of the chunks' probes in one bucket, for each chunk its keys that are
     anchors somewhere and stand at two positions or more."""
     values, source = gathered(parts)
-    order = np.argsort(values >> np.uint64(2), kind="stable")
-    keys, flags, source = values[order] >> np.uint64(2), values[order] & np.uint64(3), source[order]
-    if not len(keys):
+    if not len(values):
         return parts
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    size = np.diff(first, append=len(keys))
+    order = np.argsort(values >> np.uint64(2), kind="stable")
+    values, source = values[order], source[order]
+    del order
+    flags = (values & np.uint64(3)).astype(np.uint8)
+    values >>= np.uint64(2)
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    size = np.diff(first, append=len(values))
     any_flag = np.bitwise_or.reduceat(flags, first)
     hot = (any_flag & ANCHOR > 0) & ((size > 1) | (any_flag & MANY > 0))
     hot = np.repeat(hot, size)
-    return [keys[hot & (source == i)] for i in range(len(parts))]
+    return dealt_back(values[hot], source[hot], len(parts))
 
 
-def candidate_windows(chunk: Chunk, hot: np.ndarray, window: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct hashes of windows that hold a hit, and the first
-    position of each."""
+def candidate_windows(chunk: Chunk, hot: np.ndarray, window: int,
+                      bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of windows that hold a hit, a second hash and the
+    first position of each."""
     block = window // 2
     at = chunk.places(window)
     blocks = rolling(chunk.codes, block) >> np.uint64(64 - bits)
@@ -194,16 +227,22 @@ def candidate_windows(chunk: Chunk, hot: np.ndarray, window: int, bits: int) ->
     held = hits[at + window - block + 1] > hits[at]
     at = at[held]
     keys, first = np.unique(rolling(chunk.codes, window)[at], return_index=True)
-    return keys, at[first]
+    at = at[first]
+    return keys, rolling(chunk.codes, window, _CHECK)[at], at
 
 
-def earlier_elsewhere(keys: list[np.ndarray], ids: list[np.ndarray]) -> list[np.ndarray]:
-    """For each chunk its window keys whose first document is in another one."""
+def earlier_elsewhere(keys: list[np.ndarray], checks: list[np.ndarray],
+                      ids: list[np.ndarray], orders: list[np.ndarray]) -> list[np.ndarray]:
+    """For each chunk its window keys whose first document is in another one.
+    Equal keys with different checks are different windows."""
     values, source = gathered(keys)
-    order = np.lexsort((np.concatenate(ids) if ids else np.zeros(0, np.int64), values))
-    values, source = values[order], source[order]
-    later = np.concatenate([[False], values[1:] == values[:-1]]) if len(values) else np.zeros(0, bool)
-    return [values[later & (source == i)] for i in range(len(keys))]
+    if not len(values):
+        return keys
+    check = np.concatenate(checks)
+    order = np.lexsort((np.concatenate(orders), np.concatenate(ids), check, values))
+    values, check, source = values[order], check[order], source[order]
+    later = np.concatenate([[False], (values[1:] == values[:-1]) & (check[1:] == check[:-1])])
+    return dealt_back(values[later], source[later], len(keys))
 
 
 def repeats(chunk: Chunk, elsewhere: np.ndarray, window: int) -> np.ndarray:
@@ -235,12 +274,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
     block = window // 2
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n, bits = pieces(size, chunk_bytes), key_bits(size)
-    dealt = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("chunk"),
-                        F.col("doc_id").cast("long").alias("doc_id"), "text")
+    n_buckets = max(min(n, FEW_BUCKETS), pieces(n, CHUNKS_A_BUCKET))
+    usual = shuffle_partitions(docs.sparkSession)
+    dealt = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+             .select(F.pmod(F.xxhash64("doc_id", F.expr("if(doc_id is null, text, null)")), F.lit(n))
+                     .cast("int").alias("chunk"), "doc_id", "text"))
+
+    def spread(rows: DataFrame, key: str, groups: int) -> DataFrame:
+        """As many partitions as groups where that is more than the usual."""
+        return rows.repartition(groups, key) if groups > usual else rows
 
     def send(number: int, keys: np.ndarray, width: int, columns: dict) -> pa.Table:
-        edges = bucket_edges(keys, width, n)
-        full = [b for b in range(n) if edges[b] < edges[b + 1]]
+        edges = bucket_edges(keys, width, n_buckets)
+        full = np.flatnonzero(np.diff(edges)).tolist()
         out = {"bucket": pa.array(full, pa.int32()), "chunk": pa.array([number] * len(full), pa.int32())}
         return pa.table(out | {name: pa.array([f(edges[b], edges[b + 1]) for b in full], pa.binary())
                                for name, f in columns.items()})
@@ -264,15 +310,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
 
     def extend(key: tuple, table: pa.Table, hot: pa.Table) -> pa.Table:
         chunk = Chunk.of(table)
-        keys, at = candidate_windows(chunk, told(hot), window, bits)
-        ids = chunk.first_id(at)
+        keys, checks, at = candidate_windows(chunk, told(hot), window, bits)
+        ids, orders = chunk.place(at)
         return send(key[0].as_py(), keys, 64, {"keys": lambda a, b: packed(keys[a:b]),
-                                               "ids": lambda a, b: squeezed(ids[a:b])})
+                                               "checks": lambda a, b: checks[a:b].tobytes(),
+                                               "ids": lambda a, b: squeezed(ids[a:b]),
+                                               "orders": lambda a, b: squeezed(orders[a:b])})
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         keys = [unpacked(x) for x in table["keys"].to_pylist()]
+        checks = [np.frombuffer(x, np.uint64) for x in table["checks"].to_pylist()]
         ids = [restored(x, np.int64) for x in table["ids"].to_pylist()]
-        return answer(table, earlier_elsewhere(keys, ids))
+        orders = [restored(x, np.int64) for x in table["orders"].to_pylist()]
+        return answer(table, earlier_elsewhere(keys, checks, ids, orders))
 
     def strip(key: tuple, table: pa.Table, elsewhere: pa.Table) -> pa.Table:
         chunk = Chunk.of(table)
@@ -290,11 +340,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
                          "n_removed": pa.array(gone, pa.int64()), "text": pa.array(texts, pa.string()),
                          "removed": pa.array(removed, span)})
 
-    chunks = dealt.groupBy("chunk")
-    reply = "chunk int, bucket int, keys binary"
-    hot = (chunks.applyInArrow(probe, "bucket int, chunk int, keys binary")
-           .groupBy("bucket").applyInArrow(hit, reply))
-    known = (chunks.cogroup(hot.groupBy("chunk")).applyInArrow(extend, "bucket int, chunk int, keys binary, ids binary")
-             .groupBy("bucket").applyInArrow(compare, reply))
-    return chunks.cogroup(known.groupBy("chunk")).applyInArrow(
+    chunks = spread(dealt, "chunk", n).groupBy("chunk")
+    message, reply = "bucket int, chunk int, keys binary", "chunk int, bucket int, keys binary"
+
+    def asked(messages: DataFrame, of: Callable) -> DataFrame:
+        found = spread(messages, "bucket", n_buckets).groupBy("bucket").applyInArrow(of, reply)
+        return spread(found, "chunk", n).groupBy("chunk")
+
+    hot = asked(chunks.applyInArrow(probe, message), hit)
+    known = asked(chunks.cogroup(hot).applyInArrow(extend, message + ", checks binary, ids binary, orders binary"),
+                  compare)
+    return chunks.cogroup(known).applyInArrow(
         strip, "doc_id long, n_words long, n_removed long, text string, removed array<struct<first:int,end:int>>")

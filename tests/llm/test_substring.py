@@ -66,6 +66,40 @@ def test_edges(spark):
         S.remove_repeats(cases.frame(spark), 7)
 
 
+def test_rows_without_id_are_spread(spark):
+    """400 rows without an id lie in many chunks; their order is that of
+    Spark's hash of the text, then of the text."""
+    rnd = random.Random(9)
+    passages = [cases.words(k, 30) for k in range(5)]
+    texts = [" ".join([cases.words(i, rnd.randint(0, 20)), rnd.choice(passages), cases.words(i + 500, 3)])
+             for i in range(400)]
+    texts += texts[:3]
+    frame = spark.createDataFrame([(None, t) for t in texts] + [(7, texts[9]), (8, None)], "doc_id long, text string")
+    hashes = {r.text: r.h for r in frame.selectExpr("text", "xxhash64(text) as h").collect()}
+    assert all(S.text_order(None, t) == hashes[t] for t in texts)
+    got = S.remove_repeats(frame, 20, 5000).collect()
+    rank = {t: i for i, t in enumerate(sorted(set(texts), key=lambda t: (hashes[t], t)))}
+    in_order = sorted(texts, key=rank.get)
+    want = plain([(0, texts[9])] + [(i + 1, t) for i, t in enumerate(in_order)], 20)
+    ids = [7] + [None] * len(texts)
+    assert Counter((r.doc_id, r.n_removed, r.text) for r in got) == Counter(
+        [(8, 0, "")] + [(d, w[2], w[3]) for d, w in zip(ids, want)])
+
+
+def test_more_partitions_than_usual(spark):
+    """Far more chunks than shuffle partitions, and fewer buckets than chunks."""
+    data = [(i, cases.words(i % 90, 60)) for i in range(200)]
+    check(spark, data, 20, 600)
+
+
+def test_equal_key_of_other_words_is_no_repeat():
+    one, two = np.array([3, 5], np.uint64), np.array([3, 5, 9], np.uint64)
+    zero = [np.zeros(2, np.int64), np.zeros(3, np.int64)]
+    found = S.earlier_elsewhere([one, two], [np.array([1, 1], np.uint64), np.array([2, 1, 1], np.uint64)],
+                                [np.array([4, 4]), np.array([5, 3, 5])], zero)
+    assert [x.tolist() for x in found] == [[5], []]
+
+
 def test_query_matches_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
     want = {d: (n, gone, hashlib.sha256(text.encode()).hexdigest()) for d, n, gone, text in plain(docs, 20)}
