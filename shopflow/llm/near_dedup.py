@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopflow.llm import bloom
@@ -50,6 +50,8 @@ MISSED = 1e-6
 BLOCK_SHINGLES = 100_000
 #: documents on a side of one matrix of counts
 STRIP = 1024
+#: keys that the edges of one node are dealt over
+SALTS = 64
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
         0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3]
@@ -193,6 +195,16 @@ def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def with_low(edges: DataFrame) -> DataFrame:
+    """The edges (a, b) with ``low``, the smallest b of their a. A node's edges
+    are dealt by a salt of b into at most ``SALTS`` keys, so the edges of a hub
+    do not meet in one task; only the least of each key does."""
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    least = salted.groupBy("a", "salt").agg(F.min("b").alias("low"))
+    lows = least.withColumn("low", F.min("low").over(Window.partitionBy("a")))
+    return salted.join(lows, ["a", "salt"]).drop("salt")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (smallest node it reaches) of the edges (a, b), by
     alternating large and small stars until the edges no longer change. Each
@@ -206,11 +218,9 @@ def components(edges: DataFrame) -> DataFrame:
     mark = same(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low"))
-        large = (both.join(low.select("a", F.least("a", "low").alias("low")), "a")
-                 .filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a").select(
+        large = (with_low(both).filter("b > a")
+                 .select(F.col("b").alias("a"), F.least("a", "low").alias("b")).distinct())
+        small = with_low(large).select(
             F.explode(F.array(F.struct("a", F.col("low").alias("b")),
                               F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")) \
             .select("e.*").filter("a <> b").distinct()
