@@ -49,8 +49,8 @@ WINDOW = 20
 CHUNK_BYTES = 8 << 20
 #: chunks whose keys a bucket holds on average, where there are many chunks
 CHUNKS_A_BUCKET = 4
-#: as many buckets as chunks up to here, so that small inputs use some cores
-FEW_BUCKETS = 6
+#: as many buckets as chunks up to here, so that small inputs use all cores
+FEW_BUCKETS = 16
 _FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _CHECK = np.uint64(0xC2B2AE3D27D4EB4F)
 LAST = np.iinfo(np.int64).max
