@@ -243,6 +243,22 @@ def test_pages_read_one_or_two_parts(spark, workdir):
         paging.page(spark, f"{workdir}/p", ["k"], 0, 10)
 
 
+def test_short_parts_make_no_more_files_or_ranges(spark, workdir, monkeypatch):
+    """Parts are stretches of a range's file: 100 of them need no 100 folders,
+    tasks or samples; ranges are cut by their own number of rows."""
+    data = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k"))
+    paging.build(data, ["k"], f"{workdir}/one", part_rows=10)
+    assert len([d for d in os.listdir(f"{workdir}/one/rows") if "=" in d]) == 1
+    assert spark.read.parquet(f"{workdir}/one/counts").count() == 100
+    monkeypatch.setattr(paging, "RANGE_ROWS", 250)
+    paging.build(data, ["k"], f"{workdir}/more", part_rows=10)
+    assert len([d for d in os.listdir(f"{workdir}/more/rows") if "=" in d]) == 4
+    for path in ("one", "more"):
+        for page_no, size in ((1, 7), (2, 20), (50, 20), (3, 300), (51, 20)):
+            got = [r.k for r in paging.page(spark, f"{workdir}/{path}", ["k"], page_no, size).collect()]
+            assert got == list(range(1000))[(page_no - 1) * size:page_no * size]
+
+
 # --- change files ------------------------------------------------------------------------
 
 def test_change_files_follow_across_a_restart(spark, workdir):
