@@ -2,18 +2,21 @@
 
 A window of ``size`` that slides by ``slide`` contains every event
 ``size / slide`` times. Here an event is counted once, in the pane (the greatest
-common length of both) it falls into; only panes, which are few where events
-repeat, are merged into windows. A caller whose windows must pass a bound that
+common length of both) it falls into. A pane belongs to one run of windows, so
+what it adds to their sums is two steps: up where the run begins, down behind its
+end. Running sums over the steps are the windows' sums, and rows are made only
+for windows that the caller keeps. A caller whose windows must pass a bound that
 two adjoining stretches of ``size`` pass as well (a least count, for example)
-leaves out all stretches that cannot reach it before windows are made.
+leaves out all stretches that cannot reach it before that.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _UNITS_MS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
@@ -62,12 +65,8 @@ class Panes:
         """Number of the pane a time falls into."""
         return F.floor(ts_ms / self.length).cast("long")
 
-    def starts(self, pane: Column, low: Column | None = None, high: Column | None = None) -> Column:
-        """First panes of the windows that contain ``pane`` (between ``low`` and
-        ``high``), as an array."""
-        first = pane - (self.per_window - 1)
-        first = first if low is None else F.greatest(first, low)
-        last = pane if high is None else F.least(pane, high)
+    def starts(self, first: Column, last: Column) -> Column:
+        """First panes of the windows that begin between two panes, as an array."""
         a, b = F.ceil(first / self.step).cast("long"), F.floor(last / self.step).cast("long")
         made = F.transform(F.sequence(a, b), lambda x: x * self.step)
         return F.when(a <= b, made).otherwise(F.array().cast("array<bigint>"))
@@ -87,9 +86,12 @@ def in_stretches(cells: DataFrame, panes: Panes, pane: str = "pane") -> DataFram
     return cells.withColumn("stretch", F.explode(F.array(own - 1, own)))
 
 
-def windows_of(stretched: DataFrame, panes: Panes, pane: str = "pane") -> DataFrame:
-    """Rows of ``in_stretches`` once per window (``start``) that begins in their
-    stretch and contains them."""
-    low = F.col("stretch") * panes.per_window
-    starts = panes.starts(F.col(pane), low, low + (panes.per_window - 1))
-    return stretched.withColumn("start", F.explode(starts)).drop("stretch")
+def running_sums(steps: DataFrame, keys: Sequence[str], sums: Sequence[str], at: str = "at") -> DataFrame:
+    """Steps (changes of ``sums`` from pane ``at`` on) as stretches of equal sums,
+    ``at`` up to ``until``; the last step, after which nothing is left, has no
+    ``until``. Steps of one pane are added up map-side before they are sorted."""
+    once = steps.groupBy(*keys, at).agg(*[F.sum(c).alias(c) for c in sums])
+    order = Window.partitionBy(*keys).orderBy(at)
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return once.select(*keys, at, *[F.sum(c).over(upto).alias(c) for c in sums],
+                       (F.lead(at).over(order) - 1).alias("until"))

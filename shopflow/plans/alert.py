@@ -17,12 +17,12 @@ distinct count), the document shape of the reference.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopflow.constants import ALERT_INDEX_PREFIX, CLICK, COUPON, MIN_ACCOUNTS  # noqa: F401
 from shopflow.functions.time import to_event_time
-from shopflow.operators.panes import Panes, in_stretches, windows_of
+from shopflow.operators.panes import Panes, in_stretches, running_sums
 
 GROUP = ["window_start", "window_end", "mid"]
 
@@ -106,29 +106,62 @@ def pane_cells(events: DataFrame, panes: Panes) -> DataFrame:
 def coupon_alerts_paned(events: DataFrame, size: str = "5 minutes", slide: str = "5 seconds",
                         min_accounts: int = MIN_ACCOUNTS) -> DataFrame:
     """``coupon_alerts`` for slides far shorter than the window. Events are
-    aggregated into panes once; windows are made of panes, and only where two
-    adjoining stretches of a window's length hold enough accounts to alert at
-    all. A hot device is combined map-side at every step."""
+    aggregated into panes once. Of the windows that begin in a stretch (one
+    window long), those without a click are one run: after the stretch's last
+    click, and ending before the next stretch's first one. Only stretches with
+    such a run and enough accounts go on; each pane adds its events to the
+    windows of the run that hold it, and its account to those that hold none of
+    the account's earlier panes, as steps of running sums. So no event and no
+    pane is copied per window, and a row is made for alerting windows only."""
     panes = Panes.of(size, slide)
     parts = in_stretches(pane_cells(events, panes), panes)
-    hopeful = (parts.groupBy("mid", "stretch").agg(F.count_distinct("account").alias("a"))
-               .filter(F.col("a") >= min_accounts).select("mid", "stretch"))
-    merged = (windows_of(parts.join(hopeful, ["mid", "stretch"], "left_semi"), panes).groupBy("start", "mid")
-              .agg(F.count_distinct("account").alias("n_accounts"), F.sum("n").alias("n_events"),
-                   F.max("clicked").alias("clicked")))
-    return (merged.filter((F.col("n_accounts") >= min_accounts) & (F.coalesce("clicked", F.lit(0)) == 0))
+    pane, begin = F.col("pane"), F.col("stretch") * panes.per_window
+    end = begin + panes.per_window
+    clicked = F.when(F.col("clicked") == 1, pane)
+    hopeful = (parts.groupBy("mid", "stretch").agg(
+                   F.count_distinct("account").alias("a"), F.max(F.when(pane < end, clicked)).alias("click"),
+                   F.min(F.when(pane >= end, clicked)).alias("next_click"))
+               .filter(F.col("a") >= min_accounts)
+               .select("mid", "stretch", F.greatest(begin, F.col("click") + 1).alias("low"),
+                       F.least(end - 1, F.col("next_click") - panes.per_window).alias("high"))
+               .filter(F.col("low") <= F.col("high")))
+    first, last = F.greatest(pane - (panes.per_window - 1), "low"), F.least(pane, F.col("high"))
+    held = parts.join(hopeful, ["mid", "stretch"]).withColumn("first", first).withColumn("last", last)
+    # an account's rows here are as many as two windows have panes
+    earlier = F.lag("pane").over(Window.partitionBy("mid", "stretch", "account").orderBy("pane"))
+    new = F.greatest("first", earlier + 1)
+    counts = F.col("account").isNotNull() & (F.col("new") <= F.col("last"))
+
+    def step(at, n_accounts, n_events):
+        return F.struct(at.alias("at"), n_accounts.cast("long").alias("n_accounts"), n_events.alias("n_events"))
+    one, none = F.when(counts, 1).otherwise(0), F.lit(0).cast("long")
+    steps = (held.filter(F.col("first") <= F.col("last")).withColumn("new", new)
+             .select("mid", "stretch", F.explode(F.array(
+                 step(F.col("first"), none, F.col("n")),
+                 step(F.when(counts, F.col("new")).otherwise(F.col("first")), one, none),
+                 step(F.col("last") + 1, -one, -F.col("n")))).alias("s"))
+             .select("mid", "stretch", "s.*"))
+    kept = (running_sums(steps, ["mid", "stretch"], ["n_accounts", "n_events"])
+            .filter((F.col("n_accounts") >= min_accounts) & (F.col("n_events") > 0)))
+    return (kept.withColumn("start", F.explode(panes.starts(F.col("at"), F.col("until"))))
             .select(panes.window_start(F.col("start")).alias("window_start"),
                     panes.window_end(F.col("start")).alias("window_end"), "mid", "n_accounts", "n_events")
             .withColumn("ts", F.unix_millis("window_end")))
 
 
 def paned_members(events: DataFrame, alerts: DataFrame, size: str, slide: str) -> DataFrame:
-    """The events of alerts, once per alert: alerts, which are few, are spread
-    over their panes and meet each event in its one pane."""
+    """The events of alerts, once per alert. An event meets the alerts that begin
+    in its own stretch (one window long) and the one before: it is sent twice,
+    an alert once, and at most one in two of the alerts it meets is not its own."""
     panes = Panes.of(size, slide)
     first = F.floor(F.unix_millis("window_start") / panes.length).cast("long")
-    spread = alerts.select(*GROUP, F.explode(F.sequence(first, first + (panes.per_window - 1))).alias("pane"))
-    return events.withColumn("pane", panes.pane(F.col("ts"))).join(spread, ["mid", "pane"]).drop("pane")
+    begun = alerts.select(*GROUP, first.alias("first"), F.floor(first / panes.per_window).cast("long").alias("stretch"))
+    near = in_stretches(events.withColumn("pane", panes.pane(F.col("ts"))), panes)
+    # a row becomes as many as a window has slides: tasks are not to be merged by the size of their input
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = near.repartition(tasks, "mid", "stretch")
+    within = F.col("pane").between(F.col("first"), F.col("first") + (panes.per_window - 1))
+    return near.join(begun, ["mid", "stretch"]).filter(within).drop("pane", "stretch", "first")
 
 
 def alert_aggregates():

@@ -51,6 +51,45 @@ def test_paned_plan_expands_no_events(spark):
     assert "Expand" not in text.split("Aggregate")[-1] and "Generate" not in text.split("Aggregate")[-1]
 
 
+def shuffle_records(df) -> int:
+    """Rows written to the exchanges of an executed query."""
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if name == "Exchange":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_panes_are_not_copied_per_window(spark):
+    """A pane is sent to its windows as a few steps, not once per window; an
+    alert meets its events without being sent once per pane."""
+    at = ms("2024-01-01 00:00:00")
+    events = spark.createDataFrame(
+        [(i, "d", str(i % 7), "coupon" if i % 3 else "addCart", "1", at + 5_000 * i) for i in range(400)]
+        + [(400 + i, "c", str(i % 7), "coupon" if i % 2 else "clickItem", "1", at + 5_000 * i) for i in range(400)],
+        "event_id long, mid string, uid string, evid string, itemid string, ts long")
+    got = alert.coupon_alerts_paned(events, "30 minutes", "5 seconds")
+    want = alert.coupon_alerts(events, "30 minutes", "5 seconds")
+    assert rows_of(got, *want.columns) == rows_of(want) and got.count() > 360
+
+    def shuffled(df):
+        df = df.select("*")
+        df.collect()
+        return shuffle_records(df)
+    assert shuffled(got) < 8 * 1600
+    alerts = spark.createDataFrame(got.collect(), got.schema)
+    assert shuffled(alert.paned_members(events, alerts, "30 minutes", "5 seconds")) < 2 * 800 + alerts.count() + 1
+
+
 def test_paned_alert_stream_equals_batch(spark, workdir):
     events = [{"type": "event", "mid": f"m{i % 2}", "uid": f"u{i % 5}", "evid": "clickItem" if i % 37 == 0 else "coupon",
                "itemid": str(i), "ts": ms("2024-01-01 00:00:00") + 7000 * i} for i in range(90)]
