@@ -258,9 +258,12 @@ def q_index_search_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals from the posting lists of its tokens alone."""
     root, t = _folder(spark), Tables(spark, sf_dir)
     wide = sale.sale_detail_wide(fx.order_info(t.orders), fx.order_lines_named(t.lineitem, t.part))
-    # a line id occurs more than once in the driver's table: each is a hit
-    docs = wide.select("dt", "sku_name", F.concat_ws("#", "order_detail_id", F.row_number().over(
-        Window.partitionBy("order_detail_id").orderBy("sku_price"))).alias("doc_id"))
+    # a line id occurs more than once in the driver's table: each is a hit. It
+    # begins with its order's id, by which the join has already dealt the rows
+    numbered = wide.select("dt", "sku_name", F.concat_ws("#", "order_detail_id", F.row_number().over(
+        Window.partitionBy("order_id", "order_detail_id").orderBy("sku_price"))).alias("doc_id"))
+    numbered.write.parquet(f"{root}/docs")   # joined and numbered once for both batches
+    docs = spark.read.parquet(f"{root}/docs")
     for i, batch in enumerate(_batches(docs, "doc_id")):
         postings.write_postings(postings.posting_rows(batch, "doc_id", "sku_name", "dt"), i, f"{root}/postings")
     return search.search_total(postings.lookup(spark, f"{root}/postings", Q.KEYWORD))

@@ -34,7 +34,8 @@ def posting_rows(docs: DataFrame, doc_id: str, text: str, day: str, buckets: int
 
 def write_postings(rows: DataFrame, batch_id: int, path: str) -> None:
     """Adds a batch's postings; a retried batch replaces its own."""
-    sorted_ = rows.repartition(BUCKET_COL).sortWithinPartitions(BUCKET_COL, "token", "dt", "doc_id")
+    # a hot token's bucket goes to as many tasks as its size needs
+    sorted_ = rows.hint("rebalance", BUCKET_COL).sortWithinPartitions(BUCKET_COL, "token", "dt", "doc_id")
     sinks.write_batch(sorted_, batch_id, path, [BUCKET_COL])
 
 
@@ -47,7 +48,7 @@ def lookup(spark: SparkSession, path: str, keyword: str, date: str | None = None
            buckets: int = BUCKETS) -> DataFrame:
     """``dt, doc_id`` of the documents that hold every token of the keyword (an
     empty keyword matches nothing). Only the tokens' bucket folders are listed;
-    lists are intersected by counting tokens per document."""
+    lists are intersected by one aggregate per document, combined map-side."""
     wanted = keyword_tokens(spark, keyword)
     none = spark.createDataFrame([], "dt string, doc_id string")
     if not wanted:
@@ -58,10 +59,8 @@ def lookup(spark: SparkSession, path: str, keyword: str, date: str | None = None
     hits = lists.filter(F.col("token").isin(wanted))
     if date is not None:
         hits = hits.filter(F.col("dt") == date)
-    if len(wanted) == 1:
-        return hits.select("dt", "doc_id").distinct()
-    return (hits.select("dt", "doc_id", "token").distinct().groupBy("dt", "doc_id").agg(F.count("token").alias("n"))
-            .filter(F.col("n") == len(wanted)).select("dt", "doc_id"))
+    held = hits.groupBy("dt", "doc_id").agg(*[F.max(F.col("token") == t).alias(f"t{i}") for i, t in enumerate(wanted)])
+    return held.filter(F.forall(F.array(*[f"t{i}" for i in range(len(wanted))]), lambda t: t)).select("dt", "doc_id")
 
 
 def compact(spark: SparkSession, path: str, out_path: str) -> None:

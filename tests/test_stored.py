@@ -265,6 +265,21 @@ def test_pages_read_one_or_two_parts(spark, workdir):
     random.Random(3).shuffle(data)
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_postings_of_a_hot_token_go_to_several_tasks(spark, workdir):
+    docs = spark.range(20_000).select(F.lit("2024-01-01").alias("dt"), F.sha2(F.col("id").cast("string"), 256).alias("id"),
+                                      F.lit("hot").alias("name"))
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    for key in keys:
+        spark.conf.set(key, "100k")
+    try:
+        postings.write_postings(postings.posting_rows(docs.repartition(8), "id", "name", "dt"), 0, f"{workdir}/p")
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+    found = postings.lookup(spark, f"{workdir}/p", "hot")
+    assert len(found.inputFiles()) > 1 and found.count() == 20_000
+
+
     try:
         paging.build(spark.createDataFrame(data, "k string, v long"), ["k"], f"{workdir}/p", part_rows=100)
     finally:
