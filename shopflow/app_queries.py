@@ -204,14 +204,15 @@ FROM o JOIN d ON o.order_id = d.order_id
 def q_stream_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK5 STR5 JN4: orders and lines as they arrive, joined in keyed state that
     holds each half until its bound has passed."""
-    root = _folder(spark)
+    root, rows = _folder(spark), _halves(spark, sf_dir)
+    buckets = halves.buckets_for(rows.count())
 
     def run() -> None:
         both = _topic(spark, f"{root}/in", halves.ORDER_ONLY).unionByName(
             _topic(spark, f"{root}/in", halves.LINE_ONLY))
-        jobs.start(halves.halves_stream(both, BOUND_S), f"halves_{root[-8:]}", halves.halves_sink(f"{root}/out"),
+        jobs.start(halves.halves_stream(both, BOUND_S, buckets=buckets), f"halves_{root[-8:]}", halves.halves_sink(f"{root}/out"),
                    trigger=NOW, checkpoint=f"{root}/ck").awaitTermination()
-    _released(spark, _halves(spark, sf_dir), f"{root}/in", run)
+    _released(spark, rows, f"{root}/in", run)
     pairs = sinks.read_table(spark, f"{root}/out").filter(F.col("found") == halves.PAIR)
     return pairs.select("order_id", halves.field("line_body", "id").alias("order_detail_id"),
                         halves.field("line_body", "sku_id"),

@@ -11,12 +11,14 @@ Both topics run through one ``applyInPandasWithState`` operator, checkpointed
 and restored on another executor when one is lost. Its keys are buckets of order
 ids, not single ids: a state call a key costs milliseconds, a bucket's live
 halves (one Arrow table) are joined and expired column-wise. ``buckets`` is
-chosen so that a bucket's live halves stay in the tens of thousands; an order's
-own lines are bounded by the order.
+chosen so that a bucket's live halves stay in the tens of thousands
+(``buckets_for``; a task holds one bucket's halves at a time, so its memory does
+not grow with the topics); an order's own lines are bounded by the order.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,6 +33,8 @@ from shopflow.streaming import sinks
 PAIR, LATE, ORDER_ONLY, LINE_ONLY = "pair", "late", "order", "line"
 CLOCK = "clock"   # a message that only moves the watermark on
 BUCKETS = 64
+#: halves that a bucket is meant to hold at most
+BUCKET_HALVES = 50_000
 
 #: the common shape of both topics' messages in the operator
 HALF = T.StructType([
@@ -44,6 +48,12 @@ _HELD = pa.schema([("order_id", pa.string()), ("side", pa.string()), ("body", pa
 _OUT = list(JOINED.names)
 
 
+def buckets_for(live: int) -> int:
+    """Buckets for so many halves that may be live, or come in one micro-batch,
+    at once. A checkpoint's queries keep one number."""
+    return max(BUCKETS, math.ceil(live / BUCKET_HALVES))
+
+
 def meet(halves: pd.DataFrame, bound: int) -> tuple[pd.DataFrame, pd.DataFrame]:
     """The pairs among ``halves`` (order_id, side, body, ms, met) and what stays:
     orders, marked once they met a line, and lines without one. A line takes the

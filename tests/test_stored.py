@@ -167,6 +167,12 @@ def test_meet_takes_each_line_once():
 
 
 # --- inverted index --------------------------------------------------------------
+def test_a_bucket_holds_tens_of_thousands_of_halves():
+    assert halves.buckets_for(0) == halves.buckets_for(3_000_000) == halves.BUCKETS
+    for live in (10 ** 7, 270_000_000):
+        assert live / halves.buckets_for(live) <= halves.BUCKET_HALVES
+
+
 
 def test_lookup_equals_scan_and_reads_its_buckets(spark, workdir):
     words = ["red", "widget", "Blue", "gear", "très", "漢字", "x-1"]
