@@ -374,7 +374,7 @@ def q_stream_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, part in enumerate((entries.filter("table <> 'order_detail'").unionByName(other.filter("table = 'user_info'")),
                               entries.filter("table = 'order_detail'"))):
         # names must grow from delivery to delivery
-        part.select(F.to_json(F.struct(*part.columns)).alias("value")).write.text(f"{root}/drop-{i}")
+        part.select(F.to_json(F.struct(*part.columns)).alias("value")).write.text(f"{root}/drop-{i}", compression="gzip")
         changes.deliver(spark, f"{root}/drop-{i}", f"{root}/in", f"{i:04d}")
         _run(apps.cdc_app, changes.change_files(spark, f"{root}/in", fx.CDC_DATABASE), f"{root}/out", root)
     return spark.read.text(f"{root}/out").select("topic", "value")

@@ -1,7 +1,8 @@
 """Change-feed files as a streaming source with offsets of its own.
 
 ``spark.readStream.format("change_files")`` follows a folder of JSON-lines
-files that a change-feed client drops, in the order of their names. An offset is
+files that a change-feed client drops, plain or compressed (by the suffix: ``.gz``
+for example), in the order of their names. An offset is
 the number of files taken so far, kept in the query's checkpoint. A file is one
 partition, read by one task in fetches of at most ``fetch`` entries; entries of
 other databases are dropped there, before they become rows.

@@ -285,13 +285,14 @@ def dead_path(out_path: str) -> str:
 
 def topic_sink(routed_path: str, kafka_servers: str | None = None) -> Callable[[DataFrame, int], None]:
     """SNK6: write ``topic, value`` rows to their topics -- the message itself
-    as a text line below ``<routed>/topic=<name>``, which ``text_files`` reads
-    like the topic, or Kafka if servers are given."""
+    as a text line (gzip) below ``<routed>/topic=<name>``, which ``text_files``
+    reads like the topic, or Kafka if servers are given."""
     def run(batch: DataFrame, batch_id: int) -> None:
         if kafka_servers:
             publish(batch, kafka_servers)
         else:
-            sinks.write_batch(batch.select("topic", "value"), batch_id, routed_path, ["topic"], fmt="text")
+            sinks.write_batch(batch.select("topic", "value"), batch_id, routed_path, ["topic"], fmt="text",
+                              compression="gzip")
     return run
 
 

@@ -45,14 +45,14 @@ def run_batch(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
 
 
 def write_batch(df: DataFrame, batch_id: int, path: str,
-                partition_cols: Sequence[str] = (), fmt: str = "parquet") -> None:
+                partition_cols: Sequence[str] = (), fmt: str = "parquet", **options) -> None:
     """SNK1: write one micro-batch; re-running the same batch id replaces
-    exactly the partitions that batch owns."""
+    exactly the partitions that batch owns. ``options`` are the format's."""
     (df.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols, BATCH_COL)
-     .format(fmt).save(path))
+     .format(fmt).options(**options).save(path))
 
 
 def table_sink(path: str, partition_cols: Sequence[str] = (),

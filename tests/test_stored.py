@@ -2,6 +2,7 @@
 keyed buckets, differences, pages, change files."""
 
 import datetime as dt
+import gzip
 import json
 import os
 import random
@@ -166,13 +167,13 @@ def test_meet_takes_each_line_once():
     assert halves._unpacked(halves._packed(rest)).equals(rest.astype({"met": bool}).reset_index(drop=True))
 
 
-# --- inverted index --------------------------------------------------------------
 def test_a_bucket_holds_tens_of_thousands_of_halves():
     assert halves.buckets_for(0) == halves.buckets_for(3_000_000) == halves.BUCKETS
     for live in (10 ** 7, 270_000_000):
         assert live / halves.buckets_for(live) <= halves.BUCKET_HALVES
 
 
+# --- inverted index --------------------------------------------------------------
 
 def test_lookup_equals_scan_and_reads_its_buckets(spark, workdir):
     words = ["red", "widget", "Blue", "gear", "très", "漢字", "x-1"]
@@ -264,13 +265,6 @@ def test_revenue_retracts_and_survives_a_retry(spark, workdir):
     assert revenue.day_total(spark, f"{workdir}/d", "2023-01-01").first()[0] is None
 
 
-# --- pages -----------------------------------------------------------------------------
-
-def test_pages_read_one_or_two_parts(spark, workdir):
-    data = [(f"k{i:04d}", i) for i in range(1000)]
-    random.Random(3).shuffle(data)
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
 def test_postings_of_a_hot_token_go_to_several_tasks(spark, workdir):
     docs = spark.range(20_000).select(F.lit("2024-01-01").alias("dt"), F.sha2(F.col("id").cast("string"), 256).alias("id"),
                                       F.lit("hot").alias("name"))
@@ -286,6 +280,13 @@ def test_postings_of_a_hot_token_go_to_several_tasks(spark, workdir):
     assert len(found.inputFiles()) > 1 and found.count() == 20_000
 
 
+# --- pages -----------------------------------------------------------------------------
+
+def test_pages_read_one_or_two_parts(spark, workdir):
+    data = [(f"k{i:04d}", i) for i in range(1000)]
+    random.Random(3).shuffle(data)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         paging.build(spark.createDataFrame(data, "k string, v long"), ["k"], f"{workdir}/p", part_rows=100)
     finally:
@@ -339,6 +340,23 @@ def test_change_files_follow_across_a_restart(spark, workdir):
     assert sorted(values) == ["0", "2", "4"]
 
 
+def test_change_files_may_be_compressed(tmp_path):
+    with gzip.open(tmp_path / "a.json.gz", "wt") as f:
+        f.write("\n".join(json.dumps({"entry_type": "ROWDATA", "database": "d", "rows": []}) for _ in range(250)))
+    reader = changes.ChangeReader({"path": str(tmp_path)}, schemas.CHANGE_ENTRY)
+    part, = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert [b.num_rows for b in reader.read(part)] == [100, 100, 50]
+
+
+def test_topics_are_stored_compressed(spark, workdir):
+    rows = spark.createDataFrame([("t", "a" * 1000)] * 100, "topic string, value string")
+    jobs.topic_sink(f"{workdir}/out")(rows, 0)
+    files = spark.read.text(f"{workdir}/out").inputFiles()
+    assert all(f.endswith(".gz") for f in files)
+    got = spark.read.text(f"{workdir}/out").select("topic", "value").collect()
+    assert [tuple(r) for r in got] == [("t", "a" * 1000)] * 100
+
+
 def test_change_fetches_are_bounded(tmp_path):
     (tmp_path / "a.json").write_text("\n".join(json.dumps({"entry_type": "ROWDATA", "database": "d", "rows": []}) for _ in range(250)))
     reader = changes.ChangeReader({"path": str(tmp_path)}, schemas.CHANGE_ENTRY)
