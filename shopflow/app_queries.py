@@ -232,14 +232,15 @@ SELECT 'order', order_id, NULL FROM o WHERE order_id NOT IN (SELECT order_id FRO
 def q_stream_late_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR9 STR5: the outer stream-stream join's pairs and halves, then the
     repair step over what it stored; every line and every lone order once."""
-    root = _folder(spark)
+    root, rows = _folder(spark), _halves(spark, sf_dir)
+    buckets = halves.buckets_for(rows.count())
 
     def run() -> None:
         joined = halves.outer_stream(*[_topic(spark, f"{root}/in", s)
-                                       for s in (halves.ORDER_ONLY, halves.LINE_ONLY)], BOUND_S)
+                                       for s in (halves.ORDER_ONLY, halves.LINE_ONLY)], BOUND_S, buckets=buckets)
         jobs.start(joined, f"outer_{root[-8:]}", halves.halves_sink(f"{root}/out"), trigger=NOW,
                    checkpoint=f"{root}/ck").awaitTermination()
-    _released(spark, _halves(spark, sf_dir), f"{root}/in", run)
+    _released(spark, rows, f"{root}/in", run)
     return halves.repaired(spark, f"{root}/out").select(
         "found", "order_id", halves.field("line_body", "id").alias("order_detail_id"))
 

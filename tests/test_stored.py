@@ -167,6 +167,47 @@ def test_meet_takes_each_line_once():
     assert halves._unpacked(halves._packed(rest)).equals(rest.astype({"met": bool}).reset_index(drop=True))
 
 
+def test_outer_stream_keeps_a_row_of_state_a_bucket(spark, workdir):
+    """Every order meets every line of its id within the bound, also over two
+    micro-batches; a bucket's halves are one row of state, not rows of their own."""
+    first = [half(f"k{i}", side, f"{side}{i}", i) for i in range(40) for side in ("order", "line")]
+    first += [half("k0", "order", "again", 3), half("alone", "line", "L", 5), half(None, "line", "lost", 5)]
+    second = [half("k1", "line", "more", 39), half("k0", "order", "third", 40), half("k2", "line", "far", 150)]
+
+    def run(rows):
+        spark.createDataFrame(rows, halves.HALF).coalesce(1).write.mode("append").parquet(f"{workdir}/in")
+        raw = streams.parquet_files(spark, f"{workdir}/in", halves.HALF)
+        joined = halves.outer_stream(raw.filter("side IN ('order', 'clock')"), raw.filter("side IN ('line', 'clock')"),
+                                     100, buckets=3)
+        q = jobs.start(joined, "outer_state", halves.halves_sink(f"{workdir}/out"), trigger=NOW, checkpoint=f"{workdir}/ck")
+        q.awaitTermination()
+        return q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert 0 < run(first) <= 3
+    run(second)
+    run([half(None, "clock", None, 9999)])
+    stored = rows_of(sinks.read_table(spark, f"{workdir}/out"), "order_id", "found", "order_body", "line_body")
+    want = [(f"k{i}", "pair", f"order{i}", f"line{i}") for i in range(40)]
+    want += [("k0", "pair", "again", "line0"), ("k0", "pair", "third", "line0"), ("k1", "pair", "order1", "more"),
+             ("k2", "line", None, "far"), ("alone", "line", None, "L"), (None, "line", None, "lost")]
+    assert stored == sorted(want, key=str)
+
+
+def test_meet_all_is_the_join(monkeypatch):
+    """Fresh pairs only, in pieces; a missing id meets nothing."""
+    monkeypatch.setattr(halves, "PAIRS", 7)
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["a", "b", "c", None]), rnd.choice(["order", "line"]), str(i), rnd.randrange(60), False) for i in range(120)]
+    for held in (0, 50, 119, 120):
+        frame = pd.DataFrame(rows, columns=["order_id", "side", "body", "ms", "met"])
+        pieces = list(halves.meet_all(frame, held, 10))
+        found = [(r.order_id, r.order_body, r.line_body) for p in pieces for r in p.itertuples()]
+        want = [(o[0], o[2], d[2]) for o in rows for d in rows if o[1] == "order" and d[1] == "line" and o[0] == d[0] and o[0]
+                and abs(o[3] - d[3]) <= 10 and max(int(o[2]), int(d[2])) >= held]
+        assert sorted(found) == sorted(want)
+        assert set(frame["body"][frame["met"]]) == {b for w in want for b in w[1:]}
+        assert all(len(p) <= 7 + 60 for p in pieces)
+
+
 def test_a_bucket_holds_tens_of_thousands_of_halves():
     assert halves.buckets_for(0) == halves.buckets_for(3_000_000) == halves.BUCKETS
     for live in (10 ** 7, 270_000_000):
