@@ -25,7 +25,7 @@ from itertools import pairwise
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -221,15 +221,14 @@ def repaired(spark: SparkSession, out_path: str) -> DataFrame:
     stored, however late, is joined with it (``found`` = ``late``); an order
     alone that lines now belong to is no row of its own any more."""
     stored = sinks.read_table(spark, out_path, empty_schema=_ddl()).select(*_OUT)
-    lines = stored.filter(F.col("found") == LINE_ONLY).select("order_id", "line_body")
-    orders = (stored.filter(F.col("found") != LINE_ONLY).groupBy("order_id")
-              .agg(F.min("order_body").alias("order_body")))
-    tried = (lines.join(orders, "order_id", "left")
-             .withColumn("found", F.when(F.col("order_body").isNull(), LINE_ONLY).otherwise(LATE)))
-    alone = (stored.filter(F.col("found") == ORDER_ONLY)
-             .join(lines.select("order_id").distinct(), "order_id", "left_anti"))
-    return (stored.filter(F.col("found") == PAIR).select(*_OUT)
-            .unionByName(tried.select(*_OUT)).unionByName(alone.select(*_OUT)))
+    is_line, own = F.col("found") == LINE_ONLY, Window.partitionBy("order_id")
+    # one shuffle by order; rows without an id belong to no order
+    known = F.when(F.col("order_id").isNotNull(), F.min(F.when(~is_line, F.col("order_body"))).over(own))
+    tried = F.coalesce(F.col("order_id").isNotNull() & F.max(is_line).over(own), F.lit(False))
+    met = stored.withColumn("known", known).withColumn("tried", tried)
+    return met.filter((F.col("found") != ORDER_ONLY) | ~F.col("tried")).select(
+        "order_id", F.when(is_line & F.col("known").isNotNull(), LATE).otherwise(F.col("found")).alias("found"),
+        F.when(is_line, F.col("known")).otherwise(F.col("order_body")).alias("order_body"), "line_body")
 
 
 def _ddl() -> str:

@@ -192,6 +192,20 @@ def test_outer_stream_keeps_a_row_of_state_a_bucket(spark, workdir):
     assert stored == sorted(want, key=str)
 
 
+def test_repair_shuffles_what_is_stored_once(spark, workdir):
+    """Every line and every lone order once; rows without an id stay as they are."""
+    rows = [("a", "line", None, "L1"), ("a", "line", None, "L2"), ("a", "order", "O2", None), ("a", "order", "O1", None),
+            ("b", "pair", "P", "L3"), ("b", "line", None, "L4"), ("c", "order", "O", None), ("c", "order", "O", None),
+            ("d", "line", None, "L5"), (None, "line", None, "L6"), (None, "order", "O6", None)]
+    sinks.write_batch(spark.createDataFrame(rows, halves.JOINED), 0, f"{workdir}/out", ["found"])
+    fixed = halves.repaired(spark, f"{workdir}/out")
+    assert rows_of(fixed) == sorted([
+        ("a", "late", "O1", "L1"), ("a", "late", "O1", "L2"), ("b", "pair", "P", "L3"), ("b", "late", "P", "L4"),
+        ("c", "order", "O", None), ("c", "order", "O", None), ("d", "line", None, "L5"), (None, "line", None, "L6"),
+        (None, "order", "O6", None)], key=str)
+    assert fixed._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
+
+
 def test_meet_all_is_the_join(monkeypatch):
     """Fresh pairs only, in pieces; a missing id meets nothing."""
     monkeypatch.setattr(halves, "PAIRS", 7)
